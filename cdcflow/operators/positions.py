@@ -100,23 +100,24 @@ def carry(
     *,
     backward: bool = False,
     strict: bool = False,
+    ties: Sequence[str] = (),
     slices: Slices = WHOLE,
 ) -> DataFrame:
     """Add ``into``: ``value`` of the nearest row at or before ``pos`` for which ``when`` holds.
 
     ``backward`` looks at or after instead; ``strict`` leaves the row itself out.  ``value`` must
-    not be null on marked rows.  ``pos`` must be unique per key.
+    not be null on marked rows.  ``(pos, *ties)`` must be unique per key.
     """
-    order = F.col(pos).desc() if backward else F.col(pos).asc()
+    order = [F.col(c).desc() if backward else F.col(c).asc() for c in (pos, *ties)]
     last_row = -1 if strict else Window.currentRow
     df = df.withColumn("_mark", F.when(when, value))
     nearest = F.last("_mark", ignorenulls=True)
     if slices.single:
-        w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, last_row)
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, last_row)
         return df.withColumn(into, nearest.over(w)).drop("_mark")
 
     df = df.withColumn(SLICE, slices.of(F.col(pos)))
-    marked_pos = F.when(F.col("_mark").isNotNull(), F.col(pos))
+    marked_pos = F.when(F.col("_mark").isNotNull(), F.struct(pos, *ties))
     edge = F.min_by("_mark", marked_pos) if backward else F.max_by("_mark", marked_pos)
     far = Window.partitionBy(*keys).orderBy(F.col(SLICE).desc() if backward else F.col(SLICE).asc())
     edges = (
@@ -128,7 +129,7 @@ def carry(
         .where(F.col("_edge").isNotNull())
     )
     group = [*keys, SLICE]
-    near = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, last_row)
+    near = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, last_row)
     local = df.withColumn("_near", nearest.over(near))
     return (
         local.alias("l")
@@ -140,49 +141,56 @@ def carry(
     )
 
 
-def running_total(
+def running(
     df: DataFrame,
     keys: Sequence[str],
     pos: str,
     amounts: Mapping[str, Column],
     *,
+    how: str = "sum",
+    ties: Sequence[str] = (),
     slices: Slices = WHOLE,
 ) -> DataFrame:
-    """Add one inclusive running sum per entry of ``amounts``, in ``pos`` order per key."""
+    """Add one inclusive running ``sum`` or ``max`` per entry of ``amounts``, in order per key."""
+    total = {"sum": F.sum, "max": F.max}[how]
     names = list(amounts)
     df = df.withColumns({f"_amt_{n}": c.cast("long") for n, c in amounts.items()})
-    group = [*keys, SLICE] if not slices.single else list(keys)
+    keep = [c for c in df.columns if not c.startswith("_amt_")]
+    group = list(keys)
     if not slices.single:
         df = df.withColumn(SLICE, slices.of(F.col(pos)))
-    near = Window.partitionBy(*group).orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
-    local = df.withColumns({f"_run_{n}": F.sum(f"_amt_{n}").over(near) for n in names})
-    keep = [c for c in df.columns if c != SLICE and not c.startswith("_amt_")]
+        group.append(SLICE)
+    near = Window.partitionBy(*group).orderBy(pos, *ties).rowsBetween(Window.unboundedPreceding, 0)
+    local = df.withColumns({f"_run_{n}": total(f"_amt_{n}").over(near) for n in names})
     if slices.single:
         return local.select(*keep, *[F.col(f"_run_{n}").alias(n) for n in names])
     far = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     edges = (
         df.groupBy(*group)
-        .agg(*[F.sum(f"_amt_{n}").alias(f"_sum_{n}") for n in names])
-        .withColumns({f"_sum_{n}": F.sum(f"_sum_{n}").over(far) for n in names})
+        .agg(*[total(f"_amt_{n}").alias(f"_edge_{n}") for n in names])
+        .withColumns({f"_edge_{n}": total(f"_edge_{n}").over(far) for n in names})
     )
+
+    def both(n: str) -> Column:
+        mine, before = F.col(f"l._run_{n}"), F.col(f"e._edge_{n}")
+        return mine + F.coalesce(before, F.lit(0)) if how == "sum" else F.greatest(mine, before)
+
     return (
         local.alias("l")
         .join(edges.alias("e"), _join_on(group, "l", "e"), "left")
-        .select(
-            *[F.col(f"l.{c}") for c in keep],
-            *[
-                (F.col(f"l._run_{n}") + F.coalesce(F.col(f"e._sum_{n}"), F.lit(0))).alias(n)
-                for n in names
-            ],
-        )
+        .select(*[F.col(f"l.{c}") for c in keep], *[both(n).alias(n) for n in names])
     )
 
 
-def row_index(df: DataFrame, pos: str, into: str, *, slices: Slices = WHOLE) -> DataFrame:
-    """Add a dense 0-based global row number in ``pos`` order.
+def row_index(
+    df: DataFrame, pos: str, into: str, *, keys: Sequence[str] = (), ties: Sequence[str] = (), slices: Slices = WHOLE
+) -> DataFrame:
+    """Add a dense 0-based row number in ``pos`` order, per key or over the whole table.
 
-    The only row set that meets on one task is one count per slice.
+    What meets on one task is one count per slice, never the rows.
     """
-    df = df.withColumn("_all", F.lit(0))
-    out = running_total(df, ["_all"], pos, {into: F.lit(1)}, slices=slices)
+    if keys:
+        out = running(df, keys, pos, {into: F.lit(1)}, ties=ties, slices=slices)
+    else:
+        out = running(df.withColumn("_all", F.lit(0)), ["_all"], pos, {into: F.lit(1)}, ties=ties, slices=slices)
     return out.withColumn(into, F.col(into) - 1).drop("_all")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cdcflow.operators.positions import WHOLE, Slices, carry, running_total
+from cdcflow.operators.positions import WHOLE, Slices, carry, running
 
 DML = ("insert", "update", "delete", "ddl")
 BOUNDARY = ("start", "commit", "rollback")
@@ -63,7 +63,7 @@ def remove_rollback_pairs(
     """
     undo = F.coalesce(F.col(flag), F.lit(0)) == 1
     step = F.when(undo, F.lit(-1)).otherwise(F.lit(1))
-    depth = running_total(rows, keys, pos, {"_depth": step}, slices=slices)
+    depth = running(rows, keys, pos, {"_depth": step}, slices=slices)
     depth = depth.withColumn("_depth", F.col("_depth") + F.when(undo, 1).otherwise(0))
     paired = carry(
         depth, [*keys, "_depth"], pos, undo, F.lit(True), "_next_undo",

@@ -71,7 +71,6 @@ def _apply_unchanged(spark, sf_dir):
     # Updates leave out ``cents``: the value sent by the insert must survive them.
     log = changelog(spark, sf_dir)
     changes = committed_changes(log, slices=plan_slices(log, "scn"))
-    same_key = F.col("op").eqNullSafe("update") & (F.col("before.k") == F.col("after.k"))
     lean = changes.withColumns(
         {
             "unchanged": F.when(F.col("op") == "update", F.array(F.lit("cents"))),
@@ -83,5 +82,5 @@ def _apply_unchanged(spark, sf_dir):
                 F.col("op") == "update", F.col("after").withField("cents", F.lit(None).cast("long"))
             ).otherwise(F.col("after")),
         }
-    ).where(same_key | F.lit(True))
+    )
     return apply_unchanged(base_table(spark, sf_dir), lean, ["k"])
