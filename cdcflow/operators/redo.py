@@ -65,17 +65,23 @@ def stitch_redo(
     return whole.select(*keys, pos, "sql_redo", *[F.col(f"_rest.{c}") for c in rest])
 
 
-# One value of machine-written SQL: a quoted text (quotes doubled inside), or a bare word.
+# The log writes one fixed form of SQL.  A value is a quoted text (quotes doubled inside), a call,
+# or a bare word; a pair is "COLUMN" = value or "COLUMN" IS NULL.
 _QUOTED = r"'[^']*+(?:''[^']*+)*+'"
-_VALUE = rf"(?:TIMESTAMP\s*|DATE\s*)?{_QUOTED}|[A-Z_]+\([^()]*\)|[^\s,()'\"]+"
-_PAIR = rf"\"([^\"]+)\"\s*(=|IS)\s*({_VALUE})"
+_VALUE = rf"(?:TIMESTAMP\s*+|DATE\s*+)?{_QUOTED}|\w+\((?:{_QUOTED}|[^()'])*+\)|[^\s,;()'\"]++"
+_NAME = r"(?:\"[^\"]++\"|[^\s\".(]++)"
+_TABLE = rf"{_NAME}(?:\.{_NAME})*+"
+_PAIR = rf"\"([^\"]++)\"\s*+(=|IS)\s*+({_VALUE})"
+_SETS = rf"\"[^\"]++\"\s*+=\s*+(?:{_VALUE})"
+_INSERT_HEAD = rf"(?i)^\s*+insert\s++into\s++{_TABLE}\s*+\(([^)]*+)\)\s*+values\s*+\("
+_UPDATE_HEAD = rf"(?i)^\s*+update\s++{_TABLE}\s++set\s++({_SETS}(?:\s*+,\s*+{_SETS})*+)(?:\s++where\s++)?+"
+_DELETE_HEAD = rf"(?i)^\s*+delete\s++from\s++{_TABLE}(?:\s++where\s++)?+"
 
 
 def _clean(value: Column) -> Column:
-    text = F.regexp_replace(F.trim(value), r"^(?:TIMESTAMP|DATE)\s*(?=')", "")
-    quoted = text.startswith("'")
+    text = F.regexp_replace(F.trim(value), r"^(?:TIMESTAMP|DATE)\s*+(?=')", "")
     body = F.replace(F.substr(text, F.lit(2), F.length(text) - 2), F.lit("''"), F.lit("'"))
-    return F.when(quoted, body).when(F.upper(text) == "NULL", F.lit(None)).otherwise(text)
+    return F.when(text.startswith("'"), body).when(F.upper(text) != "NULL", text)
 
 
 def _pairs(part: Column) -> Column:
@@ -88,33 +94,22 @@ def redo_images(rows: DataFrame, sql: str = "sql_redo", operation: str = "operat
     """Add ``before`` and ``after`` maps read from the statement.
 
     INSERT gives after; DELETE gives before; UPDATE gives before from WHERE and after as before
-    overlaid with SET.  The log writes one fixed form of SQL, so three patterns read it in the JVM.
+    overlaid with SET.  Patterns read the text in the JVM; a statement they do not fit gives NULL.
     """
     text, op = F.col(sql), F.lower(F.col(operation))
-    names = F.regexp_extract(text, r"(?is)^\s*insert\s+into\s+[^(]+\(([^)]*)\)", 1)
-    listed = F.regexp_extract_all(names, F.lit(r"\"([^\"]+)\""), 1)
-    head = r"(?is)^\s*insert\s+into\s+[^(]+\([^)]*\)\s*values\s*\("
-    tail = F.regexp_replace(text, head, "")
-    given = F.slice(F.regexp_extract_all(tail, F.lit(rf"({_VALUE})"), 1), 1, F.greatest(F.size(listed), F.lit(1)))
-    inserted = F.when(F.size(given) == F.size(listed), F.map_from_arrays(listed, F.transform(given, _clean)))
-
-    # WHERE starts after the last SET value: find it outside quotes by blanking quoted texts.
-    blank = F.regexp_replace(text, rf"{_QUOTED}|\"[^\"]*+\"", "")
-    masked_len = F.length(blank)
-    sets = F.regexp_extract(text, rf"(?is)\sset\s+(\"[^\"]+\"\s*=\s*(?:{_VALUE})(?:\s*,\s*\"[^\"]+\"\s*=\s*(?:{_VALUE}))*+)", 1)
-    conditions = F.when(
-        op == "update", F.regexp_replace(F.substr(text, F.locate(" set ", F.lower(text)) + F.length(sets)), r"(?is)^.*?\swhere\s", "")
-    ).otherwise(F.regexp_replace(text, r"(?is)^\s*delete\s+from\s+\S+\s+where\s", ""))
-    del masked_len
-    before = _pairs(conditions)
-    changed = _pairs(sets)
-    kept = F.map_filter(before, lambda k, _: ~F.map_contains_key(changed, k))
-    return rows.withColumns(
-        {
-            "before": F.when(op.isin("update", "delete"), before),
-            "after": F.when(op == "insert", inserted).when(op == "update", F.map_concat(kept, changed)),
-        }
+    names = F.regexp_extract_all(F.regexp_extract(text, _INSERT_HEAD, 1), F.lit(r'"([^"]+)"'), 1)
+    found = F.regexp_extract_all(F.regexp_replace(text, _INSERT_HEAD, ""), F.lit(f"({_VALUE})"), 1)
+    fits = (F.size(names) > 0) & (F.size(found) == F.size(names))
+    inserted = F.when(fits, F.map_from_arrays(F.when(fits, names), F.transform(found, _clean)))
+    # (?s) stays off: no pattern uses a bare dot, quoted texts may span lines.
+    head = F.when(op == "update", F.regexp_extract(text, _UPDATE_HEAD, 0)).when(
+        op == "delete", F.regexp_extract(text, _DELETE_HEAD, 0)
     )
+    before = F.when(head != "", _pairs(F.substr(text, F.length(head) + 1)))
+    staged = rows.withColumns({"before": before, "_set": F.when(op == "update", _pairs(F.regexp_extract(text, _UPDATE_HEAD, 1)))})
+    kept = F.map_filter("before", lambda k, _: ~F.map_contains_key(F.col("_set"), k))
+    after = F.when(op == "insert", inserted).when(op == "update", F.map_concat(kept, F.col("_set")))
+    return staged.withColumn("after", after).drop("_set")
 
 
 def redo_from_message(message: Column, form: str = "json") -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdcflow.workload.registry import table
+from cdcflow.workload.registry import derived, table
 
 IMAGE = "struct<k:bigint,st:string,cents:bigint>"
 
@@ -102,7 +102,11 @@ def control_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole log: source, schema, table, xid, t, op, scn, before, after."""
+    """The whole log as captured: source, schema, table, xid, t, op, scn, before, after."""
+    return derived(spark, sf_dir, "changelog", build_changelog)
+
+
+def build_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     none = F.lit(None).cast(IMAGE)
     dml = dml_rows(spark, sf_dir).select(
         F.concat(F.lit("ORDERS_"), "tag").alias("table"), "t", "op", "scn", "before", "after"

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cdcflow.session import scratch_path
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -26,3 +28,16 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+_DERIVED: dict[tuple[str, str, str], str] = {}
+
+
+def derived(spark: SparkSession, sf_dir: str, name: str, build: Query) -> DataFrame:
+    """A log captured once per session into the shared folder, as a source would have left it."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _DERIVED:
+        path = scratch_path(spark, name)
+        build(spark, sf_dir).write.parquet(path)
+        _DERIVED[key] = path
+    return spark.read.parquet(_DERIVED[key])

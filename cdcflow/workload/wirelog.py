@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdcflow.workload.changelog import control_rows, dml_rows
+from cdcflow.workload.registry import derived
 
 SECOND_DEFINITION_T = 100
 TAGS = ("F", "O", "P")
@@ -82,6 +83,11 @@ def _log(spark: SparkSession, sf_dir: str, head: Column, change: Column) -> Data
 
 
 def pg_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captured pg messages."""
+    return derived(spark, sf_dir, "pg_messages", build_pg_messages)
+
+
+def build_pg_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """slot, pos, msg in the relational form."""
     tag = F.col("tag")
     rel = F.when(tag == "F", 101).when(tag == "O", 102).otherwise(103)
@@ -128,6 +134,11 @@ def _short(text: Column) -> Column:
 
 
 def pg9_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captured pg9 messages."""
+    return derived(spark, sf_dir, "pg9_messages", build_pg9_messages)
+
+
+def build_pg9_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """slot, pos, msg in the self-describing form."""
     cols = [("k", "bigint"), ("st", "varchar"), ("cents", "bigint")]
     listed = [x for pair in cols for x in pair]
