@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cdcflow.functions.plan import let
 from cdcflow.functions.times import wall_in
 
 
@@ -83,10 +84,13 @@ def decode_json(col: Column) -> Column:
 
     Text that is not a JSON object becomes ``{message: text}``.  Nested values stay JSON text.
     """
-    parsed = F.from_json(col, "map<string,string>")
     alone = F.create_map(F.lit("message"), col)
-    whole = F.when(F.map_contains_key(parsed, "message"), parsed).otherwise(F.map_concat(parsed, alone))
-    return F.when(col.isNull(), F.lit(None)).when(parsed.isNull(), alone).otherwise(whole)
+
+    def event(parsed: Column) -> Column:
+        whole = F.when(F.map_contains_key(parsed, "message"), parsed).otherwise(F.map_concat(parsed, alone))
+        return F.when(parsed.isNull(), alone).otherwise(whole)
+
+    return F.when(col.isNotNull(), let(F.from_json(col, "map<string,string>"), event))
 
 
 def decode_plain(col: Column) -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cdcflow.functions.plan import once
 from cdcflow.operators.dirty import ERROR_TYPE, ERRORS, problem, split_dirty
 
 # Letters of the replica identity, and Oracle type families.
@@ -135,7 +136,7 @@ def typed_images(rows: DataFrame, kinds: Mapping[str, str]) -> tuple[DataFrame,
         cells = [_typed(F.try_element_at(side, F.lit(c)), k).alias(c) for c, k in kinds.items()]
         return F.when(F.col(side).isNotNull(), F.struct(*cells))
 
-    typed = rows.withColumns({"_b": struct("before"), "_a": struct("after")})
+    typed = once(rows, {"_b": struct("before"), "_a": struct("after")})
     found = [
         problem(c, "conversion", F.concat(F.lit(f"can't read as {k}: "), F.try_element_at(side, F.lit(c))),
                 F.try_element_at(side, F.lit(c)).isNotNull() & F.col(f"{made}.{c}").isNull())
@@ -143,6 +144,6 @@ def typed_images(rows: DataFrame, kinds: Mapping[str, str]) -> tuple[DataFrame,
         if k != "string"
         for side, made in (("before", "_b"), ("after", "_a"))
     ]
-    checked = typed.withColumn(ERRORS, F.array_compact(F.array(*found)).cast(ERROR_TYPE))
+    checked = once(typed, {ERRORS: F.array_compact(F.array(*found)).cast(ERROR_TYPE)})
     good, dirty = split_dirty(checked)
     return good.withColumns({"before": F.col("_b"), "after": F.col("_a")}).drop("_b", "_a"), dirty.drop("_b", "_a")

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cdcflow.functions.plan import once
 from cdcflow.functions.text import row_json
 from cdcflow.functions.types import text_error, text_to
 from cdcflow.operators.positions import WHOLE, Slices, running
@@ -39,7 +40,7 @@ def problem(col: str, kind: str, message: Column, when: Column) -> Column:
 def to_typed(df: DataFrame, specs: Sequence[tuple[str, str, str, str | None]]) -> DataFrame:
     """Add typed columns and ``_errors``.  Each spec is (text column, new column, type, time format)."""
     values = {new: text_to(F.col(src), kind, fmt) for src, new, kind, fmt in specs}
-    out = df.withColumns(values)
+    out = once(df, values)
     found = [
         problem(
             new, "conversion", F.concat(F.lit(f"can't read as {kind}: "), F.col(src)),
@@ -47,7 +48,7 @@ def to_typed(df: DataFrame, specs: Sequence[tuple[str, str, str, str | None]]) -
         )
         for src, new, kind, _ in specs
     ]
-    return out.withColumn(ERRORS, F.array_compact(F.array(*found)).cast(ERROR_TYPE))
+    return once(out, {ERRORS: F.array_compact(F.array(*found)).cast(ERROR_TYPE)})
 
 
 def split_dirty(df: DataFrame) -> tuple[DataFrame, DataFrame]:

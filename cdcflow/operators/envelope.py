@@ -11,10 +11,14 @@ EVENT_COLUMNS = ("slot", "schema", "table", "op", "lsn", "ts", "xid", "pos")
 
 
 def _named(values: str) -> Column:
-    """names -> values as a map; slots without a name and missing tuples are left out."""
-    pairs = F.filter(F.arrays_zip(F.col("names").alias("n"), F.col(values).alias("v")), lambda p: p["n"].isNotNull())
-    zipped = F.map_from_arrays(F.transform(pairs, lambda p: p["n"]), F.transform(pairs, lambda p: p["v"]))
-    return F.when(F.col(values).isNotNull(), zipped)
+    """names -> values as a map; slots without a name and missing or damaged tuples are left out."""
+    names, given = F.col("names"), F.col(values)
+    pairs = F.filter(F.arrays_zip(names.alias("n"), given.alias("v")), lambda p: p["n"].isNotNull())
+    return (
+        F.when(F.size(names) != F.size(given), F.lit(None))
+        .when(F.exists(names, lambda n: n.isNull()), F.map_from_entries(pairs))
+        .otherwise(F.map_from_arrays(names, given))
+    )
 
 
 def images(decoded: DataFrame) -> DataFrame:

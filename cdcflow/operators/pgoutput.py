@@ -35,8 +35,10 @@ def big_endian(col: Column, start: int, width: int) -> Column:
 
 def tag_messages(messages: DataFrame) -> DataFrame:
     """Add ``kind`` from the first byte; unknown tags get ``unknown``."""
-    tag = F.substring("msg", 1, 1).cast("string")
-    kind = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in KINDS.items() for x in kv]), tag), F.lit("unknown"))
+    tag = F.substring("msg", 1, 1)
+    kind = F.lit("unknown")
+    for letter, name in reversed(KINDS.items()):
+        kind = F.when(tag == F.lit(letter.encode()), name).otherwise(kind)
     return messages.withColumn("kind", kind)
 
 

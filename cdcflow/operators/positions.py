@@ -10,13 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-ROWS_PER_SLICE = 2_000_000
+ROWS_PER_SLICE = 64_000
 COARSE_CUTS = 64
 MAX_SLICES = 65_536
 
@@ -71,7 +70,7 @@ def plan_slices(df: DataFrame, pos: str, rows_per_slice: int = ROWS_PER_SLICE) -
         F.count(p).alias("n"),
         F.min(p).alias("lo"),
         F.max(p).alias("hi"),
-        F.percentile_approx(p, grid, 10_000).alias("q"),
+        F.percentile_approx(p, grid, 2_000).alias("q"),
     ).first()
     wanted = -(-(row["n"] or 0) // rows_per_slice)
     if wanted <= 1:
@@ -83,11 +82,20 @@ def plan_slices(df: DataFrame, pos: str, rows_per_slice: int = ROWS_PER_SLICE) -
     return Slices(bounds, max(1, fine))
 
 
-def _join_on(keys: Sequence[str], left: str, right: str) -> Column:
-    return reduce(
-        lambda a, b: a & b,
-        [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys],
+def _with_edges(df: DataFrame, edges: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of a slice behind one extra row that brings in what earlier slices left (``_own`` false).
+
+    The extra rows ride in the same shuffle and sort as the rows themselves; no join is needed.
+    """
+    own = df.withColumn("_own", F.lit(True))
+    extra = edges.select(
+        *[
+            F.col(c) if c in columns else F.lit(None).cast(df.schema[c].dataType).alias(c)
+            for c in df.columns
+        ],
+        F.lit(False).alias("_own"),
     )
+    return own.unionByName(extra)
 
 
 def carry(
@@ -109,12 +117,13 @@ def carry(
     not be null on marked rows.  ``(pos, *ties)`` must be unique per key.
     """
     order = [F.col(c).desc() if backward else F.col(c).asc() for c in (pos, *ties)]
-    last_row = -1 if strict else Window.currentRow
+    until = -1 if strict else Window.currentRow
+    kept = [c for c in df.columns if c != into]
     df = df.withColumn("_mark", F.when(when, value))
     nearest = F.last("_mark", ignorenulls=True)
     if slices.single:
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, last_row)
-        return df.withColumn(into, nearest.over(w)).drop("_mark")
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, until)
+        return df.withColumn(into, nearest.over(w)).select(*kept, into)
 
     df = df.withColumn(SLICE, slices.of(F.col(pos)))
     marked_pos = F.when(F.col("_mark").isNotNull(), F.struct(pos, *ties))
@@ -122,23 +131,13 @@ def carry(
     far = Window.partitionBy(*keys).orderBy(F.col(SLICE).desc() if backward else F.col(SLICE).asc())
     edges = (
         df.groupBy(*keys, SLICE)
-        .agg(edge.alias("_edge"))
-        .withColumn(
-            "_edge", F.last("_edge", ignorenulls=True).over(far.rowsBetween(Window.unboundedPreceding, -1))
-        )
-        .where(F.col("_edge").isNotNull())
-    )
-    group = [*keys, SLICE]
-    near = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, last_row)
-    local = df.withColumn("_near", nearest.over(near))
-    return (
-        local.alias("l")
-        .join(edges.alias("e"), _join_on(group, "l", "e"), "left")
-        .select(
-            *[F.col(f"l.{c}") for c in df.columns if c not in ("_mark", SLICE)],
-            F.coalesce(F.col("l._near"), F.col("e._edge")).alias(into),
-        )
+        .agg(edge.alias("_mark"))
+        .withColumn("_mark", F.last("_mark", ignorenulls=True).over(far.rowsBetween(Window.unboundedPreceding, -1)))
+        .where(F.col("_mark").isNotNull())
     )
+    near = Window.partitionBy(*keys, SLICE).orderBy("_own", *order).rowsBetween(Window.unboundedPreceding, until)
+    both = _with_edges(df, edges, [*keys, SLICE, "_mark"])
+    return both.withColumn(into, nearest.over(near)).where("_own").select(*kept, into)
 
 
 def running(
@@ -154,32 +153,25 @@ def running(
     """Add one inclusive running ``sum`` or ``max`` per entry of ``amounts``, in order per key."""
     total = {"sum": F.sum, "max": F.max}[how]
     names = list(amounts)
+    kept = [c for c in df.columns if c not in names]
     df = df.withColumns({f"_amt_{n}": c.cast("long") for n, c in amounts.items()})
-    keep = [c for c in df.columns if not c.startswith("_amt_")]
-    group = list(keys)
-    if not slices.single:
-        df = df.withColumn(SLICE, slices.of(F.col(pos)))
-        group.append(SLICE)
-    near = Window.partitionBy(*group).orderBy(pos, *ties).rowsBetween(Window.unboundedPreceding, 0)
-    local = df.withColumns({f"_run_{n}": total(f"_amt_{n}").over(near) for n in names})
+
+    def sums(window) -> dict[str, Column]:
+        return {n: total(f"_amt_{n}").over(window.rowsBetween(Window.unboundedPreceding, 0)) for n in names}
+
     if slices.single:
-        return local.select(*keep, *[F.col(f"_run_{n}").alias(n) for n in names])
+        return df.withColumns(sums(Window.partitionBy(*keys).orderBy(pos, *ties))).select(*kept, *names)
+    df = df.withColumn(SLICE, slices.of(F.col(pos)))
     far = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     edges = (
-        df.groupBy(*group)
-        .agg(*[total(f"_amt_{n}").alias(f"_edge_{n}") for n in names])
-        .withColumns({f"_edge_{n}": total(f"_edge_{n}").over(far) for n in names})
-    )
-
-    def both(n: str) -> Column:
-        mine, before = F.col(f"l._run_{n}"), F.col(f"e._edge_{n}")
-        return mine + F.coalesce(before, F.lit(0)) if how == "sum" else F.greatest(mine, before)
-
-    return (
-        local.alias("l")
-        .join(edges.alias("e"), _join_on(group, "l", "e"), "left")
-        .select(*[F.col(f"l.{c}") for c in keep], *[both(n).alias(n) for n in names])
+        df.groupBy(*keys, SLICE)
+        .agg(*[total(f"_amt_{n}").alias(f"_amt_{n}") for n in names])
+        .withColumns({f"_amt_{n}": total(f"_amt_{n}").over(far) for n in names})
+        .where(F.col(f"_amt_{names[0]}").isNotNull())
     )
+    both = _with_edges(df, edges, [*keys, SLICE, *[f"_amt_{n}" for n in names]])
+    near = Window.partitionBy(*keys, SLICE).orderBy("_own", pos, *ties)
+    return both.withColumns(sums(near)).where("_own").select(*kept, *names)
 
 
 def row_index(

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cdcflow.functions.plan import once
 from cdcflow.functions.text import decode_json, decode_plain, fill_template, map_text, render, render_row
 from cdcflow.functions.times import format_time, to_timestamp_any
 from cdcflow.functions.types import TIME_TYPES, text_to
@@ -104,7 +105,7 @@ def result_types(df: DataFrame, columns: Sequence[str | Mapping]) -> list[str]:
 def decode_messages(df: DataFrame, codec: str = "plain", value: str = "value", decoders: Mapping | None = None) -> DataFrame:
     """Add ``event``: the message as map<string,string>, read by the named codec."""
     known = {"plain": decode_plain, "text": decode_plain, "json": decode_json, **(decoders or {})}
-    return df.withColumn("event", known[codec](F.col(value)))
+    return once(df, {"event": known[codec](F.col(value))})
 
 
 def message_map(df: DataFrame, fields: Sequence[str] | None = None) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from cdcflow.functions.plan import once
 from cdcflow.operators.filters import list_predicate
 
 # Operations, users whose transactions are ignored, and the marker of internal DDL.
@@ -99,17 +100,22 @@ def redo_images(rows: DataFrame, sql: str = "sql_redo", operation: str = "operat
     text, op = F.col(sql), F.lower(F.col(operation))
     names = F.regexp_extract_all(F.regexp_extract(text, _INSERT_HEAD, 1), F.lit(r'"([^"]+)"'), 1)
     found = F.regexp_extract_all(F.regexp_replace(text, _INSERT_HEAD, ""), F.lit(f"({_VALUE})"), 1)
-    fits = (F.size(names) > 0) & (F.size(found) == F.size(names))
-    inserted = F.when(fits, F.map_from_arrays(F.when(fits, names), F.transform(found, _clean)))
-    # (?s) stays off: no pattern uses a bare dot, quoted texts may span lines.
-    head = F.when(op == "update", F.regexp_extract(text, _UPDATE_HEAD, 0)).when(
-        op == "delete", F.regexp_extract(text, _DELETE_HEAD, 0)
+    head = F.regexp_extract(text, _UPDATE_HEAD, 0)
+    read = once(
+        rows,
+        {
+            "_names": F.when(op == "insert", names),
+            "_found": F.when(op == "insert", found),
+            "_head": F.when(op == "update", head).when(op == "delete", F.regexp_extract(text, _DELETE_HEAD, 0)),
+            "_set": F.when(op == "update", _pairs(F.regexp_extract(text, _UPDATE_HEAD, 1))),
+        },
     )
-    before = F.when(head != "", _pairs(F.substr(text, F.length(head) + 1)))
-    staged = rows.withColumns({"before": before, "_set": F.when(op == "update", _pairs(F.regexp_extract(text, _UPDATE_HEAD, 1)))})
+    staged = once(read, {"before": F.when(F.col("_head") != "", _pairs(F.substr(text, F.length("_head") + 1)))})
+    fits = (F.size("_names") > 0) & (F.size("_found") == F.size("_names"))
+    inserted = F.when(fits, F.map_from_arrays(F.when(fits, F.col("_names")), F.transform("_found", _clean)))
     kept = F.map_filter("before", lambda k, _: ~F.map_contains_key(F.col("_set"), k))
     after = F.when(op == "insert", inserted).when(op == "update", F.map_concat(kept, F.col("_set")))
-    return staged.withColumn("after", after).drop("_set")
+    return once(staged, {"after": after}).drop("_names", "_found", "_head", "_set")
 
 
 def redo_from_message(message: Column, form: str = "json") -> Column:
