@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SHARED_DIR_KEY = "spark.checkpoint.dir"
+_LOCAL_DIRS: dict[str, str] = {}
 
 
 def local_session(cores: str = "*", app: str = "cdcflow", shuffle_partitions: int = 8) -> SparkSession:
@@ -37,9 +38,10 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {SHARED_DIR_KEY} to a folder shared by all executors")
-    own = tempfile.mkdtemp(prefix="cdcflow-")
-    spark.conf.set(SHARED_DIR_KEY, own)
-    return own
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_DIRS:
+        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="cdcflow-")
+    return _LOCAL_DIRS[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
