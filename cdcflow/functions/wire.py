@@ -35,6 +35,10 @@ class Batch:
     def __len__(self) -> int:
         return len(self.start)
 
+    def room(self, rows: np.ndarray, pos: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """Counts cut to the bytes left, so that a damaged count cannot run on."""
+        return np.minimum(count, np.maximum(self.end[rows] - pos, 0))
+
     def uint(self, pos: np.ndarray, width: int) -> np.ndarray:
         """Big-endian numbers; a cursor past the buffer reads the zero padding."""
         pos = np.minimum(pos, len(self.data) - _PAD)
@@ -46,12 +50,13 @@ class Batch:
 
 @dataclass
 class Texts:
-    """Slots laid out per row: where each text lies, and what kind of slot it is."""
+    """Slots laid out per row: where each text lies, what kind of slot it is, and no length cut."""
 
     count: np.ndarray
     kind: np.ndarray
     start: np.ndarray
     size: np.ndarray
+    whole: np.ndarray
 
     def flat(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         width = self.kind.shape[1]
@@ -70,7 +75,9 @@ def read_tuple(batch: Batch, rows: np.ndarray, pos: np.ndarray, *, count_width:
     ``nul`` is the number of end bytes a text carries inside its length.
     """
     n = len(rows)
-    count = np.minimum(batch.uint(pos, count_width), np.maximum(batch.end[rows] - pos - count_width, 0))
+    told = batch.uint(pos, count_width)
+    count = np.minimum(told, np.maximum(batch.end[rows] - pos - count_width, 0))
+    whole = count == told
     pos = pos + count_width
     width = int(count.max()) if n else 0
     kind = np.zeros((n, width), np.uint8)
@@ -81,30 +88,37 @@ def read_tuple(batch: Batch, rows: np.ndarray, pos: np.ndarray, *, count_width:
         p = pos[live]
         k = batch.uint(p, 1).astype(np.uint8)
         is_text = k == ord("t")
-        length = np.where(is_text, batch.uint(p + 1, 4), 0)
-        length = _bound(batch, rows[live], p + 5, length)
-        kind[live, c], start[live, c] = k, p + 5
+        told = np.where(is_text, batch.uint(p + 1, 4), 0)
+        length = _bound(batch, rows[live], p + 5, told)
+        whole[live] &= (length == told) & (is_text | (k == ord("n")) | (k == ord("u")))
+        kind[live, c], start[live, c] = k, np.minimum(p + 1 + 4 * is_text, batch.end[rows[live]])
         size[live, c] = np.where(is_text, np.maximum(length - nul, 0), 0)
         pos[live] = p + 1 + np.where(is_text, 4 + length, 0)
-    return Texts(count, kind, start, size), pos
+    return Texts(count, kind, start, size, whole), pos
 
 
 def read_strings(batch: Batch, rows: np.ndarray, pos: np.ndarray, count: np.ndarray, pairs: bool) -> tuple[list[Texts], np.ndarray]:
     """Lists of short length-prefixed, NUL-ended texts; with ``pairs`` a second text follows a non-empty first."""
-    n, width = len(rows), int(count.max()) if len(count) else 0
+    n = len(rows)
+    width = int(count.max()) if n else 0
     shape = (n, width)
-    out = [Texts(count, np.zeros(shape, np.uint8), np.zeros(shape, np.int64), np.zeros(shape, np.int64)) for _ in range(1 + pairs)]
+    whole = np.ones(n, bool)
+    out = [
+        Texts(count, np.zeros(shape, np.uint8), np.zeros(shape, np.int64), np.zeros(shape, np.int64), whole)
+        for _ in range(1 + pairs)
+    ]
     for c in range(width):
         live = np.flatnonzero(count > c)
         present = np.ones(len(live), bool)
         for texts in out:
             p = pos[live]
-            length = np.where(present, batch.uint(p, 2), 0)
-            length = np.where(length >= 32768, 0, length)
-            length = _bound(batch, rows[live], p + 2, length)
+            told = np.where(present, batch.uint(p, 2), 0)
+            told = np.where(told >= 32768, 0, told)
+            length = _bound(batch, rows[live], p + 2, told)
+            whole[live] &= length == told
             given = length > 0
             texts.kind[live, c] = np.where(given, ord("t"), ord("n"))
-            texts.start[live, c] = p + 2
+            texts.start[live, c] = np.minimum(p + 2, batch.end[rows[live]])
             texts.size[live, c] = np.maximum(length - 1, 0)
             pos[live] = p + np.where(present, 2 + length, 0)
             present = present & given
@@ -112,18 +126,23 @@ def read_strings(batch: Batch, rows: np.ndarray, pos: np.ndarray, count: np.ndar
 
 
 def text_array(batch: Batch, kind: np.ndarray, start: np.ndarray, size: np.ndarray) -> pa.Array:
-    """Arrow strings gathered from the buffer; every kind but ``t`` is null."""
+    """Arrow strings of the texts; every kind but ``t`` is null.
+
+    Texts lie in the buffer in row order, so texts and the gaps between them are one string array
+    over the same bytes; taking every other element copies just the texts.
+    """
+    n = len(kind)
+    if n == 0:
+        return pa.array([], pa.string())
     valid = kind == ord("t")
-    size = np.where(valid, size, 0)
-    ends = np.cumsum(size)
-    offsets = np.concatenate([[0], ends]).astype(np.int64)
-    total = int(ends[-1]) if len(ends) else 0
-    index = np.repeat(start - offsets[:-1], size) + np.arange(total)
-    data = batch.data[index] if total else np.zeros(0, np.uint8)
-    bits = np.packbits(valid, bitorder="little")
-    return pa.Array.from_buffers(
-        pa.large_string(), len(kind), [pa.py_buffer(bits.tobytes()), pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())]
-    ).cast(pa.string())
+    offsets = np.empty(2 * n + 1, np.int64)
+    offsets[0:-1:2] = start
+    offsets[1::2] = start + np.where(valid, size, 0)
+    offsets[-1] = offsets[-2]
+    pieces = pa.Array.from_buffers(
+        pa.large_string(), 2 * n, [None, pa.py_buffer(offsets), pa.py_buffer(batch.data)]
+    )
+    return pieces.take(pa.array(np.arange(n) * 2, mask=~valid)).cast(pa.string())
 
 
 def spread(n: int, rows: np.ndarray, texts: Texts, values: pa.Array) -> pa.Array:

@@ -47,9 +47,9 @@ class _Rounds:
     def merged(self, n_lists: int) -> tuple[np.ndarray, list[Texts]]:
         if not self.rows:
             empty = np.zeros((0, 0), np.int64)
-            return no_rows(), [Texts(no_rows(), empty.astype(np.uint8), empty, empty) for _ in range(n_lists)]
+            return no_rows(), [Texts(no_rows(), empty.astype(np.uint8), empty, empty, no_rows() == 0) for _ in range(n_lists)]
         rows = np.concatenate(self.rows)
-        order = np.argsort(rows, kind="stable")
+        _, order = np.unique(rows, return_index=True)
         out = []
         for i in range(n_lists):
             parts = [t[i] for t in self.texts]
@@ -64,6 +64,7 @@ class _Rounds:
                     np.concatenate([grow(p.kind) for p in parts])[order],
                     np.concatenate([grow(p.start) for p in parts])[order],
                     np.concatenate([grow(p.size) for p in parts])[order],
+                    np.concatenate([p.whole for p in parts])[order],
                 )
             )
         return rows[order], out
@@ -85,17 +86,19 @@ def _read_change(msgs: pa.Array) -> pa.Array:
         for section in np.unique(letter):
             rows = live[letter == section]
             if section == COLUMNS:
-                count = batch.uint(pos[rows], 2)
+                count = batch.room(rows, pos[rows], batch.uint(pos[rows], 2))
                 (names, types), pos[rows] = read_strings(batch, rows, pos[rows] + 2, count, pairs=True)
+                good[rows] &= names.whole
                 columns.add(rows, names, types)
             elif section == KEY_LIST:
-                count = batch.uint(pos[rows], 2)
+                count = batch.room(rows, pos[rows], batch.uint(pos[rows], 2))
                 _, pos[rows] = read_strings(batch, rows, pos[rows] + 2, count, pairs=False)
             elif section in (NEW_TUPLE, OLD_TUPLE):
                 given = batch.uint(pos[rows], 1) == TUPLE
                 pos[rows] += 1
                 rows = rows[given]
                 texts, pos[rows] = read_tuple(batch, rows, pos[rows], count_width=4, nul=1)
+                good[rows] &= texts.whole
                 (new if section == NEW_TUPLE else old).add(rows, texts)
             elif section not in (NO_KEY, NO_OLD):
                 good[rows] = False

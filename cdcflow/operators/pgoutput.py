@@ -66,24 +66,28 @@ _RELATION = T.StructType(
 )
 
 
-@F.arrow_udf(_RELATION)
-def _read_relation(msgs: pa.Array) -> pa.Array:
-    rows = []
-    for raw in msgs.to_pylist():
+def _parse_relation(raw: bytes) -> dict | None:
+    """Fields of a relation message, or None when it is damaged."""
+    try:
         schema, table, rest = raw[5:].split(b"\0", 2)
-        count = int.from_bytes(rest[1:3], "big")
         row = {"schema": schema.decode(), "table": table.decode(), "identity": chr(rest[0]), "names": [], "oids": [], "keys": []}
-        rest = rest[3:]
+        count, rest = int.from_bytes(rest[1:3], "big"), rest[3:]
         for _ in range(count):
             name, after = rest[1:].split(b"\0", 1)
             row["names"].append(name.decode())
             row["oids"].append(int.from_bytes(after[:4], "big"))
             row["keys"].append(rest[0] == 1)
             rest = after[8:]
-        rows.append(row)
+        return row
+    except (ValueError, IndexError):
+        return None
+
+
+@F.arrow_udf(_RELATION)
+def _read_relation(msgs: pa.Array) -> pa.Array:
     kinds = [("schema", pa.string()), ("table", pa.string()), ("identity", pa.string()),
              ("names", pa.list_(pa.string())), ("oids", pa.list_(pa.int64())), ("keys", pa.list_(pa.bool_()))]
-    return pa.array(rows, pa.struct(kinds))
+    return pa.array([_parse_relation(raw) for raw in msgs.to_pylist()], pa.struct(kinds))
 
 
 def relations(tagged: DataFrame) -> DataFrame:
@@ -94,7 +98,7 @@ def relations(tagged: DataFrame) -> DataFrame:
         F.col("pos").alias("rel_pos"),
         _read_relation("msg").alias("r"),
     )
-    return found.select(
+    return found.where(F.col("r.table").isNotNull()).select(
         "slot", "rel_id", "rel_pos", "r.schema", "r.table", "r.identity",
         F.transform("r.names", unquote).alias("names"), "r.oids", "r.keys",
     )
@@ -152,6 +156,8 @@ def _read_tuples(msgs: pa.Array) -> pa.Array:
     old_values, _ = tuple_lists(batch, old_rows, old)
     new_values, kept = tuple_lists(batch, new_rows, new)
     good &= pos == batch.end
+    good[old_rows] &= old.whole
+    good[new_rows] &= new.whole
     return pa.StructArray.from_arrays([old_values, new_values, kept, pa.array(good)], ["old", "new", "kept", "ok"])
 
 
@@ -163,7 +169,10 @@ def decode_tuples(dml: DataFrame, compat: bool = False) -> DataFrame:
     out = dml.withColumn("_t", _read_tuples("msg"))
     names = F.filter(F.transform("names", lambda n, i: F.when(F.get("_t.kept", i), n)), lambda n: n.isNotNull())
     unchanged = F.array().cast("array<string>") if compat else F.coalesce(names, F.array().cast("array<string>"))
-    return out.select(*dml.columns, "_t.old", "_t.new", unchanged.alias("unchanged"), "_t.ok")
+    fits = F.lit(True)
+    for side in ("_t.old", "_t.new"):
+        fits = fits & (F.col(side).isNull() | (F.size(side) == F.size("names")))
+    return out.select(*dml.columns, "_t.old", "_t.new", unchanged.alias("unchanged"), (F.col("_t.ok") & fits).alias("ok"))
 
 
 def pg_changes(
