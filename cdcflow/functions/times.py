@@ -163,7 +163,7 @@ def time_pattern(col: Column) -> Column:
 
 
 def infer_time_format(df: DataFrame, col: str) -> DataFrame:
-    """How often each pattern occurs in a column, most frequent first by ``n``."""
+    """How often each pattern occurs in a column; the one with the largest ``n`` is its format."""
     return df.groupBy(time_pattern(F.col(col)).alias("pattern")).agg(F.count(F.lit(1)).alias("n")).where(
         F.col("pattern").isNotNull()
     )

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cdcflow.session import materialize
+
 ORDER = ("commit_scn", "scn")
 
 
@@ -50,19 +52,36 @@ def compact_changes(changes: DataFrame, keys: Sequence[str], order: Sequence[str
     )
 
 
+def _same_key(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(f"b.{k}") == F.col(f"d.{k}") for k in keys])
+
+
 def apply_changes(
-    base: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[str] = ORDER
+    base: DataFrame,
+    changes: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str] = ORDER,
+    *,
+    store_delta: bool = False,
 ) -> DataFrame:
-    """State of ``base`` after ``changes``.
+    """State of ``base`` after ``changes``, whose ``before`` and ``after`` structs have its columns.
 
-    ``changes`` has ``before`` and ``after`` structs with the columns of ``base``.  The delta is one
-    aggregation by key whose exchange both branches reuse; the anti join leaves the base unshuffled
-    when adaptive execution measures the delta small enough to broadcast.
+    By default the delta is computed once and outer-joined with the base: one pass over the log,
+    one shuffle of either side by key.  For a delta far smaller than the base, ``store_delta``
+    writes it first; its size is then known, and below the broadcast threshold the base is
+    filtered in place instead of shuffled.
     """
     delta = compact_changes(changes, keys, order)
-    kept = base.join(delta.select(*keys), list(keys), "left_anti").select(*base.columns)
-    arrived = delta.where("live").select(*[F.col(f"image.{c}").alias(c) for c in base.columns])
-    return kept.unionByName(arrived)
+    if store_delta:
+        delta = materialize(delta, "delta")
+        kept = base.join(delta.select(*keys), list(keys), "left_anti").select(*base.columns)
+        arrived = delta.where("live").select(*[F.col(f"image.{c}").alias(c) for c in base.columns])
+        return kept.unionByName(arrived)
+    joined = base.alias("b").join(delta.alias("d"), _same_key(keys), "full_outer")
+    touched = F.col("d.live").isNotNull()
+    return joined.where(~touched | F.col("d.live")).select(
+        *[F.when(touched, F.col(f"d.image.{c}")).otherwise(F.col(f"b.{c}")).alias(c) for c in base.columns]
+    )
 
 
 def apply_unchanged(
@@ -114,8 +133,7 @@ def apply_unchanged(
             for c in cols
         ],
     )
-    same = reduce(lambda a, b: a & b, [F.col(f"b.{k}") == F.col(f"d.{k}") for k in keys])
-    joined = base.alias("b").join(delta.alias("d"), same, "full_outer")
+    joined = base.alias("b").join(delta.alias("d"), _same_key(keys), "full_outer")
     touched = F.col("d.live").isNotNull()
     return joined.where(~touched | F.col("d.live")).select(
         *[F.coalesce(F.col(f"d.{k}"), F.col(f"b.{k}")).alias(k) for k in keys],

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from cdcflow.functions.text import render_row
 from cdcflow.operators.dirty import ERRORS
@@ -113,9 +112,8 @@ def rate_limit_plan(stats: DataFrame, bytes_per_second: float) -> DataFrame:
 
     ``stats`` has channel, num_read, byte_read.  Limit / mean bytes per row * the channel's share.
     """
-    whole = Window.partitionBy()
-    total_rows = F.sum("num_read").over(whole)
-    total_bytes = F.sum("byte_read").over(whole)
+    total_rows = stats.agg(F.sum("num_read")).scalar()
+    total_bytes = stats.agg(F.sum("byte_read")).scalar()
     known = (total_rows > MIN_ROWS_FOR_RATE) & (total_bytes > 0) & (F.col("num_read") > 0)
     allowed = F.lit(bytes_per_second) / (total_bytes / total_rows) * (F.col("num_read") / total_rows)
     return stats.withColumn(

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 ROWS_PER_SLICE = 64_000
+GROUP_LIMIT = 250_000
 COARSE_CUTS = 64
 MAX_SLICES = 65_536
 
@@ -58,12 +59,23 @@ class Slices:
 WHOLE = Slices((0, 0), 1)
 
 
-def plan_slices(df: DataFrame, pos: str, rows_per_slice: int = ROWS_PER_SLICE) -> Slices:
-    """Choose slices from one column-pruned statistics pass (a single row reaches the driver).
-
-    Quantiles bound the rows of a coarse cut whatever the density of positions; the even split
-    inside a cut only refines it.
+def plan_slices(
+    df: DataFrame,
+    pos: str,
+    keys: Sequence[str] = (),
+    *,
+    rows_per_slice: int = ROWS_PER_SLICE,
+    group_limit: int = GROUP_LIMIT,
+) -> Slices:
+    """Choose slices from column-pruned statistics (single rows reach the driver).
+
+    While no key holds more than ``group_limit`` rows, one slice is enough and the operators take
+    their one-pass form.  Otherwise quantiles of the positions cut the log: they bound the rows of
+    a coarse cut whatever the density, and the even split inside a cut only refines it.
     """
+    sizes = df.groupBy(*keys).agg(F.count(pos).alias("n")).agg(F.max("n").alias("n"))
+    if (sizes.first()["n"] or 0) <= group_limit:
+        return WHOLE
     p = F.col(pos).cast("long")
     grid = [i / COARSE_CUTS for i in range(1, COARSE_CUTS)]
     row = df.agg(
@@ -72,9 +84,7 @@ def plan_slices(df: DataFrame, pos: str, rows_per_slice: int = ROWS_PER_SLICE) -
         F.max(p).alias("hi"),
         F.percentile_approx(p, grid, 2_000).alias("q"),
     ).first()
-    wanted = -(-(row["n"] or 0) // rows_per_slice)
-    if wanted <= 1:
-        return WHOLE
+    wanted = max(2, -(-row["n"] // rows_per_slice))
     take = min(COARSE_CUTS, wanted)
     inner = {row["q"][round(i * COARSE_CUTS / take) - 1] for i in range(1, take)}
     bounds = tuple(sorted({row["lo"], row["hi"] + 1} | {b for b in inner if b > row["lo"]}))

@@ -57,38 +57,51 @@ def stitch_redo(
     starts = F.when(F.lag("csf", 1, 0).over(w) == 1, 0).otherwise(1)
     numbered = rows.withColumn("_starts", starts).withColumn("_stmt", F.sum("_starts").over(w))
     rest = [c for c in rows.columns if c not in (*keys, pos, "sql_redo", "csf")]
-    pieces = F.array_sort(F.collect_list(F.struct(F.col(pos).alias("p"), F.col("sql_redo").alias("s"))))
-    whole = numbered.groupBy(*keys, "_stmt").agg(
-        F.min(pos).alias(pos),
-        F.array_join(F.transform(pieces, lambda p: p["s"]), "").alias("sql_redo"),
-        *([F.min_by(F.struct(*rest), pos).alias("_rest")] if rest else []),
+    # Only the first piece brings the other columns along.
+    facts = F.when(F.col("_starts") == 1, F.struct(*rest)) if rest else F.lit(None)
+    piece = F.struct(F.col(pos).alias("p"), F.col("sql_redo").alias("s"), facts.alias("r"))
+    whole = numbered.groupBy(*keys, "_stmt").agg(F.array_sort(F.collect_list(piece)).alias("_pieces"))
+    text = F.when(F.size("_pieces") == 1, F.col("_pieces")[0]["s"]).otherwise(
+        F.array_join(F.transform("_pieces", lambda p: p["s"]), "")
     )
-    return whole.select(*keys, pos, "sql_redo", *[F.col(f"_rest.{c}") for c in rest])
+    joined = whole.select(*keys, F.col("_pieces")[0].alias("_first"), text.alias("sql_redo"))
+    return joined.select(*keys, F.col("_first.p").alias(pos), "sql_redo", *[F.col(f"_first.r.{c}").alias(c) for c in rest])
 
 
 # The log writes one fixed form of SQL.  A value is a quoted text (quotes doubled inside), a call,
-# or a bare word; a pair is "COLUMN" = value or "COLUMN" IS NULL.
-_QUOTED = r"'[^']*+(?:''[^']*+)*+'"
-_VALUE = rf"(?:TIMESTAMP\s*+|DATE\s*+)?{_QUOTED}|\w+\((?:{_QUOTED}|[^()'])*+\)|[^\s,;()'\"]++"
+# or a bare word; a pair is "COLUMN" = value or "COLUMN" IS NULL.  Groups: quoted body, bare value.
+_BODY = r"[^']*+(?:''[^']*+)*+"
+_QUOTED = rf"'{_BODY}'"
+_VALUE = rf"(?:TIMESTAMP\s*+|DATE\s*+)?+'({_BODY})'|(\w+\((?:{_QUOTED}|[^()'])*+\)|[^\s,;()'\"]++)"
+_ANY_VALUE = rf"(?:(?:TIMESTAMP\s*+|DATE\s*+)?+{_QUOTED}|\w+\((?:{_QUOTED}|[^()'])*+\)|[^\s,;()'\"]++)"
 _NAME = r"(?:\"[^\"]++\"|[^\s\".(]++)"
 _TABLE = rf"{_NAME}(?:\.{_NAME})*+"
-_PAIR = rf"\"([^\"]++)\"\s*+(=|IS)\s*+({_VALUE})"
-_SETS = rf"\"[^\"]++\"\s*+=\s*+(?:{_VALUE})"
+_PAIR = rf"\"([^\"]++)\"\s*+(?:=|IS)\s*+(?:{_VALUE})"
+_SETS = rf"\"[^\"]++\"\s*+=\s*+{_ANY_VALUE}"
 _INSERT_HEAD = rf"(?i)^\s*+insert\s++into\s++{_TABLE}\s*+\(([^)]*+)\)\s*+values\s*+\("
-_UPDATE_HEAD = rf"(?i)^\s*+update\s++{_TABLE}\s++set\s++({_SETS}(?:\s*+,\s*+{_SETS})*+)(?:\s++where\s++)?+"
+_UPDATE_HEAD = rf"(?i)^\s*+update\s++{_TABLE}\s++set\s++{_SETS}(?:\s*+,\s*+{_SETS})*+(?:\s++where\s++)?+"
 _DELETE_HEAD = rf"(?i)^\s*+delete\s++from\s++{_TABLE}(?:\s++where\s++)?+"
 
 
-def _clean(value: Column) -> Column:
-    text = F.regexp_replace(F.trim(value), r"^(?:TIMESTAMP|DATE)\s*+(?=')", "")
-    body = F.replace(F.substr(text, F.lit(2), F.length(text) - 2), F.lit("''"), F.lit("'"))
-    return F.when(text.startswith("'"), body).when(F.upper(text) != "NULL", text)
+def _values(part: Column, pattern: str, body: int) -> Column:
+    """The values a pattern finds: quoted bodies with their quotes made single, or bare words."""
+
+    def pick(quoted: Column, bare: Column) -> Column:
+        text = F.replace(quoted, F.lit("''"), F.lit("'"))
+        return F.when(bare == "", text).when(~bare.isin("NULL", "null"), bare)
+
+    found = [F.regexp_extract_all(part, F.lit(pattern), group) for group in (body, body + 1)]
+    return F.zip_with(*found, pick)
 
 
 def _pairs(part: Column) -> Column:
-    names = F.regexp_extract_all(part, F.lit(_PAIR), 1)
-    values = F.regexp_extract_all(part, F.lit(_PAIR), 3)
-    return F.map_from_arrays(names, F.transform(values, _clean))
+    return F.map_from_arrays(F.regexp_extract_all(part, F.lit(_PAIR), 1), _values(part, _PAIR, 2))
+
+
+def _boxed_pairs(part: Column) -> Column:
+    """The same with each value in a struct, so that a column set to NULL differs from one not set."""
+    boxed = F.transform(_values(part, _PAIR, 2), lambda v: F.struct(v.alias("v")))
+    return F.map_from_arrays(F.regexp_extract_all(part, F.lit(_PAIR), 1), boxed)
 
 
 def redo_images(rows: DataFrame, sql: str = "sql_redo", operation: str = "operation") -> DataFrame:
@@ -97,25 +110,30 @@ def redo_images(rows: DataFrame, sql: str = "sql_redo", operation: str = "operat
     INSERT gives after; DELETE gives before; UPDATE gives before from WHERE and after as before
     overlaid with SET.  Patterns read the text in the JVM; a statement they do not fit gives NULL.
     """
-    text, op = F.col(sql), F.lower(F.col(operation))
-    names = F.regexp_extract_all(F.regexp_extract(text, _INSERT_HEAD, 1), F.lit(r'"([^"]+)"'), 1)
-    found = F.regexp_extract_all(F.regexp_replace(text, _INSERT_HEAD, ""), F.lit(f"({_VALUE})"), 1)
-    head = F.regexp_extract(text, _UPDATE_HEAD, 0)
+    text, op, head = F.col(sql), F.lower(operation), F.col("_head")
+    opening = (
+        F.when(op == "insert", F.regexp_extract(text, _INSERT_HEAD, 0))
+        .when(op == "update", F.regexp_extract(text, _UPDATE_HEAD, 0))
+        .when(op == "delete", F.regexp_extract(text, _DELETE_HEAD, 0))
+    )
+    headed = once(rows, {"_head": F.when(opening != "", opening)})
+    rest = F.substr(text, F.length(head) + 1)
+    names = F.regexp_extract_all(F.regexp_extract(head, _INSERT_HEAD, 1), F.lit(r'"([^"]+)"'), 1)
+    is_insert = head.isNotNull() & (op == "insert")
     read = once(
-        rows,
+        headed,
         {
-            "_names": F.when(op == "insert", names),
-            "_found": F.when(op == "insert", found),
-            "_head": F.when(op == "update", head).when(op == "delete", F.regexp_extract(text, _DELETE_HEAD, 0)),
-            "_set": F.when(op == "update", _pairs(F.regexp_extract(text, _UPDATE_HEAD, 1))),
+            "before": F.when(head.isNotNull() & (op != "insert"), _pairs(rest)),
+            "_set": F.when(head.isNotNull() & (op == "update"), _boxed_pairs(head)),
+            "_names": F.when(is_insert, names),
+            "_found": F.when(is_insert, _values(rest, _VALUE, 1)),
         },
     )
-    staged = once(read, {"before": F.when(F.col("_head") != "", _pairs(F.substr(text, F.length("_head") + 1)))})
     fits = (F.size("_names") > 0) & (F.size("_found") == F.size("_names"))
-    inserted = F.when(fits, F.map_from_arrays(F.when(fits, F.col("_names")), F.transform("_found", _clean)))
-    kept = F.map_filter("before", lambda k, _: ~F.map_contains_key(F.col("_set"), k))
-    after = F.when(op == "insert", inserted).when(op == "update", F.map_concat(kept, F.col("_set")))
-    return once(staged, {"after": after}).drop("_names", "_found", "_head", "_set")
+    inserted = F.when(fits, F.map_from_arrays(F.when(fits, F.col("_names")), F.col("_found")))
+    overlaid = F.map_zip_with("before", "_set", lambda _, old, new: F.when(new.isNotNull(), new["v"]).otherwise(old))
+    after = F.when(op == "insert", inserted).when(op == "update", overlaid)
+    return once(read, {"after": after}).drop("_head", "_set", "_names", "_found")
 
 
 def redo_from_message(message: Column, form: str = "json") -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cdcflow.operators.positions import WHOLE, Slices, carry, running
+from cdcflow.session import materialize
 
 DML = ("insert", "update", "delete", "ddl")
 BOUNDARY = ("start", "commit", "rollback")
@@ -64,6 +65,9 @@ def remove_rollback_pairs(
     undo = F.coalesce(F.col(flag), F.lit(0)) == 1
     step = F.when(undo, F.lit(-1)).otherwise(F.lit(1))
     depth = running(rows, keys, pos, {"_depth": step}, slices=slices)
+    if not slices.single:
+        # The next pass reads its input twice; store it rather than run the first pass twice.
+        depth = materialize(depth, "undo-depth")
     depth = depth.withColumn("_depth", F.col("_depth") + F.when(undo, 1).otherwise(0))
     paired = carry(
         depth, [*keys, "_depth"], pos, undo, F.lit(True), "_next_undo",

@@ -46,7 +46,7 @@ def committed_batch(path: str, max_age_scn: int | None = None) -> Callable[[Data
         earlier = _read_version(spark, path, batch_id - 1, out_schema)
         if earlier is not None:
             rows = rows.unionByName(earlier.select(*rows.columns))
-        slices = plan_slices(rows, "scn")
+        slices = plan_slices(rows, "scn", TXN_KEYS)
         end = F.struct(F.col("op").alias("outcome"), F.col("scn").alias("commit_scn"))
         ended = carry(
             rows, TXN_KEYS, "scn", end, F.col("op").isin(*BOUNDARY), "_end", backward=True, slices=slices

@@ -89,8 +89,7 @@ def dml_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def control_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """t, op, scn of START, COMMIT and ROLLBACK."""
     orders = table(spark, sf_dir, "orders").select(F.expr("o_orderkey div 10").alias("t"))
-    top = orders.agg(F.max("t").alias("top"))
-    tx = orders.distinct().join(F.broadcast(top))
+    tx = orders.distinct().withColumn("top", orders.agg(F.max("t")).scalar())
     marks = F.array_compact(
         F.array(
             F.when(F.expr("t % 13 <> 0"), F.expr("named_struct('op', 'start', 'scn', t * 1000)")),

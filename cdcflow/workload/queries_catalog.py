@@ -43,7 +43,7 @@ def _unregistered(spark, sf_dir):
 )
 def _listagg(spark, sf_dir):
     found = _since(spark, sf_dir)
-    return S.segment_list(found, slices=plan_slices(found, "sequence"))
+    return S.segment_list(found, slices=plan_slices(found, "sequence", ["source", "thread"]))
 
 
 @query(
@@ -168,5 +168,5 @@ def _offsets(spark, sf_dir):
 )
 def _boundaries(spark, sf_dir):
     events = X.events(spark, sf_dir).withColumn("channel", F.expr("user_id % 4"))
-    out = O.restore_boundaries(events, "event_type", "channel", "event_id", slices=plan_slices(events, "event_id"))
+    out = O.restore_boundaries(events, "event_type", "channel", "event_id", slices=plan_slices(events, "event_id", ["channel"]))
     return out.select("event_id", "boundary")

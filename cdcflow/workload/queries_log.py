@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cdcflow.operators.apply import apply_changes, apply_unchanged, change_counts, compact_changes
 from cdcflow.operators.positions import plan_slices
-from cdcflow.operators.txn import committed_changes
+from cdcflow.operators.txn import TXN_KEYS, committed_changes
 from cdcflow.workload.changelog import LOG_SQL, base_table, changelog, flat
 from cdcflow.workload.registry import query
 
@@ -17,7 +17,7 @@ from cdcflow.workload.registry import query
 )
 def _committed(spark, sf_dir):
     log = changelog(spark, sf_dir)
-    out = committed_changes(log, slices=plan_slices(log, "scn"))
+    out = committed_changes(log, slices=plan_slices(log, "scn", TXN_KEYS))
     return flat(out, "xid", "op", "scn", "commit_scn")
 
 
@@ -31,7 +31,7 @@ def _committed(spark, sf_dir):
 )
 def _apply(spark, sf_dir):
     log = changelog(spark, sf_dir)
-    changes = committed_changes(log, slices=plan_slices(log, "scn"))
+    changes = committed_changes(log, slices=plan_slices(log, "scn", TXN_KEYS))
     return apply_changes(base_table(spark, sf_dir), changes, ["k"])
 
 
@@ -46,7 +46,7 @@ def _apply(spark, sf_dir):
 )
 def _compact(spark, sf_dir):
     log = changelog(spark, sf_dir)
-    out = compact_changes(committed_changes(log, slices=plan_slices(log, "scn")), ["k"])
+    out = compact_changes(committed_changes(log, slices=plan_slices(log, "scn", TXN_KEYS)), ["k"])
     return out.select("k", "live", "image.st", "image.cents", "commit_scn", "scn")
 
 
@@ -70,7 +70,7 @@ def _counts(spark, sf_dir):
 def _apply_unchanged(spark, sf_dir):
     # Updates leave out ``cents``: the value sent by the insert must survive them.
     log = changelog(spark, sf_dir)
-    changes = committed_changes(log, slices=plan_slices(log, "scn"))
+    changes = committed_changes(log, slices=plan_slices(log, "scn", TXN_KEYS))
     lean = changes.withColumns(
         {
             "unchanged": F.when(F.col("op") == "update", F.array(F.lit("cents"))),

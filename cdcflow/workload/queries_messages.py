@@ -307,7 +307,7 @@ def _limit_plan(spark, sf_dir):
 def _failures(spark, sf_dir):
     src = X.events(spark, sf_dir).withColumn("channel", F.expr("user_id % 4"))
     failed = F.col("event_type").isin("error", "click", "view")
-    return failure_runs(src, "channel", "event_id", failed, 3, slices=plan_slices(src, "event_id"))
+    return failure_runs(src, "channel", "event_id", failed, 3, slices=plan_slices(src, "event_id", ["channel"]))
 
 
 # ---- generated rows ---------------------------------------------------------------------------

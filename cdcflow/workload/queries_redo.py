@@ -82,7 +82,7 @@ def _redo_images(spark, sf_dir):
 def _changes(spark, sf_dir):
     """Committed changes with images, as read from the log's SQL."""
     rows = _statements(spark, sf_dir).withColumn("op", F.lower("operation"))
-    committed = committed_changes(rows.drop("commit_scn"), slices=plan_slices(redo_log(spark, sf_dir), "scn"))
+    committed = committed_changes(rows.drop("commit_scn"), slices=plan_slices(redo_log(spark, sf_dir), "scn", ["source", "xidsqn"]))
     return committed.where(F.col("op") != "ddl")
 
 
@@ -97,7 +97,7 @@ done as (select r.*, b.outcome, b.bscn from redo r asof join bounds b on r.xid =
 )
 def _pairs(spark, sf_dir):
     rows = _changes(spark, sf_dir)
-    out = remove_rollback_pairs(rows, slices=plan_slices(redo_log(spark, sf_dir), "scn"))
+    out = remove_rollback_pairs(rows, slices=plan_slices(redo_log(spark, sf_dir), "scn", ["source", "xidsqn", "row_id"]))
     return out.select("scn", "op", "commit_scn", F.col("table_name").alias("table"))
 
 

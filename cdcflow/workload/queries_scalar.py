@@ -12,7 +12,6 @@ from cdcflow.operators.records import project
 from cdcflow.workload import texts as X
 from cdcflow.workload.registry import query, table
 
-V = F.col("v")
 INT_RULE = "regexp_matches(trim(v), '^[+-]?[0-9]+$')"
 NUM_RULE = "regexp_matches(trim(v), '^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$')"
 
@@ -58,8 +57,8 @@ NORMAL = """case when upper(split_part(v,'(',1)) like '%TIMESTAMP%' then 'TIMEST
 def _normalize(spark, sf_dir):
     return X.with_text(spark, sf_dir, X.TYPE_TEXT).select(
         "event_id",
-        types.normalize_type(V, strict=True).alias("strict_name"),
-        types.normalize_type(V).alias("name"),
+        types.normalize_type(F.col("v"), strict=True).alias("strict_name"),
+        types.normalize_type(F.col("v")).alias("name"),
     )
 
 
@@ -72,7 +71,7 @@ def _normalize(spark, sf_dir):
 def _classes(spark, sf_dir):
     return (
         X.with_text(spark, sf_dir, X.TYPE_TEXT)
-        .groupBy(types.type_class(V).alias("class"))
+        .groupBy(types.type_class(F.col("v")).alias("class"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
@@ -83,7 +82,7 @@ def _classes(spark, sf_dir):
         case when v = 'decimal' then 18 when v like 'decimal(%' then cast(regexp_extract(v,', (\\d+)\\)',1) as int) end "scale" from e""",
 )
 def _decimal(spark, sf_dir):
-    info = types.decimal_info(V)
+    info = types.decimal_info(F.col("v"))
     return X.with_text(spark, sf_dir, X.TYPE_TEXT).select(
         "event_id", info["precision"].alias("precision"), info["scale"].alias("scale")
     )
@@ -103,7 +102,7 @@ def _decimal(spark, sf_dir):
 def _typed(spark, sf_dir):
     kinds = ("TINYINT", "SMALLINT", "INT", "BIGINT", "DOUBLE", "BOOLEAN", "STRING")
     return X.with_text(spark, sf_dir, X.NUMBER_TEXT).select(
-        "event_id", *[types.text_to(V, k).alias(f"as_{k.lower()}") for k in kinds]
+        "event_id", *[types.text_to(F.col("v"), k).alias(f"as_{k.lower()}") for k in kinds]
     )
 
 
@@ -167,17 +166,17 @@ def _row_delimited(spark, sf_dir):
 )
 def _coerce(spark, sf_dir):
     src = X.with_text(spark, sf_dir, X.NUMBER_TEXT).withColumn(
-        "v", F.when(F.trim(V).rlike(types.INTEGER_TEXT) | F.expr("event_id % 8 <> 2"), V)
+        "v", F.when(F.trim(F.col("v")).rlike(types.INTEGER_TEXT) | F.expr("event_id % 8 <> 2"), F.col("v"))
     )
     return src.select(
         "event_id",
-        types.coerce(V, "int", -1).alias("as_int"),
-        types.coerce(V, "bigint", 0).alias("as_long"),
-        types.coerce(V, "double").alias("as_double"),
-        types.coerce(V, "boolean", False).alias("as_bool"),
+        types.coerce(F.col("v"), "int", -1).alias("as_int"),
+        types.coerce(F.col("v"), "bigint", 0).alias("as_long"),
+        types.coerce(F.col("v"), "double").alias("as_double"),
+        types.coerce(F.col("v"), "boolean", False).alias("as_bool"),
         types.coerce(F.col("value"), "int").alias("from_double"),
-        types.coerce(V, "string", "").alias("as_text"),
-        types.coerce(V, "decimal(20,2)", 0).alias("as_decimal"),
+        types.coerce(F.col("v"), "string", "").alias("as_text"),
+        types.coerce(F.col("v"), "decimal(20,2)", 0).alias("as_decimal"),
     )
 
 
@@ -187,7 +186,7 @@ def _coerce(spark, sf_dir):
        else epoch_us(ts)//1000 end millis from events""",
 )
 def _epoch(spark, sf_dir):
-    return X.epoch_texts(spark, sf_dir).select("event_id", times.epoch_millis(V).alias("millis"))
+    return X.epoch_texts(spark, sf_dir).select("event_id", times.epoch_millis(F.col("v")).alias("millis"))
 
 
 @query(
@@ -196,12 +195,12 @@ def _epoch(spark, sf_dir):
         case when event_id % 9 <> 7 then {X.TIME_SQL} end standard from events""",
 )
 def _parse(spark, sf_dir):
-    custom = times.parse_time(V, "yyyy/MM/dd HH:mm:ss")
+    custom = times.parse_time(F.col("v"), "yyyy/MM/dd HH:mm:ss")
     return X.time_texts(spark, sf_dir).select(
         "event_id",
         custom.alias("at"),
-        times.time_error(V, custom).alias("bad"),
-        times.parse_time(V).alias("standard"),
+        times.time_error(F.col("v"), custom).alias("bad"),
+        times.parse_time(F.col("v")).alias("standard"),
     )
 
 
@@ -215,7 +214,7 @@ def _any(spark, sf_dir):
     instant = F.col("ts").cast("timestamp")
     return src.select(
         "event_id",
-        times.to_timestamp_any(V, "string").alias("from_text"),
+        times.to_timestamp_any(F.col("v"), "string").alias("from_text"),
         times.to_timestamp_any(F.unix_millis(instant), "bigint").alias("from_long"),
         times.to_timestamp_any(F.col("ts"), "timestamp_ntz").alias("from_ts"),
         times.to_date_any(F.col("ts"), "timestamp_ntz").alias("to_date"),
@@ -266,8 +265,8 @@ def _infer(spark, sf_dir):
 def _location(spark, sf_dir):
     return X.time_texts(spark, sf_dir).select(
         "event_id",
-        times.location_millis(V, "TIMESTAMP").alias("millis"),
-        times.location_millis(V, "DATE").alias("by_date"),
+        times.location_millis(F.col("v"), "TIMESTAMP").alias("millis"),
+        times.location_millis(F.col("v"), "DATE").alias("by_date"),
     )
 
 
@@ -278,7 +277,7 @@ def _location(spark, sf_dir):
        rpad(strftime(ts,'%Y-%m-%d %H:%M:%S.') , 29, '0') padded from events""",
 )
 def _nanos(spark, sf_dir):
-    parts = times.epoch_parts(V.cast("long"))
+    parts = times.epoch_parts(F.col("v").cast("long"))
     padded = times.nanos_text(F.date_format("ts", "yyyy-MM-dd HH:mm:ss."))
     src = X.epoch_texts(spark, sf_dir).join(X.events(spark, sf_dir).select("event_id", "ts"), "event_id")
     return src.select("event_id", parts["millis"].alias("millis"), parts["nanos"].alias("nanos"), padded.alias("padded"))
@@ -299,7 +298,7 @@ def _row_json(spark, sf_dir):
     f"""{_src(X.NAME_TEXT)} select event_id, case event_id % 5 when 0 then event_type || '"x' when 1 then event_type when 2 then 'a`' || event_type when 3 then event_type else '"' end name from e""",
 )
 def _unquote(spark, sf_dir):
-    return X.with_text(spark, sf_dir, X.NAME_TEXT).select("event_id", text.unquote(V).alias("name"))
+    return X.with_text(spark, sf_dir, X.NAME_TEXT).select("event_id", text.unquote(F.col("v")).alias("name"))
 
 
 @query(
@@ -307,7 +306,7 @@ def _unquote(spark, sf_dir):
     f"""{_src(X.ESCAPE_TEXT)} select event_id, replace(replace(replace(v, '\\t', chr(9)), '\\r', chr(13)), '\\n', chr(10)) line from e""",
 )
 def _unescape(spark, sf_dir):
-    return X.with_text(spark, sf_dir, X.ESCAPE_TEXT).select("event_id", text.unescape(V).alias("line"))
+    return X.with_text(spark, sf_dir, X.ESCAPE_TEXT).select("event_id", text.unescape(F.col("v")).alias("line"))
 
 
 @query(
@@ -316,7 +315,7 @@ def _unescape(spark, sf_dir):
         when 2 then event_type || '~' || cast(user_id as varchar) else 'a.' || event_type || '~b' end parts from events""",
 )
 def _split(spark, sf_dir):
-    parts = F.array_join(text.split_quoted(V, "."), "~")
+    parts = F.array_join(text.split_quoted(F.col("v"), "."), "~")
     return X.with_text(spark, sf_dir, X.QUOTED_NAME).select("event_id", parts.alias("parts"))
 
 
@@ -349,4 +348,4 @@ def _snowflake(spark, sf_dir):
         F.expr("unix_micros(cast(ts as timestamp)) div 86400000000").alias("ms"),
         F.expr("user_id % 4").alias("worker"),
     )
-    return snowflake_ids(src, "ms", "worker", 3, "event_id", slices=plan_slices(src, "ms")).select("event_id", "id")
+    return snowflake_ids(src, "ms", "worker", 3, "event_id", slices=plan_slices(src, "ms", ["worker"])).select("event_id", "id")

@@ -55,7 +55,7 @@ def _kinds(spark, sf_dir):
 )
 def _context(spark, sf_dir):
     tagged = tag_messages(pg_messages(spark, sf_dir))
-    out = with_txn_context(tagged, slices=plan_slices(tagged, "pos"))
+    out = with_txn_context(tagged, slices=plan_slices(tagged, "pos", ["slot"]))
     return out.where(F.col("kind").isin("insert", "update", "delete")).select("pos", "kind", "lsn", "ts", "xid")
 
 
@@ -81,20 +81,20 @@ def _relations(spark, sf_dir):
 )
 def _asof(spark, sf_dir):
     tagged = tag_messages(pg_messages(spark, sf_dir))
-    out = with_relation(tagged, slices=plan_slices(tagged, "pos"))
+    out = with_relation(tagged, slices=plan_slices(tagged, "pos", ["slot"]))
     return out.select("pos", "rel_id", "table", "rel_pos", F.size("names").alias("n_cols"))
 
 
 @query("pg_changes", _decoded_sql(BEFORE_SHOWN))
 def _pg(spark, sf_dir):
     log = pg_messages(spark, sf_dir)
-    return _show(pg_changes(log, slices=plan_slices(log, "pos")), *HEAD)
+    return _show(pg_changes(log, slices=plan_slices(log, "pos", ["slot"])), *HEAD)
 
 
 @query("pg9_changes", _decoded_sql("(sends_old or (op = 'delete' and tag <> 'P'))"))
 def _pg9(spark, sf_dir):
     log = pg9_messages(spark, sf_dir)
-    return _show(pg9_changes(log, slices=plan_slices(log, "pos")), *HEAD)
+    return _show(pg9_changes(log, slices=plan_slices(log, "pos", ["slot"])), *HEAD)
 
 
 @query(
@@ -103,7 +103,7 @@ def _pg9(spark, sf_dir):
 )
 def _unchanged(spark, sf_dir):
     tagged = tag_messages(pg_messages(spark, sf_dir))
-    rows = decode_tuples(with_relation(tagged, slices=plan_slices(tagged, "pos")))
+    rows = decode_tuples(with_relation(tagged, slices=plan_slices(tagged, "pos", ["slot"])))
     return rows.select(
         "pos", F.array_join("unchanged", ",").alias("unchanged"),
         F.coalesce(F.get("new", F.lit(2)).isNotNull(), F.lit(False)).alias("has_cents"),
@@ -120,7 +120,7 @@ def _nested(spark, sf_dir):
     from cdcflow.functions.text import map_text
 
     log = pg_messages(spark, sf_dir)
-    out = envelope(pg_changes(log, slices=plan_slices(log, "pos")))
+    out = envelope(pg_changes(log, slices=plan_slices(log, "pos", ["slot"])))
     return out.select("type", "schema", "table", "lsn", "ts", "pos", map_text(F.col("before")).alias("before"), map_text(F.col("after")).alias("after"))
 
 
@@ -131,7 +131,7 @@ def _nested(spark, sf_dir):
 )
 def _flat(spark, sf_dir):
     log = pg_messages(spark, sf_dir)
-    out = envelope(pg_changes(log, slices=plan_slices(log, "pos")), flat=True)
+    out = envelope(pg_changes(log, slices=plan_slices(log, "pos", ["slot"])), flat=True)
     d = F.col("data")
     return out.select(
         "type", "table", "pos", F.size("data").alias("n_fields"), d["before_k"].alias("before_k"),

@@ -44,6 +44,7 @@ def test_apply_equals_replay(spark, seed):
     b = spark.createDataFrame(base, "k long, a string, b long")
     c = spark.createDataFrame(log, SCHEMA).repartition(6)
     assert {tuple(r) for r in apply_changes(b, c, ["k"]).collect()} == want
+    assert {tuple(r) for r in apply_changes(b, c, ["k"], store_delta=True).collect()} == want
 
 
 @pytest.mark.parametrize("seed", [4, 5])

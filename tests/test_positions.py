@@ -74,7 +74,7 @@ def test_slices_follow_density_and_order(spark):
     # one far outlier, nearly all rows close together
     values = [0] + [10**15 + i for i in range(20_000)]
     df = spark.createDataFrame([(v,) for v in values], "pos long")
-    cut = plan_slices(df, "pos", rows_per_slice=500)
+    cut = plan_slices(df, "pos", rows_per_slice=500, group_limit=5_000)
     got = df.select("pos", cut.of(F.col("pos")).alias("s")).orderBy("pos").collect()
     numbers = [r.s for r in got]
     assert numbers == sorted(numbers)
@@ -85,6 +85,10 @@ def test_slices_follow_density_and_order(spark):
 def test_small_input_is_one_slice(spark):
     assert plan_slices(spark.range(10), "id").single
     assert plan_slices(spark.range(0), "id").single
+    keyed = spark.range(1000).withColumn("k", F.col("id") % 100)
+    assert plan_slices(keyed, "id", ["k"], group_limit=10).single
+    hot = keyed.withColumn("k", F.when(F.col("id") < 400, 0).otherwise(F.col("k")))
+    assert not plan_slices(hot, "id", ["k"], rows_per_slice=50, group_limit=100).single
 
 
 def test_snowflake_matches_sequential_worker(spark):
