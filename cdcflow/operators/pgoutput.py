@@ -17,7 +17,7 @@ from cdcflow.functions.text import unquote
 from cdcflow.functions.wire import Batch, read_tuple, tuple_lists
 from cdcflow.operators.envelope import images
 from cdcflow.operators.filters import filter_category, filter_tables
-from cdcflow.operators.positions import WHOLE, Slices, carry
+from cdcflow.operators.positions import WHOLE, Mark, Slices, carry, carry_all
 
 # Message tags, and the epoch of the log clock (2000-01-01 UTC) in milliseconds.
 KINDS = {
@@ -42,15 +42,18 @@ def tag_messages(messages: DataFrame) -> DataFrame:
     return messages.withColumn("kind", kind)
 
 
-def with_txn_context(tagged: DataFrame, *, slices: Slices = WHOLE) -> DataFrame:
-    """Add ``lsn, ts, xid`` of the last BEGIN at or before each row of its slot."""
+def _begin() -> Column:
     m = F.col("msg")
-    begin = F.struct(
+    return F.struct(
         big_endian(m, 2, 8).alias("lsn"),
         (F.floor(big_endian(m, 10, 8) / 1000) + LOG_EPOCH_MILLIS).cast("long").alias("ts"),
         big_endian(m, 18, 4).alias("xid"),
     )
-    out = carry(tagged, ["slot"], "pos", begin, F.col("kind") == "begin", "_txn", slices=slices)
+
+
+def with_txn_context(tagged: DataFrame, *, slices: Slices = WHOLE) -> DataFrame:
+    """Add ``lsn, ts, xid`` of the last BEGIN at or before each row of its slot."""
+    out = carry(tagged, ["slot"], "pos", _begin(), F.col("kind") == "begin", "_txn", slices=slices)
     return out.select(*tagged.columns, "_txn.lsn", "_txn.ts", "_txn.xid")
 
 
@@ -185,12 +188,25 @@ def pg_changes(
 ) -> DataFrame:
     """Change events of a captured log.  Kinds and tables are filtered before any tuple is read."""
     tagged = tag_messages(messages)
-    rels = relations(tagged)
     wanted = {c.strip().lower() for c in cat.split(",")}
     useful = [k for k in ROW_KINDS if k in wanted]
-    slim = tagged.where(F.col("kind").isin("relation", "begin", *useful))
-    rows = with_txn_context(slim, slices=slices).where(F.col("kind") != "begin")
-    rows = filter_category(with_relation(rows, rels, slices=slices), cat, "kind")
+    kind = F.col("kind")
+    slim = tagged.where(kind.isin("relation", "begin", *useful)).withColumn(
+        "rel_id", F.when(kind != "begin", big_endian(F.col("msg"), 2, 4))
+    )
+    # Transaction context and table definition travel in one shuffle by slot and slice.
+    placed = carry_all(
+        slim,
+        ["slot"],
+        "pos",
+        {
+            "_txn": Mark((), _begin(), kind == "begin"),
+            "rel_pos": Mark(("rel_id",), F.col("pos"), kind == "relation"),
+        },
+        slices=slices,
+    ).select(*slim.columns, "_txn.lsn", "_txn.ts", "_txn.xid", "rel_pos")
+    rows = placed.where(kind.isin(*useful)).join(relations(tagged), ["slot", "rel_id", "rel_pos"], "left")
+    rows = filter_category(rows, cat, "kind")
     if tables:
         rows = filter_tables(rows, tables)
     return images(decode_tuples(rows, compat))

@@ -92,20 +92,18 @@ def plan_slices(
     return Slices(bounds, max(1, fine))
 
 
-def _with_edges(df: DataFrame, edges: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows of a slice behind one extra row that brings in what earlier slices left (``_own`` false).
+def _with_edges(df: DataFrame, parts: Sequence[DataFrame]) -> DataFrame:
+    """Rows of a slice behind extra rows that bring in what other slices left (``_own`` false).
 
     The extra rows ride in the same shuffle and sort as the rows themselves; no join is needed.
     """
-    own = df.withColumn("_own", F.lit(True))
-    extra = edges.select(
-        *[
-            F.col(c) if c in columns else F.lit(None).cast(df.schema[c].dataType).alias(c)
-            for c in df.columns
-        ],
-        F.lit(False).alias("_own"),
-    )
-    return own.unionByName(extra)
+    out = df.withColumn("_own", F.lit(True))
+    for edges in parts:
+        filled = [
+            F.col(c) if c in edges.columns else F.lit(None).cast(df.schema[c].dataType).alias(c) for c in df.columns
+        ]
+        out = out.unionByName(edges.select(*filled, F.lit(False).alias("_own")))
+    return out
 
 
 def carry(
@@ -126,28 +124,63 @@ def carry(
     ``backward`` looks at or after instead; ``strict`` leaves the row itself out.  ``value`` must
     not be null on marked rows.  ``(pos, *ties)`` must be unique per key.
     """
+    return carry_all(
+        df, keys, pos, {into: Mark((), value, when)}, backward=backward, strict=strict, ties=ties, slices=slices
+    )
+
+
+@dataclass(frozen=True)
+class Mark:
+    """A value to carry along: the keys it follows beside the common ones, and where it is set."""
+
+    keys: Sequence[str]
+    value: Column
+    when: Column
+
+
+def carry_all(
+    df: DataFrame,
+    keys: Sequence[str],
+    pos: str,
+    marks: Mapping[str, Mark],
+    *,
+    backward: bool = False,
+    strict: bool = False,
+    ties: Sequence[str] = (),
+    slices: Slices = WHOLE,
+) -> DataFrame:
+    """``carry`` for several values at once.
+
+    Rows are shuffled once, by the common keys and the slice; a value with further keys sorts
+    within that partitioning.
+    """
     order = [F.col(c).desc() if backward else F.col(c).asc() for c in (pos, *ties)]
     until = -1 if strict else Window.currentRow
-    kept = [c for c in df.columns if c != into]
-    df = df.withColumn("_mark", F.when(when, value))
-    nearest = F.last("_mark", ignorenulls=True)
-    if slices.single:
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, until)
-        return df.withColumn(into, nearest.over(w)).select(*kept, into)
-
-    df = df.withColumn(SLICE, slices.of(F.col(pos)))
-    marked_pos = F.when(F.col("_mark").isNotNull(), F.struct(pos, *ties))
-    edge = F.min_by("_mark", marked_pos) if backward else F.max_by("_mark", marked_pos)
+    kept = [c for c in df.columns if c not in marks]
+    df = df.withColumns({f"_mark_{n}": F.when(m.when, m.value) for n, m in marks.items()})
+    group, lead = list(keys), []
+    if not slices.single:
+        df = df.withColumn(SLICE, slices.of(F.col(pos)))
+        parts = [_edges(df, [*keys, *m.keys], pos, f"_mark_{n}", backward, ties) for n, m in marks.items()]
+        df = _with_edges(df, parts)
+        group, lead = [*keys, SLICE], [F.col("_own")]
+    for n, m in marks.items():
+        w = Window.partitionBy(*group, *m.keys).orderBy(*lead, *order).rowsBetween(Window.unboundedPreceding, until)
+        df = df.withColumn(n, F.last(f"_mark_{n}", ignorenulls=True).over(w))
+    return (df if slices.single else df.where("_own")).select(*kept, *marks)
+
+
+def _edges(df: DataFrame, keys: Sequence[str], pos: str, mark: str, backward: bool, ties: Sequence[str]) -> DataFrame:
+    """What each (key, slice) receives from the slices on the far side of it."""
+    marked_pos = F.when(F.col(mark).isNotNull(), F.struct(pos, *ties))
+    edge = F.min_by(mark, marked_pos) if backward else F.max_by(mark, marked_pos)
     far = Window.partitionBy(*keys).orderBy(F.col(SLICE).desc() if backward else F.col(SLICE).asc())
-    edges = (
+    return (
         df.groupBy(*keys, SLICE)
-        .agg(edge.alias("_mark"))
-        .withColumn("_mark", F.last("_mark", ignorenulls=True).over(far.rowsBetween(Window.unboundedPreceding, -1)))
-        .where(F.col("_mark").isNotNull())
+        .agg(edge.alias(mark))
+        .withColumn(mark, F.last(mark, ignorenulls=True).over(far.rowsBetween(Window.unboundedPreceding, -1)))
+        .where(F.col(mark).isNotNull())
     )
-    near = Window.partitionBy(*keys, SLICE).orderBy("_own", *order).rowsBetween(Window.unboundedPreceding, until)
-    both = _with_edges(df, edges, [*keys, SLICE, "_mark"])
-    return both.withColumn(into, nearest.over(near)).where("_own").select(*kept, into)
 
 
 def running(
@@ -179,7 +212,7 @@ def running(
         .withColumns({f"_amt_{n}": total(f"_amt_{n}").over(far) for n in names})
         .where(F.col(f"_amt_{names[0]}").isNotNull())
     )
-    both = _with_edges(df, edges, [*keys, SLICE, *[f"_amt_{n}" for n in names]])
+    both = _with_edges(df, [edges])
     near = Window.partitionBy(*keys, SLICE).orderBy("_own", pos, *ties)
     return both.withColumns(sums(near)).where("_own").select(*kept, *names)
 
