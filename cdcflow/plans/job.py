@@ -6,10 +6,12 @@ import json
 from collections.abc import Callable, Mapping
 from copy import deepcopy
 from dataclasses import dataclass, field
+from hashlib import md5
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from cdcflow.operators.dirty import ERRORS, enforce_limit, split_dirty, write_dirty
 from cdcflow.operators.filters import filter_blank, filter_category, filter_empty_events, filter_tables
@@ -19,12 +21,13 @@ from cdcflow.operators.offsets import incremental_scan
 from cdcflow.operators.pg9 import pg9_changes
 from cdcflow.operators.pgoutput import pg_changes
 from cdcflow.operators.records import decode_messages, project, to_message_records
-from cdcflow.operators.redo import drop_internal, mined_rows
+from cdcflow.operators.redo import drop_internal, mined_rows, redo_from_message
+from cdcflow.session import shared_dir
 from cdcflow.sinks.files import discard, file_sink, print_rows
 from cdcflow.sources.jdbc import Connection, jdbc_scan, merge_url
 from cdcflow.sources.messages import MessageSource, message_source
 from cdcflow.sources.synthetic import synthetic_rows, synthetic_stream
-from cdcflow.streaming.restart import RestartPolicy
+from cdcflow.streaming.restart import RestartPolicy, run_with_restart
 
 MASK = "******"
 UNLIMITED_BYTES = 2**63 - 1
@@ -154,6 +157,32 @@ class SyncJob:
     def run(self, spark: SparkSession) -> None:
         """Read, check the error limits, keep dirty rows aside, write the good ones."""
         df = self.read(spark)
+        if df.isStreaming:
+            run_with_restart(self.restart, lambda: self.start(df))
+        else:
+            self._land(df, self.writer["parameter"])
+
+    def start(self, df: DataFrame) -> StreamingQuery:
+        """Start the streaming form: every micro-batch is landed like a batch job.
+
+        Batches written to a path get a folder each, so one that is run again replaces itself.
+        """
+        params = self.writer["parameter"]
+        restore = self.setting.get("restore") or {}
+
+        def land(batch: DataFrame, batch_id: int) -> None:
+            own = {**params, "path": f"{params['path']}/batch={batch_id}", "writeMode": "overwrite"} if params.get("path") else params
+            self._land(batch, own)
+
+        name = md5(json.dumps([self.reader, self.writer], sort_keys=True).encode()).hexdigest()
+        checkpoint = restore.get("checkpoint") or f"{shared_dir(df.sparkSession)}/jobs/{name}"
+        writer = df.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+        if restore.get("availableNow"):
+            return writer.trigger(availableNow=True).start()
+        seconds = self.reader["parameter"].get("interval", 5)
+        return writer.trigger(processingTime=f"{seconds} seconds").start()
+
+    def _land(self, df: DataFrame, params: Mapping[str, Any]) -> None:
         speed_test = (self.setting.get("test") or {}).get("speedTest")
         if speed_test == "reader":
             return discard(df)
@@ -166,7 +195,7 @@ class SyncJob:
         name = self.writer["name"].lower()
         if name not in SINKS:
             raise ValueError(f"unknown writer {name!r}; register_sink adds one")
-        SINKS[name](self.speed.shape(df), self.writer["parameter"], self)
+        SINKS[name](self.speed.shape(df), params, self)
 
 
 def fail_on(df: DataFrame, every: int, message: str | None = None) -> DataFrame:
@@ -191,7 +220,8 @@ def _kafka_reader(spark: SparkSession, p: Mapping[str, Any], job: SyncJob) -> Da
     spec = MessageSource(
         p["topic"], kind=kind, path=p.get("path"), fmt=p.get("format", "parquet"),
         settings={k: str(v) for k, v in settings.items() if k != "auto.offset.reset"},
-        starting=starting, streaming=bool((job.setting.get("restore") or {}).get("isStream", False)) and kind == "kafka",
+        starting=starting, streaming=bool((job.setting.get("restore") or {}).get("isStream", False)),
+        per_trigger=job.batch_rows(float(p.get("bytesPerRow", 1000)), float(p.get("interval", 5))) if kind == "kafka" else None,
     )
     rows = filter_blank(message_source(spark, spec), "value", bool(p.get("blankIgnore", False)))
     return filter_empty_events(decode_messages(rows, p.get("codec", "plain"), decoders=DECODERS)).select("event")
@@ -266,6 +296,30 @@ def _kafka_writer(df: DataFrame, p: Mapping[str, Any], job: SyncJob) -> None:
     out.save()
 
 
+def statement_rows(df: DataFrame) -> DataFrame:
+    """The statements carried by redo rows, event maps or printed messages, one per row."""
+    if "SQL_REDO" in df.columns:
+        sql = F.col("SQL_REDO")
+    else:
+        event = F.col("event")
+        message = F.try_element_at(event, F.lit("message"))
+        sql = F.coalesce(
+            F.try_element_at(event, F.lit("SQL_REDO")),
+            redo_from_message(message, "json"),
+            F.nullif(redo_from_message(message, "map"), F.lit("")),
+        )
+    out = df.select(sql.alias("sql_redo"))
+    return out.where(F.col("sql_redo").isNotNull())
+
+
+def _redo_writer(df: DataFrame, p: Mapping[str, Any], job: SyncJob) -> None:
+    """Statements to a staging table; the database runs them in its own transaction."""
+    target = Connection(p["url"], p.get("stagingTable", "REDO_STAGE"), p.get("username"), p.get("password"), p.get("driver"))
+    statement_rows(df).write.mode("append").option("batchsize", int(p.get("batchsize", 1))).jdbc(
+        target.url, target.qualified, properties=target.properties()
+    )
+
+
 def _print_writer(df: DataFrame, p: Mapping[str, Any], job: SyncJob) -> None:
     if p.get("print", False):
         return print_rows(df, p.get("writeDelimiter", "|"))
@@ -289,5 +343,5 @@ for _name, _fn in {
     "jdbcreader": _jdbc_reader,
 }.items():
     register_source(_name, _fn)
-for _name, _sink in {"kafkawriter": _kafka_writer, "streamwriter": _print_writer, "filewriter": _file_writer}.items():
+for _name, _sink in {"kafkawriter": _kafka_writer, "streamwriter": _print_writer, "filewriter": _file_writer, "logminerwriter": _redo_writer}.items():
     register_sink(_name, _sink)

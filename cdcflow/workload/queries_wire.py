@@ -20,7 +20,7 @@ NEW = "case when op <> 'delete' then"
 BEFORE_SHOWN = "(sends_old or op = 'delete')"
 
 
-def _show(events, *head):
+def show_events(events, *head):
     """Events as plain columns."""
     cols = []
     for side, p in (("before", "b"), ("after", "a")):
@@ -88,13 +88,13 @@ def _asof(spark, sf_dir):
 @query("pg_changes", _decoded_sql(BEFORE_SHOWN))
 def _pg(spark, sf_dir):
     log = pg_messages(spark, sf_dir)
-    return _show(pg_changes(log, slices=plan_slices(log, "pos", ["slot"])), *HEAD)
+    return show_events(pg_changes(log, slices=plan_slices(log, "pos", ["slot"])), *HEAD)
 
 
 @query("pg9_changes", _decoded_sql("(sends_old or (op = 'delete' and tag <> 'P'))"))
 def _pg9(spark, sf_dir):
     log = pg9_messages(spark, sf_dir)
-    return _show(pg9_changes(log, slices=plan_slices(log, "pos", ["slot"])), *HEAD)
+    return show_events(pg9_changes(log, slices=plan_slices(log, "pos", ["slot"])), *HEAD)
 
 
 @query(

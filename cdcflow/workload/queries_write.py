@@ -10,11 +10,15 @@ from cdcflow.operators.records import decode_messages
 from cdcflow.session import scratch_path
 from cdcflow.sinks.files import file_sink
 from cdcflow.sinks.tables import write_table
+from cdcflow.sources.captured import MESSAGE_SCHEMA, captured_source
 from cdcflow.sources.messages import MessageSource, message_source
+from cdcflow.streaming.pg_stream import decoded_events, stream_pg_changes
 from cdcflow.streaming.txn_stream import merged_table, released_changes, stream_apply, stream_committed
 from cdcflow.workload import texts as X
 from cdcflow.workload.changelog import LOG_SQL, base_table, changelog, flat
-from cdcflow.workload.registry import query, table
+from cdcflow.workload.queries_wire import HEAD, show_events
+from cdcflow.workload.registry import ORACLES, query, table
+from cdcflow.workload.wirelog import pg_messages
 
 FILES_PER_STEP = 8
 
@@ -142,6 +146,15 @@ def _stream_apply(spark, sf_dir):
     return merged_table(base_table(spark, sf_dir), spark.read.parquet(out), ["k"])
 
 
+@query("stream_pg_changes", ORACLES["pg_changes"])
+def _stream_pg(spark, sf_dir):
+    log = pg_messages(spark, sf_dir)
+    source, out = _in_steps(log, "pos", "messages-in"), scratch_path(spark, "events")
+    stream = captured_source(spark, source, "pos", schema=MESSAGE_SCHEMA, streaming=True, files_per_trigger=FILES_PER_STEP)
+    stream_pg_changes(stream, out, scratch_path(spark, "checkpoint")).awaitTermination()
+    return show_events(decoded_events(spark, out), *HEAD)
+
+
 @query(
     "stream_file_sink",
     f"""with {X.MESSAGE_SQL} select topic, pos "offset", case when v like '{{%' then cast(j::json->>'event_id' as bigint) end event_id, v message

@@ -9,7 +9,7 @@ from cdcflow.operators.metrics import observe_reads, rate_limit_plan, stream_rat
 from cdcflow.operators.offsets import load_offsets, offset_rows, save_offsets
 from cdcflow.operators.positions import Slices
 from cdcflow.operators.splits import assign_split, even_segments, split_bounds, split_predicates
-from cdcflow.plans.job import SyncJob, fail_on, register_sink, register_source, route_channel, substitute
+from cdcflow.plans.job import SyncJob, fail_on, register_sink, register_source, route_channel, statement_rows, substitute
 from cdcflow.session import scratch_path
 from cdcflow.sinks.files import file_sink, rows_per_file
 from cdcflow.sources.jdbc import merge_url
@@ -280,3 +280,28 @@ def test_fault_injection_and_channel_routing(spark):
     assert fail_on(spark.range(2).coalesce(1), 3).count() == 2
     parts = route_channel(spark.range(100).withColumn("_channel", F.col("id") % 3), 4).withColumn("p", F.spark_partition_id())
     assert parts.groupBy("_channel").agg(F.count_distinct("p").alias("n")).where("n > 1").count() == 0
+
+
+def test_streaming_job_lands_each_batch_once(spark):
+    src, out = scratch_path(spark, "in"), scratch_path(spark, "out")
+    rows = spark.range(50).select(
+        F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"),
+        F.current_timestamp().alias("timestamp"), F.lit(None).cast("string").alias("key"),
+        F.concat(F.lit('{"a":'), F.col("id"), F.lit("}")).alias("value"),
+    )
+    rows.write.parquet(src)
+    job = _job(
+        {"name": "kafkareader", "parameter": {"topic": "t", "path": src, "codec": "json"}},
+        {"name": "kafkawriter", "parameter": {"topic": "x", "path": out}},
+        restore={"isStream": True, "availableNow": True, "checkpoint": scratch_path(spark, "checkpoint")},
+    )
+    job.run(spark)
+    job.run(spark)
+    assert spark.read.parquet(out).count() == 50
+
+
+def test_statements_of_redo_events(spark):
+    events = [{"SQL_REDO": "a"}, {"message": '{"SQL_REDO":"b"}'}, {"message": "{SCN=1, SQL_REDO=c, OPERATION=UPDATE}"}, {"message": "other"}]
+    df = spark.createDataFrame([(e,) for e in events], "event map<string,string>")
+    assert {r.sql_redo for r in statement_rows(df).collect()} == {"a", "b", "c"}
+    assert statement_rows(spark.createDataFrame([("z",)], "SQL_REDO string")).first().sql_redo == "z"

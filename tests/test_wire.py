@@ -8,6 +8,9 @@ from cdcflow.operators.pg9 import pg9_changes
 from cdcflow.operators.pgoutput import decode_tuples, pg_changes, tag_messages, with_relation, with_txn_context
 from cdcflow.operators.positions import WHOLE, Slices
 
+from cdcflow.session import scratch_path
+from cdcflow.streaming.pg_stream import decode_batch, decoded_events
+
 LAYOUTS = [WHOLE, Slices((0, 50, 120, 100_000), 1), Slices((0, 100_000), 64)]
 
 
@@ -191,3 +194,16 @@ def test_repeated_sections_and_damaged_lengths(spark):
     df = spark.createDataFrame(msgs, "slot string, pos long, msg binary").coalesce(1)
     got = {r.pos: (r.ok, r.after) for r in pg9_changes(df).collect()}
     assert got[1][1] == {"c": "a"} and got[3] == (True, {"c": "a"}) and got[2][0] is False and got[5] == (True, None)
+
+
+def test_streamed_batches_decode_like_one(spark):
+    msgs, want = _log(5)
+    df = spark.createDataFrame(msgs, "slot string, pos long, msg binary")
+    path = scratch_path(spark, "pg")
+    run = decode_batch(path)
+    for i, (a, b) in enumerate([(0, 40), (40, 41), (41, 200), (200, 10_000)]):
+        batch = df.where(f"pos > {a} and pos <= {b}")
+        run(batch, i)
+        run(batch, i)
+    got = {(r.slot, r.pos): (r.op, r.table, r.lsn, r.ts, r.xid, r.before, r.after, r.unchanged) for r in decoded_events(spark, path).collect()}
+    assert got == want
