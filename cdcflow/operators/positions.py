@@ -18,6 +18,7 @@ from pyspark.sql.window import Window
 ROWS_PER_SLICE = 64_000
 GROUP_LIMIT = 250_000
 COARSE_CUTS = 64
+SKETCH_ITEMS = 10_000
 MAX_SLICES = 65_536
 
 SLICE = "_slice"
@@ -67,24 +68,30 @@ def plan_slices(
     rows_per_slice: int = ROWS_PER_SLICE,
     group_limit: int = GROUP_LIMIT,
 ) -> Slices:
-    """Choose slices from column-pruned statistics (single rows reach the driver).
+    """Choose slices from one column-pruned statistics pass (a single row reaches the driver).
 
     While no key holds more than ``group_limit`` rows, one slice is enough and the operators take
-    their one-pass form.  Otherwise quantiles of the positions cut the log: they bound the rows of
-    a coarse cut whatever the density, and the even split inside a cut only refines it.
+    their one-pass form.  A heavy-hitter sketch finds the largest key without shuffling the keys;
+    where the table is too large for the sketch to rule hot keys out, the log is sliced.  Quantiles
+    of the positions bound the rows of a coarse cut whatever the density, and the even split inside
+    a cut only refines it.
     """
-    sizes = df.groupBy(*keys).agg(F.count(pos).alias("n")).agg(F.max("n").alias("n"))
-    if (sizes.first()["n"] or 0) <= group_limit:
-        return WHOLE
     p = F.col(pos).cast("long")
     grid = [i / COARSE_CUTS for i in range(1, COARSE_CUTS)]
+    names = ", ".join(f"`{k}`" for k in keys) or "0"
     row = df.agg(
         F.count(p).alias("n"),
         F.min(p).alias("lo"),
         F.max(p).alias("hi"),
         F.percentile_approx(p, grid, 2_000).alias("q"),
+        F.expr(f"approx_top_k(xxhash64({names}), 1, {SKETCH_ITEMS})").alias("top"),
     ).first()
-    wanted = max(2, -(-row["n"] // rows_per_slice))
+    n = row["n"] or 0
+    largest = max([t["count"] for t in row["top"] or []], default=0)
+    unseen = 0 if n <= SKETCH_ITEMS else n // (SKETCH_ITEMS // 2)
+    if n <= group_limit or (largest <= group_limit and unseen <= group_limit):
+        return WHOLE
+    wanted = max(2, -(-n // rows_per_slice))
     take = min(COARSE_CUTS, wanted)
     inner = {row["q"][round(i * COARSE_CUTS / take) - 1] for i in range(1, take)}
     bounds = tuple(sorted({row["lo"], row["hi"] + 1} | {b for b in inner if b > row["lo"]}))

@@ -10,6 +10,8 @@ from pyspark.sql.window import Window
 
 from cdcflow.functions.plan import once
 from cdcflow.operators.filters import list_predicate
+from cdcflow.operators.positions import WHOLE, Slices, carry, running
+from cdcflow.session import materialize
 
 # Operations, users whose transactions are ignored, and the marker of internal DDL.
 TXN_OPERATIONS = ("COMMIT", "ROLLBACK", "START")
@@ -46,16 +48,23 @@ def drop_internal(rows: DataFrame) -> DataFrame:
 
 
 def stitch_redo(
-    rows: DataFrame, *, keys: Sequence[str] = ("source", "xid", "rs_id"), pos: str = "pos"
+    rows: DataFrame, *, keys: Sequence[str] = ("source", "xid", "rs_id"), pos: str = "pos", slices: Slices = WHOLE
 ) -> DataFrame:
     """Join the pieces of a statement: a row with CSF=1 goes on in the next row of its record.
 
-    A record is one redo entry, so its rows are few; rows that stand alone take no part in the
-    concatenation beyond a single-element list.
+    Only the pieces of one statement are gathered.  A record is normally a few rows; slices keep a
+    log whose rows mostly share one record from ending on one task.
     """
-    w = Window.partitionBy(*keys).orderBy(pos)
-    starts = F.when(F.lag("csf", 1, 0).over(w) == 1, 0).otherwise(1)
-    numbered = rows.withColumn("_starts", starts).withColumn("_stmt", F.sum("_starts").over(w))
+    if slices.single:
+        w = Window.partitionBy(*keys).orderBy(pos)
+        first = F.when(F.lag("csf", 1, 0).over(w) == 1, 0).otherwise(1)
+        numbered = rows.withColumn("_starts", first).withColumn("_stmt", F.sum("_starts").over(w))
+    else:
+        piece_before = carry(rows, keys, pos, F.coalesce("csf", F.lit(0)), F.lit(True), "_before", strict=True, slices=slices)
+        first = F.when(F.col("_before") == 1, 0).otherwise(1)
+        # The running count reads its input twice; store it rather than run the first pass twice.
+        marked = materialize(piece_before.withColumn("_starts", first).drop("_before"), "redo-pieces")
+        numbered = running(marked, keys, pos, {"_stmt": F.col("_starts")}, slices=slices)
     rest = [c for c in rows.columns if c not in (*keys, pos, "sql_redo", "csf")]
     # Only the first piece brings the other columns along.
     facts = F.when(F.col("_starts") == 1, F.struct(*rest)) if rest else F.lit(None)

@@ -49,7 +49,8 @@ def _filtered(spark, sf_dir):
 def _statements(spark, sf_dir):
     """Whole statements of the pieces in the log."""
     rows = mined_rows(redo_pieces(spark, sf_dir), -1, ["SALES.*"])
-    return stitch_redo(drop_internal(rows))
+    pieces = redo_pieces(spark, sf_dir)
+    return stitch_redo(drop_internal(rows), slices=plan_slices(pieces, "pos", ["source", "rs_id"]))
 
 
 @query(

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cdcflow.operators.dictionary import spark_type, typed_images
+from cdcflow.operators.positions import WHOLE, Slices
 from cdcflow.operators.redo import drop_internal, mined_rows, redo_from_message, redo_images, stitch_redo
 
 
@@ -59,10 +60,11 @@ def test_long_text_with_many_quotes(spark):
     assert r.after == {"A": body.replace("''", "'"), "B": "2"}
 
 
-def test_stitching_keeps_every_piece(spark):
+@pytest.mark.parametrize("layout", [WHOLE, Slices((0, 100, 101, 5_000), 3)])
+def test_stitching_keeps_every_piece(spark, layout):
     rng = random.Random(1)
     rows, want, pos = [], {}, 0
-    for rec in range(80):
+    for rec in [0] * 30 + list(range(1, 50)):
         for stmt in range(rng.randint(1, 3)):
             sql = "".join(rng.choice("ab  '\n") for _ in range(rng.randint(1, 60)))
             first = pos
@@ -72,7 +74,7 @@ def test_stitching_keeps_every_piece(spark):
                 pos += 1
             want[first] = (sql, f"t{rec}")
     df = spark.createDataFrame(rows, "source string, xid string, rs_id int, pos long, sql_redo string, csf int, tbl string")
-    got = {r.pos: (r.sql_redo, r.tbl) for r in stitch_redo(df.repartition(5)).collect()}
+    got = {r.pos: (r.sql_redo, r.tbl) for r in stitch_redo(df.repartition(5), slices=layout).collect()}
     assert got == want
 
 
