@@ -9,8 +9,9 @@ from cdcflow.llm.common import table
 from cdcflow.llm.encoder import Tokenizer
 from cdcflow.llm.near_dup import Params, near_duplicates
 from cdcflow.llm.packing import pack_documents
+from cdcflow.llm.quality import quality_verdicts, with_counts
 from cdcflow.llm.token_counts import token_counts
-from cdcflow.session import scratch_path
+from cdcflow.session import materialize, scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -23,6 +24,12 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), word_tokenizer(spark), scratch_path(spark, "token-cache"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    stats = materialize(with_counts(documents.select("doc_id", "lang", "source", "text")).drop("text"), "quality")
+    return quality_verdicts(documents, stats)
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), Params(width=4))
     return found.select("doc_id", "n_shingles", "component_id", "kept", "class_id")
@@ -32,5 +39,5 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), word_tokenizer(spark))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op9_near_duplicates, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op2_token_counts, op4_quality_rules, op9_near_duplicates, op10_best_fit_packing)}
 ORACLES: dict[str, str] = {}
