@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cdcflow.llm.common import table
 from cdcflow.llm.encoder import Tokenizer
+from cdcflow.llm.lm_score import lm_scores
 from cdcflow.llm.near_dup import Params, near_duplicates
 from cdcflow.llm.packing import pack_documents
 from cdcflow.llm.quality import quality_verdicts, with_counts
@@ -30,6 +31,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(documents, stats)
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), Params(width=4))
     return found.select("doc_id", "n_shingles", "component_id", "kept", "class_id")
@@ -39,5 +44,5 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), word_tokenizer(spark))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op4_quality_rules, op9_near_duplicates, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op2_token_counts, op4_quality_rules, op5_lm_scoring, op9_near_duplicates, op10_best_fit_packing)}
 ORACLES: dict[str, str] = {}
