@@ -12,6 +12,7 @@ from cdcflow.llm.near_dup import Params, near_duplicates
 from cdcflow.llm.packing import pack_documents
 from cdcflow.llm.quality import quality_verdicts, with_counts
 from cdcflow.llm.token_counts import token_counts
+from cdcflow.llm.url_filter import Rule, url_verdicts
 from cdcflow.session import materialize, scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -35,6 +36,13 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"))
 
 
+URL_RULES = (Rule("block", "net", "/"), Rule("allow", "example.net", "/en/"), Rule("block", "example.com", "/de/"), Rule("allow", "org", "/fr/"))
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_verdicts(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict", "url_score")
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), Params(width=4))
     return found.select("doc_id", "n_shingles", "component_id", "kept", "class_id")
@@ -44,5 +52,5 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), word_tokenizer(spark))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op4_quality_rules, op5_lm_scoring, op9_near_duplicates, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op2_token_counts, op4_quality_rules, op5_lm_scoring, op8_url_filter, op9_near_duplicates, op10_best_fit_packing)}
 ORACLES: dict[str, str] = {}
