@@ -97,3 +97,8 @@ def byte_chunks(items: list, size, limit: int = 4 << 20):
         total += size(item)
     if at < len(items):
         yield at, len(items)
+
+
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` marked for broadcast if it was counted to hold ``rows`` rows at most; as it is otherwise."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cdcflow.llm.common import byte_chunks, mix64, word_hashes
+from cdcflow.llm.common import byte_chunks, mix64, small, word_hashes
 from cdcflow.llm.components import components
 from cdcflow.session import materialize
 
@@ -125,8 +125,7 @@ def full_sets(documents: DataFrame, ids: DataFrame, p: Params) -> DataFrame:
                 codes = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).view(np.int64)))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), pa.array(size), codes], names=["doc_id", "n_shingles", "shingles"])
 
-    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    picked = _contents(documents).join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+    picked = _contents(documents).join(small(ids, BROADCAST_IDS), "doc_id", "left_semi")
     return picked.mapInArrow(sets, "doc_id bigint, n_shingles bigint, shingles array<bigint>")
 
 

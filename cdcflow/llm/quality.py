@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cdcflow.functions.plan import let, once
-from cdcflow.llm.common import SPACE
+from cdcflow.llm.common import SPACE, small
 
 WHITE = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -154,11 +154,10 @@ def base_failed(counts: Mapping[str, Column]) -> Column:
 
 def judged(counted: DataFrame, limits: DataFrame, rules: Mapping[str, Rule] = RULES) -> DataFrame:
     """Adds ``quality_base_failed`` and ``quality_kept`` by joining each text to its group's cutoffs."""
-    few = limits.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
     names = [c for c in limits.columns if c not in ("lang", "source")]
     right = limits.select(F.struct("lang", "source").alias("_quality_group"), F.struct(*names).alias("_quality_limits"))
     left = counted.withColumn("_quality_own", F.struct(F.col("lang").alias("lang"), F.col("source").alias("source")))
-    joined = left.join(F.broadcast(right) if few else right, F.col("_quality_own").eqNullSafe(F.col("_quality_group")), "left")
+    joined = left.join(small(right, BROADCAST_GROUPS), F.col("_quality_own").eqNullSafe(F.col("_quality_group")), "left")
     counts = {c: F.col(f"quality_counts.{c}") for c in COUNTS}
     bad = F.lit(False)
     for name, r in rules.items():

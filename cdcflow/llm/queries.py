@@ -13,6 +13,7 @@ from cdcflow.llm.packing import pack_documents
 from cdcflow.llm.quality import quality_verdicts, with_counts
 from cdcflow.llm.token_counts import token_counts
 from cdcflow.llm.url_filter import Rule, url_verdicts
+from cdcflow.llm.warc import archived
 from cdcflow.session import materialize, scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -36,6 +37,10 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived(table(spark, sf_dir, "pages"), scratch_path(spark, "archives"))
+
+
 URL_RULES = (Rule("block", "net", "/"), Rule("allow", "example.net", "/en/"), Rule("block", "example.com", "/de/"), Rule("allow", "org", "/fr/"))
 
 
@@ -52,5 +57,14 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), word_tokenizer(spark))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op4_quality_rules, op5_lm_scoring, op8_url_filter, op9_near_duplicates, op10_best_fit_packing)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op2_token_counts, op4_quality_rules, op5_lm_scoring, op7_warc, op8_url_filter, op9_near_duplicates, op10_best_fit_packing)}
+ORACLES: dict[str, str] = {
+    "op7_warc": """
+with p as (select page_id, coalesce(html, '') as html from pages),
+d as (select page_id, cast(octet_length(encode(html)) as bigint) as payload_bytes, sha1(html) as payload_digest,
+             max(page_id) over (partition by html) as last from p)
+select page_id, payload_bytes, payload_digest,
+       case when payload_bytes >= 1000 and page_id < last then 'revisit' else 'response' end as record_type,
+       case when payload_bytes >= 1000 and page_id < last then last end as refers_to
+from d""",
+}
