@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from cdcflow.llm.common import table
+from cdcflow.llm.decontam import contaminated
 from cdcflow.llm.encoder import Tokenizer
 from cdcflow.llm.lm_score import lm_scores
 from cdcflow.llm.near_dup import Params, near_duplicates
@@ -37,6 +38,10 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived(table(spark, sf_dir, "pages"), scratch_path(spark, "archives"))
 
@@ -57,7 +62,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), word_tokenizer(spark))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op4_quality_rules, op5_lm_scoring, op7_warc, op8_url_filter, op9_near_duplicates, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op2_token_counts, op4_quality_rules, op5_lm_scoring, op6_decontamination, op7_warc, op8_url_filter, op9_near_duplicates, op10_best_fit_packing)}
 ORACLES: dict[str, str] = {
     "op7_warc": """
 with p as (select page_id, coalesce(html, '') as html from pages),
