@@ -13,6 +13,7 @@ from cdcflow.llm.encoder import Tokenizer
 from cdcflow.llm.lm_score import lm_scores
 from cdcflow.llm.near_dup import Params, near_duplicates
 from cdcflow.llm.packing import pack_documents
+from cdcflow.llm.pii import pii_report
 from cdcflow.llm.quality import quality_verdicts, with_counts
 from cdcflow.llm.token_counts import token_counts
 from cdcflow.llm.url_filter import Rule, url_verdicts
@@ -26,6 +27,10 @@ def word_tokenizer(spark: SparkSession) -> Tokenizer:
     return Tokenizer(spark, public_tokenizers.path(TOKENIZER))
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_report(table(spark, sf_dir, "documents"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), word_tokenizer(spark), scratch_path(spark, "token-cache"))
 
@@ -73,7 +78,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), word_tokenizer(spark))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op3_chat_formatting, op4_quality_rules, op5_lm_scoring, op6_decontamination, op7_warc, op8_url_filter, op9_near_duplicates, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_token_counts, op3_chat_formatting, op4_quality_rules, op5_lm_scoring, op6_decontamination, op7_warc, op8_url_filter, op9_near_duplicates, op10_best_fit_packing)}
 ORACLES: dict[str, str] = {
     "op7_warc": """
 with p as (select page_id, coalesce(html, '') as html from pages),
