@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cdcflow.llm import twins
 from cdcflow.llm.chat import chat_windows, conversation_digests
 from cdcflow.llm.common import table
 from cdcflow.llm.decontam import contaminated
@@ -79,13 +80,4 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_pii, op2_token_counts, op3_chat_formatting, op4_quality_rules, op5_lm_scoring, op6_decontamination, op7_warc, op8_url_filter, op9_near_duplicates, op10_best_fit_packing)}
-ORACLES: dict[str, str] = {
-    "op7_warc": """
-with p as (select page_id, coalesce(html, '') as html from pages),
-d as (select page_id, cast(octet_length(encode(html)) as bigint) as payload_bytes, sha1(html) as payload_digest,
-             max(page_id) over (partition by html) as last from p)
-select page_id, payload_bytes, payload_digest,
-       case when payload_bytes >= 1000 and page_id < last then 'revisit' else 'response' end as record_type,
-       case when payload_bytes >= 1000 and page_id < last then last end as refers_to
-from d""",
-}
+ORACLES: dict[str, str] = {"op4_quality_rules": twins.OP4, "op7_warc": twins.OP7}
