@@ -140,14 +140,14 @@ def buckets(nodes: DataFrame) -> DataFrame:
 
 
 def hub_pairs(members: DataFrame) -> DataFrame:
-    """Each member with its bucket's hub: the member whose buckets hold the most rows.
+    """Each member with the hub of its largest bucket: the member whose buckets hold the most rows.
 
     The text that all near copies were made from keeps most of its bands and so sits in the large
-    buckets; paired with it, a group of copies becomes one star.
+    buckets; paired with it, a group of copies becomes one star of one pair per member.
     """
-    weight = members.groupBy("node").agg(F.sum("size").alias("weight"))
-    hubs = members.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("node")).alias("minus"))).alias("top"))
-    paired = members.join(hubs.select("bucket", (-F.col("top.minus")).alias("hub")), "bucket").where("hub <> node")
+    own = members.groupBy("node").agg(F.sum("size").alias("weight"), F.max(F.struct("size", "bucket"))["bucket"].alias("bucket"))
+    hubs = members.join(own.select("node", "weight"), "node").groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("node")).alias("minus"))).alias("top"))
+    paired = own.join(hubs.select("bucket", (-F.col("top.minus")).alias("hub")), "bucket").where("hub <> node")
     return paired.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
 
 
@@ -180,16 +180,21 @@ def confirmed(pairs: DataFrame, documents: DataFrame, p: Params) -> DataFrame:
 def rest_pairs(members: DataFrame, nodes: DataFrame, known: DataFrame, p: Params) -> DataFrame:
     """All other pairs of a bucket, as far as they lie in different components and their sketches agree.
 
-    Whatever the hubs did not connect is compared in full: a bucket is cut into blocks, each pair of
-    blocks is a cell of at most about 2 x ``CELL`` members, and a task compares a cell's sketches in
-    memory and emits only those that may reach the threshold.
+    Every such pair has a member outside the bucket's most frequent component.  These probe all members:
+    members are cut into blocks, probes too, and a cell holds one block of each, about 2 x ``CELL`` rows.
+    A task compares a cell's sketches in memory and emits only pairs that may reach the threshold,
+    so a large bucket with few probes costs little more than its size.
     """
     labelled = members.join(known.select("node", "component"), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    split = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
-    open_ = labelled.join(split, "bucket").withColumn("blocks", F.ceil(F.col("size") / CELL))
-    own = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    celled = open_.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cells = celled.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component")
+    parts = labelled.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    split = parts.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all")).where("top.n < all")
+    split = split.select("bucket", F.col("top.component").alias("main"), F.ceil(F.col("all") / CELL).alias("blocks"), F.ceil((F.col("all") - F.col("top.n")) / CELL).alias("probe_blocks"))
+    open_ = labelled.join(split, "bucket").withColumn("code", F.xxhash64("node"))
+    held = open_.select("bucket", F.explode(F.sequence(F.lit(0), F.col("probe_blocks") - 1)).alias("i"), F.pmod("code", "blocks").alias("j"), F.lit(False).alias("probe"), "node", "component")
+    probes = open_.where("component <> main").select(
+        "bucket", F.pmod("code", "probe_blocks").alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(True).alias("probe"), "node", "component"
+    )
+    cells = held.union(probes)
     rows = cells.join(nodes.select("node", "n_shingles", "sketch"), "node").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
     percent, bits, samples, cut = p.percent, p.bits, p.samples, p.percent / 100 - p.margin
     most = int(bits / 2 * (1 - np.exp((cut - 1) * 2 * samples * 2 / bits)))  # bits that may differ at the cut
@@ -212,24 +217,21 @@ def rest_pairs(members: DataFrame, nodes: DataFrame, known: DataFrame, p: Params
 
 def _cells(t: pa.Table, ends: np.ndarray, percent: int, most: int) -> Iterator[pa.RecordBatch]:
     node, size, comp = (t.column(c).to_numpy() for c in ("node", "n_shingles", "component"))
-    own, i, j = (t.column(c).to_numpy() for c in ("own", "i", "j"))
+    probe = t.column("probe").to_numpy()
     sketch = t.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(t.num_rows, -1)
     at = 0
     for end in ends.tolist():
-        left, right = np.arange(at, end)[own[at:end] == i[at]], np.arange(at, end)[own[at:end] == j[at]]
+        inside = np.arange(at, end)
+        left, right, at = inside[probe[at:end]], inside[~probe[at:end]], end
         found = []
         for x in left:
             y = right[(comp[right] != comp[x]) & (100 * np.minimum(size[right], size[x]) >= percent * np.maximum(size[right], size[x]))]
-            if i[at] == j[at]:
-                y = y[node[y] > node[x]]
             if y.size:
                 odd = np.bitwise_count(sketch[y] ^ sketch[x]).sum(1, dtype=np.int64)
-                y = y[odd <= most]
-                found += [(min(node[x], v), max(node[x], v)) for v in node[y].tolist()]
+                found += [(min(node[x], v), max(node[x], v)) for v in node[y[odd <= most]].tolist()]
         if found:
             a, b = zip(*found, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-        at = end
 
 
 def near_duplicates(documents: DataFrame, p: Params = Params()) -> DataFrame:  # noqa: B008
@@ -238,7 +240,7 @@ def near_duplicates(documents: DataFrame, p: Params = Params()) -> DataFrame:  #
     Documents are linked when 100 x shared shingles >= ``percent`` x all shingles of the two, on full
     sets of 64-bit codes.  Equal sets are one class and take part once, under their smallest id, so
     copies are never expanded into pairs.  Two passes find the links between classes: members of a
-    bucket against its hub, then every pair the first pass left in different components.
+    bucket against a hub, then every pair of a bucket that the first pass left in different components.
 
     Null or empty texts and texts without words have no shingles and stand alone.  A row without id
     is linked with nothing and kept, with a null component.  Rows that repeat an id are one node
