@@ -34,6 +34,25 @@ def unescape(col: Column) -> Column:
     return F.coalesce(plain, F.lit(""))
 
 
+_JAVA_UNITS = r"((?:\\u+[0-9A-Fa-f]{4})++|\\[0-3]?[0-7]{1,2}|\\[\s\S]|[^\\]++|\\)"
+_JAVA_MARKS = {"\\n": "\n", "\\t": "\t", "\\r": "\r", "\\b": "\b", "\\f": "\f"}
+
+
+def java_unescaped(col: Column) -> Column:
+    """Text with its Java escapes (named, octal, 16-bit) as the characters they stand for."""
+
+    def read(unit: Column) -> Column:
+        hexed = F.decode(F.unhex(F.regexp_replace(unit, r"\\u+", "")), "UTF-16BE")
+        octal = F.chr(F.conv(F.substring(unit, 2, 3), 8, 10).cast("int"))
+        out = F.when(F.rlike(unit, F.lit(r"^\\u+[0-9A-Fa-f]{4}")), hexed).when(F.rlike(unit, F.lit(r"^\\[0-7]")), octal)
+        for mark, char in _JAVA_MARKS.items():
+            out = out.when(unit == mark, char)
+        return out.when(unit.startswith("\\") & (F.length(unit) == 2), F.substring(unit, 2, 1)).otherwise(unit)
+
+    units = F.regexp_extract_all(col, F.lit(_JAVA_UNITS), 1)
+    return F.when(F.contains(col, F.lit("\\")), F.array_join(F.transform(units, read), "")).otherwise(col)
+
+
 def hex_bytes(col: Column) -> Column:
     """Bytes of a hex text; NULL if it is not hex."""
     return F.unhex(col)

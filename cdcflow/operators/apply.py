@@ -10,7 +10,20 @@ from pyspark.sql import functions as F
 
 from cdcflow.session import materialize
 
-ORDER = ("commit_scn", "scn")
+ORDER = ("commit_scn", "scn", "seq")
+
+
+def order_of(changes: DataFrame, order: Sequence[str] | None = None) -> list[str]:
+    """The order of changes: as given, else ``ORDER`` without ``seq`` where the log lacks it.
+
+    It must be unique per key, or the winner among equals is undefined; ``txn.repeated_positions``
+    lists where it is not.
+    """
+    if order is not None:
+        if not order:
+            raise ValueError("changes need an order")
+        return list(order)
+    return [c for c in ORDER if c != "seq" or c in changes.columns]
 
 
 def _key(image: str, keys: Sequence[str]) -> Column:
@@ -36,12 +49,13 @@ def _actions(changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     )
 
 
-def compact_changes(changes: DataFrame, keys: Sequence[str], order: Sequence[str] = ORDER) -> DataFrame:
+def compact_changes(changes: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
     """Last action per key: ``keys, live, image, *order``.
 
     ``max_by`` aggregates on the map side, so a key that holds most of the log shrinks to one row
     per map task before the shuffle.
     """
+    order = order_of(changes, order)
     at = F.struct(*[F.col(c) for c in order])
     last = F.max_by(F.struct("live", "image", at.alias("at")), at)
     return (
@@ -60,7 +74,7 @@ def apply_changes(
     base: DataFrame,
     changes: DataFrame,
     keys: Sequence[str],
-    order: Sequence[str] = ORDER,
+    order: Sequence[str] | None = None,
     *,
     store_delta: bool = False,
 ) -> DataFrame:
@@ -88,7 +102,7 @@ def apply_unchanged(
     base: DataFrame,
     changes: DataFrame,
     keys: Sequence[str],
-    order: Sequence[str] = ORDER,
+    order: Sequence[str] | None = None,
     unchanged: str = "unchanged",
 ) -> DataFrame:
     """``apply_changes`` for logs that leave out large values that did not change.
@@ -97,6 +111,7 @@ def apply_unchanged(
     When the key itself changed, a value not resent is read from the before image.
     """
     cols = [c for c in base.columns if c not in keys]
+    order = order_of(changes, order)
     at = F.struct(*[F.col(c) for c in order])
     after = F.col("after")
     gaps = F.coalesce(F.col(unchanged), F.array().cast("array<string>"))

@@ -13,6 +13,7 @@ from cdcflow.operators.dirty import ERROR_TYPE, ERRORS, problem, split_dirty
 # Letters of the replica identity, and Oracle type families.
 IDENTITY = {"n": "nothing", "d": "default", "i": "index", "f": "full"}
 TEXT_TYPES = ("CHAR", "VARCHAR2", "NCHAR", "NVARCHAR2", "LONG", "CLOB", "NCLOB")
+#: Databases allow a thousand or so columns; more rows than this for one table are no dictionary.
 MAX_DICTIONARY_COLUMNS = 100_000
 
 
@@ -110,20 +111,25 @@ def _typed(value: Column, kind: str) -> Column:
 
 
 def typed_changes(
-    changes: DataFrame, dictionary: DataFrame, owner: str, table: str, compat: bool = False
+    changes: DataFrame, dictionary: DataFrame, owner: str, table: str, compat: bool = False, container: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Changes of one table with ``before`` and ``after`` as typed structs, and the dirty ones.
 
-    The dictionary of a single table is a handful of rows and becomes the schema on the driver.
+    The dictionary of a single table is a handful of rows and becomes the schema on the driver; one
+    that is impossibly long is refused, never cut.  A multitenant dictionary needs the ``container``.
     """
-    known = (
-        dictionary.where((F.col("owner") == owner) & (F.col("table_name") == table))
-        .orderBy("column_id")
-        .limit(MAX_DICTIONARY_COLUMNS)
-        .collect()
-    )
+    if "con_id" in dictionary.columns:
+        if container is None:
+            raise ValueError("the dictionary spans containers: name one")
+        dictionary = dictionary.where(F.col("con_id") == container)
+        if "con_id" in changes.columns:
+            changes = changes.where(F.col("con_id") == container)
+    listed = dictionary.where((F.col("owner") == owner) & (F.col("table_name") == table))
+    known = listed.orderBy("column_id").limit(MAX_DICTIONARY_COLUMNS + 1).collect()
     if not known:
         raise ValueError(f"no columns known for {owner}.{table}")
+    if len(known) > MAX_DICTIONARY_COLUMNS:
+        raise ValueError(f"more than {MAX_DICTIONARY_COLUMNS} columns listed for {owner}.{table}")
     kinds = {r["column_name"]: spark_type(r["data_type"], r["data_precision"], r["data_scale"], compat) for r in known}
     rows = changes.where((F.col("schema") == owner) & (F.col("table") == table))
     return typed_images(rows, kinds)

@@ -22,11 +22,12 @@ def _named(values: str) -> Column:
 
 
 def images(decoded: DataFrame) -> DataFrame:
-    """Decoded rows as events with ``before`` and ``after`` maps; malformed rows have ``ok`` false."""
+    """Decoded rows as events with ``before`` and ``after`` maps; malformed rows have ``ok`` false and no images."""
+    good = F.coalesce(F.col("ok"), F.lit(False))
     return decoded.withColumnRenamed("kind", "op").select(
         *EVENT_COLUMNS,
-        _named("old").alias("before"),
-        _named("new").alias("after"),
+        F.when(good, _named("old")).alias("before"),
+        F.when(good, _named("new")).alias("after"),
         "unchanged",
         "ok",
     )
@@ -35,10 +36,11 @@ def images(decoded: DataFrame) -> DataFrame:
 def envelope(events: DataFrame, flat: bool = False) -> DataFrame:
     """``type, schema, table, lsn, ts, ingestion`` with both images, nested or in one flat map.
 
-    The flat map has ``before_x`` and ``after_x`` for every column of the row.
+    The flat map has ``before_x`` and ``after_x`` for every column of the row.  ``unchanged`` (columns
+    not resent) and ``ok`` go along where the events have them.
     """
     head = [F.lower("op").alias("type"), "schema", "table", "lsn", "ts", (F.unix_micros(F.current_timestamp()) * 1000).alias("ingestion")]
-    keep = [c for c in ("pos", "xid") if c in events.columns]
+    keep = [c for c in ("pos", "xid", "unchanged", "ok") if c in events.columns]
     if not flat:
         return events.select(*head, *keep, "before", "after")
     names = F.array_distinct(F.concat(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cdcflow.functions.plan import once
+from cdcflow.functions.text import java_unescaped
 from cdcflow.operators.filters import list_predicate
 from cdcflow.operators.positions import WHOLE, Slices, carry, running
 from cdcflow.session import materialize
@@ -20,6 +21,8 @@ OPERATION_CODES = (1, 2, 3, 5)
 IGNORED_USERS = ("UNKNOWNX", "SYS", "KMINER")
 INTERNAL_DDL = "INTERNAL DDL"
 TEMPORARY_TABLES = "temporary tables"
+# The marks around the statement in a printed map.
+MAP_BEGIN, MAP_END = "SQL_REDO=", ", OPERATION"
 
 
 def mined_rows(
@@ -40,11 +43,24 @@ def mined_rows(
     return log.where((F.col("scn") > since_scn) & (real | changes)).withColumn("xid", xid)
 
 
-def drop_internal(rows: DataFrame) -> DataFrame:
-    """Without statements on temporary tables and internal DDL."""
+def _internal() -> Column:
     temporary = F.coalesce(F.col("sql_redo").contains(TEMPORARY_TABLES), F.lit(False))
-    internal = (F.col("operation") == "DDL") & F.coalesce(F.col("info").startswith(INTERNAL_DDL), F.lit(False))
-    return rows.where(~temporary & ~internal)
+    return temporary | ((F.col("operation") == "DDL") & F.coalesce(F.col("info").startswith(INTERNAL_DDL), F.lit(False)))
+
+
+def drop_internal(rows: DataFrame) -> DataFrame:
+    """Whole rows without statements on temporary tables and internal DDL; for pieces see ``redo_statements``."""
+    return rows.where(~_internal())
+
+
+def redo_statements(rows: DataFrame, *, keys: Sequence[str] = ("source", "xid", "rs_id"), pos: str = "pos", slices: Slices = WHOLE) -> DataFrame:
+    """Whole statements without internal ones.
+
+    A statement is judged by its first piece, and the verdict holds for all of it: later pieces may
+    hold the marker as a value, and a first piece never goes without those that follow it.
+    """
+    whole = stitch_redo(rows.withColumn("_internal", _internal()), keys=keys, pos=pos, slices=slices)
+    return whole.where(~F.col("_internal")).drop("_internal")
 
 
 def stitch_redo(
@@ -150,7 +166,12 @@ def redo_from_message(message: Column, form: str = "json") -> Column:
     if form == "json":
         return F.get_json_object(message, "$.SQL_REDO")
     if form == "map":
-        return F.regexp_extract(message, r"SQL_REDO=([\s\S]*), OPERATION", 1)
+        # between the first of one mark and the last of the other, in text that was printed with escapes
+        text = java_unescaped(message)
+        tail = F.substring(text, F.locate(MAP_BEGIN, text) + len(MAP_BEGIN), F.length(text))
+        rest = F.length(F.substring_index(tail, MAP_END, -1)) + len(MAP_END)
+        both = (F.locate(MAP_BEGIN, text) > 0) & F.contains(tail, F.lit(MAP_END))
+        return F.when(both, F.substring(tail, F.lit(1), F.length(tail) - rest)).otherwise("")
     raise ValueError(f"unknown message form {form!r}")
 
 

@@ -21,7 +21,9 @@ from cdcflow.operators.offsets import incremental_scan
 from cdcflow.operators.pg9 import pg9_changes
 from cdcflow.operators.pgoutput import pg_changes
 from cdcflow.operators.records import decode_messages, project, to_message_records
-from cdcflow.operators.redo import drop_internal, mined_rows, redo_from_message
+from cdcflow.operators.positions import plan_slices
+from cdcflow.operators.redo import drop_internal, mined_rows, redo_from_message, redo_statements
+from cdcflow.operators.txn import committed_changes
 from cdcflow.session import shared_dir
 from cdcflow.sinks.files import discard, file_sink, print_rows
 from cdcflow.sources.jdbc import Connection, jdbc_scan, merge_url
@@ -97,18 +99,18 @@ class SyncJob:
     def from_json(cls, text: str, params: str | Mapping[str, str] | None = None) -> "SyncJob":
         job = json.loads(substitute(text, params)).get("job")
         if not job:
-            raise ValueError("must specify a job element")
+            raise ValueError("the JSON has no job")
         content = job.get("content")
         if not content:
-            raise ValueError("must specify at least one content element")
+            raise ValueError("the job has no content")
         for side in ("reader", "writer"):
             part = content[0].get(side)
             if part is None:
-                raise ValueError(f"must specify a {side} element")
+                raise ValueError(f"the job's content lacks its {side}")
             if part.get("name") is None:
-                raise ValueError(f"must specify the {side} name")
+                raise ValueError(f"the {side} is not named")
             if part.get("parameter") is None:
-                raise ValueError(f"must specify parameters for the {side}")
+                raise ValueError(f"the {side} has no parameter block")
         return cls(content[0]["reader"], content[0]["writer"], job.get("setting") or {})
 
     def masked(self) -> dict[str, Any]:
@@ -250,14 +252,22 @@ def _captured(decode: Callable) -> Reader:
 
 
 def _redo_reader(spark: SparkSession, p: Mapping[str, Any], job: SyncJob) -> DataFrame:
+    """Whole statements of committed transactions (``mode: "raw"``: of all), from mined rows or their pieces."""
     log = spark.read.format(p.get("format", "parquet")).load(p["path"])
     rows = mined_rows(log, int(p.get("scn") or 0), p["whiteList"], p.get("blackList") or [])
-    rows = drop_internal(rows).where(F.col("sql_redo").isNotNull())
+    if "csf" in log.columns:
+        rows = redo_statements(rows, slices=plan_slices(log, "pos", ["source", "rs_id"]))
+    else:
+        rows = drop_internal(rows)
+    rows = rows.drop("commit_scn").withColumn("op", F.lower("operation"))
+    rows = committed_changes(rows, mode=p.get("mode", "committed"), slices=plan_slices(log, "scn", ["source", "xidusn", "xidslt", "xidsqn"]))
+    rows = rows.where(F.col("sql_redo").isNotNull())
     if p.get("cat"):
         rows = filter_category(rows.withColumn("table", F.col("table_name")), p["cat"], "operation")
+    when = [F.col("timestamp").alias("TIMESTAMP")] if "timestamp" in log.columns else []
     return rows.select(
-        F.col("scn").alias("SCN"), F.col("seg_owner").alias("SEG_OWNER"), F.col("table_name").alias("TABLE_NAME"),
-        F.col("sql_redo").alias("SQL_REDO"), F.col("operation").alias("OPERATION"),
+        F.col("scn").alias("SCN"), F.col("commit_scn").alias("COMMIT_SCN"), F.col("seg_owner").alias("SEG_OWNER"), F.col("table_name").alias("TABLE_NAME"),
+        *when, F.col("sql_redo").alias("SQL_REDO"), F.col("operation").alias("OPERATION"),
     )
 
 

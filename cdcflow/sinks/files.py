@@ -7,18 +7,15 @@ from pyspark.sql import functions as F
 
 from cdcflow.operators.metrics import row_bytes
 
-SIZING_ROWS = 10_000
-
 
 def rows_per_file(df: DataFrame, max_file_bytes: int, bytes_per_row: float | None = None) -> int:
     """Rows that fill a file of the wanted size.
 
-    The mean row size may be given; else a few rows are measured.  It only sizes files: every row
-    is written either way.
+    The mean row size may be given; else it is the mean length of all rows as printed text, which
+    takes a pass over the table.  It only sizes files: every row is written either way.
     """
     if bytes_per_row is None:
-        measured = df.limit(SIZING_ROWS).agg(F.avg(row_bytes(df)).alias("b")).first()["b"]
-        bytes_per_row = measured or 1.0
+        bytes_per_row = df.agg(F.avg(row_bytes(df)).alias("b")).first()["b"] or 1.0
     return max(1, int(max_file_bytes / max(bytes_per_row, 1.0)))
 
 
@@ -48,11 +45,18 @@ def file_sink(
     out.save(path)
 
 
-def print_rows(df: DataFrame, delimiter: str = "|", n: int = 20) -> None:
-    """Show the first rows as printed text."""
+def print_rows(df: DataFrame, delimiter: str = "|") -> int:
+    """Print every row as text; returns how many.
+
+    Rows come to the driver one partition at a time.
+    """
     from cdcflow.functions.text import render_row
 
-    df.select(render_row(df, delimiter).alias("row")).show(n, truncate=False)
+    n = 0
+    for row in df.select(render_row(df, delimiter).alias("row")).toLocalIterator():
+        print(row["row"])
+        n += 1
+    return n
 
 
 def discard(df: DataFrame) -> None:

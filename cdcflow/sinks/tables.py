@@ -44,6 +44,8 @@ def write_table(
         return df.select(*cols), None
     if mode not in MODES:
         raise ValueError(f"unknown write mode {mode!r}")
+    if not keys or not order:
+        raise ValueError(f"mode {mode} needs keys and an order of the rows of a key")
     keys = list(keys)
     if mode == "insert":
         known = target.select(*keys)

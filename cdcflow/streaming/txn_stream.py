@@ -13,10 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from cdcflow.operators.apply import compact_changes
-from cdcflow.operators.positions import plan_slices
-from cdcflow.operators.txn import BOUNDARY, DML, TXN_KEYS
-from cdcflow.operators.positions import carry
+from cdcflow.operators.apply import compact_changes, order_of
+from cdcflow.operators.positions import carry, plan_slices
+from cdcflow.operators.txn import BOUNDARY, DML, RANK, TXN_KEYS, txn_ties, with_rank
 
 RELEASED, OPEN, ORPHAN = "released", "open", "orphan"
 
@@ -49,8 +48,8 @@ def committed_batch(path: str, max_age_scn: int | None = None) -> Callable[[Data
         slices = plan_slices(rows, "scn", TXN_KEYS)
         end = F.struct(F.col("op").alias("outcome"), F.col("scn").alias("commit_scn"))
         ended = carry(
-            rows, TXN_KEYS, "scn", end, F.col("op").isin(*BOUNDARY), "_end", backward=True, slices=slices
-        ).where(F.col("op").isin(*DML))
+            with_rank(rows), TXN_KEYS, "scn", end, F.col("op").isin(*BOUNDARY), "_end", backward=True, ties=txn_ties(rows), slices=slices
+        ).where(F.col("op").isin(*DML)).drop(RANK)
         state = F.when(F.col("_end").isNull(), OPEN).when(F.col("_end.outcome") == "commit", RELEASED)
         if max_age_scn is not None:
             top = rows.agg(F.max("scn")).first()[0] or 0
@@ -74,7 +73,7 @@ def released_changes(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).where(F.col("state") == RELEASED).drop("state", "batch")
 
 
-def delta_batch(path: str, keys: Sequence[str], order: Sequence[str]) -> Callable[[DataFrame, int], None]:
+def delta_batch(path: str, keys: Sequence[str], order: Sequence[str] | None = None) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that appends the compacted changes of a batch to the delta log.
 
     The target itself is not rewritten per batch; readers merge, and a merge job folds deltas in.
@@ -87,16 +86,16 @@ def delta_batch(path: str, keys: Sequence[str], order: Sequence[str]) -> Callabl
 
 
 def stream_apply(
-    changes: DataFrame, path: str, checkpoint: str, keys: Sequence[str], order: Sequence[str] = ("commit_scn", "scn"), every: str | None = None
+    changes: DataFrame, path: str, checkpoint: str, keys: Sequence[str], order: Sequence[str] | None = None, every: str | None = None
 ) -> StreamingQuery:
     """Start turning a stream of committed changes into deltas of a keyed table."""
     writer = changes.writeStream.foreachBatch(delta_batch(path, keys, order)).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
-def merged_table(base: DataFrame, deltas: DataFrame, keys: Sequence[str], order: Sequence[str] = ("commit_scn", "scn")) -> DataFrame:
+def merged_table(base: DataFrame, deltas: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
     """The table with its deltas folded in; written back, it is the new base."""
-    at = F.struct(*[F.col(c) for c in order])
+    at = F.struct(*[F.col(c) for c in order_of(deltas, order)])
     last = deltas.groupBy(*keys).agg(F.max_by(F.struct("live", "image"), at).alias("l"))
     kept = base.join(last.select(*keys), list(keys), "left_anti").select(*base.columns)
     new = last.where("l.live").select(*[F.col(f"l.image.{c}").alias(c) for c in base.columns])

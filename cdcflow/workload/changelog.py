@@ -31,10 +31,23 @@ dml as (
 tx as (select t, t = max(t) over () is_last from (select distinct t from o)),
 ctl as (select t, 'start' op, t*1000 scn from tx where t%13 <> 0
  union all select t, case when t%11 = 0 then 'rollback' else 'commit' end, t*1000+999 from tx where not is_last),
-live as (select dml.*, t*1000+999 commit_scn from dml join tx using (t) where t%11 <> 0 and not is_last)
+live as (select dml.* replace (case when t%2 = 0 then t*1000 else scn - scn%10 end as scn), case when t%2 = 0 then scn%1000 else scn%10 end seq,
+                case when t%2 = 0 then t*1000 else t*1000+990 end commit_scn from dml join tx using (t) where t%11 <> 0 and not is_last)
 """
 
 
+def shared_scn(rows: DataFrame) -> DataFrame:
+    """Rows of one moment under one SCN, told apart by ``seq`` alone.
+
+    All rows of an even transaction, START and COMMIT with them, and the changes of one order in an
+    odd one.
+    """
+    even = F.expr("t % 2 = 0")
+    return rows.withColumns(
+        {"scn": F.when(even, F.expr("t * 1000")).otherwise(F.expr("scn - scn % 10")), "seq": F.when(even, F.expr("scn % 1000")).otherwise(F.expr("scn % 10"))}
+    )
+
+
 def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order with the rules that shape its part of the log."""
     pr, st, k = F.col("o_orderpriority"), F.col("o_orderstatus"), F.col("o_orderkey")
@@ -103,7 +116,7 @@ def control_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole log as captured: source, schema, table, xid, t, op, scn, before, after."""
+    """The whole log as captured: source, schema, table, xid, t, op, scn, seq, before, after; in no order."""
     return derived(spark, sf_dir, "changelog", build_changelog)
 
 
@@ -115,7 +128,7 @@ def build_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     ctl = control_rows(spark, sf_dir).select(
         F.lit(None).cast("string").alias("table"), "t", "op", "scn", none.alias("before"), none.alias("after")
     )
-    return dml.unionByName(ctl).select(
+    return shared_scn(dml.unionByName(ctl)).select(
         F.lit("db1").alias("source"),
         F.lit("SALES").alias("schema"),
         "table",
@@ -123,9 +136,10 @@ def build_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
         "t",
         "op",
         "scn",
+        "seq",
         "before",
         "after",
-    )
+    ).orderBy(F.xxhash64("t", "scn", "seq"))
 
 
 def base_table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,12 +13,12 @@ from cdcflow.workload.registry import query
 
 @query(
     "committed_changes",
-    f"with {LOG_SQL} select '7.3.' || (t%97) xid, op, scn, commit_scn, bk, bst, bc, ak, ast, ac from live",
+    f"with {LOG_SQL} select '7.3.' || (t%97) xid, op, scn, seq, commit_scn, bk, bst, bc, ak, ast, ac from live",
 )
 def _committed(spark, sf_dir):
     log = changelog(spark, sf_dir)
     out = committed_changes(log, slices=plan_slices(log, "scn", TXN_KEYS))
-    return flat(out, "xid", "op", "scn", "commit_scn")
+    return flat(out, "xid", "op", "scn", "seq", "commit_scn")
 
 
 @query(
@@ -38,16 +38,16 @@ def _apply(spark, sf_dir):
 @query(
     "compact_changes",
     f"""with {LOG_SQL},
-    acts as (select bk k, false live, cast(null as varchar) st, cast(null as bigint) cents, commit_scn, scn
+    acts as (select bk k, false live, cast(null as varchar) st, cast(null as bigint) cents, commit_scn, scn, seq
              from live where bk is not null and (ak is null or ak <> bk)
-             union all select ak, true, ast, ac, commit_scn, scn from live where ak is not null)
-    select k, live, st, cents, commit_scn, scn from acts
-    qualify row_number() over (partition by k order by commit_scn desc, scn desc) = 1""",
+             union all select ak, true, ast, ac, commit_scn, scn, seq from live where ak is not null)
+    select k, live, st, cents, commit_scn, scn, seq from acts
+    qualify row_number() over (partition by k order by commit_scn desc, scn desc, seq desc) = 1""",
 )
 def _compact(spark, sf_dir):
     log = changelog(spark, sf_dir)
     out = compact_changes(committed_changes(log, slices=plan_slices(log, "scn", TXN_KEYS)), ["k"])
-    return out.select("k", "live", "image.st", "image.cents", "commit_scn", "scn")
+    return out.select("k", "live", "image.st", "image.cents", "commit_scn", "scn", "seq")
 
 
 @query(

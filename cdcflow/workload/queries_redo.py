@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cdcflow.operators.dictionary import typed_changes
 from cdcflow.operators.positions import plan_slices
-from cdcflow.operators.redo import drop_internal, mined_rows, redo_images, redo_since, stitch_redo
+from cdcflow.operators.redo import drop_internal, mined_rows, redo_images, redo_since, redo_statements
 from cdcflow.operators.txn import committed_changes, log_gaps, remove_rollback_pairs, resume_after
 from cdcflow.workload.changelog import LOG_SQL
 from cdcflow.workload.redolog import REDO_SQL, redo_log, redo_pieces
@@ -40,7 +40,7 @@ def _since(spark, sf_dir):
 
 @query(
     "redo_filtered",
-    f"""{REDO}, {ALL_ROWS} select scn, operation, sql_redo from rows_ where coalesce(sql_redo, '') not in ('drop x', 'insert into temporary tables z')""",
+    f"""{REDO}, {ALL_ROWS} select scn, operation, sql_redo from rows_ where coalesce(sql_redo, '') <> 'drop x' and not contains(coalesce(sql_redo, ''), 'temporary tables')""",
 )
 def _filtered(spark, sf_dir):
     return drop_internal(redo_log(spark, sf_dir)).select("scn", "operation", "sql_redo")
@@ -50,7 +50,7 @@ def _statements(spark, sf_dir):
     """Whole statements of the pieces in the log."""
     rows = mined_rows(redo_pieces(spark, sf_dir), -1, ["SALES.*"])
     pieces = redo_pieces(spark, sf_dir)
-    return stitch_redo(drop_internal(rows), slices=plan_slices(pieces, "pos", ["source", "rs_id"]))
+    return redo_statements(rows, slices=plan_slices(pieces, "pos", ["source", "rs_id"]))
 
 
 @query(
@@ -133,9 +133,9 @@ def _resume(spark, sf_dir):
 
 @query(
     "log_gaps",
-    f"""with {LOG_SQL}, s as (select distinct t%2+1 thread, t//20 + t//200 "sequence" from tx),
-        l as (select *, lag("sequence") over (partition by thread order by "sequence") prev_sequence from s)
-        select thread, "sequence", prev_sequence, "sequence" - prev_sequence - 1 missing from l where "sequence" - prev_sequence > 1""",
+    f"""with {LOG_SQL}, s as (select distinct 'db1' source, t%2+1 thread, t//20 + t//200 "sequence" from tx),
+        l as (select *, lag("sequence") over (partition by source, thread order by "sequence") prev_sequence from s)
+        select source, thread, "sequence", prev_sequence, "sequence" - prev_sequence - 1 missing from l where "sequence" - prev_sequence > 1""",
 )
 def _gaps(spark, sf_dir):
-    return log_gaps(redo_log(spark, sf_dir).select("thread", "sequence"))
+    return log_gaps(redo_log(spark, sf_dir).select("source", "thread", "sequence"))

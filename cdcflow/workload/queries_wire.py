@@ -141,7 +141,7 @@ def _flat(spark, sf_dir):
 
 @query(
     "filter_category",
-    f"""with {LOG_SQL} select 'ORDERS_' || tag "table", op, scn from dml where op in ('update','delete')""",
+    f"""with {LOG_SQL} select 'ORDERS_' || tag "table", op, case when t%2 = 0 then t*1000 else scn - scn%10 end scn from dml where op in ('update','delete')""",
 )
 def _category(spark, sf_dir):
     return filter_category(changelog(spark, sf_dir), "Update, DELETE").select("table", "op", "scn")
@@ -149,7 +149,7 @@ def _category(spark, sf_dir):
 
 @query(
     "filter_tables",
-    f"""with {LOG_SQL} select 'ORDERS_' || tag "table", op, scn from dml where tag in ('F','P')""",
+    f"""with {LOG_SQL} select 'ORDERS_' || tag "table", op, case when t%2 = 0 then t*1000 else scn - scn%10 end scn from dml where tag in ('F','P')""",
 )
 def _tables(spark, sf_dir):
     return filter_tables(changelog(spark, sf_dir), ["SALES.ORDERS_F", "SALES.ORDERS_P"]).select("table", "op", "scn")
@@ -157,7 +157,7 @@ def _tables(spark, sf_dir):
 
 @query(
     "filter_whitelist",
-    f"""with {LOG_SQL} select 'ORDERS_' || tag "table", op, scn from dml where tag <> 'O'""",
+    f"""with {LOG_SQL} select 'ORDERS_' || tag "table", op, case when t%2 = 0 then t*1000 else scn - scn%10 end scn from dml where tag <> 'O'""",
 )
 def _lists(spark, sf_dir):
     return filter_lists(changelog(spark, sf_dir), ["SALES.*"], ["SALES.ORDERS_O"]).where(

@@ -122,10 +122,10 @@ def _run_committed(spark, sf_dir) -> str:
 
 @query(
     "stream_committed",
-    f"with {LOG_SQL} select '7.3.' || (t%97) xid, op, scn, commit_scn, bk, bst, bc, ak, ast, ac from live",
+    f"with {LOG_SQL} select '7.3.' || (t%97) xid, op, scn, seq, commit_scn, bk, bst, bc, ak, ast, ac from live",
 )
 def _stream_committed(spark, sf_dir):
-    return flat(released_changes(spark, _run_committed(spark, sf_dir)), "xid", "op", "scn", "commit_scn")
+    return flat(released_changes(spark, _run_committed(spark, sf_dir)), "xid", "op", "scn", "seq", "commit_scn")
 
 
 @query(

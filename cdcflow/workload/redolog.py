@@ -20,7 +20,7 @@ REDO_SQL = """
 undo as (select t, k, st tag, 'update' op, s+6 scn, k bk, st bst, cents bc, k ak, 'X' ast, cents ac, 0 rollback from g where st = 'O'
  union all select t, k, st, 'update', s+7, k, 'X', cents, k, st, cents, 1 from g where st = 'O'),
 stm as (select t, k, tag, op, scn, bk, bst, bc, ak, ast, ac, 0 rollback from dml union all select * from undo),
-noted as (select *, case when tag = 'O' then null else 'it''s (' || tag || '), "K" = ''1'' where ' || cast(k as varchar) end note from stm),
+noted as (select *, case when tag = 'O' then null else 'it''s (' || tag || '), "K" = ''1'' where ' || cast(k as varchar) || case when tag = 'P' then ' of temporary tables' else '' end end note from stm),
 redo as (select *, 'ORDERS_' || tag tbl, '7.3.' || cast(t%97 as varchar) xid,
   case op when 'insert' then 'insert into "SALES"."ORDERS_' || tag || '"("K","ST","CENTS","NOTE") values (''' || ak || ''',''' || ast || ''',''' || ac || ''',' || case when note is null then 'NULL' else '''' || replace(note, '''', '''''') || '''' end || ')'
    when 'update' then 'update "SALES"."ORDERS_' || tag || '" set "K" = ''' || ak || ''', "ST" = ''' || ast || ''', "CENTS" = ''' || ac || ''' where "K" = ''' || bk || ''' and "ST" = ''' || bst || ''' and "CENTS" = ''' || bc || ''' and "NOTE" ' || case when note is null then 'IS NULL' else '= ''' || replace(note, '''', '''''') || '''' end
@@ -52,7 +52,7 @@ def build_redo_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("t", "k", F.col("st").alias("tag"), F.lit("update").alias("op"), F.explode(pair).alias("p"))
         .select("t", "k", "tag", "op", "p.scn", "p.before", "p.after", "p.rollback")
     )
-    note = F.when(F.col("tag") != "O", F.concat(F.lit("it's ("), "tag", F.lit("), \"K\" = '1' where "), F.col("k").cast("string")))
+    note = F.when(F.col("tag") != "O", F.concat(F.lit("it's ("), "tag", F.lit("), \"K\" = '1' where "), F.col("k").cast("string"), F.when(F.col("tag") == "P", " of temporary tables").otherwise("")))
     rows = changes.unionByName(undone).withColumn("note", note)
     target = F.concat(F.lit('"SALES"."ORDERS_'), "tag", F.lit('"'))
     note_test = F.when(F.col("note").isNull(), F.lit("IS NULL")).otherwise(F.concat(F.lit("= "), _quoted_note()))

@@ -63,6 +63,18 @@ def test_deltas_in_any_grouping_merge_to_the_same_table(spark):
     assert {tuple(r) for r in merged_table(b, deltas, ["k"]).collect()} == want
 
 
+def test_equal_scns_are_told_apart_by_seq(spark):
+    rows = [(5, 7, i, None if i == 0 else (1, f"v{i - 1}", i), (1, f"v{i}", i + 1), None) for i in range(9)]
+    base = spark.createDataFrame([], "k long, a string, b long")
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, SCHEMA.replace("scn long, before", "scn long, seq long, before"))
+        assert [tuple(r) for r in apply_changes(base, df, ["k"]).collect()] == [(1, "v8", 9)]
+        assert [tuple(r) for r in apply_unchanged(base, df, ["k"]).collect()] == [(1, "v8", 9)]
+        assert [tuple(r) for r in merged_table(base, compact_changes(df, ["k"]), ["k"]).collect()] == [(1, "v8", 9)]
+    with pytest.raises(ValueError):
+        compact_changes(df, ["k"], order=())
+
+
 def test_insert_refuses_taken_keys(spark):
     target = spark.createDataFrame([(1, "t")], "id long, v string")
     batch = spark.createDataFrame([(1, "x", 1), (2, "first", 2), (2, "second", 3), (3, "y", 4)], "id long, v string, n long")

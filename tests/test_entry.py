@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from cdcflow.operators import positions
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent / "tools"))
 check = importlib.import_module("check")
@@ -41,6 +42,20 @@ def test_every_twin_is_valid_sql(duck):
         assert duck.execute(f"explain {sql}").fetchall(), name
 
 
+# Every query whose operator has a sliced form.
+SLICED = (
+    "committed_changes", "rollback_pairs", "redo_stitched", "pg_changes", "pg9_changes", "snowflake_ids", "failure_runs", "even_segments",
+    "restore_boundaries",
+)
+
+
+@pytest.mark.parametrize("name", SLICED)
+def test_sliced_form_equals_twin(spark, duck, name, monkeypatch):
+    monkeypatch.setattr(positions, "GROUP_LIMIT", 0)
+    monkeypatch.setattr(positions, "ROWS_PER_SLICE", 150)
+    test_query_equals_twin(spark, duck, name)
+
+
 @pytest.mark.parametrize("name", SMOKE)
 def test_query_equals_twin(spark, duck, name):
     df = entry.queries()[name](spark, SF_DIR)

@@ -3,9 +3,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from cdcflow.operators.dictionary import spark_type, typed_images
+from cdcflow.operators.dictionary import spark_type, typed_changes, typed_images
 from cdcflow.operators.positions import WHOLE, Slices
-from cdcflow.operators.redo import drop_internal, mined_rows, redo_from_message, redo_images, stitch_redo
+from cdcflow.operators.redo import drop_internal, mined_rows, redo_from_message, redo_images, redo_statements, stitch_redo
 
 
 def images(spark, sql, op):
@@ -101,6 +101,32 @@ def test_statement_from_messages(spark):
     assert df.select(redo_from_message(F.col("m"), "map").alias("s")).first().s == sql
 
 
+def test_printed_messages_are_unescaped(spark):
+    text = r"{SQL_REDO=insert \"T\" values ('\u4f60\ud83d\ude00\101\t\\'), OPERATION=INSERT}"
+    assert spark.createDataFrame([(text,)], "m string").select(redo_from_message(F.col("m"), "map").alias("s")).first().s == "insert \"T\" values ('你😀A\t\\')"
+
+
+def test_a_statement_is_judged_by_its_first_piece(spark):
+    rows = [("s", "x", "a", 1, "INSERT", None, "insert into T values ('on ", 1), ("s", "x", "a", 2, "INSERT", None, "temporary tables", 1), ("s", "x", "a", 3, "INSERT", None, " end')", 0),
+            ("s", "x", "b", 4, "INSERT", None, "insert into temporary tables", 1), ("s", "x", "b", 5, "INSERT", None, " values (1)", 0),
+            ("s", "x", "c", 6, "DDL", "INTERNAL DDL x", "drop", 1), ("s", "x", "c", 7, "DDL", "INTERNAL DDL x", " y", 0)]
+    df = spark.createDataFrame(rows, "source string, xid string, rs_id string, pos long, operation string, info string, sql_redo string, csf int")
+    assert [(r.pos, r.sql_redo) for r in redo_statements(df).collect()] == [(1, "insert into T values ('on temporary tables end')")]
+
+
+def test_dictionaries_are_whole_and_by_container(spark, monkeypatch):
+    cells = [(c, "A", "T", f"C{i}", i, "NUMBER", 5 if c == 1 else 7, 0) for c in (1, 2) for i in range(30)]
+    d = spark.createDataFrame(cells, "con_id int, owner string, table_name string, column_name string, column_id int, data_type string, data_precision int, data_scale int")
+    rows = spark.createDataFrame([("A", "T", {"C3": "12"})], "schema string, table string, after map<string,string>").withColumn("before", F.lit(None).cast("map<string,string>"))
+    good, _ = typed_changes(rows, d, "A", "T", container=2)
+    assert len(good.first().after) == 30 and str(good.schema["after"].dataType["C3"].dataType) == "DecimalType(7,0)"
+    with pytest.raises(ValueError):
+        typed_changes(rows, d, "A", "T")
+    monkeypatch.setattr("cdcflow.operators.dictionary.MAX_DICTIONARY_COLUMNS", 20)
+    with pytest.raises(ValueError):
+        typed_changes(rows, d, "A", "T", container=1)
+
+
 def test_typed_images_split_bad_values(spark):
     df = spark.createDataFrame(
         [(1, {"K": "5", "D": "2020-01-02 03:04:05+08:00", "S": "t"}), (2, {"K": "no", "D": None, "S": None}), (3, None)],

@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -219,6 +220,14 @@ def test_restart_policies():
 # ---- jobs -------------------------------------------------------------------------------------
 
 
+@pytest.fixture(scope="module")
+def sf():
+    path = "/root/testdata/sf0.001"
+    if not os.path.isdir(path):
+        pytest.skip("test tables are not here")
+    return path
+
+
 def _job(reader, writer, **setting):
     return SyncJob.from_json(json.dumps({"job": {"content": [{"reader": reader, "writer": writer}], "setting": setting}}))
 
@@ -255,6 +264,27 @@ def test_job_from_messages_to_files(spark):
     assert got["to-%{a}"] == {"message": "plain"} and got["to-2"]["b"] is None and len(got) == 3
 
 
+def test_print_sink_prints_every_row(spark, capsys):
+    reader = {"name": "streamreader", "parameter": {"column": [{"type": "id"}], "sliceRecordCount": [50]}}
+    _job(reader, {"name": "streamwriter", "parameter": {"print": True}}).run(spark)
+    assert len(capsys.readouterr().out.split()) == 50
+
+
+def test_redo_job_lands_whole_statements_of_committed_transactions(spark, sf):
+    from cdcflow.operators.redo import mined_rows, redo_statements
+    from cdcflow.operators.txn import committed_changes
+    from cdcflow.workload.redolog import redo_pieces
+
+    pieces, src, out = redo_pieces(spark, sf), scratch_path(spark, "in"), scratch_path(spark, "out")
+    pieces.withColumn("timestamp", F.current_timestamp()).write.parquet(src)
+    reader = {"name": "logminerreader", "parameter": {"path": src, "scn": -1, "whiteList": ["SALES.*"]}}
+    _job(reader, {"name": "filewriter", "parameter": {"path": out}}).run(spark)
+    whole = redo_statements(mined_rows(pieces, -1, ["SALES.*"])).withColumn("op", F.lower("operation")).drop("commit_scn")
+    want = sorted((r.scn, r.commit_scn, r.sql_redo) for r in committed_changes(whole).collect())
+    got = spark.read.parquet(out)
+    assert sorted((r.SCN, r.COMMIT_SCN, r.SQL_REDO) for r in got.collect()) == want and len(want) > 1000 and "TIMESTAMP" in got.columns
+
+
 def test_job_with_generated_rows_dirty_rows_and_limits(spark):
     out, dirty = scratch_path(spark, "out"), scratch_path(spark, "dirty")
     register_source("checked", lambda s, p, job: to_typed(s.createDataFrame([("1",), ("x",)], "v string"), [("v", "n", "INT", None)]))

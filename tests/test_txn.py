@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cdcflow.operators.positions import WHOLE, Slices
-from cdcflow.operators.txn import committed_changes, log_gaps, open_changes, remove_rollback_pairs, resume_after
+from cdcflow.operators.txn import committed_changes, log_gaps, open_changes, remove_rollback_pairs, repeated_positions, resume_after
 
 SCHEMA = "source string, xid string, op string, scn long, v long"
 LAYOUTS = [WHOLE, Slices((0, 150, 151, 700, 2000), 1), Slices((0, 2000), 8)]
@@ -40,6 +40,26 @@ def test_committed_equals_replay(spark, seed, layout):
     assert {r.scn for r in open_changes(df, slices=layout).collect()} == still_open
 
 
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_rows_that_share_an_scn_follow_seq(spark, layout):
+    log = _log(5)
+    tied = [(*r[:3], r[3] // 40 * 40, r[3] % 40, r[4]) for r in log]
+    random.Random(1).shuffle(tied)
+    df = spark.createDataFrame(tied, "source string, xid string, op string, scn long, seq long, v long").repartition(5)
+    want, still_open = _replay(log)
+    got = {(r.xid, r.scn + r.seq) for r in committed_changes(df, slices=layout).collect()}
+    assert got == {(x, s) for x, s, _ in want}
+    assert {r.scn + r.seq for r in open_changes(df, slices=layout).collect()} == still_open
+    assert repeated_positions(df, ["source"], ["scn", "seq"]).count() == 0 < repeated_positions(df, ["source"], ["scn"]).count()
+
+
+def test_start_and_commit_frame_their_scn_without_seq(spark):
+    for rows in ([("start", 10), ("insert", 10), ("update", 20), ("commit", 20)],) * 2:
+        for order in (rows, rows[::-1]):
+            df = spark.createDataFrame([("s", "x", op, scn, 0) for op, scn in order], SCHEMA)
+            assert {(r.op, r.scn, r.commit_scn) for r in committed_changes(df).collect()} == {("insert", 10, 20), ("update", 20, 20)}
+
+
 def test_raw_mode_passes_everything(spark):
     log = _log(3, 100)
     df = spark.createDataFrame(log, SCHEMA)
@@ -75,5 +95,6 @@ def test_resume_is_strictly_after(spark):
 
 
 def test_log_gaps(spark):
-    df = spark.createDataFrame([(1, s) for s in (1, 2, 2, 3, 6, 7)] + [(2, 5), (2, 6)], "thread int, sequence long")
-    assert [tuple(r) for r in log_gaps(df).select("thread", "sequence", "missing").collect()] == [(1, 6, 2)]
+    rows = [("a", 1, s) for s in (1, 2, 2, 3, 6, 7)] + [("a", 2, 5), ("a", 2, 6), ("b", 1, 13), ("b", 1, 14)]
+    df = spark.createDataFrame(rows, "source string, thread int, sequence long")
+    assert [tuple(r) for r in log_gaps(df).select("source", "thread", "sequence", "missing").collect()] == [("a", 1, 6, 2)]
