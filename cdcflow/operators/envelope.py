@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cdcflow.operators.dirty import ERRORS
+
 EVENT_COLUMNS = ("slot", "schema", "table", "op", "lsn", "ts", "xid", "pos")
 
 
@@ -30,6 +32,7 @@ def images(decoded: DataFrame) -> DataFrame:
         F.when(good, _named("new")).alias("after"),
         "unchanged",
         "ok",
+        *[c for c in (ERRORS,) if c in decoded.columns],
     )
 
 
@@ -37,10 +40,10 @@ def envelope(events: DataFrame, flat: bool = False) -> DataFrame:
     """``type, schema, table, lsn, ts, ingestion`` with both images, nested or in one flat map.
 
     The flat map has ``before_x`` and ``after_x`` for every column of the row.  ``unchanged`` (columns
-    not resent) and ``ok`` go along where the events have them.
+    not resent), ``ok`` and errors go along where the events have them.
     """
     head = [F.lower("op").alias("type"), "schema", "table", "lsn", "ts", (F.unix_micros(F.current_timestamp()) * 1000).alias("ingestion")]
-    keep = [c for c in ("pos", "xid", "unchanged", "ok") if c in events.columns]
+    keep = [c for c in ("pos", "xid", "unchanged", "ok", ERRORS) if c in events.columns]
     if not flat:
         return events.select(*head, *keep, "before", "after")
     names = F.array_distinct(F.concat(

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from cdcflow.functions.wire import Batch, Texts, no_rows, read_strings, read_tuple, spread, text_array, tuple_lists
 from cdcflow.operators.envelope import images
 from cdcflow.operators.filters import filter_category, filter_tables
-from cdcflow.operators.pgoutput import LOG_EPOCH_MILLIS, ROW_KINDS, big_endian, tag_messages
+from cdcflow.operators.pgoutput import LOG_EPOCH_MILLIS, ROW_KINDS, big_endian, tag_messages, with_problems
 from cdcflow.operators.positions import WHOLE, Slices, carry
 
 # Section letters of a row change.
@@ -136,7 +136,7 @@ def decode_pg9(messages: DataFrame, cat: str = "insert,update,delete", *, slices
     names = F.filter(F.transform("_c.names", lambda n, i: F.when(F.get("_c.kept", i), n)), lambda n: n.isNotNull())
     return rows.select(
         "slot", "pos", "kind", "_txn.lsn", "_txn.ts", "_txn.xid", "_c.schema", "_c.table", "_c.names", "_c.types",
-        "_c.old", "_c.new", F.coalesce(names, F.array().cast("array<string>")).alias("unchanged"), "_c.ok",
+        "_c.old", "_c.new", F.coalesce(names, F.array().cast("array<string>")).alias("unchanged"), "_c.ok", "msg",
     )
 
 
@@ -146,3 +146,14 @@ def pg9_changes(
     """Change events of the self-describing form."""
     rows = filter_category(decode_pg9(messages, cat, slices=slices), cat, "kind")
     return images(filter_tables(rows, tables) if tables else rows)
+
+
+def pg9_events(
+    messages: DataFrame, cat: str = "insert,update,delete", tables: Sequence[str] | None = None, *, slices: Slices = WHOLE
+) -> DataFrame:
+    """``pg9_changes`` that loses nothing: unknown and damaged messages come along with errors."""
+    rows = decode_pg9(messages, cat, slices=slices)
+    if tables:
+        rows = filter_tables(rows, tables).unionByName(rows.where(F.col("table").isNull() | ~F.col("ok")))
+    unknown = tag_messages(messages).where(F.col("kind") == "unknown").select("slot", "pos", "msg", "kind")
+    return images(with_problems(rows.unionByName(unknown, allowMissingColumns=True)))

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from cdcflow.functions.text import unquote
 from cdcflow.functions.wire import Batch, read_tuple, tuple_lists
+from cdcflow.operators.dirty import ERROR_TYPE, ERRORS, problem
 from cdcflow.operators.envelope import images
 from cdcflow.operators.filters import filter_category, filter_tables
 from cdcflow.operators.positions import WHOLE, Mark, Slices, carry, carry_all
@@ -178,16 +179,25 @@ def decode_tuples(dml: DataFrame, compat: bool = False) -> DataFrame:
     return out.select(*dml.columns, "_t.old", "_t.new", unchanged.alias("unchanged"), (F.col("_t.ok") & fits).alias("ok"))
 
 
-def pg_changes(
-    messages: DataFrame,
-    cat: str = "insert,update,delete",
-    tables: Sequence[str] | None = None,
-    *,
-    compat: bool = False,
-    slices: Slices = WHOLE,
-) -> DataFrame:
-    """Change events of a captured log.  Kinds and tables are filtered before any tuple is read."""
-    tagged = tag_messages(messages)
+def context_messages(messages: DataFrame) -> DataFrame:
+    """The last BEGIN per slot and the last definition per table: what later messages need of earlier ones."""
+    tagged = tag_messages(messages).where(F.col("kind").isin("begin", "relation"))
+    rel = F.when(F.col("kind") == "relation", big_endian(F.col("msg"), 2, 4))
+    return (
+        tagged.groupBy("slot", "kind", rel.alias("rel_id"))
+        .agg(F.max_by("msg", "pos").alias("msg"), F.max("pos").alias("pos"))
+        .select("slot", "pos", "msg")
+    )
+
+
+def messages_since(messages: DataFrame, pos: int) -> DataFrame:
+    """Messages from a position on, behind the context they need; context gives no events itself."""
+    rows = messages.select("slot", "pos", "msg")
+    return context_messages(rows.where(F.col("pos") < pos)).unionByName(rows.where(F.col("pos") >= pos))
+
+
+def _placed_rows(tagged: DataFrame, cat: str, slices: Slices) -> DataFrame:
+    """Row changes of the wanted kinds with transaction context and table definition (null where none is known)."""
     wanted = {c.strip().lower() for c in cat.split(",")}
     useful = [k for k in ROW_KINDS if k in wanted]
     kind = F.col("kind")
@@ -205,8 +215,50 @@ def pg_changes(
         },
         slices=slices,
     ).select(*slim.columns, "_txn.lsn", "_txn.ts", "_txn.xid", "rel_pos")
-    rows = placed.where(kind.isin(*useful)).join(relations(tagged), ["slot", "rel_id", "rel_pos"], "left")
-    rows = filter_category(rows, cat, "kind")
+    return placed.where(kind.isin(*useful)).join(relations(tagged), ["slot", "rel_id", "rel_pos"], "left")
+
+
+def pg_changes(
+    messages: DataFrame,
+    cat: str = "insert,update,delete",
+    tables: Sequence[str] | None = None,
+    *,
+    compat: bool = False,
+    slices: Slices = WHOLE,
+) -> DataFrame:
+    """Change events of a captured log.  Kinds and tables are filtered before any tuple is read.
+
+    Damaged changes have ``ok`` false and no images; messages that give no event at all are left out,
+    see ``pg_events``.
+    """
+    rows = filter_category(_placed_rows(tag_messages(messages), cat, slices), cat, "kind")
     if tables:
         rows = filter_tables(rows, tables)
     return images(decode_tuples(rows, compat))
+
+
+def with_problems(decoded: DataFrame) -> DataFrame:
+    """Add the error list of a decoded message; the text holds the whole message in hex, so nothing is lost."""
+    what = (
+        F.when(F.col("kind") == "unknown", "unknown message").when(F.col("table").isNull() & F.col("names").isNull(), "no table definition")
+        .when(~F.coalesce(F.col("ok"), F.lit(False)), "damaged message")
+    )
+    found = problem("msg", "conversion", F.concat(what, F.lit(": "), F.hex("msg")), what.isNotNull())
+    return decoded.withColumn(ERRORS, F.array_compact(F.array(found)).cast(ERROR_TYPE))
+
+
+def pg_events(
+    messages: DataFrame, cat: str = "insert,update,delete", tables: Sequence[str] | None = None, *, compat: bool = False, slices: Slices = WHOLE
+) -> DataFrame:
+    """``pg_changes`` that loses nothing: unknown, damaged and undefined messages come along with errors.
+
+    ``dirty.split_dirty`` tells them apart.  Without a definition a change belongs to no table, so the
+    table list does not apply to it.
+    """
+    tagged = tag_messages(messages)
+    rows = _placed_rows(tagged, cat, slices)
+    if tables:
+        rows = filter_tables(rows, tables).unionByName(rows.where(F.col("table").isNull()))
+    unknown = tagged.where(F.col("kind") == "unknown").select("slot", "pos", "msg", "kind")
+    decoded = decode_tuples(rows, compat).unionByName(unknown, allowMissingColumns=True)
+    return images(with_problems(decoded))

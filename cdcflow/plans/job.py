@@ -18,8 +18,8 @@ from cdcflow.operators.filters import filter_blank, filter_category, filter_empt
 from cdcflow.operators.envelope import envelope
 from cdcflow.operators.metrics import rows_per_trigger
 from cdcflow.operators.offsets import incremental_scan
-from cdcflow.operators.pg9 import pg9_changes
-from cdcflow.operators.pgoutput import pg_changes
+from cdcflow.operators.pg9 import pg9_events
+from cdcflow.operators.pgoutput import messages_since, pg_events
 from cdcflow.operators.records import decode_messages, project, to_message_records
 from cdcflow.operators.positions import plan_slices
 from cdcflow.operators.redo import drop_internal, mined_rows, redo_from_message, redo_statements
@@ -242,10 +242,9 @@ def _stream_reader(spark: SparkSession, p: Mapping[str, Any], job: SyncJob) -> D
 def _captured(decode: Callable) -> Reader:
     def read(spark: SparkSession, p: Mapping[str, Any], job: SyncJob) -> DataFrame:
         messages = spark.read.format(p.get("format", "parquet")).load(p["path"])
-        lsn = int(p.get("lsn") or 0)
-        if lsn:
-            messages = messages.where(F.col("pos") >= lsn)
-        events = decode(messages, p.get("cat") or "insert,update,delete", p.get("tableList") or None)
+        if lsn := int(p.get("lsn") or 0):
+            messages = messages_since(messages, lsn)
+        events = decode(messages, p.get("cat") or "insert,update,delete", p.get("tableList") or None, slices=plan_slices(messages, "pos", ["slot"]))
         return envelope(events, flat=bool(p.get("pavingData", False)))
 
     return read
@@ -346,8 +345,8 @@ def _file_writer(df: DataFrame, p: Mapping[str, Any], job: SyncJob) -> None:
 for _name, _fn in {
     "kafkareader": _kafka_reader,
     "streamreader": _stream_reader,
-    "pgwalreader": _captured(pg_changes),
-    "pg9walreader": _captured(pg9_changes),
+    "pgwalreader": _captured(pg_events),
+    "pg9walreader": _captured(pg9_events),
     "logminerreader": _redo_reader,
     "filereader": _file_reader,
     "jdbcreader": _jdbc_reader,

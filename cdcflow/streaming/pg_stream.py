@@ -10,26 +10,14 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from cdcflow.operators.pgoutput import big_endian, pg_changes, tag_messages
+from cdcflow.operators.pgoutput import context_messages, pg_changes
 from cdcflow.operators.positions import plan_slices
 
 MESSAGE = "slot string, pos bigint, msg binary"
 
 
-def context_messages(messages: DataFrame) -> DataFrame:
-    """The last BEGIN per slot and the last definition per table."""
-    tagged = tag_messages(messages).where(F.col("kind").isin("begin", "relation"))
-    rel = F.when(F.col("kind") == "relation", big_endian(F.col("msg"), 2, 4))
-    return (
-        tagged.groupBy("slot", "kind", rel.alias("rel_id"))
-        .agg(F.max_by("msg", "pos").alias("msg"), F.max("pos").alias("pos"))
-        .select("slot", "pos", "msg")
-    )
-
-
 def decode_batch(
     path: str, cat: str = "insert,update,delete", tables: Sequence[str] | None = None
 ) -> Callable[[DataFrame, int], None]:

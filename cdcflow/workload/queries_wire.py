@@ -8,7 +8,7 @@ from cdcflow.operators.envelope import envelope
 from cdcflow.operators.filters import filter_category, filter_lists, filter_tables
 from cdcflow.operators.pg9 import pg9_changes
 from cdcflow.operators.pgoutput import (
-    decode_tuples, pg_changes, relation_columns, relations, tag_messages, with_relation, with_txn_context,
+    decode_tuples, messages_since, pg_changes, pg_events, relation_columns, relations, tag_messages, with_relation, with_txn_context,
 )
 from cdcflow.operators.positions import plan_slices
 from cdcflow.workload.changelog import LOG_SQL, changelog
@@ -163,3 +163,31 @@ def _lists(spark, sf_dir):
     return filter_lists(changelog(spark, sf_dir), ["SALES.*"], ["SALES.ORDERS_O"]).where(
         F.col("table").isNotNull()
     ).select("table", "op", "scn")
+
+
+@query("pg_resume", f"select * from ({_decoded_sql(BEFORE_SHOWN)}) where pos >= 120000")
+def _pg_resume(spark, sf_dir):
+    log = messages_since(pg_messages(spark, sf_dir), 120000)
+    return show_events(pg_changes(log, slices=plan_slices(log, "pos", ["slot"])), *HEAD)
+
+
+@query("pg9_resume", f"select * from ({_decoded_sql("(sends_old or (op = 'delete' and tag <> 'P'))")}) where pos >= 120000")
+def _pg9_resume(spark, sf_dir):
+    log = messages_since(pg9_messages(spark, sf_dir), 120000)
+    return show_events(pg9_changes(log, slices=plan_slices(log, "pos", ["slot"])), *HEAD)
+
+
+@query(
+    "pg_dirty",
+    f"""{DEC} select pos, case when op = 'insert' and pos % 70 = 1 then 'unknown message' when op = 'update' and pos % 70 = 2 then 'damaged message' else '' end problem from dec""",
+)
+def _dirty(spark, sf_dir):
+    log = tag_messages(pg_messages(spark, sf_dir))
+    msg = (
+        F.when((F.col("kind") == "insert") & (F.col("pos") % 70 == 1), F.concat(F.lit(b"?"), F.expr("substring(msg, 2)")))
+        .when((F.col("kind") == "update") & (F.col("pos") % 70 == 2), F.expr("substring(msg, 1, length(msg) - 3)"))
+        .otherwise(F.col("msg"))
+    )
+    spoilt = log.select("slot", "pos", msg.alias("msg"))
+    out = pg_events(spoilt, slices=plan_slices(spoilt, "pos", ["slot"]))
+    return out.select("pos", F.coalesce(F.substring_index(F.get("_errors", F.lit(0))["msg"], ":", 1), F.lit("")).alias("problem"))

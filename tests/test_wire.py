@@ -1,7 +1,9 @@
+import os
 import random
 import struct
 
 import pytest
+from pyspark.sql import functions as F
 
 from cdcflow.operators.envelope import envelope, flat_columns
 from cdcflow.operators.pg9 import pg9_changes
@@ -207,3 +209,49 @@ def test_streamed_batches_decode_like_one(spark):
         run(batch, i)
     got = {(r.slot, r.pos): (r.op, r.table, r.lsn, r.ts, r.xid, r.before, r.after, r.unchanged) for r in decoded_events(spark, path).collect()}
     assert got == want
+
+
+def test_nothing_of_a_spoilt_log_is_lost(spark):
+    from cdcflow.operators.pgoutput import messages_since, pg_events, tag_messages
+    from cdcflow.workload.wirelog import pg_messages
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("test tables are not here")
+    log = tag_messages(pg_messages(spark, sf))
+    changes = log.where("kind in ('insert', 'update', 'delete')").count()
+    undefined = log.where("not (kind = 'relation' and substring(msg, 2, 4) = unhex('00000065'))").select("slot", "pos", "msg")
+    found = pg_events(undefined)
+    assert found.count() == changes
+    kinds = {r["p"]: r["n"] for r in found.selectExpr("substring_index(get(_errors, 0).msg, ':', 1) p").groupBy("p").agg(F.count("*").alias("n")).collect()}
+    assert kinds["no table definition"] > 0 and kinds[None] + kinds["no table definition"] == changes
+    assert pg_events(messages_since(undefined, 10**12)).count() == 0
+
+
+def test_captured_job_resumes_with_its_context_and_counts_dirty_rows(spark):
+    import json
+
+    from cdcflow.operators.dirty import ErrorLimitExceeded
+    from cdcflow.plans.job import SyncJob
+    from cdcflow.session import scratch_path
+    from cdcflow.workload.wirelog import pg_messages
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("test tables are not here")
+    src, out = scratch_path(spark, "in"), scratch_path(spark, "out")
+    log = pg_messages(spark, sf)
+    log.write.parquet(src)
+
+    def job(path, **setting):
+        reader = {"name": "pgwalreader", "parameter": {"path": src, "lsn": 120000}}
+        text = {"job": {"content": [{"reader": reader, "writer": {"name": "filewriter", "parameter": {"path": path}}}], "setting": setting}}
+        SyncJob.from_json(json.dumps(text)).run(spark)
+
+    job(out)
+    got = spark.read.parquet(out)
+    assert got.count() == pg_changes(log).where("pos >= 120000").count() > 0 and "unchanged" in got.columns
+    spark.createDataFrame([("s", 130000, b"?bad")], "slot string, pos long, msg binary").write.mode("append").parquet(src)
+    with pytest.raises(ErrorLimitExceeded):
+        job(scratch_path(spark, "out"))
+    job(scratch_path(spark, "out"), errorLimit={"record": 1})
