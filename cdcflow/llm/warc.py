@@ -27,7 +27,7 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 SEPARATOR = struct.pack("<II", SKIPPABLE_MAGIC, 0).decode("ascii")
 #: Records of one archive file, its dictionary and its warcinfo record included.
 FILE_RECORDS = 1000
-#: The dictionary is made from this many payloads of at most so many bytes, those with the smallest hashes.
+#: The dictionary is made from at most this many payloads of at most so many bytes, chosen by hash.
 SAMPLE_PAGES, SAMPLE_BYTES, DICTIONARY_BYTES = 500, 32_768, 65_536
 #: Groups of equal payloads that may be broadcast to the pages; beyond, the same join shuffles.
 BROADCAST_GROUPS = 200_000
@@ -59,9 +59,15 @@ def deduplicated(pages: DataFrame, least_bytes: int = 1000) -> DataFrame:
 
 
 def make_dictionary(pages: DataFrame) -> bytes:
-    """A compression dictionary from a bounded sample; empty if there is nothing to learn from."""
-    rows = payloads(pages).where(F.col("payload_bytes").between(1, SAMPLE_BYTES))
-    samples = [bytes(r["payload"]) for r in rows.orderBy(F.xxhash64("payload"), "page_id").limit(SAMPLE_PAGES).select("payload").collect()]
+    """A compression dictionary from a bounded sample; empty if there is nothing to learn from.
+
+    Rows are thinned by a hash to about four times the sample before the smallest hashes are taken, so
+    what tasks send to the driver does not grow with their number.
+    """
+    rows = payloads(pages).where(F.col("payload_bytes").between(1, SAMPLE_BYTES)).withColumn("_code", F.xxhash64("page_id", "url", "payload"))
+    share = min(1.0, 4 * SAMPLE_PAGES / max(pages.count(), 1))
+    thin = rows.where(F.pmod("_code", F.lit(1 << 30)) < int(share * (1 << 30)))
+    samples = [bytes(r["payload"]) for r in thin.orderBy("_code", "page_id").limit(SAMPLE_PAGES).select("payload").collect()]
     try:
         return zstd.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except zstd.ZstdError:
