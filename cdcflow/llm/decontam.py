@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 
 #: Items are searched in blocks of at most this many characters, each sent to the executors at once.
 BLOCK_CHARS = 500_000
-ERROR_PERCENT = 5
+ERROR_PERCENT = 8
 #: Shorter items are phrases rather than passages and are not searched.
 LEAST_CHARS = 24
 MATCHES = "array<struct<item_id:bigint,start:bigint,end:bigint,distance:int>>"

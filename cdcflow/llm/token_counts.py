@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cdcflow.llm.common import SPACE, byte_chunks, stored
 from cdcflow.llm.encoder import Tokenizer
+from cdcflow.session import materialize
 
 CACHE_SCHEMA = "tokenizer string, digest binary, n_tokens bigint"
 
@@ -70,5 +71,6 @@ def token_counts(documents: DataFrame, tokenizer: Tokenizer, cache: str, limit:
     rows = documents.select(
         "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), digested(documents, tokenizer).alias("digest")
     )
-    counted = rows.join(known_counts(documents, tokenizer, cache), "digest", "left")
+    # one stored row per digest, so that a digest shared by very many texts is split over tasks by the join
+    counted = rows.join(materialize(known_counts(documents, tokenizer, cache), "token-counts"), "digest", "left")
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
