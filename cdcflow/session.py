@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -10,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 SHARED_DIR_KEY = "spark.checkpoint.dir"
 _LOCAL_DIRS: dict[str, str] = {}
+_SCRATCH: dict[str, list[str]] = {}
 
 
 def local_session(cores: str = "*", app: str = "cdcflow", shuffle_partitions: int = 8) -> SparkSession:
@@ -32,7 +35,7 @@ def local_session(cores: str = "*", app: str = "cdcflow", shuffle_partitions: in
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by the cluster in ``spark.checkpoint.dir``.
 
-    Only a ``local[...]`` master may fall back to a machine-local folder.
+    Only a ``local[...]`` master may fall back to a machine-local folder, which goes with the process.
     """
     named = spark.conf.get(SHARED_DIR_KEY, None)
     if named:
@@ -42,12 +45,27 @@ def shared_dir(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_DIRS:
         _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="cdcflow-")
+        atexit.register(shutil.rmtree, _LOCAL_DIRS[app], ignore_errors=True)
     return _LOCAL_DIRS[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete what this application stored under the shared folder; returns how many paths there were.
+
+    For the end of a job: frames that were made from stored tables cannot be read afterwards.
+    """
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    return len(paths)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
