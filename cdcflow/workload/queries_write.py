@@ -32,9 +32,9 @@ def _roundtrip(spark, sf_dir):
 
 
 def _users(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """Target: customers of one segment.  Batch: every event, keyed by its user."""
-    target = table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'").select(
-        F.col("c_custkey").alias("id"), F.lit("base").alias("kind"), F.lit(-1).cast("long").alias("event")
+    """Target: every customer, under each third number.  Batch: every event, keyed by its user."""
+    target = table(spark, sf_dir, "customer").select(
+        (F.col("c_custkey") * 3).alias("id"), F.lit("base").alias("kind"), F.lit(-1).cast("long").alias("event")
     )
     batch = X.events(spark, sf_dir).select(
         F.col("user_id").alias("id"), F.col("event_type").alias("kind"), F.col("event_id").alias("event")
@@ -42,7 +42,7 @@ def _users(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     return target, batch
 
 
-USERS = """with target as (select c_custkey id, 'base' kind, -1 event from customer where c_mktsegment = 'BUILDING'),
+USERS = """with target as (select c_custkey * 3 id, 'base' kind, -1 event from customer),
  batch as (select user_id id, event_type kind, event_id event from events),
  firsts as (select * from batch qualify row_number() over (partition by id order by event) = 1),
  lasts as (select * from batch qualify row_number() over (partition by id order by event desc) = 1)"""
