@@ -16,8 +16,8 @@ from cdcflow.session import materialize
 
 #: Ids that may be broadcast to pick rows; beyond, the same join shuffles.
 BROADCAST_IDS = 1_000_000
-#: Members of a bucket compared at once by one task.
-CELL = 512
+#: Members of a bucket, and codes of their sets, in one block that a task compares.
+CELL, CELL_CODES = 512, 1_000_000
 
 
 @dataclass(frozen=True)
@@ -130,11 +130,11 @@ def full_sets(documents: DataFrame, ids: DataFrame, p: Params) -> DataFrame:
 
 
 def buckets(nodes: DataFrame) -> DataFrame:
-    """(bucket, node, size) for the buckets with two members or more.
+    """(bucket, node, n_shingles, size) for the buckets with two members or more.
 
     Sizes are counted map-side and joined back, so a bucket with a third of all rows is never one group.
     """
-    members = nodes.select("node", F.explode("bands").alias("bucket"))
+    members = nodes.select("node", "n_shingles", F.explode("bands").alias("bucket"))
     sizes = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     return members.join(sizes, "bucket")
 
@@ -165,70 +165,106 @@ def likely(pairs: DataFrame, nodes: DataFrame, p: Params) -> DataFrame:
     return both.where(_similarity(odd, p) >= p.percent / 100 - p.margin).select("a", "b").distinct()
 
 
+def _sets_of(documents: DataFrame, ids: DataFrame, p: Params) -> DataFrame:
+    """Stored sets of the wanted documents, one row per id and set."""
+    sets = full_sets(documents, ids, p).withColumn("code", F.xxhash64("shingles")).dropDuplicates(["doc_id", "code"])
+    return materialize(sets.drop("code"), "sets")
+
+
 def confirmed(pairs: DataFrame, documents: DataFrame, p: Params) -> DataFrame:
     """Pairs whose full sets reach the threshold."""
     pairs = materialize(pairs, "pairs")
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = full_sets(documents, ids, p).withColumn("code", F.xxhash64("shingles")).dropDuplicates(["doc_id", "code"])
-    sets = materialize(sets, "sets")
+    sets = _sets_of(documents, ids, p)
     side = lambda x: sets.select(F.col("doc_id").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("shingles").alias(f"s_{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     shared = both.select("a", "b", (F.col("n_a") + F.col("n_b")).alias("total"), F.size(F.array_intersect("s_a", "s_b")).alias("shared"))
     return materialize(shared.where(F.lit(100) * F.col("shared") >= p.percent * (F.col("total") - F.col("shared"))).select("a", "b").distinct(), "confirmed")
 
 
-def rest_pairs(members: DataFrame, nodes: DataFrame, known: DataFrame, p: Params) -> DataFrame:
-    """All other pairs of a bucket, as far as they lie in different components and their sketches agree.
+def rest_links(members: DataFrame, classes: DataFrame, known: DataFrame, documents: DataFrame, p: Params) -> DataFrame:
+    """Links between members of a bucket that the first pass left in different components.
 
-    Every such pair has a member outside the bucket's most frequent component.  These probe all members:
-    members are cut into blocks, probes too, and a cell holds one block of each, about 2 x ``CELL`` rows.
-    A task compares a cell's sketches in memory and emits only pairs that may reach the threshold,
-    so a large bucket with few probes costs little more than its size.
+    Every pair in question has a member outside the bucket's most frequent component.  These probe all
+    members: members are cut into blocks, probes too, and a cell holds one block of each with their full
+    sets.  A task goes through the pairs of a cell whose sketches may reach the threshold, nearest first,
+    confirms them on the full sets, and passes over pairs that links of the cell have joined
+    meanwhile; so it emits fewer links than a cell has members, however alike these are.  A pair that
+    shares several bands is looked at in the first of them only.
     """
     labelled = members.join(known.select("node", "component"), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    parts = labelled.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    split = parts.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all")).where("top.n < all")
-    split = split.select("bucket", F.col("top.component").alias("main"), F.ceil(F.col("all") / CELL).alias("blocks"), F.ceil((F.col("all") - F.col("top.n")) / CELL).alias("probe_blocks"))
-    open_ = labelled.join(split, "bucket").withColumn("code", F.xxhash64("node"))
+    parts = labelled.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("codes"))
+    split = parts.groupBy("bucket").agg(F.max(F.struct("n", "component", "codes")).alias("top"), F.sum("n").alias("n"), F.sum("codes").alias("codes"))
+    blocks = lambda n, codes: F.greatest(F.ceil(n / CELL), F.ceil(codes / CELL_CODES))
+    split = split.where("top.n < n").select(
+        "bucket", F.col("top.component").alias("main"), blocks(F.col("n"), F.col("codes")).alias("blocks"),
+        blocks(F.col("n") - F.col("top.n"), F.col("codes") - F.col("top.codes")).alias("probe_blocks"),
+    )
+    open_ = materialize(labelled.join(split, "bucket").withColumn("code", F.xxhash64("node")), "open-buckets")
     held = open_.select("bucket", F.explode(F.sequence(F.lit(0), F.col("probe_blocks") - 1)).alias("i"), F.pmod("code", "blocks").alias("j"), F.lit(False).alias("probe"), "node", "component")
     probes = open_.where("component <> main").select(
         "bucket", F.pmod("code", "probe_blocks").alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(True).alias("probe"), "node", "component"
     )
-    cells = held.union(probes)
-    rows = cells.join(nodes.select("node", "n_shingles", "sketch"), "node").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    percent, bits, samples, cut = p.percent, p.bits, p.samples, p.percent / 100 - p.margin
-    most = int(bits / 2 * (1 - np.exp((cut - 1) * 2 * samples * 2 / bits)))  # bits that may differ at the cut
+    sets = _sets_of(documents, open_.select(F.col("node").alias("doc_id")).distinct(), p).withColumnRenamed("doc_id", "node")
+    details = classes.select("node", "n_shingles", "bands", "sketch").join(sets, ["node", "n_shingles"])
+    rows = held.union(probes).join(details, "node").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    percent, cut = p.percent, p.percent / 100 - p.margin
+    most = int(p.bits / 2 * (1 - np.exp((cut - 1) * 4 * p.samples / p.bits)))  # bits that may differ at the cut
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+        waiting: list[pa.RecordBatch] = []
         for batch in batches:
-            t = pa.Table.from_batches([*held, batch])
+            t = pa.Table.from_batches([*waiting, batch])
             keys = np.stack([t.column(c).to_numpy() for c in ("bucket", "i", "j")], 1)
             ends = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
             if ends.size:
                 yield from _cells(t.slice(0, ends[-1]), ends, percent, most)
-            held = t.slice(ends[-1] if ends.size else 0).combine_chunks().to_batches()
-        if held:
-            t = pa.Table.from_batches(held)
+            waiting = t.slice(ends[-1] if ends.size else 0).combine_chunks().to_batches()
+        if waiting:
+            t = pa.Table.from_batches(waiting)
             yield from _cells(t, np.array([t.num_rows]), percent, most)
 
     return rows.mapInArrow(compare, "a bigint, b bigint").distinct()
 
 
 def _cells(t: pa.Table, ends: np.ndarray, percent: int, most: int) -> Iterator[pa.RecordBatch]:
-    node, size, comp = (t.column(c).to_numpy() for c in ("node", "n_shingles", "component"))
+    """The confirmed links of each cell that join components not joined before."""
+    bucket, node, size, comp = (t.column(c).to_numpy() for c in ("bucket", "node", "n_shingles", "component"))
     probe = t.column("probe").to_numpy()
-    sketch = t.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(t.num_rows, -1)
+    table = lambda c: np.ascontiguousarray(t.column(c).combine_chunks().flatten().to_numpy()).reshape(t.num_rows, -1)
+    sketch, bands = table("sketch").view(np.uint64), table("bands")
+    codes = t.column("shingles").combine_chunks()
+    flat, first = codes.flatten().to_numpy().view(np.uint64), np.concatenate([[0], np.cumsum(size)])
     at = 0
     for end in ends.tolist():
         inside = np.arange(at, end)
-        left, right, at = inside[probe[at:end]], inside[~probe[at:end]], end
+        left, right, here, at = inside[probe[at:end]], inside[~probe[at:end]], bucket[at], end
+        joined: dict[int, int] = {}
+
+        def root(c: int, joined: dict[int, int] = joined) -> int:
+            while c in joined:
+                c = joined[c]
+            return c
+
         found = []
-        for x in left:
+        for x in left.tolist():
             y = right[(comp[right] != comp[x]) & (100 * np.minimum(size[right], size[x]) >= percent * np.maximum(size[right], size[x]))]
-            if y.size:
-                odd = np.bitwise_count(sketch[y] ^ sketch[x]).sum(1, dtype=np.int64)
-                found += [(min(node[x], v), max(node[x], v)) for v in node[y[odd <= most]].tolist()]
+            if not y.size:
+                continue
+            odd = np.bitwise_count(sketch[y] ^ sketch[x]).sum(1, dtype=np.int64)
+            y, odd = y[odd <= most], odd[odd <= most]
+            shared = (bands[y] == bands[x]).argmax(1)
+            y = y[np.argsort(odd, kind="stable")][(bands[x][shared] == here)[np.argsort(odd, kind="stable")]]
+            own = flat[first[x] : first[x + 1]]
+            for v in y.tolist():
+                a, b = root(int(comp[x])), root(int(comp[v]))
+                if a == b:
+                    continue
+                other = flat[first[v] : first[v + 1]]
+                hits = int(np.count_nonzero(own[np.minimum(np.searchsorted(own, other), len(own) - 1)] == other))
+                if 100 * hits >= percent * (len(own) + len(other) - hits):
+                    joined[max(a, b)] = min(a, b)
+                    found.append((min(node[x], node[v]), max(node[x], node[v])))
         if found:
             a, b = zip(*found, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -240,7 +276,7 @@ def near_duplicates(documents: DataFrame, p: Params = Params()) -> DataFrame:  #
     Documents are linked when 100 x shared shingles >= ``percent`` x all shingles of the two, on full
     sets of 64-bit codes.  Equal sets are one class and take part once, under their smallest id, so
     copies are never expanded into pairs.  Two passes find the links between classes: members of a
-    bucket against a hub, then every pair of a bucket that the first pass left in different components.
+    bucket against a hub, then what the first pass left in different components.
 
     Null or empty texts and texts without words have no shingles and stand alone.  A row without id
     is linked with nothing and kept, with a null component.  Rows that repeat an id are one node
@@ -256,7 +292,7 @@ def near_duplicates(documents: DataFrame, p: Params = Params()) -> DataFrame:  #
     members = materialize(buckets(classes), "buckets")
     links = confirmed(likely(hub_pairs(members), nodes, p), documents, p)
     known = materialize(components(links), "components")
-    more = confirmed(rest_pairs(members, nodes, known, p), documents, p)
+    more = materialize(rest_links(members, classes, known, documents, p), "rest-links")
     if not more.isEmpty():
         known = components(links.union(more))
     found = rows.join(classes.select(*key, "node"), key, "left").join(known, "node", "left")

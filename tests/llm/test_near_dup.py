@@ -4,7 +4,7 @@ import re
 import pytest
 
 from cdcflow.llm.components import components
-from cdcflow.llm.near_dup import Params, near_duplicates, rest_pairs, sketched
+from cdcflow.llm.near_dup import Params, buckets, near_duplicates, rest_links, sketched
 
 
 def words_of(text):
@@ -70,16 +70,20 @@ def test_edited_copies_and_chains_equal_brute_force(docs):
     assert result(near_duplicates(docs(rows), Params(width=4))) == brute(rows, 4)
 
 
-def test_pairs_the_hub_misses_are_found_by_the_rest(spark, docs):
+def test_the_rest_alone_finds_every_component(spark, docs, monkeypatch):
+    monkeypatch.setattr("cdcflow.llm.near_dup.CELL", 8)
     rng = random.Random(3)
-    base = [f"w{i}" for i in range(200)]
-    df = docs([(i, edited(rng, base, 1)) for i in range(30)])
-    p = Params(width=4)
-    nodes = sketched(df, p).withColumnRenamed("doc_id", "node")
-    members = spark.createDataFrame([(1, i, 2000) for i in range(30)], "bucket long, node long, size long")
+    rows = []
+    for g in range(3):
+        base = [f"w{g}x{i}" for i in range(150)]
+        rows += [(g * 100 + i, edited(rng, base, rng.randrange(1, 9))) for i in range(40)]
+    df, p = docs(rows), Params(width=4)
+    classes = sketched(df, p).withColumnRenamed("doc_id", "node")
     none = spark.createDataFrame([], "node long, component long")
-    found = {(r.a, r.b) for r in rest_pairs(members, nodes, none, p).collect()}
-    assert found == {(a, b) for a in range(30) for b in range(a + 1, 30)}
+    links = rest_links(buckets(classes), classes, none, df, p)
+    found = {r.node: r.component for r in components(links).collect()}
+    want = {i: c for i, (_, c) in brute(rows, 4).items()}
+    assert len(set(want.values())) > 3 and {i: found.get(i, i) for i in want} == want
 
 
 def test_defined_results_for_odd_rows(docs):
