@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from cdcflow.operators.apply import apply_changes, apply_unchanged
 from cdcflow.operators.dirty import ERRORS, enforce_limit, split_dirty, write_dirty
 from cdcflow.operators.filters import filter_blank, filter_category, filter_empty_events, filter_tables
 from cdcflow.operators.envelope import envelope
@@ -26,12 +27,15 @@ from cdcflow.operators.redo import drop_internal, mined_rows, redo_from_message,
 from cdcflow.operators.txn import committed_changes
 from cdcflow.session import shared_dir
 from cdcflow.sinks.files import discard, file_sink, print_rows
+from cdcflow.sinks.tables import read_version, write_table, write_version
 from cdcflow.sources.jdbc import Connection, jdbc_scan, merge_url
 from cdcflow.sources.messages import MessageSource, message_source
 from cdcflow.sources.synthetic import synthetic_rows, synthetic_stream
 from cdcflow.streaming.restart import RestartPolicy, run_with_restart
 
 MASK = "******"
+#: Writers that fold each batch into one versioned table; folding a batch again changes nothing.
+VERSIONED = ("applywriter", "tablewriter")
 UNLIMITED_BYTES = 2**63 - 1
 
 Reader = Callable[[SparkSession, Mapping[str, Any], "SyncJob"], DataFrame]
@@ -117,8 +121,10 @@ class SyncJob:
         """The job without its passwords, for logs."""
         out = {"reader": deepcopy(dict(self.reader)), "writer": deepcopy(dict(self.writer)), "setting": deepcopy(dict(self.setting))}
         for side in ("reader", "writer"):
-            if "password" in out[side]["parameter"]:
-                out[side]["parameter"]["password"] = MASK
+            part = out[side]["parameter"]
+            for place in [part, *(part.get("connection") or [])]:
+                if "password" in place:
+                    place["password"] = MASK
         return out
 
     @property
@@ -173,7 +179,9 @@ class SyncJob:
         restore = self.setting.get("restore") or {}
 
         def land(batch: DataFrame, batch_id: int) -> None:
-            own = {**params, "path": f"{params['path']}/batch={batch_id}", "writeMode": "overwrite"} if params.get("path") else params
+            own = {**params, "batchId": batch_id}
+            if params.get("path") and self.writer["name"].lower() not in VERSIONED:
+                own |= {"path": f"{params['path']}/batch={batch_id}", "writeMode": "overwrite"}
             self._land(batch, own)
 
         name = md5(json.dumps([self.reader, self.writer], sort_keys=True).encode()).hexdigest()
@@ -306,7 +314,7 @@ def _kafka_writer(df: DataFrame, p: Mapping[str, Any], job: SyncJob) -> None:
 
 
 def statement_rows(df: DataFrame) -> DataFrame:
-    """The statements carried by redo rows, event maps or printed messages, one per row."""
+    """The statements carried by redo rows, event maps or printed messages, one per row, with their order."""
     if "SQL_REDO" in df.columns:
         sql = F.col("SQL_REDO")
     else:
@@ -317,18 +325,49 @@ def statement_rows(df: DataFrame) -> DataFrame:
             redo_from_message(message, "json"),
             F.nullif(redo_from_message(message, "map"), F.lit("")),
         )
-    out = df.select(sql.alias("sql_redo"))
+    order = [F.col(c).alias(c.lower()) if c in df.columns else F.lit(None).cast("bigint").alias(c.lower()) for c in ("COMMIT_SCN", "SCN")]
+    out = df.select(sql.alias("sql_redo"), *order)
     return out.where(F.col("sql_redo").isNotNull())
 
 
 def _redo_writer(df: DataFrame, p: Mapping[str, Any], job: SyncJob) -> None:
-    """Statements to a staging table; the database runs them in its own transaction."""
+    """Statements to a staging table with a batch id and their order.
+
+    The database replays a batch by (commit_scn, scn) in its own transaction and marks the batch as
+    done, so a batch that is staged again is passed over.
+    """
     target = Connection(p["url"], p.get("stagingTable", "REDO_STAGE"), p.get("username"), p.get("password"), p.get("driver"))
-    statement_rows(df).write.mode("append").option("batchsize", int(p.get("batchsize", 1))).jdbc(
+    statement_rows(df).withColumn("batch_id", F.lit(int(p.get("batchId", 0))).cast("bigint")).write.mode("append").option("batchsize", int(p.get("batchsize", 1))).jdbc(
         target.url, target.qualified, properties=target.properties()
     )
 
 
+def _base(df: DataFrame, p: Mapping[str, Any]) -> DataFrame:
+    """What the target holds: its last version, or the table named as ``base`` before the first."""
+    spark = df.sparkSession
+    held = read_version(spark, p["path"])
+    if held is None:
+        held = spark.read.format(p.get("format", "parquet")).load(p["base"])
+    return held
+
+
+def _apply_writer(df: DataFrame, p: Mapping[str, Any], job: SyncJob) -> None:
+    """Changes (``before`` and ``after`` structs, in commit order) folded into the next version of a table."""
+    fold = apply_unchanged if "unchanged" in df.columns else apply_changes
+    write_version(fold(_base(df, p), df, p["keys"], p.get("order")), p["path"], int(p.get("keepVersions", 2)))
+
+
+def _table_writer(df: DataFrame, p: Mapping[str, Any], job: SyncJob) -> None:
+    """Rows written into the next version of a keyed table; rows that an insert refuses go to the dirty path."""
+    out, refused = write_table(df, _base(df, p), p.get("writeMode", "upsert").lower(), p.get("keys") or (), p.get("order") or ())
+    if refused is not None:
+        enforce_limit(refused, *job.error_limit)
+        where = (job.setting.get("dirty") or {}).get("path")
+        if where:
+            write_dirty(refused, [c for c in df.columns], where)
+    write_version(out, p["path"], int(p.get("keepVersions", 2)))
+
+
 def _print_writer(df: DataFrame, p: Mapping[str, Any], job: SyncJob) -> None:
     if p.get("print", False):
         return print_rows(df, p.get("writeDelimiter", "|"))
@@ -352,5 +391,5 @@ for _name, _fn in {
     "jdbcreader": _jdbc_reader,
 }.items():
     register_source(_name, _fn)
-for _name, _sink in {"kafkawriter": _kafka_writer, "streamwriter": _print_writer, "filewriter": _file_writer, "logminerwriter": _redo_writer}.items():
+for _name, _sink in {"kafkawriter": _kafka_writer, "streamwriter": _print_writer, "filewriter": _file_writer, "logminerwriter": _redo_writer, "applywriter": _apply_writer, "tablewriter": _table_writer}.items():
     register_sink(_name, _sink)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdcflow.operators.dirty import ERROR_TYPE, ERRORS
@@ -20,6 +20,36 @@ def _winner(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: Sequ
     return df.groupBy(*keys).agg(pick(row, at).alias("_r")).select("_r.*")
 
 
+def table_versions(spark: SparkSession, path: str) -> list[int]:
+    """Complete versions of a versioned table, oldest first."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [f.getPath() for f in fs.listStatus(at)] if fs.exists(at) else []
+    done = [x.getName() for x in found if x.getName().startswith("version=") and fs.exists(x.suffix("/_SUCCESS"))]
+    return sorted(int(n.split("=")[1]) for n in done)
+
+
+def read_version(spark: SparkSession, path: str) -> DataFrame | None:
+    """The last complete version, or None before the first."""
+    known = table_versions(spark, path)
+    return spark.read.parquet(f"{path}/version={known[-1]}") if known else None
+
+
+def write_version(df: DataFrame, path: str, keep: int = 2) -> int:
+    """Write the next version and drop all but the last ``keep``; readers of the one before are not disturbed.
+
+    A run that fails leaves no ``_SUCCESS``, so its version does not count and is written over.
+    """
+    spark = df.sparkSession
+    known = table_versions(spark, path)
+    number = known[-1] + 1 if known else 0
+    df.write.mode("overwrite").parquet(f"{path}/version={number}")
+    for old in known[: max(0, len(known) + 1 - max(keep, 1))]:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/version={old}")
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    return number
+
+
 def duplicate_error(key: Column) -> Column:
     """The error list of a row whose key is taken."""
     entry = F.struct(

@@ -285,6 +285,51 @@ def test_redo_job_lands_whole_statements_of_committed_transactions(spark, sf):
     assert sorted((r.SCN, r.COMMIT_SCN, r.SQL_REDO) for r in got.collect()) == want and len(want) > 1000 and "TIMESTAMP" in got.columns
 
 
+def test_apply_job_folds_changes_into_versions(spark, sf):
+    from cdcflow.operators.apply import apply_changes
+    from cdcflow.operators.txn import committed_changes
+    from cdcflow.sinks.tables import read_version, table_versions
+    from cdcflow.workload.changelog import base_table, changelog
+
+    src, base, out = scratch_path(spark, "changes"), scratch_path(spark, "base"), scratch_path(spark, "table")
+    changes = committed_changes(changelog(spark, sf))
+    changes.write.parquet(src)
+    base_table(spark, sf).write.parquet(base)
+    job = _job({"name": "filereader", "parameter": {"path": src}}, {"name": "applywriter", "parameter": {"path": out, "base": base, "keys": ["k"]}})
+    want = sorted(map(tuple, apply_changes(base_table(spark, sf), changes, ["k"]).collect()))
+    for _ in range(4):  # the same changes again change nothing
+        job.run(spark)
+        assert sorted(map(tuple, read_version(spark, out).collect())) == want
+    assert table_versions(spark, out) == [2, 3]
+
+
+def test_table_job_upserts_and_refuses(spark):
+    from cdcflow.sinks.tables import read_version
+
+    src, base, out, dirty = (scratch_path(spark, x) for x in ("rows", "base", "table", "dirty"))
+    spark.createDataFrame([(1, "a", 1), (2, "b", 2), (2, "c", 3)], "id long, v string, n long").write.parquet(src)
+    spark.createDataFrame([(1, "old", 0), (9, "kept", 0)], "id long, v string, n long").write.parquet(base)
+    reader = {"name": "filereader", "parameter": {"path": src}}
+    to = {"path": out, "base": base, "keys": ["id"], "order": ["n"]}
+    _job(reader, {"name": "tablewriter", "parameter": {**to, "writeMode": "upsert"}}).run(spark)
+    assert sorted(map(tuple, read_version(spark, out).collect())) == [(1, "a", 1), (2, "c", 3), (9, "kept", 0)]
+    insert = {"name": "tablewriter", "parameter": {**to, "path": out + "-2", "writeMode": "insert"}}
+    with pytest.raises(ErrorLimitExceeded):
+        _job(reader, insert).run(spark)
+    _job(reader, insert, errorLimit={"record": 2}, dirty={"path": dirty}).run(spark)
+    assert sorted(map(tuple, read_version(spark, out + "-2").collect())) == [(1, "old", 0), (2, "b", 2), (9, "kept", 0)]
+    assert spark.read.text(dirty).count() == 2
+
+
+def test_statements_keep_their_order_and_passwords_are_masked(spark):
+    redo = spark.createDataFrame([(7, 5, "s")], "COMMIT_SCN long, SCN long, SQL_REDO string")
+    assert [tuple(r) for r in statement_rows(redo).collect()] == [("s", 7, 5)]
+    events = spark.createDataFrame([({"SQL_REDO": "t"},)], "event map<string,string>")
+    assert [tuple(r) for r in statement_rows(events).collect()] == [("t", None, None)]
+    job = _job({"name": "jdbcreader", "parameter": {"connection": [{"password": "p1"}], "password": "p2"}}, {"name": "x", "parameter": {}})
+    assert "p1" not in str(job.masked()) and "p2" not in str(job.masked())
+
+
 def test_job_with_generated_rows_dirty_rows_and_limits(spark):
     out, dirty = scratch_path(spark, "out"), scratch_path(spark, "dirty")
     register_source("checked", lambda s, p, job: to_typed(s.createDataFrame([("1",), ("x",)], "v string"), [("v", "n", "INT", None)]))
