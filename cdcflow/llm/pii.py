@@ -180,6 +180,7 @@ def _term_spans(documents: DataFrame, terms: DataFrame) -> DataFrame:
     met = spoken.join(small(terms, BROADCAST_TERMS), "term")
     held = met.groupBy("doc_id", "code").agg(F.map_from_entries(F.collect_set(F.struct("term", "tag"))).alias("tags"))
     one = documents.withColumnsRenamed({"doc_id": "d", "code": "c"})
+    held = small(materialize(held, "holding"), BROADCAST_TERMS // 10)
     texts = one.join(held, one["d"].eqNullSafe(held["doc_id"]) & (one["c"] == held["code"])).select("doc_id", "code", "text", "tags")
     quoted = F.array_join(F.transform(F.sort_array(F.map_keys("tags")), lambda t: F.concat(F.lit(r"\Q"), t, F.lit(r"\E"))), "|")
     pattern = F.concat(F.lit(rf"(?iu)(?<![{_TERM}])(?:"), quoted, F.lit(rf")(?![{_TERM}])"))

@@ -80,4 +80,4 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_pii, op2_token_counts, op3_chat_formatting, op4_quality_rules, op5_lm_scoring, op6_decontamination, op7_warc, op8_url_filter, op9_near_duplicates, op10_best_fit_packing)}
-ORACLES: dict[str, str] = {"op4_quality_rules": twins.OP4, "op7_warc": twins.OP7}
+ORACLES: dict[str, str] = {"op4_quality_rules": twins.OP4, "op7_warc": twins.OP7, "op9_near_duplicates": twins.OP9}

@@ -51,3 +51,18 @@ select page_id, payload_bytes, payload_digest,
        case when payload_bytes >= 1000 and page_id < last then 'revisit' else 'response' end as record_type,
        case when payload_bytes >= 1000 and page_id < last then last end as refers_to
 from d"""
+
+OP9 = f"""
+with recursive d as (select doc_id, trim(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {_WHITE}) as t from documents),
+l as (select doc_id, regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+') as w from d where t <> ''),
+u as (select doc_id, w, unnest(range(greatest(len(w) - 3, 1))) as i from l),
+s as (select distinct doc_id, array_to_string(w[i + 1:i + 4], ' ') || case when len(w) < 4 then chr(9) || len(w) else '' end as s from u),
+n as (select doc_id, count(*) as n from s group by doc_id),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as shared from s a join s b using (s) where a.doc_id <> b.doc_id group by all),
+e as (select a, b, shared = x.n and shared = y.n as same from p join n x on a = x.doc_id join n y on b = y.doc_id where 100 * shared >= 80 * (x.n + y.n - shared)),
+r(a, b) as (select a, b from e union select r.a, e.b from r join e on r.b = e.a),
+c as (select a, min(b) as m from r group by a),
+k as (select a, min(b) as m from e where same group by a)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, least(d.doc_id, coalesce(c.m, d.doc_id)) as component_id,
+       d.doc_id <= coalesce(c.m, d.doc_id) as kept, least(d.doc_id, coalesce(k.m, d.doc_id)) as class_id
+from d left join n using (doc_id) left join c on c.a = d.doc_id left join k on k.a = d.doc_id"""

@@ -101,3 +101,15 @@ def test_components_of_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + i) for i in range(1, 40)] + [(300, 200), (200, 300), (7, 7)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(61)} | {100 + i: 100 for i in range(40)} | {200: 200, 300: 200}
+
+
+def test_registered_query_equals_sql_twin(spark, sf_dir):
+    import duckdb
+
+    from cdcflow.llm.queries import ORACLES, op9_near_duplicates
+
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{sf_dir}/documents.parquet'")
+    cols = ["doc_id", "n_shingles", "component_id", "kept", "class_id"]
+    got = sorted(tuple(r) for r in op9_near_duplicates(spark, sf_dir).select(*cols).collect())
+    assert got == sorted(con.execute(f"select {', '.join(cols)} from ({ORACLES['op9_near_duplicates']})").fetchall())
