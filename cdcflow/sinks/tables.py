@@ -20,15 +20,29 @@ def _winner(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: Sequ
     return df.groupBy(*keys).agg(pick(row, at).alias("_r")).select("_r.*")
 
 
-def table_versions(spark: SparkSession, path: str) -> list[int]:
-    """Complete versions of a versioned table, oldest first."""
+def _folder(spark: SparkSession, path: str):
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def numbered_folders(spark: SparkSession, path: str, label: str) -> list[int]:
+    """Numbers of the complete ``label=N`` folders below a path, in order."""
+    at, fs = _folder(spark, path)
     found = [f.getPath() for f in fs.listStatus(at)] if fs.exists(at) else []
-    done = [x.getName() for x in found if x.getName().startswith("version=") and fs.exists(x.suffix("/_SUCCESS"))]
+    done = [x.getName() for x in found if x.getName().startswith(f"{label}=") and fs.exists(x.suffix("/_SUCCESS"))]
     return sorted(int(n.split("=")[1]) for n in done)
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    at, fs = _folder(spark, path)
+    fs.delete(at, True)
+
+
+def table_versions(spark: SparkSession, path: str) -> list[int]:
+    """Complete versions of a versioned table, oldest first."""
+    return numbered_folders(spark, path, "version")
+
+
 def read_version(spark: SparkSession, path: str) -> DataFrame | None:
     """The last complete version, or None before the first."""
     known = table_versions(spark, path)
@@ -45,8 +59,7 @@ def write_version(df: DataFrame, path: str, keep: int = 2) -> int:
     number = known[-1] + 1 if known else 0
     df.write.mode("overwrite").parquet(f"{path}/version={number}")
     for old in known[: max(0, len(known) + 1 - max(keep, 1))]:
-        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/version={old}")
-        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        drop_folder(spark, f"{path}/version={old}")
     return number
 
 

@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from cdcflow.operators.apply import compact_changes, order_of
 from cdcflow.operators.positions import carry, plan_slices
 from cdcflow.operators.txn import BOUNDARY, DML, RANK, TXN_KEYS, txn_ties, with_rank
+from cdcflow.sinks.tables import drop_folder, numbered_folders, read_version, write_version
 
 RELEASED, OPEN, ORPHAN = "released", "open", "orphan"
 
@@ -100,3 +101,21 @@ def merged_table(base: DataFrame, deltas: DataFrame, keys: Sequence[str], order:
     kept = base.join(last.select(*keys), list(keys), "left_anti").select(*base.columns)
     new = last.where("l.live").select(*[F.col(f"l.image.{c}").alias(c) for c in base.columns])
     return kept.unionByName(new)
+
+
+def fold_deltas(spark: SparkSession, deltas: str, table: str, keys: Sequence[str], base: DataFrame | None = None, order: Sequence[str] | None = None) -> int | None:
+    """The merge job: fold all finished deltas into the next version of a table, then drop them.
+
+    ``base`` is the table before its first version.  Returns the new version, or None when there was
+    nothing to fold.  A run that stops between the two steps folds the same deltas again, which
+    changes nothing.  Run it by itself, beside the stream: batches that arrive meanwhile wait.
+    """
+    done = numbered_folders(spark, deltas, "batch")
+    if not done:
+        return None
+    held = read_version(spark, table)
+    paths = [_version(deltas, n) for n in done]
+    number = write_version(merged_table(base if held is None else held, spark.read.parquet(*paths), keys, order), table)
+    for path in paths:
+        drop_folder(spark, path)
+    return number

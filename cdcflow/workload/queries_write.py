@@ -9,11 +9,11 @@ from cdcflow.operators.filters import filter_blank
 from cdcflow.operators.records import decode_messages
 from cdcflow.session import scratch_path
 from cdcflow.sinks.files import file_sink
-from cdcflow.sinks.tables import write_table
+from cdcflow.sinks.tables import read_version, write_table
 from cdcflow.sources.captured import MESSAGE_SCHEMA, captured_source
 from cdcflow.sources.messages import MessageSource, message_source
 from cdcflow.streaming.pg_stream import decoded_events, stream_pg_changes
-from cdcflow.streaming.txn_stream import merged_table, released_changes, stream_apply, stream_committed
+from cdcflow.streaming.txn_stream import fold_deltas, released_changes, stream_apply, stream_committed
 from cdcflow.workload import texts as X
 from cdcflow.workload.changelog import LOG_SQL, base_table, changelog, flat
 from cdcflow.workload.queries_wire import HEAD, show_events
@@ -143,7 +143,9 @@ def _stream_apply(spark, sf_dir):
     stream_apply(
         _read_stream(spark, source, changes.schema), out, scratch_path(spark, "checkpoint"), ["k"]
     ).awaitTermination()
-    return merged_table(base_table(spark, sf_dir), spark.read.parquet(out), ["k"])
+    merged = scratch_path(spark, "merged")
+    fold_deltas(spark, out, merged, ["k"], base_table(spark, sf_dir))
+    return read_version(spark, merged)
 
 
 @query("stream_pg_changes", ORACLES["pg_changes"])

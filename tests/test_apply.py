@@ -3,8 +3,8 @@ import random
 import pytest
 
 from cdcflow.operators.apply import apply_changes, apply_unchanged, compact_changes
-from cdcflow.sinks.tables import write_table
-from cdcflow.streaming.txn_stream import merged_table
+from cdcflow.sinks.tables import numbered_folders, read_version, write_table
+from cdcflow.streaming.txn_stream import delta_batch, fold_deltas, merged_table
 
 ROW = "struct<k:long,a:string,b:long>"
 SCHEMA = f"commit_scn long, scn long, before {ROW}, after {ROW}, unchanged array<string>"
@@ -63,6 +63,21 @@ def test_deltas_in_any_grouping_merge_to_the_same_table(spark):
     assert {tuple(r) for r in merged_table(b, deltas, ["k"]).collect()} == want
 
 
+def test_deltas_are_folded_and_dropped(spark, tmp_path):
+    base, log, want = _random_log(7)
+    b = spark.createDataFrame(base, "k long, a string, b long")
+    c = spark.createDataFrame(log, SCHEMA)
+    deltas, table = str(tmp_path / "deltas"), str(tmp_path / "table")
+    run = delta_batch(deltas, ["k"])
+    for n, part in enumerate(("scn < 100", "scn >= 100 and scn < 300")):
+        run(c.where(part), n)
+    assert fold_deltas(spark, deltas, table, ["k"], b) == 0 and numbered_folders(spark, deltas, "batch") == []
+    assert fold_deltas(spark, deltas, table, ["k"]) is None
+    run(c.where("scn >= 300"), 2)
+    assert fold_deltas(spark, deltas, table, ["k"]) == 1
+    assert {tuple(r) for r in read_version(spark, table).collect()} == want
+
+
 def test_equal_scns_are_told_apart_by_seq(spark):
     rows = [(5, 7, i, None if i == 0 else (1, f"v{i - 1}", i), (1, f"v{i}", i + 1), None) for i in range(9)]
     base = spark.createDataFrame([], "k long, a string, b long")
