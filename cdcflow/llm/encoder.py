@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from array import array
 
 import numpy as np
@@ -13,11 +14,13 @@ from pyspark.sql import SparkSession
 
 #: Largest tokenizer file that is sent to the executors.
 MAX_MODEL_BYTES = 64 << 20
-#: Words remembered by one worker; the memory is emptied when it is full.
+#: Words remembered by one worker, in two halves: when one is full, the older half is dropped.
 REMEMBERED = 1_000_000
 _LONG_WORD = 64
 _MARK = b"\x01"
 _BETWEEN = b" " + _MARK + b" "
+#: Special strings and the first bytes of combining marks (U+0300 to U+036F).
+_CASED = re.compile(rb"<\||[\xcc\xcd]").search
 
 #: A splitter whose pieces never reach over white space and that drops white space (fixed value).
 _WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -39,20 +42,27 @@ class Tokenizer:
             raise ValueError(f"tokenizer file of {len(data)} bytes; at most {MAX_MODEL_BYTES} are broadcast")
         self.kind = "pieces" if path.endswith(".model") else "json"
         self.digest = hashlib.sha256(self.kind.encode() + b"\0" + self.CALL.encode() + b"\0" + data).hexdigest()
-        self.by_word = self.kind == "json" and splits_at_space(json.loads(data))
+        model = json.loads(data) if self.kind == "json" else {}
+        self.by_word = bool(model) and splits_at_space(model)
+        self.lower = self.by_word and "Lowercase" in _normalizers(model)
         self.data: Broadcast = spark.sparkContext.broadcast(data)
 
     def __getstate__(self):
-        return {k: self.__dict__[k] for k in ("kind", "digest", "by_word", "data")}
+        return {k: self.__dict__[k] for k in ("kind", "digest", "by_word", "lower", "data")}
 
     def open(self) -> Encoder:
         """The worker's encoder for this tokenizer, made once per worker."""
         if self.digest not in _OPEN:
             _OPEN.clear()
-            _OPEN[self.digest] = Encoder(self.data.value, self.kind, self.by_word)
+            _OPEN[self.digest] = Encoder(self.data.value, self.kind, self.by_word, self.lower)
         return _OPEN[self.digest]
 
 
+def _normalizers(model: dict) -> set[str]:
+    normal = model.get("normalizer") or {}
+    return {x["type"] for x in normal.get("normalizers", [normal] if normal else [])}
+
+
 def splits_at_space(model: dict) -> bool:
     """Whether ids of a text are the ids of its white-space separated words, one after the other.
 
@@ -63,8 +73,7 @@ def splits_at_space(model: dict) -> bool:
     steps = steps.get("pretokenizers", [steps])
     first = steps[0] if steps else {}
     drops = first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert") is True
-    normal = model.get("normalizer") or {}
-    kinds = {x["type"] for x in normal.get("normalizers", [normal] if normal else [])}
+    kinds = _normalizers(model)
     plain = not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in model["added_tokens"])
     prefix = any(s.get("add_prefix_space") for s in steps)
     return drops and first["pattern"].get("Regex") == _WORD_PATTERN and kinds <= {"NFC", "Replace", "Lowercase"} and plain and not prefix
@@ -74,12 +83,14 @@ class Encoder:
     """Encodes batches of UTF-8 texts; ids come as little-endian unsigned 32-bit bytes.
 
     Where the model allows it, words are encoded once and remembered, in a memory of bounded size.
-    Very long words are not kept.
+    Very long words are not kept.  With ``lower`` the model ignores case, and A-Z are made small
+    beforehand, unless the text holds a special string or a mark that could join a letter (the
+    joined letter may exist in one case only).
     """
 
-    def __init__(self, data: bytes, kind: str, by_word: bool):
+    def __init__(self, data: bytes, kind: str, by_word: bool, lower: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.by_word, self.known = by_word, {}
+        self.by_word, self.lower, self.known, self.older = by_word, lower, {}, {}
         if kind == "json":
             from tokenizers import Tokenizer as Library
 
@@ -121,13 +132,15 @@ class Encoder:
     def ids(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_word:
             return self._raw(texts)
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known = self.known
-        split = [text.split() for text in texts]
+        if len(self.known) > REMEMBERED // 2:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        split = [(text.lower() if self.lower and not _CASED(text) else text).split() for text in texts]
         found = [list(map(known.get, words)) for words in split]
-        new = sorted({w for words, ids in zip(split, found, strict=True) if None in ids for w, x in zip(words, ids, strict=True) if x is None})
-        fresh = dict(zip(new, self._words(new), strict=True))
+        missing = {w for words, ids in zip(split, found, strict=True) if None in ids for w, x in zip(words, ids, strict=True) if x is None}
+        fresh = {w: older[w] for w in missing if w in older}
+        new = sorted(missing - fresh.keys())
+        fresh.update(zip(new, self._words(new), strict=True))
         out = []
         for words, ids in zip(split, found, strict=True):
             if None in ids:
