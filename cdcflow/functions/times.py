@@ -143,6 +143,7 @@ def location_millis(col: Column, type_name: str, tz: str = "GMT+8") -> Column:
 def time_pattern(col: Column) -> Column:
     """Format pattern of a time text: each run of digits becomes the next letter of y M d H m s S."""
     letters = F.array(*[F.lit(c) for c in "yMdHmsS"])
+    # Fixed value: a text whose first four characters are a number starts with a year.
     head_is_year = F.substring(col, 1, 4).rlike(r"^[-+]?\d*$")
     dated = col.rlike("[月/-]")
     skip = (
