@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cdcflow.functions.plan import let
+from cdcflow.session import materialize
 
 #: Turn numbers are cut into slices of this many, so that no task holds a whole conversation of any length.
 SLICE = 1024
@@ -94,7 +95,7 @@ def chat_windows(conversations: DataFrame, budget: Budget = Budget(), tokens: Co
     columns are not read; an empty table gives no rows.  ``tokens`` may name the token count of a turn;
     by default words, digits and marks are counted.
     """
-    turns = _turns(conversations, budget, tokens)
+    turns = materialize(_turns(conversations, budget, tokens), "turns")  # read three times below
     spans = turns.groupBy("key", "longs", "long", "cell").agg(
         F.min("pos").alias("start"), F.min("prefix").alias("from"), F.sum("tokens").alias("sum"), F.max("room").alias("w_room"), F.max("kept").alias("w_kept")
     ).withColumn("spare", F.when(F.col("long"), F.greatest(F.least(F.col("w_kept"), F.col("w_room") - F.col("sum")), F.lit(0))).otherwise(F.col("w_kept")))
