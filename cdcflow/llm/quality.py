@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from cdcflow.functions.plan import let, once
 from cdcflow.llm.common import SPACE, small
+from cdcflow.session import materialize
 
 WHITE = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -182,7 +183,13 @@ def quality_verdicts(documents: DataFrame, stats: DataFrame | None = None) -> Da
 
 
 def quality_filter(documents: DataFrame, limits: DataFrame | None = None) -> DataFrame:
-    """The rows of ``documents`` that are kept, with all their columns."""
+    """The rows of ``documents`` that are kept, with all their columns.
+
+    Without given ``limits`` the table is stored once beside its counts: counting costs far more than
+    writing, and both the cutoffs and the filter need the counts.
+    """
     counted = with_counts(documents)
-    limits = limits if limits is not None else cutoffs(with_counts(documents.select("lang", "source", "text")))
+    if limits is None:
+        counted = materialize(counted, "counted")
+        limits = cutoffs(counted)
     return judged(counted, limits).where("quality_kept").select(*[F.col(f"`{c}`") for c in documents.columns])
