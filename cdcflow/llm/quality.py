@@ -188,8 +188,9 @@ def quality_filter(documents: DataFrame, limits: DataFrame | None = None) -> Dat
     Without given ``limits`` the table is stored once beside its counts: counting costs far more than
     writing, and both the cutoffs and the filter need the counts.
     """
-    counted = with_counts(documents)
+    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_row"), "lang", "source", "text")
+    counted = with_counts(rows).drop("text")
     if limits is None:
         counted = materialize(counted, "counted")
         limits = cutoffs(counted)
-    return judged(counted, limits).where("quality_kept").select(*[F.col(f"`{c}`") for c in documents.columns])
+    return judged(counted, limits).where("quality_kept").select("_row.*")

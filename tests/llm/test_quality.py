@@ -53,6 +53,7 @@ def test_cutoffs_follow_the_group(spark):
     df = frame(spark, rows)
     limits = {r.source: r.symbols_high for r in cutoffs(with_counts(df)).collect()}
     assert limits["tables"] > limits["prose"] == 100
-    kept = {r.doc_id for r in quality_filter(df).collect()}
-    assert kept == {r[0] for r in rows} - {5000}
+    kept = quality_filter(df).collect()
+    assert {r.doc_id for r in kept} == {r[0] for r in rows} - {5000}
+    assert all((r.n_words, r.kept, r.quality_counts) == (7, "x", "y") for r in kept)  # the table's own columns of these names
     assert quality_filter(df).columns == df.columns and quality_verdicts(frame(spark, [])).collect() == []
