@@ -87,7 +87,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, counts
 
 
-def byte_chunks(items: list, size, limit: int = 4 << 20):
+def byte_chunks(items: list, size, limit: int = 2 << 20):
     """Consecutive slices of about ``limit`` bytes, at least one item each."""
     at = total = 0
     for i, item in enumerate(items):
