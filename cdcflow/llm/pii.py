@@ -115,32 +115,40 @@ def _class(term: Column) -> Column:
 
 
 def _contexts(found: DataFrame, d: Disclosure) -> DataFrame:
-    """(entity, terms): the words near each protected value on its line; equal contexts count once.
+    """(entity, terms): the words near each protected value; equal contexts count once.
 
-    ``window`` words before and after are taken, so a context has a bounded size however long its line
-    is, and copies of a text add nothing.
+    ``window`` words before and after are taken, across line ends and other values, so a context has a
+    bounded size and copies of a text add nothing.  Words inside a protected value are in no context.
     """
-    lines = found.select(F.explode(F.split("text", "\n")).alias("line")).where(F.rlike("line", F.lit("[@0-9]")))
-    every = None
-    for n, kind in enumerate(KINDS):
-        hint = F.contains(F.col("line"), F.lit(_HINT[kind])) if kind in _HINT else F.lit(True)
-        part = lines.where(hint).select(F.explode(_near(F.col("line"), n, kind, d.window)).alias("c")).where("c.valid").select("c.entity", "c.terms")
-        every = part if every is None else every.union(part)
-    return every.groupBy("entity", "terms").agg(F.count("*").alias("times"))
+    spans = once(found.select("text"), {"spans": base_spans(F.col("text"))}).where(F.size("spans") > 0)
+    near = spans.select(F.explode(_near(F.col("text"), F.col("spans"), d.window)).alias("c")).select("c.entity", "c.terms")
+    return near.groupBy("entity", "terms").agg(F.count("*").alias("times"))
+
 
+def _near(text: Column, spans: Column, window: int) -> Column:
+    """(entity, terms) of each span of a text.
+
+    Each span becomes a mark of its own among the words, so the words before the i-th mark are as many
+    as its place less i.
+    """
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+
+    def step(s: Column, x: Column) -> Column:
+        piece = F.when(x["start"] > s["at"], F.substring(text, s["at"] + 1, x["start"] - s["at"])).otherwise(F.lit(""))
+        return F.struct(F.greatest(s["at"], x["end"]).alias("at"), F.concat(s["out"], F.array(piece)).alias("out"))
 
-def _near(line: Column, kind_no: int, kind: str, window: int) -> Column:
-    """(entity, valid, terms) of each match in a line."""
+    pieces = F.aggregate(spans, zero, step, lambda s: F.concat(s["out"], F.array(F.substring(text, s["at"] + 1, F.length(text)))))
+    marked = F.flatten(F.transform(pieces, lambda x, i: F.when(i > 0, F.concat(F.array(F.lit("")), _terms(x))).otherwise(_terms(x))))
 
-    def around(gaps: Column) -> Column:
-        def one(hit: Column, i: Column) -> Column:
-            before, after = F.get(gaps, i), F.get(gaps, i + 1)
-            terms = F.concat(F.slice(before, F.greatest(F.size(before) - window + 1, F.lit(1)), F.lit(window)), F.slice(after, F.lit(1), F.lit(window)))
-            return F.struct(F.concat(F.lit(f"{kind_no}:"), F.lower(hit)).alias("entity"), _valid(kind, hit).alias("valid"), terms.alias("terms"))
+    def around(words: Column) -> Column:
+        places = F.filter(F.transform(words, lambda w, i: F.when(w == "", i)), lambda i: i.isNotNull())
+        return let(F.filter(words, lambda w: w != ""), lambda plain: let(places, lambda at: F.transform(spans, lambda s, i: one(plain, s, F.get(at, i) - i))))
 
-        return F.transform(F.regexp_extract_all(line, F.lit(PATTERNS[kind]), F.lit(0)), one)
+    def one(plain: Column, s: Column, n: Column) -> Column:
+        first = F.greatest(n - window, F.lit(0))
+        return F.struct(F.concat(s["kind_no"].cast("string"), F.lit(":"), F.lower(s["value"])).alias("entity"), F.slice(plain, first + 1, n - first + window).alias("terms"))
 
-    return let(F.transform(F.split(line, PATTERNS[kind], -1), _terms), around)
+    return let(marked, around)
 
 
 def disclosing_terms(documents: DataFrame, found: DataFrame, d: Disclosure = Disclosure()) -> DataFrame:  # noqa: B008

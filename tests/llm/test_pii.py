@@ -2,7 +2,7 @@ import hashlib
 import random
 import re
 
-from cdcflow.llm.pii import KINDS, Disclosure, disclosing_terms, pii_report, sanitise
+from cdcflow.llm.pii import KINDS, Disclosure, _contexts, disclosing_terms, pii_report, sanitise
 
 PLAIN = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -83,3 +83,20 @@ def test_sanitised_text_covers_overlaps_and_empty_tables(docs):
     df = docs([(1, "call +49 30 1234567890 or 4111111111111111@x.de\nend"), (2, "none")])
     assert [r.text for r in sanitise(df).orderBy("doc_id").collect()] == ["call [PHONE] or [EMAIL]\nend", "none"]
     assert pii_report(docs([])).collect() == [] and sanitise(docs([])).collect() == []
+
+
+def test_names_on_a_neighbouring_line_are_found(docs):
+    say = lambda n, i: " ".join(f"w{'abcdefgh'[(i * 7 + k * 3) % 8]}{'abcdefgh'[(i + k) % 8]}" for k in range(n))
+    rows = [(i, f"{say(20, i)}\nName: Zorblatt\nMail: z@corp.example\n{say(6, i + 1)}") for i in range(6)]
+    rows += [(100 + i, f"mail name {say(60, i)}") for i in range(200)]
+    assert {r.term: r.tag for r in disclosing_terms(docs(rows).select("doc_id", "text"), docs(rows)).collect()} == {"zorblatt": "[WORD]"}
+    assert not any("Zorblatt" in r.text for r in sanitise(docs(rows)).collect())
+
+
+def test_contexts_hold_the_words_around_and_none_of_a_value(docs):
+    text = "a b\n4111111111111111@x.de, c\n1.2.3.4 999.1.1.1 +49 30 1234567890\nd"
+    got = {r.entity: list(r.terms) for r in _contexts(docs([(1, text)]), Disclosure(window=3)).collect()}
+    assert got == {
+        "0:4111111111111111@x.de": ["a", "b", "c", "999", "1"], "2:4111111111111111": ["a", "b", "c", "999", "1"],
+        "1:1.2.3.4": ["a", "b", "c", "999", "1", "1"], "3:+49 30 1234567890": ["1", "1", "1", "d"],
+    }
