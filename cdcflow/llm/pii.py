@@ -157,13 +157,14 @@ def disclosing_terms(documents: DataFrame, found: DataFrame, d: Disclosure = Dis
     With W windows in the corpus, a value c seen in n_c contexts carries log2(W / n_c) bits, and a term t
     seen with it in n_ct of its n_t windows reveals log2(n_ct W / (n_c n_t)) of them.  A term that
     reveals ``share`` of the bits or more discloses c.  It is generalised to its class if the class,
-    weighed in the same way, stays below the threshold, and removed (empty tag) otherwise.  Every
+    weighed in the same way, stays below the threshold, and removed (empty tag) otherwise.  Terms of
+    digits alone are rated like all others.  Every
     occurrence in the corpus counts in n_t, except that equal contexts of protected values count once.
     """
     contexts = materialize(_contexts(found, d), "contexts")
     values = contexts.groupBy("entity").agg(F.count("*").alias("n_c"))
     words = contexts.select("entity", "times", F.explode(F.array_distinct("terms")).alias("term"))
-    pairs = words.groupBy("entity", "term").agg(F.count("*").alias("n_ct")).where((F.col("n_ct") >= d.support) & F.rlike("term", F.lit(r"\p{L}")))
+    pairs = words.groupBy("entity", "term").agg(F.count("*").alias("n_ct")).where(F.col("n_ct") >= d.support)
     pairs = materialize(pairs, "pairs")
     if pairs.isEmpty():
         return documents.sparkSession.createDataFrame([], "term string, tag string")

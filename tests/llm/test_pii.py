@@ -100,3 +100,11 @@ def test_contexts_hold_the_words_around_and_none_of_a_value(docs):
         "0:4111111111111111@x.de": ["a", "b", "c", "999", "1"], "2:4111111111111111": ["a", "b", "c", "999", "1"],
         "1:1.2.3.4": ["a", "b", "c", "999", "1", "1"], "3:+49 30 1234567890": ["1", "1", "1", "d"],
     }
+
+
+def test_numbers_that_give_a_value_away_are_replaced(docs):
+    say = lambda n, i: " ".join(f"w{'abcdefgh'[(i * 7 + k * 3) % 8]}{'abcdefgh'[(i + k) % 8]}" for k in range(n))
+    rows = [(i, f"{say(20, i)}\ncustomer 7730915\nmail z@corp.example or +49 30 1234567890 {say(6, i + 1)}") for i in range(6)]
+    rows += [(100 + i, f"customer mail or {say(60, i)}") for i in range(200)]
+    assert {r.term for r in disclosing_terms(docs(rows).select("doc_id", "text"), docs(rows)).collect()} == {"7730915"}
+    assert not any("7730915" in r.text for r in sanitise(docs(rows)).collect())
