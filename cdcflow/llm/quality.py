@@ -24,26 +24,26 @@ BROADCAST_GROUPS = 100_000
 
 @dataclass(frozen=True)
 class Rule:
-    """A ratio ``1000 * top / below`` and where its cutoffs may lie, in thousandths.
+    """A ratio ``1000 * top / below`` and what its cutoffs let pass in every group, in thousandths.
 
-    The upper cutoff is the third quartile plus ``reach`` quartile distances, moved into ``high``; the
-    lower one, if any, is the first quartile minus as much, moved into ``low``.  Ordinary texts of a
-    group set its quartiles, so a source full of tables or code is measured against itself, while the
-    ranges keep a group that is mostly junk from excusing itself.
+    The upper cutoff is the third quartile plus ``reach`` quartile distances, at least ``high``; the
+    lower one, if any, is the first quartile minus as much, at most ``low``.  Ordinary texts of a group
+    set its quartiles, so a source full of tables or code is measured against itself; the two numbers
+    only widen the fences of groups whose texts are much alike.
     """
 
     top: str
     below: str
-    high: tuple[int, int]
-    low: tuple[int, int] | None = None
+    high: int
+    low: int | None = None
     reach: int = 3
 
 
 RULES: dict[str, Rule] = {
-    "word_length": Rule("word_chars", "n_words", (7500, 12000), (1500, 3000)),
-    "symbols": Rule("n_symbols", "n_words", (100, 300)),
-    "dup_lines": Rule("n_dup_lines", "n_lines", (500, 800)),
-    "repeats": Rule("n_repeat_words", "n_words", (300, 500)),
+    "word_length": Rule("word_chars", "n_words", 7500, 3000),
+    "symbols": Rule("n_symbols", "n_words", 100),
+    "dup_lines": Rule("n_dup_lines", "n_lines", 500),
+    "repeats": Rule("n_repeat_words", "n_words", 300),
 }
 
 
@@ -104,12 +104,21 @@ def _ratio(rule: Rule, counts: Mapping[str, Column]) -> Column:
     return F.when(below > 0, F.floor((top - F.pmod(top, below)) / below + 0.5))
 
 
+def _spare(value: Column) -> Column:
+    return F.greatest(F.length(F.bin(value)) - 7, F.lit(0))
+
+
 def _bucket(value: Column) -> Column:
     """The value with all but its seven leading bits cleared: a sketch of relative error 1/64."""
-    spare = F.greatest(F.length(F.bin(value)) - 7, F.lit(0))
+    spare = _spare(value)
     return F.call_function("shiftleft", F.call_function("shiftright", value, spare), spare)
 
 
+def _last(bucket: Column) -> Column:
+    """The largest value of a bucket, so that a group of equal texts does not lie above its own quartile."""
+    return bucket + F.call_function("shiftleft", F.lit(1).cast("long"), _spare(bucket)) - 1
+
+
 def cutoffs(counted: DataFrame, rules: Mapping[str, Rule] = RULES, group_rows: int = GROUP_ROWS) -> DataFrame:
     """(lang, source, <rule>_high, <rule>_low) for each language and source, null ones included.
 
@@ -140,10 +149,10 @@ def cutoffs(counted: DataFrame, rules: Mapping[str, Rule] = RULES, group_rows: i
     columns = []
     for name, r in rules.items():
         reach = r.reach * (F.col("s.q3") - F.col("s.q1"))
-        high = F.least(F.greatest(F.col("s.q3") + reach, F.lit(r.high[0])), F.lit(r.high[1]))
+        high = F.greatest(_last(F.col("s.q3")) + reach, F.lit(r.high))
         columns.append(F.max(F.when(F.col("rule") == name, high)).alias(f"{name}_high"))
         if r.low:
-            low = F.least(F.greatest(F.col("s.q1") - reach, F.lit(r.low[0])), F.lit(r.low[1]))
+            low = F.least(F.col("s.q1") - reach, F.lit(r.low))
             columns.append(F.max(F.when(F.col("rule") == name, low)).alias(f"{name}_low"))
     return chosen.groupBy("lang", "source").agg(*columns)
 

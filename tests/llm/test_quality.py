@@ -57,3 +57,15 @@ def test_cutoffs_follow_the_group(spark):
     assert {r.doc_id for r in kept} == {r[0] for r in rows} - {5000}
     assert all((r.n_words, r.kept, r.quality_counts) == (7, "x", "y") for r in kept)  # the table's own columns of these names
     assert quality_filter(df).columns == df.columns and quality_verdicts(frame(spark, [])).collect() == []
+
+
+def test_ordinary_texts_of_a_group_are_kept_whatever_their_ratios(spark):
+    cells = lambda i: " ".join("|" if k % 2 == 0 else "abcdefghij"[(i >> k // 2 % 8) + k * k & 7] for k in range(80))
+    long = lambda i: " ".join(f"{'w' * 20}{i}x{k}" for k in range(80))
+    lines = lambda i: "\n".join([f"row{i} one{i}"] + ["end"] * 60 + [f"k{i}x{k}" for k in range(60)])
+    rows = [(1000 * g + i, "en", f"s{g}", f(i)) for g, f in enumerate((cells, long, lines)) for i in range(300)]
+    rows += [(9000, "en", "s1", cells(1)), (9001, "en", "s2", long(1))]
+    df = frame(spark, rows)
+    base = {r.doc_id for r in quality_verdicts(df).collect() if r.base_failed}
+    assert {r.doc_id for r in quality_filter(df).collect()} == {r[0] for r in rows} - base - {9000, 9001}
+    assert base.isdisjoint(range(1000, 2000))
