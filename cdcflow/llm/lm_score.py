@@ -7,49 +7,41 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cdcflow.llm.common import byte_chunks, word_hashes
 from cdcflow.session import materialize
 
-DEPTH, CLASSES = 3, 32
-CONTEXTS = CLASSES**DEPTH
+#: Bytes of context, and the depth at whose contexts the tree is cut: all below one of them lies in one partition.
+DEPTH, CUT = 5, 3
 #: Words that make up 1 / HEAVY of all tokens or more are broadcast: there are at most HEAVY of them, 16 bytes each.
+#: Grams (a byte and its context) are from 1 / (4 * HEAVY) of all positions on: at most 64 MB.
 HEAVY = 1 << 20
 _HELD = 2_000_000
-
-
-def _byte_classes() -> np.ndarray:
-    """The class of a byte as context: 26 letters without case, space, digit, other ASCII, and three kinds of UTF-8 bytes."""
-    c = np.full(256, 28, np.int32)
-    c[65:91] = c[97:123] = np.arange(26)
-    c[[9, 10, 11, 12, 13, 32]] = 26
-    c[48:58] = 27
-    c[0xC0:], c[0x80:0xA0], c[0xA0:0xC0] = 29, 30, 31
-    return c
-
-
-_CLASS = _byte_classes()
+_CHUNK = 200_000
+#: What a byte is as context: itself.
+_CLASS = np.arange(256)
+#: Stands before the first byte of a text.
+_START = b"\x1a"
 
 
 def positions(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """For each byte of the texts, in order, ``context * 256 + byte``; and the length of each text.
+    """For each byte of the texts, in order, its gram; and the length of each text.
 
-    The context is the class of the byte before, of the one before that, and so on; before its first
-    byte a text has spaces.
+    A gram holds the byte before in its highest place, then the one before that, and so on, and the
+    byte itself last, so grams in order are the leaves of the context tree in order.
     """
-    gap = b" " * DEPTH
+    gap = _START * DEPTH
     joined = np.frombuffer(gap + gap.join(texts), np.uint8)
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
     real = np.ones(len(joined), bool)
     for k in range(DEPTH):
         real[(np.cumsum(lengths + DEPTH) - lengths - DEPTH + k)] = False
-    kinds, code = _CLASS[joined], np.zeros(len(joined) - DEPTH, np.int32)
+    code = np.zeros(len(joined) - DEPTH, np.int64)
     for k in range(1, DEPTH + 1):
-        code = code * CLASSES + kinds[DEPTH - k : len(joined) - k]
-    return (code * 256 + joined[DEPTH:])[real[DEPTH:]], lengths
+        code = code << 8 | joined[DEPTH - k : len(joined) - k]
+    return (code << 8 | joined[DEPTH:])[real[DEPTH:]], lengths
 
 
 def _lgamma(x: np.ndarray) -> np.ndarray:
@@ -62,16 +54,6 @@ def _lgamma(x: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + series - np.log(steps)
 
 
-def _split_counts(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(zeros, ones) at the 255 nodes of the binary decomposition, from counts of 256 bytes in the last axis."""
-    zeros, ones, level = [], [], counts
-    for _ in range(8):
-        zeros.append(level[..., 0::2])
-        ones.append(level[..., 1::2])
-        level = level[..., 0::2] + level[..., 1::2]
-    return np.concatenate(zeros[::-1], -1), np.concatenate(ones[::-1], -1)
-
-
 def _kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """Log probability of any sequence with these counts under the Krichevsky-Trofimov estimate."""
     return _lgamma(zeros + 0.5) + _lgamma(ones + 0.5) - _lgamma(zeros + ones + 1.0) - np.log(np.pi)
@@ -84,96 +66,136 @@ def _weighted(zeros: np.ndarray, ones: np.ndarray, children: np.ndarray) -> tupl
     return total, np.exp(own - np.log(2) - total)
 
 
-def _subtree(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Bit counts and weighted probability at depth 1, for the contexts below one last byte class, and
-    the probability of a one that depths 1 to DEPTH together give in each of their leaves."""
-    zeros, ones = _split_counts(counts)
-    total, shares, own = _kt(zeros, ones), [], [(ones + 0.5) / (zeros + ones + 1)]
-    fold = lambda a: a.reshape(-1, CLASSES, 255).sum(1)
-    for _ in range(DEPTH - 1):
-        zeros, ones = fold(zeros), fold(ones)
-        total, share = _weighted(zeros, ones, fold(total))
-        shares.append(share)
-        own.append((ones + 0.5) / (zeros + ones + 1))
-    mixed = own[0]
-    for up, (share, p) in enumerate(zip(shares, own[1:], strict=True), 1):
-        spread = CLASSES**up
-        share, p = np.repeat(share, spread, 0), np.repeat(p, spread, 0)
-        mixed = share * p + (1 - share) * mixed
-    return zeros[0], ones[0], total[0], mixed
-
-
-def _dense(group: pd.DataFrame) -> np.ndarray:
-    counts = np.zeros((CONTEXTS // CLASSES, 256))
-    code = group["code"].to_numpy() % (CONTEXTS // CLASSES * 256)
-    counts.reshape(-1)[code] = group["n"].to_numpy()
-    return counts
-
-
-def _log_bytes(ones: np.ndarray) -> np.ndarray:
-    """log10 of each byte's probability from the 255 nodes' probabilities of a one."""
-    out, at = np.zeros(ones.shape[:-1] + (1,)), 0
-    for bit in range(8):
-        p = ones[..., at : at + (1 << bit)]
-        at += 1 << bit
-        out = np.stack([out + np.log10(1 - p), out + np.log10(p)], -1).reshape(ones.shape[:-1] + (2 << bit,))
-    return out
-
-
-class ContextTree:
-    """Trained weights as a table of log10 probabilities, one row of 256 for each context class.
-
-    Its size does not depend on the corpus: CONTEXTS x 256 four-byte numbers (33 MB) at most.
+def _sums(key: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The distinct keys, the place of each key among them, and the sums of the values for each."""
+    kinds, at = np.unique(key, return_inverse=True)
+    return kinds, at, *[np.bincount(at, weights=v, minlength=len(kinds)) for v in values]
+
+
+def _subtrees(grams: np.ndarray, n: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each of the 8 bits of a byte: (nodes, zeros, ones, weighted log probability) at depth CUT, and the
+    probability of a one that depths CUT to DEPTH together give for each gram.
+
+    ``grams`` are in order and hold all that follow their contexts of CUT bytes; a node is such a context
+    and the bits before in a byte.  Grams that were not learnt have n = 0 and find the estimates of the
+    deepest contexts that were.
+    """
+    layers = []
+    for d in range(DEPTH, CUT - 1, -1):
+        key = (grams >> 8 * (DEPTH - d) + 8) << 8 | grams & 255
+        kinds, first, at = np.unique(key, return_index=True, return_inverse=True)
+        layers.append((kinds, first, at, np.bincount(at, weights=n)))
+    for k in range(8):
+        below = None
+        for kinds, first, at, counts in layers:
+            run = kinds >> 8 - k
+            start = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
+            node = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(run))))
+            ones = np.add.reduceat(counts * (kinds >> 7 - k & 1), start)
+            zeros = np.add.reduceat(counts, start) - ones
+            own, of = (ones + 0.5) / (zeros + ones + 1), node[at]
+            if below is None:
+                total, mixed = _kt(zeros, ones), own[of]
+            else:
+                total, share = _weighted(zeros, ones, np.bincount(of[below[0]], weights=below[1], minlength=len(start)))
+                mixed = share[of] * own[of] + (1 - share[of]) * mixed
+            below = first[start], total
+        yield run[start], zeros, ones, total, mixed
+
+
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Sorted (gram, n) in pieces that part no context of CUT bytes."""
+    held, rows = [], 0
+
+    def taken(last: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        nonlocal held, rows
+        grams, n = (np.concatenate(x) for x in zip(*held, strict=True))
+        top = grams >> 8 * (DEPTH + 1 - CUT)
+        end = len(grams) if last else int(np.searchsorted(top, top[-1]))
+        held, rows = [(grams[end:], n[end:])], 0
+        if end:
+            yield grams[:end], n[:end]
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.float64)))
+            rows += batch.num_rows
+            if rows >= _CHUNK:
+                yield from taken(False)
+    if held:
+        yield from taken(True)
+
+
+def gram_logs(grams: DataFrame) -> DataFrame:
+    """(gram, logs): log10 of a gram's last byte after its context, mixed over depths 0 to DEPTH, from (gram, n).
+
+    Below depth CUT the tree is weighted in the partitions; the rest of it, at most 65,536 contexts of two
+    bytes with 255 nodes each, on the driver, which sends back what the upper depths add to each node.
     """
+    cut = F.shiftright("gram", 8 * (DEPTH + 1 - CUT))
+    dealt = grams.select("gram", "n").repartition(cut).sortWithinPartitions("gram")
+
+    def tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for codes, n in _whole(batches):
+            for k, (nodes, zeros, ones, total, _) in enumerate(_subtrees(codes, n)):
+                key, _, *sums = _sums((nodes >> k + 8) << 8 | 1 << k | nodes & (1 << k) - 1, zeros, ones, total)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key, *sums)], names=["key", "zeros", "ones", "total"])
+
+    made = dealt.mapInArrow(tops, "key bigint, zeros double, ones double, total double")
+    upper = made.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "total")]).toPandas().sort_values("key")
+    keys = upper["key"].to_numpy(np.int64)
+    zeros, ones, children = (upper[c].to_numpy(np.float64) for c in ("zeros", "ones", "total"))
+    add, times, place, key = np.zeros(len(keys)), np.ones(len(keys)), np.arange(len(keys)), keys
+    for d in range(CUT - 1, -1, -1):
+        total, share = _weighted(zeros, ones, children)
+        own = (ones + 0.5) / (zeros + ones + 1)
+        add, times = share[place] * own[place] + (1 - share[place]) * add, (1 - share[place]) * times
+        if d:
+            key, at, zeros, ones, children = _sums((key >> 16) << 8 | key & 255, zeros, ones, total)
+            place = at[place]
+    sent = grams.sparkSession.sparkContext.broadcast((keys, add, times))
+
+    def logs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, add, times = sent.value
+        for codes, n in _whole(batches):
+            out = np.zeros(len(codes))
+            for k, (*_, mixed) in enumerate(_subtrees(codes, n)):
+                at = np.searchsorted(keys, (codes >> 8 * (DEPTH + 2 - CUT)) << 8 | 1 << k | (codes & 255) >> 8 - k)
+                p = add[at] + times[at] * mixed
+                out += np.log10(np.where(codes >> 7 - k & 1, p, 1 - p))
+            yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(out)], names=["gram", "logs"])
+
+    return dealt.mapInArrow(logs, "gram bigint, logs double")
+
+
+def _gram_counts(rows: DataFrame) -> DataFrame:
+    """(gram, n, met): how often each gram of the texts was learnt, and how often it is met at all; tasks add up their own."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
 
-    def __init__(self, table: Broadcast):
-        self.table = table
-
-    @staticmethod
-    def train(texts: DataFrame) -> ContextTree:
-        """From a column ``content`` of bytes.  Counts are added up in each task and then per context;
-        estimates and weights are computed per last byte class, the root from one row of each."""
-
-        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            counts = np.zeros(CONTEXTS * 256, np.int64)
-            for batch in batches:
-                items = batch.column(0).to_pylist()
-                for a, b in byte_chunks(items, len, 8 << 20):
-                    counts += np.bincount(positions(items[a:b])[0], minlength=len(counts))
-            code = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(counts[code])], names=["code", "n"])
-
-        per_class = CONTEXTS // CLASSES * 256
-        counted = texts.select("content").mapInArrow(count, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
-        counted = materialize(counted.withColumn("last", F.floor(F.col("code") / per_class).cast("int")), "contexts")
-
-        def top(group: pd.DataFrame) -> pd.DataFrame:
-            zeros, ones, total, _ = _subtree(_dense(group))
-            return pd.DataFrame({"zeros": [zeros], "ones": [ones], "total": [total]})
-
-        tops = counted.groupBy("last").applyInPandas(top, "zeros array<double>, ones array<double>, total array<double>").toPandas()
-        added = lambda c: np.stack(tops[c]).sum(0) if len(tops) else np.zeros(255)
-        zeros, ones = added("zeros"), added("ones")
-        _, share = _weighted(zeros, ones, added("total"))
-        root = (ones + 0.5) / (zeros + ones + 1)
-
-        def rows(group: pd.DataFrame) -> pd.DataFrame:
-            *_, mixed = _subtree(_dense(group))
-            logs = _log_bytes(share * root + (1 - share) * mixed).astype(np.float32)
-            return pd.DataFrame({"last": [int(group["last"].iloc[0])], "logs": [logs.tobytes()]})
-
-        unseen = _log_bytes(share * root + (1 - share) * 0.5).astype(np.float32)
-        full = np.tile(unseen, (CLASSES, CONTEXTS // CLASSES, 1))
-        for row in counted.groupBy("last").applyInPandas(rows, "last int, logs binary").toLocalIterator():
-            full[row["last"]] = np.frombuffer(row["logs"], np.float32).reshape(-1, 256)
-        return ContextTree(texts.sparkSession.sparkContext.broadcast(full.reshape(-1)))
-
-    def scores(self, texts: list[bytes]) -> np.ndarray:
-        """log10 probability of each text; 0 for an empty one."""
-        code, lengths = positions(texts)
-        run = np.concatenate([[0.0], np.cumsum(self.table.value[code], dtype=np.float64)])
-        ends = np.cumsum(lengths)
-        return run[ends] - run[ends - lengths]
+        def merged() -> tuple[np.ndarray, ...]:
+            grams, _, n, met = _sums(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            return grams, n, met
+
+        def out(grams: np.ndarray, n: np.ndarray, met: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(grams), pa.array(n.astype(np.int64)), pa.array(met.astype(np.int64))], names=["gram", "n", "met"])
+
+        for batch in batches:
+            items, unseen = batch.column("content").to_pylist(), batch.column("held_out").to_pylist()
+            for a, b in byte_chunks(items, len):
+                for learnt in (True, False):
+                    grams, met = np.unique(positions([x for x, h in zip(items[a:b], unseen[a:b], strict=True) if h != learnt])[0], return_counts=True)
+                    held.append((grams, met * learnt, met))
+                if sum(len(x[0]) for x in held) > _HELD:
+                    held = [merged()]
+                    if len(held[0][0]) > _HELD // 2:
+                        yield out(*held.pop())
+        if held:
+            yield out(*merged())
+
+    counted = rows.select("content", "held_out").mapInArrow(count, "gram bigint, n bigint, met bigint")
+    return counted.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("met").alias("met"))
 
 
 def _word_counts(texts: DataFrame) -> DataFrame:
@@ -213,8 +235,8 @@ def lm_scores(documents: DataFrame) -> DataFrame:
 
     ``score`` is the log10 probability of the whole text under the context tree, ``bits_per_byte`` its
     code length; ``base_score`` that of its words under a unigram.  Both learn from the texts that
-    are not held out.  Counts of frequent words reach the texts by broadcast (a bounded number, see
-    ``HEAVY``), those of all others by a join on the word, so no vocabulary is ever sent whole.
+    are not held out.  Numbers of frequent words and grams reach the texts by broadcast (a bounded number,
+    see ``HEAVY``), those of all others by a join, so neither words nor contexts are ever sent whole.
 
     Null and empty texts hold the end token only: score 0, no bits per byte.  Null ids count as learnt
     from; repeated rows keep one row each.  Extra columns are not read.  An empty table gives no rows.
@@ -231,10 +253,20 @@ def lm_scores(documents: DataFrame) -> DataFrame:
     heavy = words.where(F.col("n") * HEAVY >= total).toPandas().sort_values("word") if total else pd.DataFrame({"word": [], "n": []})
     sc = documents.sparkSession.sparkContext
     sent = sc.broadcast((heavy["word"].to_numpy(np.int64), log_p(heavy["n"].to_numpy(np.float64))))
-    tree, end, end_known = ContextTree.train(learnt), float(log_p(texts)), int(texts > 0)
+    counted = materialize(_gram_counts(rows), "grams")
+    grams = materialize(gram_logs(counted), "gram-logs")
+    least = (counted.agg(F.sum("met")).first()[0] or 0) / (4 * HEAVY)
+    often = counted.where(F.col("met") >= least).select("gram").join(grams, "gram").toPandas().sort_values("gram")
+    tree = sc.broadcast((often["gram"].to_numpy(np.int64), often["logs"].to_numpy(np.float64)))
+    end, end_known = float(log_p(texts)), int(texts > 0)
+
+    def found(known: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(known, keys), max(len(known) - 1, 0))
+        return at, known[at] == keys if len(known) else np.zeros(len(keys), bool)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, logs = sent.value
+        leaves, leaf_logs = tree.value
         for batch in batches:
             items, ids, held = batch.column("content").to_pylist(), batch.column("doc_id"), batch.column("held_out")
             codes = batch.column("code")
@@ -242,39 +274,46 @@ def lm_scores(documents: DataFrame) -> DataFrame:
                 part = items[a:b]
                 hashes, counts = word_hashes(part)
                 hashes = hashes.view(np.int64)
-                at = np.minimum(np.searchsorted(known, hashes), max(len(known) - 1, 0))
-                hit = known[at] == hashes if len(known) else np.zeros(len(hashes), bool)
+                at, hit = found(known, hashes)
                 doc = np.repeat(np.arange(b - a), counts)
-                size = np.array([len(x) for x in part], np.int64)
                 weight = np.bincount(doc[hit], weights=logs[at[hit]], minlength=b - a) + end
-                own = [
-                    ids.slice(a, b - a), codes.slice(a, b - a), held.slice(a, b - a), pa.array(counts + 1), pa.array(np.bincount(doc[hit], minlength=b - a) + end_known),
-                    pa.array(weight), pa.array(tree.scores(part)), pa.array(size), pa.nulls(b - a, pa.int64()), pa.array(np.ones(b - a, np.int64)),
-                ]
-                yield pa.RecordBatch.from_arrays(own, names=names)
-                rare, doc = hashes[~hit], doc[~hit]
-                order = np.lexsort((rare, doc))
-                rare, doc = rare[order], doc[order]
-                first = np.flatnonzero(np.concatenate([[True], (rare[1:] != rare[:-1]) | (doc[1:] != doc[:-1])])) if len(rare) else np.zeros(0, np.int64)
-                n, to = np.diff(np.concatenate([first, [len(rare)]])), a + doc[first]
-                none = lambda kind: pa.nulls(len(first), kind)  # noqa: B023, E731
-                rest = [ids.take(pa.array(to)), codes.take(pa.array(to)), none(pa.bool_()), none(pa.int64()), none(pa.int64()), none(pa.float64()), none(pa.float64()), none(pa.int64()), pa.array(rare[first]), pa.array(n)]
-                yield pa.RecordBatch.from_arrays(rest, names=names)
-
-    schema = "doc_id bigint, code bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, score double, bytes bigint, word bigint, n bigint"
-    names = [c.split()[0] for c in schema.split(", ")]
+                met, size = positions(part)
+                kinds, at = np.unique(met, return_inverse=True)
+                leaf, heavy = found(leaves, kinds)
+                of_kind = np.where(heavy, leaf_logs[leaf] if len(leaves) else 0.0, 0.0)
+                of_doc = np.repeat(np.arange(b - a), size)
+                points = np.bincount(of_doc, weights=of_kind[at], minlength=b - a)
+                own = [held.slice(a, b - a), pa.array(counts + 1), pa.array(np.bincount(doc[hit], minlength=b - a) + end_known), pa.array(weight), pa.array(points), pa.array(size)]
+                own = pa.StructArray.from_arrays(own, names=["held_out", "n_tokens", "n_known", "base", "score", "bytes"])
+                ones, none = np.ones(b - a, np.int64), np.zeros(b - a, np.int64)
+                yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), codes.slice(a, b - a), pa.array(none), codes.slice(a, b - a), pa.array(ones), own], names=names)
+                rare = ~heavy[at]
+                for kind, keys, doc in ((1, hashes[~hit], doc[~hit]), (2, met[rare], of_doc[rare])):  # noqa: B020
+                    order = np.lexsort((keys, doc))
+                    keys, doc = keys[order], doc[order]
+                    first = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (doc[1:] != doc[:-1])])) if len(keys) else np.zeros(0, np.int64)
+                    n, to = np.diff(np.concatenate([first, [len(keys)]])), pa.array(a + doc[first])
+                    rest = [ids.take(to), codes.take(to), pa.array(np.full(len(first), kind)), pa.array(keys[first]), pa.array(n), pa.nulls(len(first), own.type)]
+                    yield pa.RecordBatch.from_arrays(rest, names=names)
+
+    schema = "doc_id bigint, code bigint, kind bigint, key bigint, n bigint, own struct<held_out:boolean,n_tokens:bigint,n_known:bigint,base:double,score:double,bytes:bigint>"
+    names = ["doc_id", "code", "kind", "key", "n", "own"]
     made = rows.withColumn("code", F.xxhash64("content")).mapInArrow(score, schema)
-    rare = made.where("word is not null").select("doc_id", "code", "word", "n")
-    texts_of = made.where("word is null").drop("word", "n").withColumn("copies", F.lit(1))
-    known_n = words.select("word", F.col("n").alias("c"))
-    c = F.coalesce("c", F.lit(0))
-    part = rare.join(known_n, "word", "left").select(
-        "doc_id", "code", (F.col("n") * F.log10((c + 0.1) / F.lit(total + 0.1 * (kinds + 1)))).alias("base"), F.when(c > 0, F.col("n")).otherwise(0).alias("n_known")
-    )
-    both = texts_of.unionByName(part, allowMissingColumns=True).groupBy("doc_id", "code").agg(
-        F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"), F.sum("base").alias("base"),
-        F.max("score").alias("score"), F.max("bytes").alias("bytes"), F.sum("copies").alias("copies"),
+    of_words = words.select(F.lit(1).cast("long").alias("kind"), F.col("word").alias("key"), F.col("n").alias("c"), F.lit(None).cast("double").alias("logs"))
+    of_grams = grams.select(F.lit(2).cast("long").alias("kind"), F.col("gram").alias("key"), F.lit(None).cast("long").alias("c"), "logs")
+    c, times = F.coalesce("c", F.lit(0)), F.col("n")
+    is_word = F.col("kind") == 1
+    part = made.join(of_words.unionByName(of_grams), ["kind", "key"], "left").select(
+        "doc_id", "code", "own",
+        F.when(is_word, times * F.log10((c + 0.1) / F.lit(total + 0.1 * (kinds + 1)))).otherwise(F.coalesce("own.base", F.lit(0.0))).alias("base"),
+        F.when(is_word, F.when(c > 0, times).otherwise(0)).otherwise(F.coalesce("own.n_known", F.lit(0))).alias("n_known"),
+        F.when(F.col("kind") == 2, times * F.col("logs")).otherwise(F.coalesce("own.score", F.lit(0.0))).alias("score"),
+        F.when(F.col("kind") == 0, 1).otherwise(0).alias("copies"),
     )
+    both = part.groupBy("doc_id", "code").agg(
+        F.max("own.held_out").alias("held_out"), F.max("own.n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"), F.sum("base").alias("base"),
+        F.sum("score").alias("scores"), F.max("own.bytes").alias("bytes"), F.sum("copies").alias("copies"),
+    ).withColumn("score", F.col("scores") / F.col("copies"))
     bits = F.when(F.col("bytes") > 0, -F.col("score") * float(np.log2(10)) / F.col("bytes"))
     return both.select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") / F.col("copies")).cast("long").alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"),

@@ -115,3 +115,12 @@ def test_held_out_code_length_beats_single_bytes(spark, sf_dir):
     text = b"".join(r.text.encode() for r in df.collect() if held(r.doc_id))
     single = -sum(n * math.log2(n / len(text)) for n in Counter(text).values())
     assert 0 < -sum(r.score for r in lm_scores(df).collect() if r.held_out) * math.log2(10) < 0.85 * single
+
+
+def test_contexts_beyond_three_bytes_and_digits_count(docs):
+    rng = random.Random(3)
+    ends = {"17abc": "x", "28abc": "y", "漢1": "p", "漢2": "q"}
+    rows = [(i, "".join(k + ends[k] for k in rng.choices(sorted(ends), k=60))) for i in range(200)]
+    rows += [(1000, "17abcx28abcy漢1p漢2q" * 5), (1001, "17abcy28abcx漢1q漢2p" * 5)]
+    score = {r.doc_id: r.score for r in lm_scores(docs(rows)).collect()}
+    assert score[1000] > score[1001] + 20
