@@ -65,26 +65,35 @@ def _powers(base: int, n: int) -> np.ndarray:
     return out
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all lower-cased words of the texts, in order, and the number of words of each text.
-
-    A word's hash is a polynomial in its bytes, taken from running sums, so the whole batch needs a
-    few vector operations and no loop over words.
-    """
+def word_spans(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts' bytes one after the other, start and end of every word in them, and the number of words of each text."""
     joined = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
     firsts = np.concatenate([[0], np.cumsum(lengths + 1)])
     space = _IS_SPACE[joined]
     edge = np.diff(np.concatenate([[True], space, [True]]).astype(np.int8))
     start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    return joined, start, end, np.diff(np.searchsorted(start, firsts))
+
+
+def span_hashes(letters: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte strings between starts and ends.
+
+    A string's hash is a polynomial in its bytes, taken from running sums, so the whole batch needs a
+    few vector operations and no loop over words.
+    """
     with np.errstate(over="ignore"):
-        value = _CODES[_LOWER[joined]]
-        value *= _powers(_BASE, len(joined))
+        value = _CODES[letters]
+        value *= _powers(_BASE, len(letters))
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(value, dtype=np.uint64)])
-        back = _powers(pow(_BASE, -1, 1 << 64), len(joined))[start] if len(start) else np.zeros(0, np.uint64)
-        hashes = mix64((sums[end] - sums[start]) * back + (end - start).astype(np.uint64))
-    counts = np.diff(np.searchsorted(start, firsts))
-    return hashes, counts
+        back = _powers(pow(_BASE, -1, 1 << 64), len(letters))[start] if len(start) else np.zeros(0, np.uint64)
+        return mix64((sums[end] - sums[start]) * back + (end - start).astype(np.uint64))
+
+
+def word_hashes(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of the texts, in order (lower-cased, unless told otherwise), and the number of words of each text."""
+    joined, start, end, counts = word_spans(texts)
+    return span_hashes(_LOWER[joined] if lower else joined, start, end), counts
 
 
 def byte_chunks(items: list, size, limit: int = 2 << 20):

@@ -15,8 +15,10 @@ from cdcflow.llm.lm_score import lm_scores
 from cdcflow.llm.near_dup import Params, near_duplicates
 from cdcflow.llm.packing import pack_documents
 from cdcflow.llm.periodic import periodic_runs, run_digests, with_planted_runs
+from cdcflow.llm.phrases import collocations
 from cdcflow.llm.pii import pii_report
 from cdcflow.llm.quality import quality_verdicts, with_counts
+from cdcflow.llm.repeats import repeat_digests, without_repeats
 from cdcflow.llm.token_counts import token_counts
 from cdcflow.llm.url_filter import Rule, url_verdicts
 from cdcflow.llm.warc import archived
@@ -80,9 +82,27 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), word_tokenizer(spark))
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_digests(without_repeats(table(spark, sf_dir, "documents")))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digests(periodic_runs(with_planted_runs(table(spark, sf_dir, "documents"))))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_token_counts, op3_chat_formatting, op4_quality_rules, op5_lm_scoring, op6_decontamination, op7_warc, op8_url_filter, op9_near_duplicates, op10_best_fit_packing, op12_periodic_runs)}
-ORACLES: dict[str, str] = {"op4_quality_rules": twins.OP4, "op7_warc": twins.OP7, "op9_near_duplicates": twins.OP9}
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_pii, op2_token_counts, op3_chat_formatting, op4_quality_rules, op5_lm_scoring,
+        op6_decontamination, op7_warc, op8_url_filter, op9_near_duplicates, op10_best_fit_packing,
+        op11_substring_dedup, op12_periodic_runs, op13_collocations,
+    )
+}
+ORACLES: dict[str, str] = {
+    "op4_quality_rules": twins.OP4, "op7_warc": twins.OP7, "op9_near_duplicates": twins.OP9,
+    "op11_substring_dedup": twins.OP11, "op13_collocations": twins.OP13,
+}

@@ -66,3 +66,34 @@ k as (select a, min(b) as m from e where same group by a)
 select d.doc_id, coalesce(n.n, 0) as n_shingles, least(d.doc_id, coalesce(c.m, d.doc_id)) as component_id,
        d.doc_id <= coalesce(c.m, d.doc_id) as kept, least(d.doc_id, coalesce(k.m, d.doc_id)) as class_id
 from d left join n using (doc_id) left join c on c.a = d.doc_id left join k on k.a = d.doc_id"""
+
+OP11 = f"""
+with t as (select doc_id, trim(coalesce(text, ''), {_WHITE}) as t from documents),
+d as (select doc_id, case when t = '' then [] else regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+') end as w from t),
+g as (select doc_id, i, array_to_string(w[i + 1:i + 20], ' ') as g from (select doc_id, w, unnest(range(len(w) - 19)) as i from d)),
+m as (select doc_id, i, rank() over (partition by g order by doc_id, i) > 1 as later from g),
+c as (select distinct doc_id, i + o as p from m cross join (select unnest(range(20)) as o) where later),
+x as (select d.doc_id, u.p, u.word from d, lateral (select unnest(w) as word, unnest(range(len(w))) as p) u),
+k as (select doc_id, count(c.p) as n_removed, string_agg(x.word, ' ' order by x.p) filter (c.p is null) as kept from x left join c using (doc_id, p) group by doc_id)
+select d.doc_id, len(w) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256 from d left join k using (doc_id)"""
+
+OP13 = """
+with t as (select coalesce(lang, 'und') as lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+p as (select lang, unnest(regexp_split_to_array(t, '[.,;:!?\\x0A-\\x0D]')) as p from t),
+w as (select lang, list_filter(regexp_split_to_array(p, '[\\x20\\x09]+'), lambda x: x <> '') as w from p),
+s as (select lang, w, unnest([1, 2, 3, 4]) as m from w),
+g as (select lang, m, w[i + 1:i + m] as g from (select lang, w, m, unnest(range(len(w) - m + 1)) as i from s)),
+f as (select lang, m, g, count(*) as f from g group by all),
+n as (select lang, sum(f) as n from f where m = 1 group by lang),
+c as (select lang, m, g, f as a from f where m > 1 and f >= 30),
+k as (select c.*, unnest(range(1, m)) as k from c),
+x as (select k.lang, k.g, k.m, k.a, k.k, l.f as l, r.f as r, 2000000::hugeint * k.a // (l.f + r.f) as score
+      from k join f l on l.lang = k.lang and l.g = k.g[1:k.k] join f r on r.lang = k.lang and r.g = k.g[k.k + 1:]),
+b as (select lang, g, m, a, l, r, score from x qualify row_number() over (partition by lang, g order by score, k) = 1),
+z as (select lang, m, a, unnest(range(m)) as i, g from c where m > 2),
+y as (select distinct lang, g[i + 1:j] as g, a from (select *, unnest(range(i + 2, m + 1)) as j from z) where j - i < m),
+o as (select b.* from b where not exists (select 1 from y where y.lang = b.lang and y.g = b.g and 100::hugeint * y.a >= 80 * b.a)),
+q as (select lang, array_to_string(g, ' ') as phrase, a, l, r, score from o),
+v as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from q)
+select lang, cast(rank as bigint) as rank, phrase, cast(a as bigint) as a, cast(l as bigint) as l, cast(r as bigint) as r, cast(n as bigint) as n, cast(score as bigint) as score
+from v join n using (lang) where rank <= 2000"""
