@@ -21,20 +21,24 @@ _NO_ID = np.iinfo(np.int64).max
 class Params:
     """Passages of ``words`` words or more.
 
-    Blocks have half as many words, so every passage holds a whole one.  ``slot_bytes`` of text are
-    read by one task at a time; anchors of ``anchor_bytes`` and passages of ``passage_bytes`` of text
-    meet in one bucket.  None of the three changes the result.
+    Blocks have half as many words, so every passage holds a whole one.  A slot of documents, and what
+    meets in one bucket, stand for ``slot_bytes`` of text, or for more in a large corpus: a slot sends
+    one row to every bucket, and both grow with the root of the corpus, so that a row has ``row_codes``
+    codes or more and rows grow as the corpus does.  Neither number changes the result.
     """
 
     words: int = 20
-    slot_bytes: int = 8 << 20
-    anchor_bytes: int = 64 << 20
-    passage_bytes: int = 16 << 20
+    slot_bytes: int = 4 << 20
+    row_codes: int = 100
 
     @property
     def block(self) -> int:
         return self.words // 2
 
+    def slots(self, total: int) -> int:
+        """How many slots, and buckets, ``total`` bytes of text are dealt over (a word has six bytes or more)."""
+        return max(1, int(total // max(self.slot_bytes, (6 * self.row_codes * total) ** 0.5, 1)))
+
 
 class _Slot:
     """The documents of one slot in the order (doc_id, digest of the text), rolling codes of their words and where they lie."""
@@ -63,7 +67,7 @@ class _Slot:
                 self.code = self.code * _STEP + roll[j : j + len(hashes)]
         self.code = mix64(self.code)
 
-    def keys(self, p: Params, buckets: int) -> np.ndarray:
+    def keys(self, buckets: int) -> np.ndarray:
         """Bucket in the high, 32 bits of the block's code in the low half."""
         return ((self.code >> np.uint64(32)) % np.uint64(buckets) << np.uint64(32)) | (self.code & _LOW)
 
@@ -90,7 +94,7 @@ def _ddl(schema: pa.Schema) -> str:
 def _ask(documents: pa.Table, p: Params, buckets: int) -> pa.Table:
     """Distinct block codes of a slot: at block places once (kind 0) and more often (1), at all other places (2)."""
     slot, at = _Slot(documents, p), documents.column("slot")[0].as_py()
-    keys, whole, aligned = slot.keys(p, buckets), slot.left >= p.block, slot.place % p.block == 0
+    keys, whole, aligned = slot.keys(buckets), slot.left >= p.block, slot.place % p.block == 0
     blocks, n = np.unique(keys[whole & aligned], return_counts=True)
     out = []
     for kind, found in enumerate((blocks[n == 1], blocks[n > 1], np.unique(keys[whole & ~aligned]))):
@@ -120,7 +124,7 @@ def _answer(asked: pa.Table) -> pa.Table:
     return pa.table([asked.column("slot").combine_chunks().take(pa.array(some)), bucket, pa.ListArray.from_arrays(edges, pa.array(flat[hit]))], schema=_HITS)
 
 
-def _extend(documents: pa.Table, hits: pa.Table, p: Params, buckets: int, anchors: int) -> pa.Table:
+def _extend(documents: pa.Table, hits: pa.Table, p: Params, buckets: int) -> pa.Table:
     """Codes and places of all windows of a slot around a hit, the first of equal ones only; places of the others in a row without codes."""
     if not documents.num_rows or not hits.num_rows:
         return _PASSAGES.empty_table()
@@ -128,7 +132,7 @@ def _extend(documents: pa.Table, hits: pa.Table, p: Params, buckets: int, anchor
     lists = hits.column("codes").combine_chunks()
     high = np.repeat(hits.column("bucket").to_numpy().astype(np.uint64), lists.value_lengths().to_numpy())
     wanted = np.unique((high << np.uint64(32)) | lists.flatten().to_numpy().view(np.uint32).astype(np.uint64))
-    hit = (slot.left >= p.block) & np.isin(slot.keys(p, anchors), wanted)
+    hit = (slot.left >= p.block) & np.isin(slot.keys(buckets), wanted)
     sums = np.concatenate([[0], np.cumsum(hit), np.full(p.block, hit.sum())])
     n = len(hit)
     window = np.flatnonzero((slot.left >= p.words) & (sums[p.block : p.block + n] > sums[:n]))
@@ -235,16 +239,14 @@ def without_repeats(documents: DataFrame, p: Params = Params()) -> DataFrame:  #
     content = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), content.alias("content"))
     total = rows.agg(F.sum(F.octet_length("content"))).first()[0] or 0
-    least = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    number = lambda size: max(2 * least, total // size)
-    slots, anchors, buckets = number(p.slot_bytes), number(p.anchor_bytes), number(p.passage_bytes)
+    slots = p.slots(total)
     rows = rows.withColumn("tie", F.xxhash64("content"))
     rows = rows.withColumn("slot", F.pmod(F.xxhash64("doc_id", "tie"), F.lit(slots)))
     held = rows.groupBy("slot")
-    ask = lambda documents: _ask(documents, p, anchors)
+    ask = lambda documents: _ask(documents, p, slots)
     asked = held.applyInArrow(ask, _ddl(_ASKED))
     hits = asked.groupBy("bucket").applyInArrow(_answer, _ddl(_HITS))
-    extend = lambda documents, hits: _extend(documents, hits, p, buckets, anchors)
+    extend = lambda documents, hits: _extend(documents, hits, p, slots)
     passages = held.cogroup(hits.groupBy("slot")).applyInArrow(extend, _ddl(_PASSAGES))
     marks = passages.groupBy("bucket").applyInArrow(_judge, _ddl(_MARKS))
     remove = lambda documents, marks: _remove(documents, marks, p)

@@ -7,7 +7,7 @@ import pytest
 from cdcflow.llm.queries import ORACLES, op11_substring_dedup
 from cdcflow.llm.repeats import Params, repeat_digests, without_repeats
 
-SMALL = Params(slot_bytes=300, anchor_bytes=200, passage_bytes=100)
+SMALL = Params(slot_bytes=300, row_codes=0)
 
 
 def brute(rows, words=20):
@@ -65,7 +65,7 @@ def test_few_words_and_much_overlap(docs):
 def test_other_lengths(docs, words):
     rnd = random.Random(words)
     rows = [(i, " ".join(prose(rnd, rnd.randrange(60), 9))) for i in range(30)]
-    assert found(without_repeats(docs(rows), Params(words, 300, 200, 100))) == brute(rows, words)
+    assert found(without_repeats(docs(rows), Params(words, 300, 0))) == brute(rows, words)
 
 
 def test_every_block_offset(docs):
@@ -134,6 +134,12 @@ def test_query_and_twin(spark, sf_dir):
     assert sorted(con.execute(ORACLES["op11_substring_dedup"]).fetchall()) == sorted(expected)
 
 
+def test_rows_grow_with_the_corpus():
+    sizes = [10**k for k in range(6, 16)]
+    assert all(Params().slots(n) ** 2 * 3 <= 3 + n / 200 for n in sizes)
+    assert Params().slots(0) == 1 and Params().slots(10**9) == 238 and 10**14 / Params().slots(10**14) < 300 << 20
+
+
 def test_digests(docs):
     (row,) = repeat_digests(without_repeats(docs([(1, "a  b")]))).collect()
     assert tuple(row) == (1, 2, 0, hashlib.sha256(b"a b").hexdigest())
