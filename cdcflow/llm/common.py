@@ -108,6 +108,19 @@ def byte_chunks(items: list, size, limit: int = 2 << 20):
         yield at, len(items)
 
 
+#: Bytes that a Python worker is given at once, where the session does not ask for fewer.
+BATCH_BYTES = 4 << 20
+_BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session that hands Python workers batches of ``BATCH_BYTES`` instead of ten thousand whole texts."""
+    conf = df.sparkSession.conf
+    if int(str(conf.get(_BATCH_KEY, "0")).rstrip("b") or 0) not in range(1, BATCH_BYTES + 1):
+        conf.set(_BATCH_KEY, str(BATCH_BYTES))
+    return df
+
+
 def small(df: DataFrame, rows: int) -> DataFrame:
     """``df`` marked for broadcast if it was counted to hold ``rows`` rows at most; as it is otherwise."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

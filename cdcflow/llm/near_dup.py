@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cdcflow.llm.common import byte_chunks, mix64, small, word_hashes
+from cdcflow.llm.common import byte_chunks, mix64, small, small_batches, word_hashes
 from cdcflow.llm.components import components
 from cdcflow.session import materialize
 
@@ -109,7 +109,7 @@ def sketched(documents: DataFrame, p: Params) -> DataFrame:
 
 
 def _contents(documents: DataFrame) -> DataFrame:
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("content"))
+    return small_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("content"))
 
 
 def full_sets(documents: DataFrame, ids: DataFrame, p: Params) -> DataFrame:

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cdcflow.llm.common import byte_chunks
+from cdcflow.llm.common import byte_chunks, small_batches
 from cdcflow.llm.encoder import Tokenizer
 from cdcflow.session import materialize
 
@@ -45,7 +45,7 @@ def cut_pieces(documents: DataFrame, tokenizer: Tokenizer, capacity: int = 4096,
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=False)], names=names)
 
     content = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), content.alias("content")).mapInArrow(
+    return small_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), content.alias("content")).mapInArrow(
         cut, PIECES + ", ids array<bigint>" * with_ids
     )
 

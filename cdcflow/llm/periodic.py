@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cdcflow.functions.plan import once
-from cdcflow.llm.common import SPACE, byte_chunks
+from cdcflow.llm.common import SPACE, byte_chunks, small_batches
 
 Run = tuple[int, int, int]
 _RUN = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())])
@@ -135,7 +135,7 @@ def periodic_runs(documents: DataFrame, least: int = 6, times: int = 4) -> DataF
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "runs", "collapsed"])
 
     content = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    found = documents.select(F.col("doc_id").cast("long").alias("doc_id"), content.alias("content")).mapInArrow(
+    found = small_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), content.alias("content")).mapInArrow(
         search, "doc_id bigint, n_words bigint, runs array<struct<start: bigint, length: bigint, period: bigint>>, collapsed binary"
     )
     return found.withColumn("collapsed", F.col("collapsed").cast("string"))

@@ -8,17 +8,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cdcflow.llm.common import byte_chunks, mix64, small, span_hashes, word_spans
+from cdcflow.llm.common import byte_chunks, mix64, small, small_batches, span_hashes, word_spans
 from cdcflow.session import materialize
 
 #: Bytes of text that a task counts together before it hands on what it found.
-CHUNK = 16 << 20
-#: Windows of one bucket, on average; a bucket is sorted in one task.
-BUCKET_WINDOWS = 2_000_000
-#: Frequent words that may be broadcast to spell phrases; beyond, the same joins shuffle.
+CHUNK = 4 << 20
+#: Words of the corpus whose windows make one bucket; a bucket is sorted in one task.
+BUCKET_WORDS = 800_000
+#: Windows that a chunk has for a bucket, on average, at least; in a large corpus both grow with its root.
+ROW_WINDOWS = 20
+#: Frequent words that may be broadcast, to spell phrases and to end windows at others; beyond, the joins shuffle and windows go on.
 BROADCAST_WORDS = 500_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 #: A-Z in lower case, and all that ends a piece as a line feed.
@@ -49,44 +52,48 @@ def _language_codes(langs: list[str]) -> np.ndarray:
     return np.array([known[x] for x in langs], np.uint64)
 
 
-def _chunk_words(langs: list[str], texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
-    """Codes of language and word, piece numbers and text numbers of all words of a chunk, and where to read the words."""
-    codes, pieces, owners, places, last = [], [], [], [], 0
+def _chunk_words(langs: list[str], texts: list[bytes], places: list | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of language and word, piece numbers and text numbers of all words of a chunk; ``places`` is told where the words are."""
+    codes, pieces, owners, last = [], [], [], 0
     own = _language_codes(langs)
     for a, b in byte_chunks(texts, len):
         joined, start, end, counts = word_spans([t.translate(_FOLD) for t in texts[a:b]])
-        owner = np.repeat(np.arange(a, b), counts)
+        owner = np.repeat(np.arange(a, b, dtype=np.int32), counts)
         with np.errstate(over="ignore"):
             codes.append(np.maximum(mix64(span_hashes(joined, start, end) + own[owner]), np.uint64(1)))
-        piece = np.cumsum(joined == 10)[start] + owner + last
-        last = int(piece[-1]) + 1 if len(piece) else last
+        piece = np.cumsum(joined == 10, dtype=np.int32)[start] + owner + np.int32(last)
+        last = int(piece[-1]) + 1 - a if len(piece) else last
         pieces.append(piece)
         owners.append(owner)
-        places.append((joined, start, end))
-    return np.concatenate(codes), np.concatenate(pieces), np.concatenate(owners), places
+        if places is not None:
+            places.append((joined, start.astype(np.int32), end.astype(np.int32)))
+    return np.concatenate(codes), np.concatenate(pieces), np.concatenate(owners)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[str], list[bytes]]]:
+def _chunks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[list[str], list[bytes]]]:
     langs: list[str] = []
     texts: list[bytes] = []
+    size = 0
     for batch in batches:
         more, words = batch.column("lang").to_pylist(), batch.column("content").to_pylist()
         for a, b in byte_chunks(words, len):
             langs += more[a:b]
             texts += words[a:b]
-            if sum(map(len, texts)) >= CHUNK:
+            size += sum(map(len, words[a:b]))
+            if size >= limit:
                 yield langs, texts
-                langs, texts = [], []
+                langs, texts, size = [], [], 0
     if texts:
         yield langs, texts
 
 
 def _leads(codes: np.ndarray, pieces: np.ndarray, longest: int) -> list[np.ndarray]:
-    """Lead columns: the word at every place and its followers in the piece; zero pads what lies behind its end."""
+    """Lead columns: the word at every place and its followers in the piece; zero pads what lies behind its end or a word of code zero."""
     out = [codes]
     for k in range(1, longest):
         lead = np.zeros(len(codes), np.uint64)
-        lead[: len(codes) - k] = np.where(pieces[k:] == pieces[: len(codes) - k], codes[k:], np.uint64(0))
+        inside = (pieces[k:] == pieces[: len(codes) - k]) & (out[-1][: len(codes) - k] > 0)
+        lead[: len(codes) - k] = np.where(inside, codes[k:], np.uint64(0))
         out.append(lead)
     return out
 
@@ -101,7 +108,7 @@ def _prefix_codes(leads: list[np.ndarray]) -> list[np.ndarray]:
 
 
 def _content(documents: DataFrame) -> DataFrame:
-    return documents.select(F.coalesce(F.col("lang"), F.lit("und")).alias("lang"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("content"))
+    return small_batches(documents).select(F.coalesce(F.col("lang"), F.lit("und")).alias("lang"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("content"))
 
 
 def vocabulary(documents: DataFrame, p: Params) -> DataFrame:
@@ -111,10 +118,12 @@ def vocabulary(documents: DataFrame, p: Params) -> DataFrame:
     What makes up ``share`` of all windows has half of its windows in chunks where it makes up ``share`` / 2.
     """
     schema = pa.schema([("kind", pa.int32()), ("code", pa.int64()), ("lang", pa.string()), ("word", pa.binary()), ("n", pa.int64())])
+    chunk = CHUNK
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for langs, texts in _chunks(batches):
-            codes, pieces, owners, places = _chunk_words(langs, texts)
+        for langs, texts in _chunks(batches, chunk):
+            places: list = []
+            codes, pieces, owners = _chunk_words(langs, texts, places)
             if not len(codes):
                 continue
             found, at, back, n = np.unique(codes, return_index=True, return_inverse=True, return_counts=True)
@@ -137,43 +146,69 @@ def vocabulary(documents: DataFrame, p: Params) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(heavy), k, np.int32)), pa.array(heavy.view(np.int64)), nothing.cast(pa.string()), nothing.cast(pa.binary()), pa.array(m)], schema=schema)
 
     counted = _content(documents).mapInArrow(count, "kind int, code bigint, lang string, word binary, n bigint")
-    return materialize(counted.groupBy("kind", "code").agg(F.max("lang").alias("lang"), F.max("word").cast("string").alias("word"), F.sum("n").alias("n")), "vocabulary")
+    counted = counted.withColumn("word", F.col("word").cast("string"))
+    return materialize(counted.groupBy("kind", "code", "lang", "word").agg(F.sum("n").alias("n")), "vocabulary")
 
 
-def windows(documents: DataFrame, heavy: list[np.ndarray], buckets: int, p: Params) -> DataFrame:
-    """(bucket, w1, ..., n): arrays of distinct windows of two words or more and their counts, of one chunk and bucket each.
+def _window_schema(p: Params) -> pa.Schema:
+    lists = [(f"{c}_{part}", pa.list_(kind)) for c in p.columns for part, kind in (("low", pa.int16()), ("high", pa.int16()))]
+    return pa.schema([("bucket", pa.int64()), ("words", pa.list_(pa.int64())), *lists, ("n", pa.list_(pa.int32()))])
 
-    Windows with one beginning of two words share a bucket; those of a heavy beginning are dealt by one more word.
+
+def windows(documents: DataFrame, heavy: list[np.ndarray], buckets: int, chunk: int, p: Params, common: Broadcast | None = None) -> DataFrame:
+    """(bucket, words, w1_low, w1_high, ..., n): distinct windows of two words or more and their counts, of one chunk and bucket each.
+
+    ``words`` lists the codes that occur, the windows hold their numbers in it, as two halves of which
+    the higher is nearly always zero and so takes no room.  Windows with one beginning of two words
+    share a bucket; those of a heavy beginning are dealt by one more word.  With the sorted codes of all
+    words that are frequent enough for a phrase (``common``), other words end a window like the end of a piece.
     """
-    schema = pa.schema([("bucket", pa.int64()), *((c, pa.list_(pa.int64())) for c in p.columns), ("n", pa.list_(pa.int32()))])
+    schema = _window_schema(p)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for langs, texts in _chunks(batches):
-            codes, pieces, _, _ = _chunk_words(langs, texts)
+        for langs, texts in _chunks(batches, chunk):
+            codes, pieces, _ = _chunk_words(langs, texts)
+            if common is not None and len(common.value):
+                near = np.minimum(np.searchsorted(common.value, codes), len(common.value) - 1)
+                codes = np.where(common.value[near] == codes, codes, np.uint64(0))
             leads = _leads(codes, pieces, p.longest)
             pairs = leads[1] > 0
             leads = [w[pairs] for w in leads]
-            prefixes = _prefix_codes(leads)
             if not len(leads[0]):
                 continue
+            prefixes = _prefix_codes(leads)
             deal = prefixes[0]
             for k, known in enumerate(heavy):
                 deal = np.where(np.isin(prefixes[k], known) & (deal == prefixes[k]), prefixes[k + 1], deal)
             bucket = (deal >> np.uint64(33)).astype(np.int64) % buckets
             order = np.lexsort((prefixes[-1], leads[0], bucket))
+            del prefixes, deal, codes, pieces, pairs
             leads, bucket = [w[order] for w in leads], bucket[order]
             first = np.ones(len(order), bool)
             first[1:] = np.logical_or.reduce([w[1:] != w[:-1] for w in leads])
             at = np.flatnonzero(first)
             n = np.diff(np.append(at, len(order))).astype(np.int32)
-            leads, bucket = [w[at].view(np.int64) for w in leads], bucket[at]
+            leads, bucket = [w[at] for w in leads], bucket[at]
+            known, numbers = np.unique(np.concatenate(leads), return_inverse=True)
+            numbers = numbers.reshape(len(leads), -1)
             ends = np.append(np.flatnonzero(np.diff(bucket)) + 1, len(bucket))
+            here, words = np.zeros(len(known), bool), []
+            for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+                part = numbers[:, a:b]
+                here[:] = False
+                here[part] = True
+                words.append(known[here].view(np.int64))
+                numbers[:, a:b] = (np.cumsum(here) - 1)[part]
             edges = pa.array(np.concatenate([[0], ends]).astype(np.int32))
-            listed = [pa.ListArray.from_arrays(edges, pa.array(x)) for x in (*leads, n)]
-            yield pa.RecordBatch.from_arrays([pa.array(bucket[ends - 1]), *listed], schema=schema)
+            sizes = pa.array(np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(sizes, pa.array(np.concatenate(words)))]
+            for x in numbers:
+                lists += [pa.ListArray.from_arrays(edges, pa.array(half)) for half in ((x & 0x7FFF).astype(np.int16), (x >> 15).astype(np.int16))]
+            lists.append(pa.ListArray.from_arrays(edges, pa.array(n)))
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[ends - 1]), *lists], schema=schema)
 
-    arrays = ", ".join(f"{c} array<bigint>" for c in p.columns)
-    return _content(documents).mapInArrow(count, f"bucket bigint, {arrays}, n array<int>")
+    halves = ", ".join(f"{c}_low array<smallint>, {c}_high array<smallint>" for c in p.columns)
+    return _content(documents).mapInArrow(count, f"bucket bigint, words array<bigint>, {halves}, n array<int>")
 
 
 def _groups(columns: list[np.ndarray]) -> np.ndarray:
@@ -194,7 +229,10 @@ def frequent_windows(found: DataFrame, heavy: list[np.ndarray], p: Params) -> Da
 
     def cut(table: pa.Table) -> pa.Table:
         flat = lambda c: table.column(c).combine_chunks().flatten().to_numpy()
-        words, n = [flat(c) for c in p.columns], flat("n").astype(np.int64)
+        sizes = lambda c: table.column(c).combine_chunks().value_lengths().to_numpy()
+        known, n = flat("words"), flat("n").astype(np.int64)
+        base = np.repeat(np.concatenate([[0], np.cumsum(sizes("words"))[:-1]]), sizes("n"))
+        words = [known[base + flat(f"{c}_low") + (flat(f"{c}_high").astype(np.int64) << 15)] for c in p.columns]
         order = np.lexsort(words[::-1])
         words, n = [w[order] for w in words], n[order]
         at = _groups(words)
@@ -221,12 +259,17 @@ def frequent_windows(found: DataFrame, heavy: list[np.ndarray], p: Params) -> Da
 
 def phrase_counts(documents: DataFrame, words: DataFrame, p: Params) -> DataFrame:
     """Stored (w1, ..., f): all phrases of two words or more that occur ``least`` times; zero pads shorter ones."""
-    kinds = [r["n"] or 0 for r in words.where("kind = 0").agg(F.sum("n").alias("n")).collect()]
-    most = p.share / 2 * kinds[0]
-    rows = words.where(F.col("kind") > 0).where(F.col("n") >= most).select("kind", "code").collect()
+    total = words.where("kind = 0").agg(F.sum("n")).first()[0] or 0
+    rows = words.where(F.col("kind") > 0).where(F.col("n") >= p.share / 2 * total).select("kind", "code").collect()
     heavy = [np.array([r["code"] for r in rows if r["kind"] == k], np.int64).view(np.uint64) for k in range(2, p.longest)]
-    least = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = windows(documents, heavy, max(2 * least, kinds[0] // BUCKET_WINDOWS), p)
+    together = (ROW_WINDOWS * total) ** 0.5
+    buckets, chunk = max(1, int(total / max(BUCKET_WORDS, together))), max(CHUNK, int(6 * together))
+    often = words.where(F.col("kind") == 0).where(F.col("n") >= p.least).select("code")
+    known = [r["code"] for r in often.limit(BROADCAST_WORDS + 1).collect()]
+    common = None
+    if len(known) <= BROADCAST_WORDS:
+        common = documents.sparkSession.sparkContext.broadcast(np.sort(np.array(known, np.int64).view(np.uint64)))
+    found = windows(documents, heavy, buckets, chunk, p, common)
     summed = frequent_windows(found, heavy, p).rollup(*p.columns).agg(F.sum("n").alias("f")).where(F.col("f") >= p.least)
     whole = F.col("w2").isNotNull()
     for c in p.columns[1:]:

@@ -66,6 +66,11 @@ def compact_changes(changes: DataFrame, keys: Sequence[str], order: Sequence[str
     )
 
 
+def live_images(delta: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The rows that compacted changes leave behind."""
+    return delta.where("live").select(*[F.col(f"image.{c}").alias(c) for c in columns])
+
+
 def _same_key(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"b.{k}") == F.col(f"d.{k}") for k in keys])
 
@@ -76,21 +81,19 @@ def apply_changes(
     keys: Sequence[str],
     order: Sequence[str] | None = None,
     *,
-    store_delta: bool = False,
+    store_delta: bool = True,
 ) -> DataFrame:
     """State of ``base`` after ``changes``, whose ``before`` and ``after`` structs have its columns.
 
-    By default the delta is computed once and outer-joined with the base: one pass over the log,
-    one shuffle of either side by key.  For a delta far smaller than the base, ``store_delta``
-    writes it first; its size is then known, and below the broadcast threshold the base is
-    filtered in place instead of shuffled.
+    The delta is written first, so that its size is known: below the broadcast threshold the base is
+    filtered in place and never shuffled.  Without ``store_delta`` nothing runs while the plan is built;
+    the delta is outer-joined, with one shuffle of either side by key.
     """
     delta = compact_changes(changes, keys, order)
     if store_delta:
         delta = materialize(delta, "delta")
         kept = base.join(delta.select(*keys), list(keys), "left_anti").select(*base.columns)
-        arrived = delta.where("live").select(*[F.col(f"image.{c}").alias(c) for c in base.columns])
-        return kept.unionByName(arrived)
+        return kept.unionByName(live_images(delta, base.columns))
     joined = base.alias("b").join(delta.alias("d"), _same_key(keys), "full_outer")
     touched = F.col("d.live").isNotNull()
     return joined.where(~touched | F.col("d.live")).select(
@@ -98,19 +101,14 @@ def apply_changes(
     )
 
 
-def apply_unchanged(
-    base: DataFrame,
-    changes: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str] | None = None,
-    unchanged: str = "unchanged",
+def unchanged_delta(
+    changes: DataFrame, columns: Sequence[str], keys: Sequence[str], order: Sequence[str] | None = None, unchanged: str = "unchanged"
 ) -> DataFrame:
-    """``apply_changes`` for logs that leave out large values that did not change.
+    """One row per key touched: ``live`` and, per column of the table, the latest value really sent (``v_<column>``, NULL if none was).
 
-    Each column takes its latest value that was really sent, else the value already in ``base``.
     When the key itself changed, a value not resent is read from the before image.
     """
-    cols = [c for c in base.columns if c not in keys]
+    cols = [c for c in columns if c not in keys]
     order = order_of(changes, order)
     at = F.struct(*[F.col(c) for c in order])
     after = F.col("after")
@@ -141,22 +139,39 @@ def apply_unchanged(
         *[F.col(f"a.key.{k}").alias(k) for k in keys], *order, "a.live", "a.image", "a.gaps"
     )
     sent = {c: ~F.array_contains("gaps", c) for c in cols}
-    delta = acts.groupBy(*keys).agg(
+    return acts.groupBy(*keys).agg(
         F.max_by("live", at).alias("live"),
         *[
             F.max_by(F.struct(F.col(f"image.{c}").alias("v")), F.when(sent[c], at)).alias(f"v_{c}")
             for c in cols
         ],
     )
-    joined = base.alias("b").join(delta.alias("d"), _same_key(keys), "full_outer")
-    touched = F.col("d.live").isNotNull()
-    return joined.where(~touched | F.col("d.live")).select(
-        *[F.coalesce(F.col(f"d.{k}"), F.col(f"b.{k}")).alias(k) for k in keys],
-        *[
-            F.when(F.col(f"d.v_{c}").isNotNull(), F.col(f"d.v_{c}.v")).otherwise(F.col(f"b.{c}")).alias(c)
-            for c in cols
-        ],
-    ).select(*base.columns)
+
+
+def fold_unchanged(base: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``base`` after a stored ``unchanged_delta``; a small delta is broadcast and the base read in place, its keys twice."""
+    cols = [c for c in base.columns if c not in keys]
+    known = base.select(*keys).join(delta.select(*keys), list(keys), "left_semi").distinct()
+    joined = base.alias("b").join(delta.alias("d"), _same_key(keys), "left")
+    value = lambda c: F.when(F.col(f"d.v_{c}").isNotNull(), F.col(f"d.v_{c}.v")).otherwise(F.col(f"b.{c}"))
+    kept = joined.where(F.coalesce(F.col("d.live"), F.lit(True))).select(*[F.col(f"b.{c}") if c in keys else value(c).alias(c) for c in base.columns])
+    arrived = delta.where("live").join(known, list(keys), "left_anti")
+    return kept.unionByName(arrived.select(*keys, *[F.col(f"v_{c}.v").alias(c) for c in cols]).select(*base.columns))
+
+
+def apply_unchanged(
+    base: DataFrame,
+    changes: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str] | None = None,
+    unchanged: str = "unchanged",
+) -> DataFrame:
+    """``apply_changes`` for logs that leave out large values that did not change.
+
+    Each column takes its latest value that was really sent, else the value already in ``base``.
+    The delta is stored first, as in ``apply_changes``.
+    """
+    return fold_unchanged(base, materialize(unchanged_delta(changes, base.columns, keys, order, unchanged), "delta"), keys)
 
 
 def change_counts(changes: DataFrame, by: Sequence[str] = ("schema", "table", "op")) -> DataFrame:

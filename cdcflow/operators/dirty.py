@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cdcflow.functions.plan import once
 from cdcflow.functions.text import row_json
 from cdcflow.functions.types import text_error, text_to
 from cdcflow.operators.positions import WHOLE, Slices, running
+from cdcflow.session import scratch_path
 
 ERRORS = "_errors"
 ERROR_TYPE = "array<struct<col:string,type:string,msg:string>>"
@@ -108,6 +109,34 @@ class ErrorLimitExceeded(RuntimeError):
     """The job has more dirty rows than it allows."""
 
 
+def staged_split(df: DataFrame) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """Rows without errors (marker dropped), rows with errors, and ``num_read`` and ``errors``, by one pass over the input.
+
+    The rows are written once, by verdict, to the shared folder and counted on the way; both sides are
+    read from there.
+    """
+    seen, path = Observation(), scratch_path(df.sparkSession, "verdicts")
+    bad = F.coalesce(F.size(ERRORS) > 0, F.lit(False))
+    counted = df.withColumn("_bad", bad.cast("int")).observe(
+        seen, F.count(F.lit(1)).alias("num_read"), F.coalesce(F.sum("_bad"), F.lit(0)).cast("long").alias("errors")
+    )
+    counted.write.partitionBy("_bad").parquet(path)
+    spark, sides = df.sparkSession, []
+    for side in (0, 1):
+        filled = seen.get["errors"] if side else seen.get["num_read"] - seen.get["errors"]
+        sides.append(spark.read.schema(df.schema).parquet(f"{path}/_bad={side}") if filled else spark.createDataFrame([], df.schema))
+    return sides[0].drop(ERRORS), sides[1], dict(seen.get)
+
+
+def judge_counts(num_read: int, errors: int, record: int | None = 0, percentage: float | None = 0.0) -> None:
+    """Raise when counts already known exceed the error limits; see ``error_limit_verdict``."""
+    over = record is not None and record != -1 and errors > record
+    if percentage is not None and percentage != -1 and num_read:
+        over |= errors / num_read > percentage / 100.0
+    if over:
+        raise ErrorLimitExceeded(f"{errors} of {num_read} rows are dirty")
+
+
 def enforce_limit(df: DataFrame, record: int | None = 0, percentage: float | None = 0.0) -> None:
     """Raise before the write when the error limits are exceeded."""
     row = error_limit_verdict(error_counts(df), record, percentage).first()

@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 from cdcflow.functions.plan import once
 from cdcflow.functions.text import decode_json, decode_plain, fill_template, map_text, render, render_row
 from cdcflow.functions.times import format_time, to_timestamp_any
-from cdcflow.functions.types import TIME_TYPES, text_to
+from cdcflow.functions.types import TIME_TYPES, text_error, text_to
+from cdcflow.operators.dirty import ERROR_TYPE, ERRORS, problem
 
 
 @dataclass(frozen=True)
@@ -74,6 +75,35 @@ def project(df: DataFrame, columns: Sequence[str | Mapping], restore_column: str
     return out
 
 
+def project_checked(df: DataFrame, columns: Sequence[str | Mapping], restore_column: str | None = None) -> DataFrame:
+    """``project``, with an error list where a declared type may not fit the text it is read from.
+
+    Text that cannot be read as its column's type makes the row dirty, with the column, the type and
+    the text; without such columns no list is added.
+    """
+    specs = column_specs(columns)
+    out = project(df, columns, restore_column)
+    if [s.name for s in specs] == ["*"]:
+        return out
+    fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    texts = {}
+    for i, s in enumerate(specs):
+        name = s.name if s.name in fields else df.columns[i if s.index is None else s.index] if s.value is None else None
+        if name is not None and fields[name] == "string" and s.type is not None:
+            texts[s.output] = (name, s.type)
+    if not texts:
+        return out
+    kept = "_texts"
+    held = df.select(*df.columns, F.struct(*[F.col(f"`{name}`").alias(f"t{i}") for i, (name, _) in enumerate(texts.values())]).alias(kept))
+    typed = [_spec_column(df, s, i, fields).alias(s.output) for i, s in enumerate(specs)]
+    rows = once(held.select(kept, F.struct(*typed).alias("_typed")), {"_typed": F.col("_typed")})
+    found = [
+        problem(output, "conversion", F.concat(F.lit(f"can't read as {kind}: "), F.col(f"{kept}.t{i}")), text_error(F.col(f"{kept}.t{i}"), F.col(f"_typed.`{output}`")))
+        for i, (output, (_, kind)) in enumerate(texts.items())
+    ]
+    return rows.select("_typed.*", F.array_compact(F.array(*found)).cast(ERROR_TYPE).alias(ERRORS))
+
+
 def _spec_column(df: DataFrame, spec: ColumnSpec, place: int, fields: Mapping[str, str]) -> Column:
     if spec.value is not None:
         col = F.lit(None).cast("string") if spec.value.lower() == "null" else F.lit(spec.value)

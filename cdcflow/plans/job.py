@@ -9,32 +9,35 @@ from dataclasses import dataclass, field
 from hashlib import md5
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
-from cdcflow.operators.apply import apply_changes, apply_unchanged
-from cdcflow.operators.dirty import ERRORS, enforce_limit, split_dirty, write_dirty
+from cdcflow.operators.dirty import ERRORS, judge_counts, staged_split, write_dirty
 from cdcflow.operators.filters import filter_blank, filter_category, filter_empty_events, filter_tables
 from cdcflow.operators.envelope import envelope
 from cdcflow.operators.metrics import rows_per_trigger
-from cdcflow.operators.offsets import incremental_scan
+from cdcflow.operators.offsets import incremental_scan, load_offsets, offset_rows, save_offsets
 from cdcflow.operators.pg9 import pg9_events
 from cdcflow.operators.pgoutput import messages_since, pg_events
-from cdcflow.operators.records import decode_messages, project, to_message_records
 from cdcflow.operators.positions import plan_slices
-from cdcflow.operators.redo import drop_internal, mined_rows, redo_from_message, redo_statements
-from cdcflow.operators.txn import committed_changes
-from cdcflow.session import shared_dir
+from cdcflow.operators.records import decode_messages, project_checked, to_message_records
+from cdcflow.operators.redo import mined_rows, redo_from_message
+from cdcflow.session import materialize, shared_dir
 from cdcflow.sinks.files import discard, file_sink, print_rows
-from cdcflow.sinks.tables import read_version, write_table, write_version
+from cdcflow.sinks.manifest import DEFAULT_BUCKETS, BucketTable
+from cdcflow.sinks.tables import write_table
 from cdcflow.sources.jdbc import Connection, jdbc_scan, merge_url
 from cdcflow.sources.messages import MessageSource, message_source
+from cdcflow.sources.position_log import position_log
 from cdcflow.sources.synthetic import synthetic_rows, synthetic_stream
 from cdcflow.streaming.restart import RestartPolicy, run_with_restart
+from cdcflow.streaming.steps import Step, pg9_step, pg_step, redo_rows, redo_step
 
 MASK = "******"
-#: Writers that fold each batch into one versioned table; folding a batch again changes nothing.
+#: Writers that fold each batch into one table, whose ledger knows the batches it holds.
 VERSIONED = ("applywriter", "tablewriter")
 UNLIMITED_BYTES = 2**63 - 1
 
@@ -42,6 +45,8 @@ Reader = Callable[[SparkSession, Mapping[str, Any], "SyncJob"], DataFrame]
 Writer = Callable[[DataFrame, Mapping[str, Any], "SyncJob"], None]
 SOURCES: dict[str, Reader] = {}
 SINKS: dict[str, Writer] = {}
+#: What streamed jobs of a reader do with each batch before it lands, given the job and a folder for their context.
+STEPS: dict[str, Callable[["SyncJob", str], Step]] = {}
 DECODERS: dict[str, Callable] = {}
 
 
@@ -74,6 +79,11 @@ class Speed:
     bytes: int = UNLIMITED_BYTES
     rebalance: bool = False
 
+    @property
+    def readers(self) -> int:
+        """Tasks that read, where a source can be split."""
+        return max(self.reader_channel if self.reader_channel > 0 else self.channel, 1)
+
     @property
     def limited(self) -> bool:
         return 0 < self.bytes < UNLIMITED_BYTES
@@ -82,7 +92,7 @@ class Speed:
         """Spread rows as the job asks: a rebalance, or fewer writers than readers."""
         n = self.writer_channel if self.writer_channel > 0 else self.channel
         if self.rebalance:
-            return df.repartition(n)
+            return df.repartition(n) if n > 1 else df.hint("rebalance")
         return df.coalesce(self.writer_channel) if self.writer_channel > 0 else df
 
 
@@ -170,22 +180,43 @@ class SyncJob:
         else:
             self._land(df, self.writer["parameter"])
 
+    @property
+    def name(self) -> str:
+        """A digest of what is read and written: the job's name in ledgers and saved positions."""
+        return md5(json.dumps([self.reader, self.writer], sort_keys=True).encode()).hexdigest()
+
+    @property
+    def restores(self) -> bool:
+        """A batch job that saves how far it came, by the values of its restore column."""
+        restore = self.setting.get("restore") or {}
+        return bool(restore.get("isRestore", False)) and bool(restore.get("restoreColumnName")) and not self.streaming
+
+    @property
+    def streaming(self) -> bool:
+        return bool((self.setting.get("restore") or {}).get("isStream", False))
+
+    def state_path(self, spark: SparkSession) -> str:
+        """Where the job keeps its checkpoint, context and positions."""
+        return (self.setting.get("restore") or {}).get("checkpoint") or f"{shared_dir(spark)}/jobs/{self.name}"
+
     def start(self, df: DataFrame) -> StreamingQuery:
         """Start the streaming form: every micro-batch is landed like a batch job.
 
-        Batches written to a path get a folder each, so one that is run again replaces itself.
+        Batches written to a path get a folder each, so one that is run again replaces itself; tables
+        pass over batches that their ledger holds.
         """
         params = self.writer["parameter"]
         restore = self.setting.get("restore") or {}
+        checkpoint = self.state_path(df.sparkSession)
+        make = STEPS.get(self.reader["name"].lower())
+        step = make(self, f"{checkpoint}-context") if make else None
 
         def land(batch: DataFrame, batch_id: int) -> None:
             own = {**params, "batchId": batch_id}
             if params.get("path") and self.writer["name"].lower() not in VERSIONED:
                 own |= {"path": f"{params['path']}/batch={batch_id}", "writeMode": "overwrite"}
-            self._land(batch, own)
+            self._land(batch if step is None else step(batch, batch_id), own)
 
-        name = md5(json.dumps([self.reader, self.writer], sort_keys=True).encode()).hexdigest()
-        checkpoint = restore.get("checkpoint") or f"{shared_dir(df.sparkSession)}/jobs/{name}"
         writer = df.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
         if restore.get("availableNow"):
             return writer.trigger(availableNow=True).start()
@@ -193,14 +224,15 @@ class SyncJob:
         return writer.trigger(processingTime=f"{seconds} seconds").start()
 
     def _land(self, df: DataFrame, params: Mapping[str, Any]) -> None:
+        """Write what has no errors.  Rows that may have some are read once: staged by verdict, counted on the way."""
         speed_test = (self.setting.get("test") or {}).get("speedTest")
         if speed_test == "reader":
             return discard(df)
         if ERRORS in df.columns:
-            enforce_limit(df, *self.error_limit)
-            df, dirty = split_dirty(df)
+            df, dirty, counts = staged_split(df)
+            judge_counts(counts["num_read"], counts["errors"], *self.error_limit)
             where = (self.setting.get("dirty") or {}).get("path")
-            if where:
+            if where and counts["errors"]:
                 write_dirty(dirty, [c for c in df.columns], where)
         name = self.writer["name"].lower()
         if name not in SINKS:
@@ -242,13 +274,22 @@ def _stream_reader(spark: SparkSession, p: Mapping[str, Any], job: SyncJob) -> D
     columns = [{"name": c.get("name") or f"c{i}", **{k: v for k, v in c.items() if k != "name"}} for i, c in enumerate(p["column"])]
     if not counts or min(counts) <= 0:
         return synthetic_stream(spark, columns)
-    channels = max(job.speed.channel, 1)
+    channels = job.speed.readers
     per = [counts[i] if i < len(counts) else counts[-1] for i in range(max(channels, len(counts)))]
     return synthetic_rows(spark, columns, per).drop("_channel")
 
 
+def _log_stream(spark: SparkSession, p: Mapping[str, Any], key: str, position: str) -> DataFrame:
+    """A captured log as a stream by positions; its folders are ``<key>=<value>``."""
+    found = spark.read.format(p.get("format", "parquet")).load(p["path"]).schema
+    schema = StructType([StructField(f.name, StringType()) if f.name == key else f for f in found])
+    return position_log(spark, p["path"], schema, key=key, position=position, partition_rows=int(p.get("partitionRows", 1_000_000)))
+
+
 def _captured(decode: Callable) -> Reader:
     def read(spark: SparkSession, p: Mapping[str, Any], job: SyncJob) -> DataFrame:
+        if job.streaming:
+            return _log_stream(spark, p, "slot", "pos")
         messages = spark.read.format(p.get("format", "parquet")).load(p["path"])
         if lsn := int(p.get("lsn") or 0):
             messages = messages_since(messages, lsn)
@@ -258,34 +299,74 @@ def _captured(decode: Callable) -> Reader:
     return read
 
 
+def _captured_step(make: Callable) -> Callable[["SyncJob", str], Step]:
+    def steps(job: SyncJob, path: str) -> Step:
+        p = job.reader["parameter"]
+        step, lsn = make(path, p.get("cat") or "insert,update,delete", p.get("tableList") or None), int(p.get("lsn") or 0)
+
+        def run(batch: DataFrame, batch_id: int) -> DataFrame:
+            events = step(batch, batch_id)
+            return envelope(events.where(F.col("pos") >= lsn) if lsn else events, flat=bool(p.get("pavingData", False)))
+
+        return run
+
+    return steps
+
+
 def _redo_reader(spark: SparkSession, p: Mapping[str, Any], job: SyncJob) -> DataFrame:
     """Whole statements of committed transactions (``mode: "raw"``: of all), from mined rows or their pieces."""
+    if job.streaming:
+        names = spark.read.format(p.get("format", "parquet")).load(p["path"]).columns
+        return _log_stream(spark, p, "source", "pos" if "pos" in names else "scn")
     log = spark.read.format(p.get("format", "parquet")).load(p["path"])
-    rows = mined_rows(log, int(p.get("scn") or 0), p["whiteList"], p.get("blackList") or [])
-    if "csf" in log.columns:
-        rows = redo_statements(rows, slices=plan_slices(log, "pos", ["source", "rs_id"]))
-    else:
-        rows = drop_internal(rows)
-    rows = rows.drop("commit_scn").withColumn("op", F.lower("operation"))
-    rows = committed_changes(rows, mode=p.get("mode", "committed"), slices=plan_slices(log, "scn", ["source", "xidusn", "xidslt", "xidsqn"]))
-    rows = rows.where(F.col("sql_redo").isNotNull())
+    return _redo_result(redo_rows(mined_rows(log, int(p.get("scn") or 0), p["whiteList"], p.get("blackList") or []), p.get("mode", "committed")), p)
+
+
+def _redo_steps(job: SyncJob, path: str) -> Step:
+    p = job.reader["parameter"]
+    step = redo_step(path, int(p.get("scn") or 0), p["whiteList"], p.get("blackList") or [], p.get("mode", "committed"))
+    return lambda batch, batch_id: _redo_result(step(batch, batch_id), p)
+
+
+def _redo_result(rows: DataFrame, p: Mapping[str, Any]) -> DataFrame:
+    """The columns of a redo record; SEQ tells statements of one SCN apart where the log has an order for them."""
     if p.get("cat"):
         rows = filter_category(rows.withColumn("table", F.col("table_name")), p["cat"], "operation")
-    when = [F.col("timestamp").alias("TIMESTAMP")] if "timestamp" in log.columns else []
+    when = [F.col("timestamp").alias("TIMESTAMP")] if "timestamp" in rows.columns else []
+    place = next((c for c in ("seq", "pos") if c in rows.columns), None)
     return rows.select(
-        F.col("scn").alias("SCN"), F.col("commit_scn").alias("COMMIT_SCN"), F.col("seg_owner").alias("SEG_OWNER"), F.col("table_name").alias("TABLE_NAME"),
+        F.col("scn").alias("SCN"), F.col("commit_scn").alias("COMMIT_SCN"), *([F.col(place).cast("long").alias("SEQ")] if place else []),
+        F.col("seg_owner").alias("SEG_OWNER"), F.col("table_name").alias("TABLE_NAME"),
         *when, F.col("sql_redo").alias("SQL_REDO"), F.col("operation").alias("OPERATION"),
     )
 
 
+def saved_position(spark: SparkSession, job: SyncJob) -> int | None:
+    """How far the job has come: from the manifest of the table it writes, or from its saved positions."""
+    p = job.writer["parameter"]
+    if job.writer["name"].lower() in VERSIONED:
+        held = BucketTable(spark, p["path"]).manifest()
+        return None if held is None else held.positions.get(job.name)
+    try:
+        saved = load_offsets(spark.read.parquet(f"{job.state_path(spark)}-positions")).where(F.col("job") == job.name).first()
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in (e.getCondition() or ""):
+            raise
+        return None
+    return None if saved is None else saved["position"]
+
+
 def _file_reader(spark: SparkSession, p: Mapping[str, Any], job: SyncJob) -> DataFrame:
     df = spark.read.format(p.get("format", "parquet")).options(**(p.get("options") or {})).load(p["path"])
     if p.get("tableList"):
         df = filter_tables(df, p["tableList"])
     restore = job.setting.get("restore") or {}
-    if p.get("startLocation") is not None and restore.get("restoreColumnName"):
-        df = incremental_scan(df, restore["restoreColumnName"], p["startLocation"])
-    return project(df, p.get("column") or ["*"])
+    column, start = restore.get("restoreColumnName"), p.get("startLocation")
+    if job.restores and (saved := saved_position(spark, job)) is not None:
+        start = saved
+    if start is not None and column:
+        df = incremental_scan(df, column, start)
+    return project_checked(df, p.get("column") or ["*"])
 
 
 def _jdbc_reader(spark: SparkSession, p: Mapping[str, Any], job: SyncJob) -> DataFrame:
@@ -298,9 +379,9 @@ def _jdbc_reader(spark: SparkSession, p: Mapping[str, Any], job: SyncJob) -> Dat
                     merge_url(url) if p.get("mergeUrl", False) else url, table, c.get("username") or p.get("username"),
                     c.get("password") or p.get("password"), p.get("driver"), c.get("schema"),
                 )
-                one = jdbc_scan(spark, target, p.get("splitPk"), max(job.speed.channel, 1), p.get("where"))
+                one = jdbc_scan(spark, target, p.get("splitPk"), job.speed.readers, p.get("where"))
                 out = one if out is None else out.unionByName(one)
-    return project(out, p.get("column") or ["*"])
+    return project_checked(out, p.get("column") or ["*"])
 
 
 def _kafka_writer(df: DataFrame, p: Mapping[str, Any], job: SyncJob) -> None:
@@ -326,6 +407,7 @@ def statement_rows(df: DataFrame) -> DataFrame:
             F.nullif(redo_from_message(message, "map"), F.lit("")),
         )
     order = [F.col(c).alias(c.lower()) if c in df.columns else F.lit(None).cast("bigint").alias(c.lower()) for c in ("COMMIT_SCN", "SCN")]
+    order += [F.col("SEQ").alias("seq")] if "SEQ" in df.columns else []
     out = df.select(sql.alias("sql_redo"), *order)
     return out.where(F.col("sql_redo").isNotNull())
 
@@ -333,7 +415,7 @@ def statement_rows(df: DataFrame) -> DataFrame:
 def _redo_writer(df: DataFrame, p: Mapping[str, Any], job: SyncJob) -> None:
     """Statements to a staging table with a batch id and their order.
 
-    The database replays a batch by (commit_scn, scn) in its own transaction and marks the batch as
+    The database replays a batch by (commit_scn, scn, seq) in its own transaction and marks the batch as
     done, so a batch that is staged again is passed over.
     """
     target = Connection(p["url"], p.get("stagingTable", "REDO_STAGE"), p.get("username"), p.get("password"), p.get("driver"))
@@ -342,30 +424,70 @@ def _redo_writer(df: DataFrame, p: Mapping[str, Any], job: SyncJob) -> None:
     )
 
 
-def _base(df: DataFrame, p: Mapping[str, Any]) -> DataFrame:
-    """What the target holds: its last version, or the table named as ``base`` before the first."""
+def _target(df: DataFrame, p: Mapping[str, Any]) -> BucketTable:
+    """The table a job writes; before its first version it holds the rows of the table named as ``base``."""
     spark = df.sparkSession
-    held = read_version(spark, p["path"])
-    if held is None:
-        held = spark.read.format(p.get("format", "parquet")).load(p["base"])
-    return held
+    table = BucketTable(spark, p["path"])
+    if table.manifest() is None:
+        base = spark.read.format(p.get("format", "parquet")).load(p["base"])
+        table = BucketTable(spark, p["path"], base, p.get("keys") or (), int(p.get("buckets", DEFAULT_BUCKETS)))
+    return table
+
+
+def _commit_as(job: SyncJob, p: Mapping[str, Any], reached: Mapping[str, int] | None) -> dict[str, Any]:
+    """How a batch is entered: streamed ones in the ledger, restorable ones with the position they reach."""
+    own: dict[str, Any] = {"positions": reached}
+    if p.get("batchId") is not None:
+        own |= {"writer": job.name, "batch": int(p["batchId"])}
+    return own
+
+
+def _counted(df: DataFrame, job: SyncJob, label: str) -> tuple[DataFrame, dict[str, int] | None]:
+    """The rows stored once, and the position they reach if the job saves one; found while they are written."""
+    column = (job.setting.get("restore") or {}).get("restoreColumnName")
+    if not job.restores or column not in df.columns:
+        return materialize(df, label), None
+    seen = Observation()
+    rows = materialize(df.observe(seen, F.max(F.col(column)).cast("long").alias("reached")), label)
+    reached = seen.get["reached"]
+    return rows, None if reached is None else {job.name: reached}
 
 
 def _apply_writer(df: DataFrame, p: Mapping[str, Any], job: SyncJob) -> None:
-    """Changes (``before`` and ``after`` structs, in commit order) folded into the next version of a table."""
-    fold = apply_unchanged if "unchanged" in df.columns else apply_changes
-    write_version(fold(_base(df, p), df, p["keys"], p.get("order")), p["path"], int(p.get("keepVersions", 2)))
+    """Changes (``before`` and ``after`` structs, in commit order) folded into the touched buckets of a table."""
+    table = _target(df, p)
+    rows, reached = _counted(df, job, "changes") if job.restores else (df, None)
+    table.fold_changes(rows, p.get("order"), store=lambda delta: materialize(delta, "delta"), **_commit_as(job, p, reached))
+    table.vacuum(int(p.get("keepVersions", 2)))
 
 
 def _table_writer(df: DataFrame, p: Mapping[str, Any], job: SyncJob) -> None:
-    """Rows written into the next version of a keyed table; rows that an insert refuses go to the dirty path."""
-    out, refused = write_table(df, _base(df, p), p.get("writeMode", "upsert").lower(), p.get("keys") or (), p.get("order") or ())
-    if refused is not None:
-        enforce_limit(refused, *job.error_limit)
-        where = (job.setting.get("dirty") or {}).get("path")
-        if where:
-            write_dirty(refused, [c for c in df.columns], where)
-    write_version(out, p["path"], int(p.get("keepVersions", 2)))
+    """Rows written into the touched buckets of a table; rows that an insert refuses go to the dirty path."""
+    table, mode, keys, order = _target(df, p), p.get("writeMode", "upsert").lower(), p.get("keys") or (), p.get("order") or ()
+    entry = _commit_as(job, p, None)
+    if table.before().holds(entry.get("writer"), entry.get("batch")):
+        return
+    rows, entry["positions"] = _counted(df, job, "rows")
+    refused: list[DataFrame] = []
+
+    def change(held: DataFrame, _: Any) -> DataFrame:
+        out, bad = write_table(rows, held, mode, keys, order)
+        refused.extend([] if bad is None else [bad])
+        return out
+
+    def check() -> None:
+        for bad in refused:
+            count = bad.count()
+            judge_counts(rows.count(), count, *job.error_limit)
+            where = (job.setting.get("dirty") or {}).get("path")
+            if where and count:
+                write_dirty(bad, [c for c in df.columns], where)
+
+    if mode == "append":
+        table.commit(added=rows, **entry)
+    else:
+        table.commit(change, touched=None if mode == "overwrite" else rows, check=check, **entry)
+    table.vacuum(int(p.get("keepVersions", 2)))
 
 
 def _print_writer(df: DataFrame, p: Mapping[str, Any], job: SyncJob) -> None:
@@ -375,10 +497,25 @@ def _print_writer(df: DataFrame, p: Mapping[str, Any], job: SyncJob) -> None:
 
 
 def _file_writer(df: DataFrame, p: Mapping[str, Any], job: SyncJob) -> None:
+    """Files; a job that saves its position writes what follows a position into a folder named after it.
+
+    The position is saved after the rows: a run that dies between the two leaves a folder that the next
+    run, which starts at the same position, writes over.
+    """
+    path, mode, column = p["path"], (p.get("writeMode") or "append").lower(), (job.setting.get("restore") or {}).get("restoreColumnName")
+    seen = None
+    if job.restores and column in df.columns:
+        start = saved_position(df.sparkSession, job)
+        path, mode, seen = f"{path}/after={'start' if start is None else start}", "overwrite", Observation()
+        df = df.observe(seen, F.max(F.col(column)).cast("long").alias("reached"), F.count(F.lit(1)).alias("rows"))
     file_sink(
-        df, p["path"], p.get("format", "parquet"), (p.get("writeMode") or "append").lower(), p.get("compress"),
+        df, path, p.get("format", "parquet"), mode, p.get("compress"),
         int(p["maxFileSize"]) if p.get("maxFileSize") else None, charset=p.get("charSetName"),
     )
+    if seen is not None and seen.get["reached"] is not None:
+        spark = df.sparkSession
+        done = spark.createDataFrame([(job.name, 0, seen.get["reached"], seen.get["rows"])], "job string, channel int, position long, rows long")
+        save_offsets(done, f"{job.state_path(spark)}-positions")
 
 
 for _name, _fn in {
@@ -393,3 +530,5 @@ for _name, _fn in {
     register_source(_name, _fn)
 for _name, _sink in {"kafkawriter": _kafka_writer, "streamwriter": _print_writer, "filewriter": _file_writer, "logminerwriter": _redo_writer, "applywriter": _apply_writer, "tablewriter": _table_writer}.items():
     register_sink(_name, _sink)
+for _name, _steps in {"pgwalreader": _captured_step(pg_step), "pg9walreader": _captured_step(pg9_step), "logminerreader": _redo_steps}.items():
+    STEPS[_name] = _steps

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdcflow.operators.dirty import ERROR_TYPE, ERRORS
+from cdcflow.sinks.manifest import BucketTable
 
 MODES = ("append", "overwrite", "insert", "update", "replace", "upsert")
 
@@ -39,12 +40,14 @@ def drop_folder(spark: SparkSession, path: str) -> None:
 
 
 def table_versions(spark: SparkSession, path: str) -> list[int]:
-    """Complete versions of a versioned table, oldest first."""
-    return numbered_folders(spark, path, "version")
+    """Complete versions of a versioned or bucketed table, oldest first."""
+    return BucketTable(spark, path).versions() or numbered_folders(spark, path, "version")
 
 
 def read_version(spark: SparkSession, path: str) -> DataFrame | None:
-    """The last complete version, or None before the first."""
+    """The last complete version of a versioned or bucketed table, or None before the first."""
+    if (rows := BucketTable(spark, path).read()) is not None:
+        return rows
     known = table_versions(spark, path)
     return spark.read.parquet(f"{path}/version={known[-1]}") if known else None
 
@@ -90,21 +93,16 @@ def write_table(
     if not keys or not order:
         raise ValueError(f"mode {mode} needs keys and an order of the rows of a key")
     keys = list(keys)
+    at = F.struct(*[F.col(c) for c in order])
     if mode == "insert":
-        known = target.select(*keys)
-        first = _winner(df, cols, keys, order, last=False).join(known, keys, "left_anti")
+        first = df.groupBy(*keys).agg(F.min(at).alias("_first"))
+        taken = target.select(*keys, F.lit(True).alias("_taken")).dropDuplicates(keys)
+        marked = df.join(first.join(taken, keys, "left"), keys, "left").withColumn("_won", F.col("_taken").isNull() & (at == F.col("_first")))
         label = F.concat_ws("-", *[F.col(k).cast("string") for k in keys])
-        won = first.select(*keys, F.col("_at"))
-        at = F.struct(*[F.col(c) for c in order])
-        refused = df.join(won, keys, "left").where(F.col("_at").isNull() | (F.col("_at") != at)).drop("_at")
-        return target.unionByName(first.select(*cols)), refused.withColumn(ERRORS, duplicate_error(label))
+        refused = marked.where(~F.coalesce("_won", F.lit(False))).select(*df.columns).withColumn(ERRORS, duplicate_error(label))
+        return target.unionByName(marked.where("_won").select(*cols)), refused
     latest = _winner(df, cols, keys, order, last=True)
-    if mode == "update":
-        marked = latest.select(*keys, F.struct(*cols).alias("_new"))
-        hit = F.col("_new").isNotNull()
-        out = target.join(marked, keys, "left").select(
-            *[F.when(hit, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) for c in cols]
-        )
-        return out, None
-    kept = target.join(latest.select(*keys), keys, "left_anti").select(*cols)
-    return kept.unionByName(latest.select(*cols)), None
+    marked = latest.select(*keys, F.struct(*cols).alias("_new"))
+    hit = F.col("_new").isNotNull()
+    joined = target.join(marked, keys, "left" if mode == "update" else "full_outer")
+    return joined.select(*[F.when(hit, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) for c in cols]), None

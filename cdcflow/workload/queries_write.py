@@ -7,20 +7,28 @@ from pyspark.sql import functions as F
 
 from cdcflow.operators.filters import filter_blank
 from cdcflow.operators.records import decode_messages
-from cdcflow.session import scratch_path
+from cdcflow.operators.txn import committed_changes
+from cdcflow.plans.job import SyncJob
+from cdcflow.session import materialize, scratch_path
 from cdcflow.sinks.files import file_sink
+from cdcflow.sinks.manifest import BucketTable
 from cdcflow.sinks.tables import read_version, write_table
 from cdcflow.sources.captured import MESSAGE_SCHEMA, captured_source
 from cdcflow.sources.messages import MessageSource, message_source
+from cdcflow.sources.position_log import write_position_log
 from cdcflow.streaming.pg_stream import decoded_events, stream_pg_changes
+from cdcflow.streaming.txn_state import ended, stream_transactions
 from cdcflow.streaming.txn_stream import fold_deltas, released_changes, stream_apply, stream_committed
 from cdcflow.workload import texts as X
 from cdcflow.workload.changelog import LOG_SQL, base_table, changelog, flat
+from cdcflow.workload.queries_redo import ALL_ROWS, REDO
 from cdcflow.workload.queries_wire import HEAD, show_events
+from cdcflow.workload.redolog import redo_pieces
 from cdcflow.workload.registry import ORACLES, query, table
-from cdcflow.workload.wirelog import pg_messages
+from cdcflow.workload.wirelog import pg9_messages, pg_messages
 
 FILES_PER_STEP = 8
+BUCKETS = 32
 
 
 @query("file_sink_roundtrip", "select o_orderkey, o_orderstatus, o_orderdate from orders")
@@ -128,6 +136,77 @@ def _stream_committed(spark, sf_dir):
     return flat(released_changes(spark, _run_committed(spark, sf_dir)), "xid", "op", "scn", "seq", "commit_scn")
 
 
+@query("stream_transactions", f"with {LOG_SQL} select '7.3.' || (t%97) xid, op, scn, seq, commit_scn, bk, bst, bc, ak, ast, ac from live")
+def _stream_transactions(spark, sf_dir):
+    log = changelog(spark, sf_dir)
+    source, out = _in_steps(log, "scn", "log-in"), scratch_path(spark, "log-out")
+    stream_transactions(_read_stream(spark, source, log.schema), out, scratch_path(spark, "checkpoint")).awaitTermination()
+    return flat(ended(spark, out), "xid", "op", "scn", "seq", "commit_scn")
+
+
+@query(
+    "bucket_apply",
+    f"""with {LOG_SQL},
+    alive as (select g.* from g join tx using (t) where t%11 <> 0 and not is_last),
+    fin as (select case when rekey then -k-1 else k end k, cst st, cc cents from alive where not del)
+    select k, st, cents from fin
+    union all select k, 'B', cents from o where k not in (select k from alive)""",
+)
+def _bucket_apply(spark, sf_dir):
+    """The change log folded into a bucketed table in three batches, each of them twice."""
+    changes = committed_changes(changelog(spark, sf_dir))
+    table = BucketTable(spark, scratch_path(spark, "buckets"), base_table(spark, sf_dir), ["k"], BUCKETS)
+    low, high = changes.approxQuantile("commit_scn", [0.5, 0.999], 0.0001)
+    at = F.col("commit_scn")
+    for batch, part in enumerate((at <= low, (at > low) & (at <= high), at > high)):
+        for _ in range(2):
+            table.fold_changes(changes.where(part), store=lambda delta: materialize(delta, "delta"), writer="log", batch=batch)
+    return table.read()
+
+
+def _position_stream(spark, log: DataFrame, key: str, pos: str, label: str, steps: int = 3) -> tuple[str, list[DataFrame]]:
+    """An empty position log and the parts of a log that will be appended to it one after the other."""
+    cuts = [None, *log.approxQuantile(pos, [i / steps for i in range(1, steps)], 0.001), None]
+    parts = []
+    for low, high in zip(cuts, cuts[1:]):
+        part = log if low is None else log.where(F.col(pos) > low)
+        parts.append((part if high is None else part.where(F.col(pos) <= high)).repartition(FILES_PER_STEP))
+    return scratch_path(spark, label), parts
+
+
+def _run_job(spark, reader: str, parameter: dict, parts: list[DataFrame], key: str) -> DataFrame:
+    """A streamed job, started again after each part of its log; what it landed."""
+    out, state = scratch_path(spark, "landed"), scratch_path(spark, "state")
+    job = SyncJob(
+        {"name": reader, "parameter": parameter}, {"name": "filewriter", "parameter": {"path": out}},
+        {"restore": {"isStream": True, "availableNow": True, "checkpoint": state}},
+    )
+    for part in parts:
+        write_position_log(part, parameter["path"], key)
+        job.run(spark)
+    return spark.read.parquet(out)
+
+
+@query("stream_pg9_changes", ORACLES["pg9_changes"])
+def _stream_pg9(spark, sf_dir):
+    path, parts = _position_stream(spark, pg9_messages(spark, sf_dir), "slot", "pos", "messages-in")
+    events = _run_job(spark, "pg9walreader", {"path": path}, parts, "slot")
+    return show_events(events.withColumnRenamed("type", "op"), *HEAD)
+
+
+@query(
+    "stream_redo",
+    f"""{REDO}, {ALL_ROWS}, mined as (select *, operation in ('START','COMMIT','ROLLBACK') b from rows_ where operation not in ('START','COMMIT','ROLLBACK') or username <> 'SYS'),
+        placed as (select *, first_value(case when b then operation end ignore nulls) over later outcome, first_value(case when b then scn end ignore nulls) over later commit_scn
+                   from mined window later as (partition by xid order by scn rows between 1 following and unbounded following))
+        select scn, commit_scn, operation, sql_redo from placed where not b and outcome = 'COMMIT' and sql_redo <> 'drop x' and not contains(sql_redo, 'temporary tables z')""",
+)
+def _stream_redo(spark, sf_dir):
+    path, parts = _position_stream(spark, redo_pieces(spark, sf_dir), "source", "pos", "redo-in")
+    rows = _run_job(spark, "logminerreader", {"path": path, "scn": -1, "whiteList": ["SALES.*"]}, parts, "source")
+    return rows.select(F.col("SCN").alias("scn"), F.col("COMMIT_SCN").alias("commit_scn"), F.col("OPERATION").alias("operation"), F.col("SQL_REDO").alias("sql_redo"))
+
+
 @query(
     "stream_apply",
     f"""with {LOG_SQL},

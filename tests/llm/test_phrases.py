@@ -88,6 +88,12 @@ def test_heavy_beginnings_are_cut_into_parts(texts, monkeypatch):
     assert sorted(tuple(r) for r in collocations(texts(rows), p).collect()) == sorted(brute(rows, p))
 
 
+def test_more_frequent_words_than_may_be_broadcast(texts, monkeypatch):
+    monkeypatch.setattr(phrases, "BROADCAST_WORDS", 3)
+    rows, p = corpus(7), Params(least=4)
+    assert sorted(tuple(r) for r in collocations(texts(rows), p).collect()) == sorted(brute(rows, p))
+
+
 def test_edge_rows(texts):
     p = Params(least=2)
     rows = [("en", None), ("en", ""), (None, " \t\n.,;"), ("und", "Ab ab AB ab"), (None, "ab ab"), ("en", "É é é é"), ("en", "one two; two one"), ("fr", "seul")]
