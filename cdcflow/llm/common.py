@@ -116,7 +116,8 @@ _BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
 def small_batches(df: DataFrame) -> DataFrame:
     """``df``, in a session that hands Python workers batches of ``BATCH_BYTES`` instead of ten thousand whole texts."""
     conf = df.sparkSession.conf
-    if int(str(conf.get(_BATCH_KEY, "0")).rstrip("b") or 0) not in range(1, BATCH_BYTES + 1):
+    now = conf.get(_BATCH_KEY).removesuffix("b")
+    if now.isdigit() and int(now) > BATCH_BYTES:
         conf.set(_BATCH_KEY, str(BATCH_BYTES))
     return df
 

@@ -91,9 +91,9 @@ def _leads(codes: np.ndarray, pieces: np.ndarray, longest: int) -> list[np.ndarr
     """Lead columns: the word at every place and its followers in the piece; zero pads what lies behind its end or a word of code zero."""
     out = [codes]
     for k in range(1, longest):
-        lead = np.zeros(len(codes), np.uint64)
+        lead = np.zeros(len(codes), codes.dtype)
         inside = (pieces[k:] == pieces[: len(codes) - k]) & (out[-1][: len(codes) - k] > 0)
-        lead[: len(codes) - k] = np.where(inside, codes[k:], np.uint64(0))
+        lead[: len(codes) - k] = np.where(inside, codes[k:], codes.dtype.type(0))
         out.append(lead)
     return out
 
@@ -151,26 +151,44 @@ def vocabulary(documents: DataFrame, p: Params) -> DataFrame:
 
 
 def _window_schema(p: Params) -> pa.Schema:
-    lists = [(f"{c}_{part}", pa.list_(kind)) for c in p.columns for part, kind in (("low", pa.int16()), ("high", pa.int16()))]
+    lists = [(f"{c}_{part}", pa.list_(kind)) for c in p.columns for part, kind in (("low", pa.int16()), ("high", pa.int8()))]
     return pa.schema([("bucket", pa.int64()), ("words", pa.list_(pa.int64())), *lists, ("n", pa.list_(pa.int32()))])
 
 
+def _numbered(leads: list[np.ndarray], ends: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """The columns as numbers in the list of the codes that each row, up to its end, uses; and these lists."""
+    known, numbers = np.unique(np.concatenate(leads), return_inverse=True)
+    numbers = numbers.reshape(len(leads), -1)
+    here, words = np.zeros(len(known), bool), []
+    for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+        part = numbers[:, a:b]
+        here[:] = False
+        here[part] = True
+        words.append(known[here].view(np.int64))
+        numbers[:, a:b] = (np.cumsum(here) - 1)[part]
+    return list(numbers), words
+
+
 def windows(documents: DataFrame, heavy: list[np.ndarray], buckets: int, chunk: int, p: Params, common: Broadcast | None = None) -> DataFrame:
     """(bucket, words, w1_low, w1_high, ..., n): distinct windows of two words or more and their counts, of one chunk and bucket each.
 
-    ``words`` lists the codes that occur, the windows hold their numbers in it, as two halves of which
-    the higher is nearly always zero and so takes no room.  Windows with one beginning of two words
-    share a bucket; those of a heavy beginning are dealt by one more word.  With the sorted codes of all
-    words that are frequent enough for a phrase (``common``), other words end a window like the end of a piece.
+    The windows hold numbers of words, as two parts of which the higher is mostly zero and so takes no
+    room.  With the frequent words at hand (``common``: their codes in order, their places by
+    falling frequency) these are places, counted from one, and other words end a window like the end of a
+    piece; without them, places in ``words``, the codes that the row uses.  Windows with one beginning of
+    two words share a bucket; those of a heavy beginning are dealt by one more word.
     """
     schema = _window_schema(p)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for langs, texts in _chunks(batches, chunk):
             codes, pieces, _ = _chunk_words(langs, texts)
-            if common is not None and len(common.value):
-                near = np.minimum(np.searchsorted(common.value, codes), len(common.value) - 1)
-                codes = np.where(common.value[near] == codes, codes, np.uint64(0))
+            ids = None
+            if common is not None:
+                known, places = common.value
+                near = np.minimum(np.searchsorted(known, codes), max(len(known) - 1, 0))
+                found = known[near] == codes if len(known) else np.zeros(len(codes), bool)
+                codes, ids = np.where(found, codes, np.uint64(0)), np.where(found, places[near] if len(known) else 0, 0).astype(np.int32)
             leads = _leads(codes, pieces, p.longest)
             pairs = leads[1] > 0
             leads = [w[pairs] for w in leads]
@@ -182,32 +200,28 @@ def windows(documents: DataFrame, heavy: list[np.ndarray], buckets: int, chunk:
                 deal = np.where(np.isin(prefixes[k], known) & (deal == prefixes[k]), prefixes[k + 1], deal)
             bucket = (deal >> np.uint64(33)).astype(np.int64) % buckets
             order = np.lexsort((prefixes[-1], leads[0], bucket))
+            numbers = None if ids is None else [w[pairs][order] for w in _leads(ids, pieces, p.longest)]
             del prefixes, deal, codes, pieces, pairs
             leads, bucket = [w[order] for w in leads], bucket[order]
             first = np.ones(len(order), bool)
             first[1:] = np.logical_or.reduce([w[1:] != w[:-1] for w in leads])
             at = np.flatnonzero(first)
-            n = np.diff(np.append(at, len(order))).astype(np.int32)
-            leads, bucket = [w[at] for w in leads], bucket[at]
-            known, numbers = np.unique(np.concatenate(leads), return_inverse=True)
-            numbers = numbers.reshape(len(leads), -1)
+            n, bucket = np.diff(np.append(at, len(order))).astype(np.int32), bucket[at]
             ends = np.append(np.flatnonzero(np.diff(bucket)) + 1, len(bucket))
-            here, words = np.zeros(len(known), bool), []
-            for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
-                part = numbers[:, a:b]
-                here[:] = False
-                here[part] = True
-                words.append(known[here].view(np.int64))
-                numbers[:, a:b] = (np.cumsum(here) - 1)[part]
+            words = [np.zeros(0, np.int64)] * len(ends)
+            if numbers is None:
+                numbers, words = _numbered([w[at] for w in leads], ends)
+            else:
+                numbers = [x[at] for x in numbers]
             edges = pa.array(np.concatenate([[0], ends]).astype(np.int32))
             sizes = pa.array(np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int32))
             lists = [pa.ListArray.from_arrays(sizes, pa.array(np.concatenate(words)))]
             for x in numbers:
-                lists += [pa.ListArray.from_arrays(edges, pa.array(half)) for half in ((x & 0x7FFF).astype(np.int16), (x >> 15).astype(np.int16))]
+                lists += [pa.ListArray.from_arrays(edges, pa.array(half)) for half in ((x & 0x7FFF).astype(np.int16), (x >> 15).astype(np.int8))]
             lists.append(pa.ListArray.from_arrays(edges, pa.array(n)))
             yield pa.RecordBatch.from_arrays([pa.array(bucket[ends - 1]), *lists], schema=schema)
 
-    halves = ", ".join(f"{c}_low array<smallint>, {c}_high array<smallint>" for c in p.columns)
+    halves = ", ".join(f"{c}_low array<smallint>, {c}_high array<tinyint>" for c in p.columns)
     return _content(documents).mapInArrow(count, f"bucket bigint, words array<bigint>, {halves}, n array<int>")
 
 
@@ -218,7 +232,7 @@ def _groups(columns: list[np.ndarray]) -> np.ndarray:
     return np.flatnonzero(first)
 
 
-def frequent_windows(found: DataFrame, heavy: list[np.ndarray], p: Params) -> DataFrame:
+def frequent_windows(found: DataFrame, heavy: list[np.ndarray], p: Params, common: Broadcast | None = None) -> DataFrame:
     """(w1, ..., n): windows cut to their longest beginning that occurs ``least`` times, with the counts of those cut alike.
 
     A bucket holds all windows of its beginnings, so the counts decide.  A heavy beginning lies in many
@@ -230,9 +244,14 @@ def frequent_windows(found: DataFrame, heavy: list[np.ndarray], p: Params) -> Da
     def cut(table: pa.Table) -> pa.Table:
         flat = lambda c: table.column(c).combine_chunks().flatten().to_numpy()
         sizes = lambda c: table.column(c).combine_chunks().value_lengths().to_numpy()
-        known, n = flat("words"), flat("n").astype(np.int64)
-        base = np.repeat(np.concatenate([[0], np.cumsum(sizes("words"))[:-1]]), sizes("n"))
-        words = [known[base + flat(f"{c}_low") + (flat(f"{c}_high").astype(np.int64) << 15)] for c in p.columns]
+        n = flat("n").astype(np.int64)
+        if common is None:
+            codes, base = flat("words"), np.repeat(np.concatenate([[0], np.cumsum(sizes("words"))[:-1]]), sizes("n"))
+        else:
+            known, places = common.value
+            codes, base = np.zeros(len(known) + 1, np.int64), 0
+            codes[places] = known.view(np.int64)
+        words = [codes[base + flat(f"{c}_low") + (flat(f"{c}_high").astype(np.int64) << 15)] for c in p.columns]
         order = np.lexsort(words[::-1])
         words, n = [w[order] for w in words], n[order]
         at = _groups(words)
@@ -264,13 +283,17 @@ def phrase_counts(documents: DataFrame, words: DataFrame, p: Params) -> DataFram
     heavy = [np.array([r["code"] for r in rows if r["kind"] == k], np.int64).view(np.uint64) for k in range(2, p.longest)]
     together = (ROW_WINDOWS * total) ** 0.5
     buckets, chunk = max(1, int(total / max(BUCKET_WORDS, together))), max(CHUNK, int(6 * together))
-    often = words.where(F.col("kind") == 0).where(F.col("n") >= p.least).select("code")
-    known = [r["code"] for r in often.limit(BROADCAST_WORDS + 1).collect()]
+    often = words.where(F.col("kind") == 0).where(F.col("n") >= p.least).select("code", "n")
+    known = [(r["code"], r["n"]) for r in often.limit(BROADCAST_WORDS + 1).collect()]
     common = None
     if len(known) <= BROADCAST_WORDS:
-        common = documents.sparkSession.sparkContext.broadcast(np.sort(np.array(known, np.int64).view(np.uint64)))
+        codes = np.array([c for c, _ in known], np.int64).view(np.uint64)
+        order = np.argsort(codes)
+        places = np.empty(len(codes), np.int64)
+        places[np.argsort([-n for _, n in known], kind="stable")] = np.arange(1, len(codes) + 1)
+        common = documents.sparkSession.sparkContext.broadcast((codes[order], places[order]))
     found = windows(documents, heavy, buckets, chunk, p, common)
-    summed = frequent_windows(found, heavy, p).rollup(*p.columns).agg(F.sum("n").alias("f")).where(F.col("f") >= p.least)
+    summed = frequent_windows(found, heavy, p, common).rollup(*p.columns).agg(F.sum("n").alias("f")).where(F.col("f") >= p.least)
     whole = F.col("w2").isNotNull()
     for c in p.columns[1:]:
         whole &= F.col(c).isNull() | (F.col(c) != 0)
