@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 #: Items are searched in blocks of at most this many characters, each sent to the executors at once.
 BLOCK_CHARS = 500_000
 ERROR_PERCENT = 8
-#: Shorter items are phrases rather than passages and are not searched.
+#: Shorter items are phrases rather than passages: they count where they stand as they are, between word borders.
 LEAST_CHARS = 24
 MATCHES = "array<struct<item_id:bigint,start:bigint,end:bigint,distance:int>>"
 
@@ -33,7 +33,15 @@ def _lower(text: str) -> str:
 
 
 def budget(length: int, percent: int = ERROR_PERCENT) -> int:
-    return length * percent // 100
+    """Edits that an item of so many normalised characters may have."""
+    return length * percent // 100 if length >= LEAST_CHARS else 0
+
+
+def stands_alone(text: str, start: int, end: int) -> bool:
+    """Whether no letter or digit goes on over either end."""
+    before = start > 0 and text[start - 1].isalnum() and text[start].isalnum()
+    after = end < len(text) and text[end].isalnum() and text[end - 1].isalnum()
+    return not before and not after
 
 
 def pieces(item: str, errors: int) -> list[tuple[int, str]]:
@@ -103,12 +111,16 @@ class Searcher:
                     stretch.append([s, s])
             for low, high in stretch:
                 begin, stop = max(0, low - errors), high + len(item) + errors
+                if len(item) < LEAST_CHARS:
+                    if stands_alone(text, begin, stop):
+                        out.append((item_id, begin, stop, 0))
+                    continue
                 hit = myers(self.places[n], len(item), text[begin:stop], errors)
                 if hit:
                     end = begin + hit[1]
                     back = myers(self.backward[n], len(item), text[max(0, end - len(item) - hit[0]) : end][::-1], hit[0])
                     out.append((item_id, end - back[1], end, hit[0]))
-        return sorted(out)
+        return sorted(out, key=lambda m: (m[0] is None, m[0] or 0, *m[1:]))
 
 
 _OPEN: dict[str, Searcher] = {}
@@ -138,11 +150,11 @@ def _original(text: str) -> list[int]:
 
 def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
     """Normalised items in blocks of bounded size; the driver holds one block at a time."""
-    rows = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
+    rows = benchmark.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
     block, chars = [], 0
     for r in rows.dropDuplicates().orderBy("item_id", "text").toLocalIterator():
         item = normal(r["text"])
-        if len(item) < LEAST_CHARS:
+        if not item:
             continue
         if block and chars + len(item) > BLOCK_CHARS:
             yield block
@@ -158,10 +170,11 @@ def with_matches(documents: DataFrame, benchmark: DataFrame, name: str = "matche
 
     An item of n characters may differ by n * ``percent`` / 100 insertions, deletions and changes, on
     lower-cased text with white space made even; start and end are places in the text as it is.  Each
-    stretch of text where pieces of an item are found gives its best match.  Null and empty texts
-    have none; null items, items without id and items of fewer than ``LEAST_CHARS`` characters are not
-    searched; all columns and rows are kept, equal ids or not.  Every text is read whole, once,
-    by a chain of one scan per block of items.
+    stretch of text where pieces of an item are found gives its best match.  Items of fewer than
+    ``LEAST_CHARS`` characters must stand as they are between word borders.  Null and empty texts have
+    no match; null and empty items are in no text; an item without id is reported with a null id, one
+    text under two ids with both; all columns and rows are kept, equal ids or not.  Every text is read
+    whole, once, by a chain of one scan per block of items.
     """
     sc = documents.sparkSession.sparkContext
     out = documents.withColumn(name, F.array().cast(MATCHES))
@@ -187,12 +200,15 @@ def with_matches(documents: DataFrame, benchmark: DataFrame, name: str = "matche
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id, start, end, distance), one row per match."""
+    """(doc_id, item_id, start, end, distance), one row per match; odd rows as in ``with_matches``."""
     found = with_matches(documents.select("doc_id", "text"), benchmark)
     return found.select("doc_id", F.inline("matches"))
 
 
 def decontaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``documents`` that hold no benchmark item, with all their columns."""
+    """The rows of ``documents`` that hold no benchmark item, with all their columns.
+
+    Decided row by row, whatever the ids of documents and items; null and empty texts hold none and stay.
+    """
     name = "_benchmark_matches"
     return with_matches(documents, benchmark, name).where(F.size(name) == 0).drop(name)

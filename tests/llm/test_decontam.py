@@ -3,7 +3,7 @@ import random
 import pytest
 
 from cdcflow.llm import decontam
-from cdcflow.llm.decontam import _places, budget, contaminated, decontaminated, myers, normal, pieces
+from cdcflow.llm.decontam import _places, budget, contaminated, decontaminated, myers, normal, pieces, stands_alone
 
 
 def best(item, text):
@@ -59,8 +59,11 @@ def brute(docs, items):
     out = {}
     for i, t in docs:
         for k, item in items:
-            x = normal(item or "")
-            if len(x) >= decontam.LEAST_CHARS and (d := best(x, normal(t or ""))) <= budget(len(x)):
+            x, y = normal(item or ""), normal(t or "")
+            if 0 < len(x) < decontam.LEAST_CHARS:
+                if any(y.startswith(x, a) and stands_alone(y, a, a + len(x)) for a in range(len(y))):
+                    out[i, k] = 0
+            elif x and (d := best(x, y)) <= budget(len(x)):
                 out[i, k] = d
     return out
 
@@ -77,7 +80,7 @@ def test_equals_brute_force(spark, docs, monkeypatch, block):
         held = edit(rng, item, rng.randrange(0, budget(len(item)) + 3)) if rng.random() < 0.8 else " ".join(word() for _ in range(20))
         rows.append((i, " ".join(word() for _ in range(rng.randrange(10))) + "\n " + held.upper().replace(" ", " \t") + " " + word()))
     bench = spark.createDataFrame(items, "item_id long, text string")
-    want = brute(rows, [x for x in items if x[0] is not None])
+    want = brute(rows, items)
     assert len(want) > 20
     assert rows_of(contaminated(docs(rows), bench)) == want
     assert {r.doc_id for r in decontaminated(docs(rows), bench).collect()} == {i for i, _ in rows} - {i for i, _ in want}
@@ -92,6 +95,16 @@ def test_spans_lie_in_the_text_as_it_is(spark, docs):
     assert all(text[r.start : r.end] == "WAS it   the butler or the gardener who did it?" and r.distance == 0 for r in got[:2])
 
 
+def test_short_items_items_without_id_and_repeated_texts(spark, docs):
+    long = "a passage that nobody can name at all"
+    items = [(1, "what is 17 times 23"), (2, "Ab"), (None, long), (7, long), (8, long), (9, ""), (10, None), (11, "42?")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(1, "so What is 17  times\n23?"), (2, "what is 17 times 234"), (3, "xwhat is 17 times 23"), (4, "cab abc ab, b"), (5, f"see {long}s!"), (6, "answer: 42?"), (7, "1 42?"), (8, "142?"), (None, "AB"), (10, "clean")]
+    got = {(r.doc_id, r.item_id) for r in contaminated(docs(rows), bench).collect()}
+    assert got == {(1, 1), (4, 2), (5, None), (5, 7), (5, 8), (6, 11), (7, 11), (None, 2)}
+    assert sorted(r.doc_id for r in decontaminated(docs(rows), bench).collect()) == [2, 3, 8, 10]
+
+
 def test_empty_tables(spark, docs):
     none = spark.createDataFrame([], "item_id long, text string")
     some = spark.createDataFrame([(1, "a passage of more than enough characters")], "item_id long, text string")

@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 
@@ -6,6 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer as Library
 
+from cdcflow.llm import encoder
 from cdcflow.llm.common import word_hashes
 from cdcflow.llm.encoder import Tokenizer
 from cdcflow.llm.packing import pack_documents, place, sequences
@@ -106,3 +108,27 @@ def test_word_hashes_know_words_alone():
     words = ["".join(rng.choice("ab") for _ in range(rng.randrange(1, 14))).encode() for _ in range(5000)]
     hashes, _ = word_hashes([b" ".join(words)])
     assert len(set(hashes.tolist())) == len(set(words))
+
+
+def test_words_that_go_straight_to_the_model_equal_the_library():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    with open(path, "rb") as f:
+        data = f.read()
+    model = json.loads(data)
+    assert encoder.takes_letters(model)
+    rnd = random.Random(11)
+    word = lambda: "".join(rnd.choice(rnd.choice(["abcdefghijklmnopqrstuvwxyz", "etaoin", "etaoin", "ABCXYZ", "0129", ".,;:!?", "'", "-()", "éüß", "é"])) for _ in range(rnd.randrange(1, 9)))
+    plain = lambda: "".join(rnd.choice("etaoinshrdlu") for _ in range(rnd.randrange(1, 14))) + rnd.choice(["", "", ".", ",", "...", "?!", ";:", ".)", "'s", "'s."])
+    texts = [rnd.choice([" ", "\n", "\t "]).join(rnd.choice([word, plain])() for _ in range(rnd.randrange(60))) for _ in range(400)]
+    texts += ["x" * 500, ("y" * 300 + ". ") * 3, "<|endoftext|> don't. can't, we'll; they're: I'd! it's?", ".,;:!?", "a", ""]
+    library = Library.from_file(path)
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    for bound in (encoder.REMEMBERED_BYTES, 2000):
+        before, encoder.REMEMBERED_BYTES = encoder.REMEMBERED_BYTES, bound
+        try:
+            made = encoder.Encoder(data, "json", True, True, True)
+            got = [np.frombuffer(x, "<u4").tolist() for a in range(0, len(texts), 37) for x in made.ids([t.encode() for t in texts[a : a + 37]])]
+        finally:
+            encoder.REMEMBERED_BYTES = before
+        assert got == want
+        assert made.held <= bound // 2 + 1
