@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cdcflow.llm.common import small, table
 from cdcflow.llm.decontam import decontaminated
@@ -20,17 +21,23 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (five-word shingles, similarity 0.8) the smallest id stays.
+    """Of each group of near duplicates (five-word shingles, similarity 0.8) one row stays: the smallest id, rows without id last.
 
-    Rows that repeat both id and text leave one; documents without id are in no group and stay.
+    Rows are told apart by id and text together, so a text whose id is also that of a copy stays, and
+    copies without id go.  Rows that repeat both leave one.
     """
-    rows = materialize(near_duplicates(docs, Params(width=5)).select("doc_id", "kept"), "kept")
-    gone = rows.where("not kept").select("doc_id").distinct()
-    left = docs.join(small(gone, BROADCAST_IDS), "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
-    again = rows.where("doc_id is not null and kept").groupBy("doc_id").count().where("count > 1")
-    if again.isEmpty():
-        return left
-    return left.where("doc_id is not null").dropDuplicates(["doc_id", "text"]).union(left.where("doc_id is null"))
+    columns = [f"`{c}`" for c in docs.columns]
+    key = F.shiftrightunsigned(F.xxhash64(F.col("doc_id").cast("long"), "text"), 1)
+    rows = docs.select(key.alias("key"), F.col("doc_id").cast("long").alias("id"), "text")
+    groups = materialize(near_duplicates(rows.select(F.col("key").alias("doc_id"), "text"), Params(width=5)).select(F.col("doc_id").alias("key"), "component_id"), "groups")
+    known = rows.select("key", "id").distinct().join(groups.distinct(), "key")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key"))["key"]
+    best = known.groupBy("component_id").agg(first.alias("best"))
+    gone = known.join(best, "component_id").where("key <> best").select(F.col("key").alias("_gone"))
+    kept = docs.withColumn("_key", key).join(small(materialize(gone, "gone"), BROADCAST_IDS), F.col("_key") == F.col("_gone"), "left_anti")
+    if groups.groupBy("key").count().where("count > 1").isEmpty():
+        return kept.select(*columns)
+    return kept.dropDuplicates(["_key"]).select(*columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
