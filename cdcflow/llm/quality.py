@@ -16,34 +16,34 @@ from cdcflow.session import materialize
 WHITE = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
-#: A group's own quantiles are used from this many texts on; below, those of its language, then of all.
-GROUP_ROWS = 200
+#: A group of so many texts has cutoffs halfway between its own and its language's (a language: all texts'); few texts say little.
+PRIOR_TEXTS = 50
 #: Groups whose cutoffs may be broadcast to the texts; beyond, the same join shuffles.
 BROADCAST_GROUPS = 100_000
 
 
 @dataclass(frozen=True)
 class Rule:
-    """A ratio ``1000 * top / below`` and what its cutoffs let pass in every group, in thousandths.
+    """A ratio ``1000 * top / below`` whose cutoffs are its group's quartiles and ``reach`` quartile distances beyond.
 
-    The upper cutoff is the third quartile plus ``reach`` quartile distances, at least ``high``; the
-    lower one, if any, is the first quartile minus as much, at most ``low``.  Ordinary texts of a group
-    set its quartiles, so a source full of tables or code is measured against itself; the two numbers
-    only widen the fences of groups whose texts are much alike.
+    Ordinary texts of a group set its cutoffs, so a source full of tables or code is measured against
+    itself, and a clean source strictly.  Counts of a single text are coarse: ``spare`` events and
+    ``slack`` thousandths beyond the cutoff are no verdict.  Only with ``low`` is there a lower cutoff.
     """
 
     top: str
     below: str
-    high: int
-    low: int | None = None
-    reach: int = 3
+    slack: int
+    spare: int = 0
+    low: bool = False
+    reach: int = 4
 
 
 RULES: dict[str, Rule] = {
-    "word_length": Rule("word_chars", "n_words", 7500, 3000),
-    "symbols": Rule("n_symbols", "n_words", 100),
-    "dup_lines": Rule("n_dup_lines", "n_lines", 500),
-    "repeats": Rule("n_repeat_words", "n_words", 300),
+    "word_length": Rule("word_chars", "n_words", 100, 30, low=True),
+    "symbols": Rule("n_symbols", "n_words", 10, 3),
+    "dup_lines": Rule("n_dup_lines", "n_lines", 50, 3),
+    "repeats": Rule("n_repeat_words", "n_words", 60, 30),
 }
 
 
@@ -119,16 +119,18 @@ def _last(bucket: Column) -> Column:
     return bucket + F.call_function("shiftleft", F.lit(1).cast("long"), _spare(bucket)) - 1
 
 
-def cutoffs(counted: DataFrame, rules: Mapping[str, Rule] = RULES, group_rows: int = GROUP_ROWS) -> DataFrame:
+def cutoffs(counted: DataFrame, rules: Mapping[str, Rule] = RULES, prior: int = PRIOR_TEXTS) -> DataFrame:
     """(lang, source, <rule>_high, <rule>_low) for each language and source, null ones included.
 
-    A group's sketch is the count of texts per bucket of a ratio.  Sketches merge by adding counts: map
-    tasks add up their own rows, and the sketches of a language and of all texts are sums of their
-    groups'.  Results do not depend on the order of merging.
+    A group's sketch is the count of texts per bucket of a ratio, over texts that pass the base rule.
+    Sketches merge by adding counts: map tasks add up their own rows, and the sketches of a language and
+    of all texts are sums of their groups'.  Quartiles of n texts are mixed with the parent's, n squared to
+    ``prior`` squared, so that no verdict hangs on one text more or less.  Results do not depend on the order of merging.
     """
     counts = {c: F.col(f"quality_counts.{c}") for c in COUNTS}
     values = F.explode(F.array(*[F.struct(F.lit(n).alias("rule"), _bucket(_ratio(r, counts).cast("long")).alias("bucket")) for n, r in rules.items()]))
-    own = counted.select("lang", "source", values.alias("v")).where("v.bucket is not null").groupBy("lang", "source", "v.rule", "v.bucket").agg(F.count("*").alias("n"))
+    passed = counted.where(~base_failed(counts)).select("lang", "source", values.alias("v")).where("v.bucket is not null")
+    own = passed.groupBy("lang", "source", "v.rule", "v.bucket").agg(F.count("*").alias("n"))
     level = lambda k, lang, source: F.struct(F.lit(k).alias("level"), lang.alias("lang"), source.alias("source"))
     none = F.lit(None).cast("string")
     levels = F.array(level(2, F.col("lang"), F.col("source")), level(1, F.col("lang"), none), level(0, none, none))
@@ -138,22 +140,26 @@ def cutoffs(counted: DataFrame, rules: Mapping[str, Rule] = RULES, group_rows: i
     run = sketch.withColumns({"upto": F.sum("n").over(by.orderBy("bucket")), "total": F.sum("n").over(by)})
     quartile = lambda q: F.min(F.when(4 * F.col("upto") >= q * F.col("total"), F.col("bucket")))
     quartiles = run.groupBy(*key).agg(F.max("total").alias("total"), quartile(1).alias("q1"), quartile(3).alias("q3"))
-    at = lambda k: quartiles.where((F.col("level") == k) & ((F.col("total") >= group_rows) | F.lit(k == 0)))
-    side = lambda k, keys: at(k).select(*keys, F.struct("q1", "q3").alias(f"s{k}"))
-    groups = quartiles.where("level = 2").select("lang", "source", "rule").alias("g")
-    second, first = side(2, ["lang", "source", "rule"]).alias("b"), side(1, ["lang", "rule"]).alias("a")
+    marks = {"q1": F.col("q1"), "q3": F.col("q3"), "end": _last(F.col("q3"))}
+    at = lambda k, keys: quartiles.where(F.col("level") == k).select(*keys, F.struct("total", *[v.cast("double").alias(n) for n, v in marks.items()]).alias(f"s{k}"))
     same = lambda x, y, *names: [F.col(f"{x}.{n}").eqNullSafe(F.col(f"{y}.{n}")) for n in names]
-    joined = groups.join(second, same("g", "b", "lang", "source", "rule"), "left").join(first, same("g", "a", "lang", "rule"), "left")
-    joined = joined.select("g.*", "s2", "s1").join(side(0, ["rule"]), "rule", "left")
-    chosen = joined.select("lang", "source", "rule", F.coalesce("s2", "s1", "s0").alias("s"))
+    joined = at(2, ["lang", "source", "rule"]).alias("g").join(at(1, ["lang", "rule"]).alias("a"), same("g", "a", "lang", "rule")).select("g.*", "s1").join(at(0, ["rule"]), "rule")
+
+    def mixed(name: str) -> Column:
+        value = F.col(f"s0.{name}")
+        for k in (1, 2):
+            square = F.col(f"s{k}.total").cast("double") * F.col(f"s{k}.total").cast("double")
+            weight = square / (square + F.lit(float(prior * prior)))
+            value = weight * F.col(f"s{k}.{name}") + (F.lit(1.0) - weight) * value
+        return value
+
+    chosen = joined.select("lang", "source", "rule", *[mixed(n).alias(n) for n in marks])
     columns = []
     for name, r in rules.items():
-        reach = r.reach * (F.col("s.q3") - F.col("s.q1"))
-        high = F.greatest(_last(F.col("s.q3")) + reach, F.lit(r.high))
-        columns.append(F.max(F.when(F.col("rule") == name, high)).alias(f"{name}_high"))
+        reach = F.lit(float(r.reach)) * (F.col("q3") - F.col("q1"))
+        columns.append(F.max(F.when(F.col("rule") == name, F.floor(F.col("end") + reach))).alias(f"{name}_high"))
         if r.low:
-            low = F.least(F.col("s.q1") - reach, F.lit(r.low))
-            columns.append(F.max(F.when(F.col("rule") == name, low)).alias(f"{name}_low"))
+            columns.append(F.max(F.when(F.col("rule") == name, F.floor(F.col("q1") - reach))).alias(f"{name}_low"))
     return chosen.groupBy("lang", "source").agg(*columns)
 
 
@@ -171,10 +177,11 @@ def judged(counted: DataFrame, limits: DataFrame, rules: Mapping[str, Rule] = RU
     counts = {c: F.col(f"quality_counts.{c}") for c in COUNTS}
     bad = F.lit(False)
     for name, r in rules.items():
-        value = _ratio(r, counts)
-        bad = bad | F.coalesce(value > F.col(f"_quality_limits.{name}_high"), F.lit(False))
+        top, below = F.lit(1000) * counts[r.top], counts[r.below]
+        high, low = F.col(f"_quality_limits.{name}_high"), F.col(f"_quality_limits.{name}_low") if r.low else None
+        bad = bad | F.coalesce(top > (high + r.slack) * below + 1000 * r.spare, F.lit(False))
         if r.low:
-            bad = bad | F.coalesce(value < F.col(f"_quality_limits.{name}_low"), F.lit(False))
+            bad = bad | F.coalesce(top < (low - r.slack) * below - 1000 * r.spare, F.lit(False))
     failed = base_failed(counts)
     return joined.withColumns({"quality_base_failed": failed, "quality_kept": ~(failed | bad)}).drop("_quality_own", "_quality_group", "_quality_limits")
 

@@ -18,29 +18,31 @@ s as (select d.doc_id, lang, source, coalesce(n.n, 0) as n_words, length(regexp_
       from d left join n using (doc_id) left join l using (doc_id) left join c using (doc_id)),
 v as (select *, case when n_words > 0 then 1000 * word_chars // n_words end as word_length, case when n_words > 0 then 1000 * n_symbols // n_words end as symbols,
              case when n_lines > 0 then 1000 * n_dup_lines // n_lines end as dup_lines, case when n_words > 0 then 1000 * n_repeat_words // n_words end as repeats from s),
-u as (select lang, source, unnest(['word_length', 'symbols', 'dup_lines', 'repeats']) as rule, unnest([word_length, symbols, dup_lines, repeats]) as value from v),
+w as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from v),
+u as (select lang, source, unnest(['word_length', 'symbols', 'dup_lines', 'repeats']) as rule, unnest([word_length, symbols, dup_lines, repeats]) as value from w where not base_failed),
 b as (select *, (value >> greatest(length(bin(value)) - 7, 0)) << greatest(length(bin(value)) - 7, 0) as bucket from u where value is not null),
 h as (select 2 as level, lang, source, rule, bucket, count(*) as n from b group by all
       union all select 1, lang, null, rule, bucket, count(*) from b group by all
       union all select 0, null, null, rule, bucket, count(*) from b group by all),
 k as (select *, sum(n) over (partition by level, lang, source, rule order by bucket) as upto, sum(n) over (partition by level, lang, source, rule) as total from h),
-q as (select level, lang, source, rule, max(total) as total, min(case when 4 * upto >= total then bucket end) as q1, min(case when 4 * upto >= 3 * total then bucket end) as q3
+q as (select level, lang, source, rule, max(total)::double as total, min(case when 4 * upto >= total then bucket end) as q1, min(case when 4 * upto >= 3 * total then bucket end) as q3
       from k group by all),
-p as (select a.lang, a.source, a.rule, case when a.total >= 200 then a.q1 when m.total >= 200 then m.q1 else z.q1 end as q1,
-             case when a.total >= 200 then a.q3 when m.total >= 200 then m.q3 else z.q3 end as q3
-      from (select * from q where level = 2) a join (select * from q where level = 1) m on a.lang is not distinct from m.lang and a.rule = m.rule
-      join (select * from q where level = 0) z on a.rule = z.rule),
-o as (select lang, source,
-             max(case when rule = 'word_length' then least(greatest(q3 + 3 * (q3 - q1), 7500), 12000) end) as word_length_high,
-             max(case when rule = 'word_length' then least(greatest(q1 - 3 * (q3 - q1), 1500), 3000) end) as word_length_low,
-             max(case when rule = 'symbols' then least(greatest(q3 + 3 * (q3 - q1), 100), 300) end) as symbols_high,
-             max(case when rule = 'dup_lines' then least(greatest(q3 + 3 * (q3 - q1), 500), 800) end) as dup_lines_high,
-             max(case when rule = 'repeats' then least(greatest(q3 + 3 * (q3 - q1), 300), 500) end) as repeats_high
+e as (select level, lang, source, rule, total * total / (total * total + 2500.0::double) as share, q1::double as q1, q3::double as q3,
+             (q3 + (1 << greatest(length(bin(q3)) - 7, 0)) - 1)::double as top from q),
+m as (select a.lang, a.source, a.rule, a.share * a.q1 + (1.0::double - a.share) * (m.share * m.q1 + (1.0::double - m.share) * z.q1) as q1,
+             a.share * a.q3 + (1.0::double - a.share) * (m.share * m.q3 + (1.0::double - m.share) * z.q3) as q3,
+             a.share * a.top + (1.0::double - a.share) * (m.share * m.top + (1.0::double - m.share) * z.top) as top
+      from (select * from e where level = 2) a join (select * from e where level = 1) m on a.lang is not distinct from m.lang and a.rule = m.rule
+      join (select * from e where level = 0) z on a.rule = z.rule),
+p as (select lang, source, rule, cast(floor(top + 4.0::double * (q3 - q1)) as bigint) as high, cast(floor(q1 - 4.0::double * (q3 - q1)) as bigint) as low from m),
+o as (select lang, source, max(case when rule = 'word_length' then high end) as word_length_high, max(case when rule = 'word_length' then low end) as word_length_low,
+             max(case when rule = 'symbols' then high end) as symbols_high, max(case when rule = 'dup_lines' then high end) as dup_lines_high,
+             max(case when rule = 'repeats' then high end) as repeats_high
       from p group by lang, source),
-f as (select v.*, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
-             coalesce(word_length > word_length_high, false) or coalesce(word_length < word_length_low, false) or coalesce(symbols > symbols_high, false)
-             or coalesce(dup_lines > dup_lines_high, false) or coalesce(repeats > repeats_high, false) as bad
-      from v left join o on v.lang is not distinct from o.lang and v.source is not distinct from o.source)
+f as (select w.*, coalesce(1000 * word_chars > (word_length_high + 100) * n_words + 30000, false) or coalesce(1000 * word_chars < (word_length_low - 100) * n_words - 30000, false)
+             or coalesce(1000 * n_symbols > (symbols_high + 10) * n_words + 3000, false) or coalesce(1000 * n_dup_lines > (dup_lines_high + 50) * n_lines + 3000, false)
+             or coalesce(1000 * n_repeat_words > (repeats_high + 60) * n_words + 30000, false) as bad
+      from w left join o on w.lang is not distinct from o.lang and w.source is not distinct from o.source)
 select doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, base_failed, not (base_failed or bad) as kept from f"""
 
 OP7 = """
