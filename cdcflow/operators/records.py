@@ -14,6 +14,7 @@ from cdcflow.functions.text import decode_json, decode_plain, fill_template, map
 from cdcflow.functions.times import format_time, to_timestamp_any
 from cdcflow.functions.types import TIME_TYPES, text_error, text_to
 from cdcflow.operators.dirty import ERROR_TYPE, ERRORS, problem
+from cdcflow.session import materialize
 
 
 @dataclass(frozen=True)
@@ -181,3 +182,51 @@ def to_message_records(
         message_key.alias("key"),
         F.to_json("_event", {"ignoreNullFields": "false"}).alias("value"),
     )
+
+
+LEAF = "kind, as_int, as_long, as_double, as_string, as_boolean".split(", ")
+
+
+def _leaf(value: Column, schema: Column) -> dict[str, Column]:
+    """Kind and typed value of a variant: whole numbers keep int or long, others are doubles."""
+    whole = F.when(schema == "BIGINT", F.try_variant_get(value, "$", "bigint"))
+    number = schema.rlike("^(DECIMAL|DOUBLE|FLOAT)")
+    small = whole.between(-(2**31), 2**31 - 1)
+    kind = (
+        F.when(schema.startswith("ARRAY"), "array").when(schema.startswith("OBJECT"), "object").when(schema == "STRING", "string")
+        .when(schema == "BOOLEAN", "boolean").when(schema == "VOID", "null").when(small, "int").when(whole.isNotNull(), "long").when(number, "double")
+    )
+    return {
+        "kind": kind,
+        "as_int": F.when(small, whole).cast("int"),
+        "as_long": F.when(~small, whole),
+        "as_double": F.when(number, F.try_variant_get(value, "$", "double")),
+        "as_string": F.when(schema == "STRING", F.try_variant_get(value, "$", "string")),
+        "as_boolean": F.when(schema == "BOOLEAN", F.try_variant_get(value, "$", "boolean")),
+    }
+
+
+def json_leaves(df: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
+    """Every value inside a JSON text, however deep, with its type: one row per value that holds no others.
+
+    Columns: ``keep``, ``path`` (``$['name'][0]``), ``kind`` and the value in the column of its kind: numbers
+    with a point or an exponent are doubles, others int or, beyond its range, long (beyond that, double).
+    An empty array or object is a row of its kind without a value.  Texts that are not JSON give no row.
+    Arrays and objects are opened level by level; each level is stored, so rows are parsed once.
+    """
+    spark = df.sparkSession
+    level = df.select(*keep, F.lit("$").alias("path"), F.try_parse_json(F.col(text)).alias("value")).where(F.col("value").isNotNull())
+    found = None
+    while True:
+        level = materialize(level.withColumn("schema", F.schema_of_variant("value")), "json-level")
+        opened = F.col("schema").rlike("^(ARRAY|OBJECT)") & ~F.col("schema").isin("ARRAY<VOID>", "OBJECT<>")
+        empty = F.col("schema").isin("ARRAY<VOID>") & (F.to_json("value") != "[]")
+        inner = opened | empty
+        leaves = level.where(~inner).select(*keep, "path", *[c.alias(n) for n, c in _leaf(F.col("value"), F.col("schema")).items()])
+        found = leaves if found is None else found.unionByName(leaves)
+        deeper = level.where(inner).select(*keep, "path", F.col("value").alias("_parent"), "schema")
+        if deeper.isEmpty():
+            return found
+        parts = deeper.lateralJoin(spark.tvf.variant_explode(F.col("_parent").outer()))
+        step = F.when(F.col("schema").startswith("ARRAY"), F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]"))).otherwise(F.concat(F.lit("['"), "key", F.lit("']")))
+        level = parts.select(*keep, F.concat("path", step).alias("path"), "value")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -85,3 +87,28 @@ def first_change_for(positions: DataFrame, *segments: DataFrame) -> DataFrame:
 def low_scn(instances: DataFrame) -> DataFrame:
     """Lowest current position over the instances of each source."""
     return instances.groupBy("source").agg(F.min("current_scn").alias("current_scn"))
+
+
+def _level(length: Column) -> Column:
+    """The smallest k with 2**k >= length."""
+    return F.when(length <= 1, 0).otherwise(F.length(F.bin(length - 1))).cast("int")
+
+
+def locate(rows: DataFrame, spans: DataFrame, keys: Sequence[str], pos: str, low: str = "first_change", high: str = "next_change") -> DataFrame:
+    """Each row beside every span of its key that holds its position: ``low`` <= ``pos`` < ``high``.
+
+    Positions are cut into bins of powers of two.  A span goes to the one or two bins of its own size
+    class that it lies in, a row to its bin of every size class there is, so the join is on equal keys
+    and bins: spans are never compared with rows far away, long and short spans alike, and a key with
+    most of the rows is spread over its bins.  Rows without a span, and with a null position, are left
+    out; empty spans hold nothing.
+    """
+    level = _level(F.col(high) - F.col(low))
+    bins = F.expr("array_distinct(array(shiftright(_low, _level), shiftright(_high - 1, _level)))")
+    binned = spans.where(F.col(low) < F.col(high)).withColumns({"_low": F.col(low).cast("long"), "_high": F.col(high).cast("long"), "_level": level})
+    binned = binned.select("*", F.explode(bins).alias("_bin")).drop("_low", "_high")
+    levels = sorted(r[0] for r in binned.select("_level").distinct().collect())  # 64 numbers at most
+    at = F.explode(F.array(*[F.struct(F.lit(k).alias("_level"), F.call_function("shiftright", F.col(pos).cast("long"), F.lit(k)).alias("_bin")) for k in levels] or [F.lit(None).cast("struct<_level: int, _bin: bigint>")]))
+    probes = rows.select("*", at.alias("_at")).select(*rows.columns, "_at._level", "_at._bin")
+    found = probes.join(binned, [*keys, "_level", "_bin"])
+    return found.where((F.col(pos) >= F.col(low)) & (F.col(pos) < F.col(high))).select(*rows.columns, *[c for c in spans.columns if c not in keys])

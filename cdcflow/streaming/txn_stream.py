@@ -13,10 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from cdcflow.operators.apply import compact_changes, order_of
+from cdcflow.operators.apply import compact_changes, live_images, order_of
 from cdcflow.operators.positions import carry, plan_slices
 from cdcflow.operators.txn import BOUNDARY, DML, RANK, TXN_KEYS, txn_ties, with_rank
-from cdcflow.sinks.tables import drop_folder, numbered_folders, read_version, write_version
+from cdcflow.session import materialize
+from cdcflow.sinks.manifest import DEFAULT_BUCKETS, BucketTable
+from cdcflow.sinks.tables import drop_folder, numbered_folders
 
 RELEASED, OPEN, ORPHAN = "released", "open", "orphan"
 
@@ -94,28 +96,38 @@ def stream_apply(
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
+def last_actions(deltas: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
+    """The last action of every key over several batches' deltas."""
+    at = F.struct(*[F.col(c) for c in order_of(deltas, order)])
+    return deltas.groupBy(*keys).agg(F.max_by(F.struct("live", "image"), at).alias("l")).select(*keys, "l.live", "l.image")
+
+
 def merged_table(base: DataFrame, deltas: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
     """The table with its deltas folded in; written back, it is the new base."""
-    at = F.struct(*[F.col(c) for c in order_of(deltas, order)])
-    last = deltas.groupBy(*keys).agg(F.max_by(F.struct("live", "image"), at).alias("l"))
+    last = last_actions(deltas, keys, order)
     kept = base.join(last.select(*keys), list(keys), "left_anti").select(*base.columns)
-    new = last.where("l.live").select(*[F.col(f"l.image.{c}").alias(c) for c in base.columns])
-    return kept.unionByName(new)
+    return kept.unionByName(live_images(last, base.columns))
 
 
-def fold_deltas(spark: SparkSession, deltas: str, table: str, keys: Sequence[str], base: DataFrame | None = None, order: Sequence[str] | None = None) -> int | None:
-    """The merge job: fold all finished deltas into the next version of a table, then drop them.
+def fold_deltas(
+    spark: SparkSession, deltas: str, table: str, keys: Sequence[str], base: DataFrame | None = None, order: Sequence[str] | None = None,
+    buckets: int = DEFAULT_BUCKETS,
+) -> int | None:
+    """The merge job: fold all finished deltas into the next version of a bucketed table, then drop them.
 
-    ``base`` is the table before its first version.  Returns the new version, or None when there was
-    nothing to fold.  A run that stops between the two steps folds the same deltas again, which
-    changes nothing.  Run it by itself, beside the stream: batches that arrive meanwhile wait.
+    Only buckets with a changed key are rewritten.  ``base`` is the table before its first version.
+    Returns the new version, or None when there was nothing to fold.  A run that stops between the two
+    steps folds the same deltas again, which changes nothing.  Run it by itself, beside the stream:
+    batches that arrive meanwhile wait.
     """
     done = numbered_folders(spark, deltas, "batch")
     if not done:
         return None
-    held = read_version(spark, table)
     paths = [_version(deltas, n) for n in done]
-    number = write_version(merged_table(base if held is None else held, spark.read.parquet(*paths), keys, order), table)
+    rows = spark.read.parquet(*paths)
+    target = BucketTable(spark, table, base, keys, buckets)
+    number = target.fold(materialize(last_actions(rows, keys, order), "delta")).version
+    target.vacuum()
     for path in paths:
         drop_folder(spark, path)
     return number

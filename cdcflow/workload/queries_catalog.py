@@ -55,6 +55,24 @@ def _first_change(spark, sf_dir):
     return S.first_change_for(C.positions(spark, sf_dir), C.archived(spark, sf_dir), C.online(spark, sf_dir))
 
 
+@query(
+    "segments_of_changes",
+    f"""{SEG}, c as (select l_orderkey, l_linenumber, p_brand source, cast(l_partkey*100 + l_linenumber*17 % 230 - 40 as bigint) scn from lineitem join part on p_partkey = l_suppkey),
+        wide as (select source, 0 thread, -1 "sequence", min(first_change) first_change, min(first_change) + 5000 next_change, source || '/all' "name" from seg group by 1)
+        select l_orderkey, l_linenumber, c.scn, s."sequence", s."name" from c join (select source, "sequence", first_change, next_change, "name" from archived
+          union all select source, "sequence", first_change, next_change, "name" from wide) s on s.source = c.source and c.scn >= s.first_change and c.scn < s.next_change""",
+)
+def _segments_of_changes(spark, sf_dir):
+    """The segments that hold each change: short archived ones, and a long one per source over the oldest."""
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_suppkey"), F.col("p_brand").alias("source"))
+    scn = (F.col("l_partkey") * 100 + F.col("l_linenumber") * 17 % 230 - 40).cast("long")
+    changes = table(spark, sf_dir, "lineitem").join(part, "l_suppkey").select("l_orderkey", "l_linenumber", "source", scn.alias("scn"))
+    oldest = C.segments(spark, sf_dir).groupBy("source").agg(F.min("first_change").alias("first_change"))
+    wide = oldest.select("source", F.lit(-1).cast("long").alias("sequence"), "first_change", (F.col("first_change") + 5000).alias("next_change"), F.concat("source", F.lit("/all")).alias("name"))
+    spans = C.archived(spark, sf_dir).select("source", F.col("sequence").cast("long").alias("sequence"), "first_change", "next_change", "name").unionByName(wide)
+    return S.locate(changes, spans, ["source"], "scn").select("l_orderkey", "l_linenumber", "scn", "sequence", "name")
+
+
 @query("low_scn", "select 'Brand#' || cast(s_nationkey+1 as varchar) source, min(s_suppkey*1000+500) current_scn from supplier group by 1")
 def _low(spark, sf_dir):
     return S.low_scn(C.instances(spark, sf_dir))
@@ -91,18 +109,15 @@ def _types(spark, sf_dir):
 @query(
     "start_position",
     """with cur as (select s_nationkey+1 b, min(s_suppkey*1000+500) cur, min(s_suppkey)*1000 req from supplier group by 1),
-       saved as (select cast(regexp_extract(p_brand, '(\\d+)', 1) as int) b, max(p_partkey) saved from part where p_type = 'PROMO' and p_size < 3 group by 1)
+       saved as (select cast(regexp_extract(p_brand, '(\\d+)', 1) as int) b, max(p_partkey) saved from part group by 1)
        select 'Brand#' || cast(b as varchar) source, coalesce(nullif(case when b % 2 = 0 then req else 0 end, 0), saved, cur) "start",
        case when nullif(case when b % 2 = 0 then req else 0 end, 0) is not null then 'requested' when saved is not null then 'saved' else 'current' end how from cur left join saved using (b)""",
 )
 def _start(spark, sf_dir):
-    # Even brands ask for a position; a few have one saved under their own name, all parts save one under some name.
+    # Even sources ask for a position; every part saves one under its brand, which is the name of some sources.
     even = F.regexp_extract("source", r"(\d+)", 1).cast("int") % 2 == 0
     asked = C.positions(spark, sf_dir).select("source", F.when(even, F.col("scn")).otherwise(F.lit(0)).alias("requested"))
-    few = F.expr("p_type = 'PROMO' and p_size < 3")
-    saved = table(spark, sf_dir, "part").select(
-        F.when(few, F.col("p_brand")).otherwise(F.concat_ws("/", "p_brand", "p_type")).alias("source"), F.col("p_partkey").alias("position")
-    )
+    saved = table(spark, sf_dir, "part").select(F.col("p_brand").alias("source"), F.col("p_partkey").alias("position"))
     return O.start_position(asked, saved, S.low_scn(C.instances(spark, sf_dir)))
 
 

@@ -11,7 +11,7 @@ from cdcflow.operators.dirty import (
 from cdcflow.operators.filters import filter_blank, filter_empty_events
 from cdcflow.operators.metrics import channel_metrics, metrics_long, rate, rate_limit_plan, read_metrics, write_metrics
 from cdcflow.operators.positions import plan_slices
-from cdcflow.operators.records import decode_messages, to_message_records
+from cdcflow.operators.records import json_leaves, decode_messages, to_message_records
 from cdcflow.operators.redo import redo_from_message
 from cdcflow.sources.messages import next_offsets, topic_scan
 from cdcflow.sources.synthetic import constant, synthetic_rows
@@ -351,3 +351,29 @@ def _constants(spark, sf_dir):
         F.coalesce(constant(v, "double"), F.lit(0.0)).alias("as_double"),
         constant(v, "string").alias("as_text"),
     )
+
+
+LEAVES = "path, kind, as_int, as_long, as_double, as_string, as_boolean".split(", ")
+
+
+@query(
+    "json_typed_values",
+    """with e as (select event_id, event_type, cast(user_id as bigint) * 1000003 big, event_id % 3 = 0 flag, event_id + 0.5 half from events),
+       v as (select event_id, '$[''id'']' path, event_id n, cast(null as double) d, cast(null as varchar) s, cast(null as boolean) b, cast(null as varchar) k from e
+        union all select event_id, '$[''deep''][0][''big'']', big, null, null, null, null from e
+        union all select event_id, '$[''deep''][0][''half'']', null, cast(half as double), null, null, null from e
+        union all select event_id, '$[''deep''][1]', null, null, event_type, null, null from e
+        union all select event_id, '$[''deep''][2][0]', null, null, null, flag, null from e
+        union all select event_id, '$[''deep''][2][1]', null, null, null, null, 'null' from e
+        union all select event_id, '$[''none'']', null, null, null, null, 'array' from e)
+       select event_id, path, coalesce(k, case when d is not null then 'double' when s is not null then 'string' when b is not null then 'boolean' when n between -2147483648 and 2147483647 then 'int' else 'long' end) kind,
+        case when n between -2147483648 and 2147483647 then cast(n as int) end as_int, case when n not between -2147483648 and 2147483647 then n end as_long, d as_double, s as_string, b as_boolean from v""",
+)
+def _typed_values(spark, sf_dir):
+    """Every value of nested JSON texts made from all events, with its type."""
+    big, half = F.col("user_id").cast("long") * 1000003, F.concat(F.col("event_id").cast("string"), F.lit(".5"))
+    text = F.concat(
+        F.lit('{"id":'), F.col("event_id").cast("string"), F.lit(',"deep":[{"big":'), big.cast("string"), F.lit(',"half":'), half, F.lit('},"'), F.col("event_type"),
+        F.lit('",['), (F.col("event_id") % 3 == 0).cast("string"), F.lit(',null]],"none":[]}'),
+    )
+    return json_leaves(X.events(spark, sf_dir).withColumn("text", text), "text", ["event_id"]).select("event_id", *LEAVES)
