@@ -33,6 +33,7 @@ from cdcflow.sources.jdbc import Connection, jdbc_scan, merge_url
 from cdcflow.sources.messages import MessageSource, message_source
 from cdcflow.sources.position_log import position_log
 from cdcflow.sources.synthetic import synthetic_rows, synthetic_stream
+from cdcflow.streaming.flush import ByteRate, row_bytes
 from cdcflow.streaming.restart import RestartPolicy, run_with_restart
 from cdcflow.streaming.steps import Step, pg9_step, pg_step, redo_rows, redo_step
 
@@ -203,7 +204,8 @@ class SyncJob:
         """Start the streaming form: every micro-batch is landed like a batch job.
 
         Batches written to a path get a folder each, so one that is run again replaces itself; tables
-        pass over batches that their ledger holds.
+        pass over batches that their ledger holds.  Under a byte limit each batch is weighed while it is
+        written, and the next one waits until the rate allows it.
         """
         params = self.writer["parameter"]
         restore = self.setting.get("restore") or {}
@@ -211,7 +213,18 @@ class SyncJob:
         make = STEPS.get(self.reader["name"].lower())
         step = make(self, f"{checkpoint}-context") if make else None
 
+        rate = ByteRate(self.speed.bytes) if self.speed.limited else None
+
         def land(batch: DataFrame, batch_id: int) -> None:
+            seen = None
+            if rate is not None:
+                seen = Observation()
+                batch = batch.observe(seen, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_bytes(batch.columns)), F.lit(0)).alias("bytes"))
+            write(batch, batch_id)
+            if seen is not None:
+                rate.charge(seen.get["rows"], seen.get["bytes"])
+
+        def write(batch: DataFrame, batch_id: int) -> None:
             own = {**params, "batchId": batch_id}
             if params.get("path") and self.writer["name"].lower() not in VERSIONED:
                 own |= {"path": f"{params['path']}/batch={batch_id}", "writeMode": "overwrite"}
