@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cdcflow.llm.common import byte_chunks, word_hashes
+from cdcflow.llm.common import byte_chunks, small_batches, word_hashes
 from cdcflow.session import materialize
 
 #: Bytes of context, and the depth at whose contexts the tree is cut: all below one of them lies in one partition.
@@ -241,7 +241,7 @@ def lm_scores(documents: DataFrame) -> DataFrame:
     Null and empty texts hold the end token only: score 0, no bits per byte.  Null ids count as learnt
     from; repeated rows keep one row each.  Extra columns are not read.  An empty table gives no rows.
     """
-    rows = documents.select(
+    rows = small_batches(documents).select(
         F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("content")
     )
     learnt = rows.where("not held_out").select("content")

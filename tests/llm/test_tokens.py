@@ -10,7 +10,7 @@ from tokenizers import Tokenizer as Library
 from cdcflow.llm import encoder
 from cdcflow.llm.common import word_hashes
 from cdcflow.llm.encoder import Tokenizer
-from cdcflow.llm.packing import pack_documents, place, sequences
+from cdcflow.llm.packing import pack_documents, pack_pieces, place, sequences
 from cdcflow.llm.token_counts import CACHE_SCHEMA, token_counts
 
 ODD = ["a<|endoftext|>b c", "\x01 x\x01y \x01", "it's 12 a,b.c.. ", "é é ́x H̱ ΑΣ ΑΣ. İ", "x" * 300 + " " + "1" * 70, "\x1c a\x1db \x85  z 　", "a\x00b", "…—''s 'll", " \n\t ",
@@ -74,6 +74,25 @@ def test_packing_equals_the_library_and_has_no_gaps(spark, docs):
     assert pack_documents(docs([(None, None)] * 3), Tokenizer(spark, public_tokenizers.path("word_bpe_49k.json"))).select("sequence_id").distinct().count() == 1
 
 
+def test_several_shards_pack_every_piece_once_and_cost_less_than_a_sequence_each(spark):
+    rng = np.random.default_rng(4)
+    sizes = np.minimum(rng.geometric(0.05, 3000), 64)
+    pieces = spark.createDataFrame([(i, 0, 0, int(n), i) for i, n in enumerate(sizes)], "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")
+    made = {}
+    for shard in (100_000, 300):
+        rows = pack_pieces(pieces, 64, shard).collect()
+        assert sorted((r.doc_id, r.length) for r in rows) == [(i, int(n)) for i, n in enumerate(sizes)]
+        by = {}
+        for r in rows:
+            by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        for places in by.values():
+            places.sort()
+            assert places[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(places, places[1:], strict=False)) and sum(places[-1]) <= 64
+        made[shard] = len(by)
+    least = -(-int(sizes.sum()) // 64)
+    assert least <= made[100_000] <= least + 1 and made[300] <= made[100_000] + 10
+
+
 def test_each_place_makes_the_sum_of_squares_least():
     rng = np.random.default_rng(1)
     sizes = rng.integers(1, 41, 400)
