@@ -125,7 +125,8 @@ def cutoffs(counted: DataFrame, rules: Mapping[str, Rule] = RULES, prior: int =
     A group's sketch is the count of texts per bucket of a ratio, over texts that pass the base rule.
     Sketches merge by adding counts: map tasks add up their own rows, and the sketches of a language and
     of all texts are sums of their groups'.  Quartiles of n texts are mixed with the parent's, n squared to
-    ``prior`` squared, so that no verdict hangs on one text more or less.  Results do not depend on the order of merging.
+    ``prior`` squared, so that no verdict hangs on one text more or less; a table of few texts, which has no
+    parent, gets cutoffs wider by the same measure of their size.  Results do not depend on the order of merging.
     """
     counts = {c: F.col(f"quality_counts.{c}") for c in COUNTS}
     values = F.explode(F.array(*[F.struct(F.lit(n).alias("rule"), _bucket(_ratio(r, counts).cast("long")).alias("bucket")) for n, r in rules.items()]))
@@ -153,13 +154,15 @@ def cutoffs(counted: DataFrame, rules: Mapping[str, Rule] = RULES, prior: int =
             value = weight * F.col(f"s{k}.{name}") + (F.lit(1.0) - weight) * value
         return value
 
-    chosen = joined.select("lang", "source", "rule", *[mixed(n).alias(n) for n in marks])
+    whole = F.col("s0.total").cast("double") * F.col("s0.total").cast("double")
+    chosen = joined.select("lang", "source", "rule", *[mixed(n).alias(n) for n in marks], (F.lit(float(prior * prior)) / whole).alias("unsure"))
     columns = []
     for name, r in rules.items():
         reach = F.lit(float(r.reach)) * (F.col("q3") - F.col("q1"))
-        columns.append(F.max(F.when(F.col("rule") == name, F.floor(F.col("end") + reach))).alias(f"{name}_high"))
+        high, low = F.col("end") + reach + F.col("q3") * F.col("unsure"), F.col("q1") - reach - F.col("q1") * F.col("unsure")
+        columns.append(F.max(F.when(F.col("rule") == name, F.floor(high))).alias(f"{name}_high"))
         if r.low:
-            columns.append(F.max(F.when(F.col("rule") == name, F.floor(F.col("q1") - reach))).alias(f"{name}_low"))
+            columns.append(F.max(F.when(F.col("rule") == name, F.floor(low))).alias(f"{name}_low"))
     return chosen.groupBy("lang", "source").agg(*columns)
 
 

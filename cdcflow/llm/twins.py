@@ -27,14 +27,14 @@ h as (select 2 as level, lang, source, rule, bucket, count(*) as n from b group
 k as (select *, sum(n) over (partition by level, lang, source, rule order by bucket) as upto, sum(n) over (partition by level, lang, source, rule) as total from h),
 q as (select level, lang, source, rule, max(total)::double as total, min(case when 4 * upto >= total then bucket end) as q1, min(case when 4 * upto >= 3 * total then bucket end) as q3
       from k group by all),
-e as (select level, lang, source, rule, total * total / (total * total + 2500.0::double) as share, q1::double as q1, q3::double as q3,
+e as (select level, lang, source, rule, total * total / (total * total + 2500.0::double) as share, 2500.0::double / (total * total) as unsure, q1::double as q1, q3::double as q3,
              (q3 + (1 << greatest(length(bin(q3)) - 7, 0)) - 1)::double as top from q),
-m as (select a.lang, a.source, a.rule, a.share * a.q1 + (1.0::double - a.share) * (m.share * m.q1 + (1.0::double - m.share) * z.q1) as q1,
+m as (select a.lang, a.source, a.rule, z.unsure, a.share * a.q1 + (1.0::double - a.share) * (m.share * m.q1 + (1.0::double - m.share) * z.q1) as q1,
              a.share * a.q3 + (1.0::double - a.share) * (m.share * m.q3 + (1.0::double - m.share) * z.q3) as q3,
              a.share * a.top + (1.0::double - a.share) * (m.share * m.top + (1.0::double - m.share) * z.top) as top
       from (select * from e where level = 2) a join (select * from e where level = 1) m on a.lang is not distinct from m.lang and a.rule = m.rule
       join (select * from e where level = 0) z on a.rule = z.rule),
-p as (select lang, source, rule, cast(floor(top + 4.0::double * (q3 - q1)) as bigint) as high, cast(floor(q1 - 4.0::double * (q3 - q1)) as bigint) as low from m),
+p as (select lang, source, rule, cast(floor(top + 4.0::double * (q3 - q1) + q3 * unsure) as bigint) as high, cast(floor(q1 - 4.0::double * (q3 - q1) - q1 * unsure) as bigint) as low from m),
 o as (select lang, source, max(case when rule = 'word_length' then high end) as word_length_high, max(case when rule = 'word_length' then low end) as word_length_low,
              max(case when rule = 'symbols' then high end) as symbols_high, max(case when rule = 'dup_lines' then high end) as dup_lines_high,
              max(case when rule = 'repeats' then high end) as repeats_high
