@@ -32,7 +32,8 @@ def near_duplicate_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     groups = materialize(near_duplicates(rows.select(F.col("key").alias("doc_id"), "text"), Params(width=5)).select(F.col("doc_id").alias("key"), "component_id"), "groups")
     known = rows.select("key", "id").distinct().join(groups.distinct(), "key")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key"))["key"]
-    best = known.groupBy("component_id").agg(first.alias("best"))
+    best = known.groupBy("component_id").agg(first.alias("best"), F.count("*").alias("n")).where("n > 1")
+    best = materialize(best.drop("n"), "first-of-group")  # so that the join may split a group of very many rows
     gone = known.join(best, "component_id").where("key <> best").select(F.col("key").alias("_gone"))
     kept = docs.withColumn("_key", key).join(small(materialize(gone, "gone"), BROADCAST_IDS), F.col("_key") == F.col("_gone"), "left_anti")
     if groups.groupBy("key").count().where("count > 1").isEmpty():
