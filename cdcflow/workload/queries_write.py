@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cdcflow.operators.dirty import LINE_SEPARATOR
 from cdcflow.operators.filters import filter_blank
 from cdcflow.operators.records import decode_messages
 from cdcflow.operators.txn import committed_changes
@@ -260,3 +261,25 @@ def _stream_files(spark, sf_dir):
     return spark.read.parquet(out).select(
         "topic", "offset", F.col("event.event_id").cast("long").alias("event_id"), F.col("event.message").alias("message")
     )
+
+
+@query(
+    "job_dirty_columns",
+    """select event_id, case when event_id % 10 = 3 then 'dirty' else 'good' end side, case when event_id % 10 <> 3 then event_id * 2 end n,
+        case when event_id % 10 = 3 then 'x' || event_id end refused from events""",
+)
+def _dirty_columns(spark, sf_dir):
+    """A job whose declared type does not fit every text: what it lands, and what it puts aside."""
+    number = F.when(F.col("event_id") % 10 == 3, F.concat(F.lit("x"), F.col("event_id").cast("string"))).otherwise((F.col("event_id") * 2).cast("string"))
+    source, out, dirty = (scratch_path(spark, x) for x in ("events-in", "landed", "dirty"))
+    X.events(spark, sf_dir).select("event_id", number.alias("n")).write.parquet(source)
+    job = SyncJob(
+        {"name": "filereader", "parameter": {"path": source, "column": ["event_id", {"name": "n", "type": "BIGINT"}]}},
+        {"name": "filewriter", "parameter": {"path": out}}, {"errorLimit": {"record": -1, "percentage": 10.0}, "dirty": {"path": dirty}},
+    )
+    job.run(spark)
+    good = spark.read.parquet(out).select("event_id", F.lit("good").alias("side"), "n", F.lit(None).cast("string").alias("refused"))
+    line = F.split("value", LINE_SEPARATOR)
+    text = F.regexp_extract(line[2], r"can't read as BIGINT: (x\d+)", 1)
+    put_aside = spark.read.text(dirty).select(F.get_json_object(line[0], "$.event_id").cast("long").alias("event_id"), F.lit("dirty").alias("side"), F.lit(None).cast("long").alias("n"), text.alias("refused"))
+    return good.unionByName(put_aside)
