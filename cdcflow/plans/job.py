@@ -39,7 +39,7 @@ from cdcflow.streaming.steps import Step, pg9_step, pg_step, redo_rows, redo_ste
 
 MASK = "******"
 #: Writers that fold each batch into one table, whose ledger knows the batches it holds.
-VERSIONED = ("applywriter", "tablewriter")
+VERSIONED = ("applywriter", "tablewriter", "logminerwriter")
 UNLIMITED_BYTES = 2**63 - 1
 
 Reader = Callable[[SparkSession, Mapping[str, Any], "SyncJob"], DataFrame]
@@ -357,7 +357,7 @@ def _redo_result(rows: DataFrame, p: Mapping[str, Any]) -> DataFrame:
 def saved_position(spark: SparkSession, job: SyncJob) -> int | None:
     """How far the job has come: from the manifest of the table it writes, or from its saved positions."""
     p = job.writer["parameter"]
-    if job.writer["name"].lower() in VERSIONED:
+    if job.writer["name"].lower() in VERSIONED and p.get("path"):
         held = BucketTable(spark, p["path"]).manifest()
         return None if held is None else held.positions.get(job.name)
     try:
@@ -429,8 +429,15 @@ def _redo_writer(df: DataFrame, p: Mapping[str, Any], job: SyncJob) -> None:
     """Statements to a staging table with a batch id and their order.
 
     The database replays a batch by (commit_scn, scn, seq) in its own transaction and marks the batch as
-    done, so a batch that is staged again is passed over.
+    done, so a batch that is staged again is passed over.  With a ``path`` the stage is a bucketed table of
+    files instead, whose ledger passes over a batch that it holds.
     """
+    if p.get("path"):
+        rows = statement_rows(df).withColumn("batch_id", F.lit(int(p.get("batchId", 0))).cast("bigint"))
+        empty = df.sparkSession.createDataFrame([], rows.schema)
+        stage = BucketTable(df.sparkSession, p["path"], empty, ["commit_scn"], int(p.get("buckets", DEFAULT_BUCKETS)))
+        stage.commit(added=rows, **_commit_as(job, p, None))
+        return
     target = Connection(p["url"], p.get("stagingTable", "REDO_STAGE"), p.get("username"), p.get("password"), p.get("driver"))
     statement_rows(df).withColumn("batch_id", F.lit(int(p.get("batchId", 0))).cast("bigint")).write.mode("append").option("batchsize", int(p.get("batchsize", 1))).jdbc(
         target.url, target.qualified, properties=target.properties()

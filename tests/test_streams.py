@@ -278,3 +278,19 @@ def test_reader_channels_and_rebalance(spark):
     reader = {"name": "streamreader", "parameter": {"column": [{"type": "id"}], "sliceRecordCount": [4]}}
     _job(reader, {"name": "taken-too", "parameter": {}}, speed={"channel": 1, "readerChannel": 3}).run(spark)
     assert len(taken) == 12
+
+
+def test_staged_statements_land_once_and_replay_in_order(spark):
+    """Two runs of each batch, statements of one SCN among them: the stage holds each once, its order is total."""
+    from cdcflow.sinks.tables import read_version
+
+    path = scratch_path(spark, "stage")
+    writer = {"name": "logminerwriter", "parameter": {"path": path, "buckets": 3}}
+    job = _job({"name": "logminerreader", "parameter": {"path": "-"}}, writer)
+    columns = "COMMIT_SCN long, SCN long, SEQ long, SQL_REDO string"
+    batches = [[(7, 5, 2, "b"), (7, 5, 1, "a"), (7, 6, 1, "c")], [(9, 8, 1, "d"), (9, 8, 2, "e"), (9, 8, 3, None)]]
+    for number, rows in enumerate(batches):
+        for _ in range(2):
+            job._land(spark.createDataFrame(rows, columns), {**writer["parameter"], "batchId": number})
+    staged = read_version(spark, path)
+    assert [(r.batch_id, r.sql_redo) for r in staged.orderBy("commit_scn", "scn", "seq").collect()] == [(0, "a"), (0, "b"), (0, "c"), (1, "d"), (1, "e")]
