@@ -19,7 +19,7 @@ from cdcflow.operators.dirty import ERRORS, judge_counts, staged_split, write_di
 from cdcflow.operators.filters import filter_blank, filter_category, filter_empty_events, filter_tables
 from cdcflow.operators.envelope import envelope
 from cdcflow.operators.metrics import rows_per_trigger
-from cdcflow.operators.offsets import incremental_scan, load_offsets, offset_rows, save_offsets
+from cdcflow.operators.offsets import incremental_scan, load_offsets, save_offsets
 from cdcflow.operators.pg9 import pg9_events
 from cdcflow.operators.pgoutput import messages_since, pg_events
 from cdcflow.operators.positions import plan_slices
