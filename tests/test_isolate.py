@@ -26,17 +26,17 @@ def _sink(refuse):
     return write, landed, tries
 
 
-@pytest.mark.parametrize("bad", [set(), {0}, {63}, {5, 6, 40}])
+@pytest.mark.parametrize("bad", [set(), {15}, {5, 6, 11}])
 def test_good_rows_land_once_and_bad_ones_come_back(spark, bad):
     write, landed, tries = _sink(lambda i: i in bad)
-    found = write_isolating(spark.range(64).repartition(3), write)
-    assert sorted(landed) == [i for i in range(64) if i not in bad]
+    found = write_isolating(spark.range(16).repartition(3), write)
+    assert sorted(landed) == [i for i in range(16) if i not in bad]
     if not bad:
         assert found is None and set(tries.values()) == {1}
         return
     rows = found.collect()
     assert {r.id for r in rows} == bad and all(r[ERRORS][0]["type"] == "duplicate" and "Duplicate" in r[ERRORS][0]["msg"] for r in rows)
-    assert max(tries.values()) <= math.log2(64) + 3
+    assert max(tries.values()) <= math.log2(16) + 3
 
 
 def test_repeated_rows_and_limits(spark):
@@ -59,6 +59,6 @@ def test_a_table_takes_the_good_rows(spark):
 
         table.commit(added=df, check=check)
 
-    bad = write_isolating(spark.range(30).withColumn("v", F.lit("y")), write)
-    assert sorted(r.id for r in bad.collect()) == [3, 13, 23]
-    assert sorted(r.id for r in table.read().collect()) == [i for i in range(30) if i % 10 != 3]
+    bad = write_isolating(spark.range(12).withColumn("v", F.lit("y")), write)
+    assert sorted(r.id for r in bad.collect()) == [3]
+    assert sorted(r.id for r in table.read().collect()) == [i for i in range(12) if i != 3]
