@@ -21,6 +21,8 @@ OPERATION_CODES = (1, 2, 3, 5)
 IGNORED_USERS = ("UNKNOWNX", "SYS", "KMINER")
 INTERNAL_DDL = "INTERNAL DDL"
 TEMPORARY_TABLES = "temporary tables"
+#: Pieces of a statement that are joined in a first step.
+PIECES_AT_ONCE = 64
 # The marks around the statement in a printed map.
 MAP_BEGIN, MAP_END = "SQL_REDO=", ", OPERATION"
 
@@ -68,11 +70,14 @@ def stitch_redo(
 ) -> DataFrame:
     """Join the pieces of a statement: a row with CSF=1 goes on in the next row of its record.
 
-    Only the pieces of one statement are gathered.  A record is normally a few rows; slices keep a
-    log whose rows mostly share one record from ending on one task.
+    Only the pieces of one statement are gathered, ``PIECES_AT_ONCE`` and then those texts, so a
+    statement of very many pieces is not copied once per piece.  Columns stay columns: what nobody reads
+    is neither shuffled nor sorted.  A record is normally a few rows; slices keep a log whose rows
+    mostly share one record from ending on one task.
     """
+    finest = [*reversed(keys)]
     if slices.single:
-        w = Window.partitionBy(*keys).orderBy(pos)
+        w = Window.partitionBy(*finest).orderBy(pos)
         first = F.when(F.lag("csf", 1, 0).over(w) == 1, 0).otherwise(1)
         numbered = rows.withColumn("_starts", first).withColumn("_stmt", F.sum("_starts").over(w))
     else:
@@ -82,15 +87,21 @@ def stitch_redo(
         marked = materialize(piece_before.withColumn("_starts", first).drop("_before"), "redo-pieces")
         numbered = running(marked, keys, pos, {"_stmt": F.col("_starts")}, slices=slices)
     rest = [c for c in rows.columns if c not in (*keys, pos, "sql_redo", "csf")]
-    # Only the first piece brings the other columns along.
-    facts = F.when(F.col("_starts") == 1, F.struct(*rest)) if rest else F.lit(None)
-    piece = F.struct(F.col(pos).alias("p"), F.col("sql_redo").alias("s"), facts.alias("r"))
-    whole = numbered.groupBy(*keys, "_stmt").agg(F.array_sort(F.collect_list(piece)).alias("_pieces"))
-    text = F.when(F.size("_pieces") == 1, F.col("_pieces")[0]["s"]).otherwise(
-        F.array_join(F.transform("_pieces", lambda p: p["s"]), "")
-    )
-    joined = whole.select(*keys, F.col("_pieces")[0].alias("_first"), text.alias("sql_redo"))
-    return joined.select(*keys, F.col("_first.p").alias(pos), "sql_redo", *[F.col(f"_first.r.{c}").alias(c) for c in rest])
+    inside = Window.partitionBy(*finest, "_stmt").orderBy(pos, "sql_redo", "_starts")
+    some = inside.rowsBetween(0, PIECES_AT_ONCE - 1)
+    heads = numbered.withColumns(
+        {
+            "_place": F.row_number().over(inside) - 1,
+            "_ahead": F.count(F.lit(1)).over(some),
+            "_text": F.array_join(F.collect_list("sql_redo").over(some), ""),
+        }
+    ).where(F.col("_place") % PIECES_AT_ONCE == 0)
+    every = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    firsts = heads.withColumn("_text", F.array_join(F.collect_list("_text").over(every), "")).where("_place = 0")
+    text = F.when(F.col("_ahead") == 1, F.col("sql_redo")).otherwise(F.col("_text"))
+    # Only the piece that starts the statement brings the other columns along.
+    facts = [F.when(F.col("_starts") == 1, F.col(c)).alias(c) for c in rest]
+    return firsts.select(*keys, pos, text.alias("sql_redo"), *facts)
 
 
 # The log writes one fixed form of SQL.  A value is a quoted text (quotes doubled inside), a call,

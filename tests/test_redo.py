@@ -146,3 +146,13 @@ def test_typed_images_split_bad_values(spark):
 )
 def test_spark_types_of_dictionary(args, want):
     assert spark_type(*args) == want
+
+
+def test_statements_of_many_pieces_and_only_the_columns_asked_for(spark):
+    rows = [("s", "x", "long", i, f"{i},", int(i < 199), f"t{i}") for i in range(200)] + [("s", "x", "none", 500, None, 0, "n"), ("s", "x", "two", 501, None, 1, "a"), ("s", "x", "two", 502, "b", 0, "c")]
+    df = spark.createDataFrame(rows, "source string, xid string, rs_id string, pos long, sql_redo string, csf int, tbl string").repartition(3)
+    whole = stitch_redo(df)
+    got = {r.pos: (r.sql_redo, r.tbl) for r in whole.collect()}
+    assert got == {0: ("".join(f"{i}," for i in range(200)), "t0"), 500: (None, "n"), 501: ("b", "a")}
+    plan = whole.select("pos", "tbl")._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "Aggregate" not in plan
