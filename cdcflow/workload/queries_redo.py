@@ -8,6 +8,7 @@ from cdcflow.operators.dictionary import typed_changes
 from cdcflow.operators.positions import plan_slices
 from cdcflow.operators.redo import drop_internal, mined_rows, redo_images, redo_since, redo_statements
 from cdcflow.operators.txn import committed_changes, log_gaps, remove_rollback_pairs, resume_after
+from cdcflow.session import materialize
 from cdcflow.workload.changelog import LOG_SQL
 from cdcflow.workload.redolog import REDO_SQL, redo_log, redo_pieces
 from cdcflow.workload.registry import query
@@ -81,10 +82,13 @@ def _redo_images(spark, sf_dir):
 
 
 def _changes(spark, sf_dir):
-    """Committed changes with images, as read from the log's SQL."""
-    rows = _statements(spark, sf_dir).withColumn("op", F.lower("operation"))
-    committed = committed_changes(rows.drop("commit_scn"), slices=plan_slices(redo_log(spark, sf_dir), "scn", ["source", "xidsqn"]))
-    return committed.where(F.col("op") != "ddl")
+    """Committed changes as stitched from the log, with what tells undone ones apart."""
+    slices = plan_slices(redo_log(spark, sf_dir), "scn", ["source", "xidsqn"])
+    rows = _statements(spark, sf_dir).withColumn("op", F.lower("operation")).select("source", "xid", "scn", "op", "table_name", "row_id", "rollback")
+    if not slices.single:
+        # Sliced assembly reads its input twice; store it rather than stitch twice.
+        rows = materialize(rows, "redo-statements")
+    return committed_changes(rows, slices=slices).where(F.col("op") != "ddl")
 
 
 # Boundaries of SYS sessions are not mined, so their work joins the next boundary of the same xid.

@@ -98,3 +98,18 @@ def test_log_gaps(spark):
     rows = [("a", 1, s) for s in (1, 2, 2, 3, 6, 7)] + [("a", 2, 5), ("a", 2, 6), ("b", 1, 13), ("b", 1, 14)]
     df = spark.createDataFrame(rows, "source string, thread int, sequence long")
     assert [tuple(r) for r in log_gaps(df).select("source", "thread", "sequence", "missing").collect()] == [("a", 1, 6, 2)]
+
+
+def test_sliced_assembly_does_not_stitch_twice(spark, monkeypatch):
+    from cdcflow.operators import positions
+    from cdcflow.workload import queries_redo
+
+    stored = []
+    monkeypatch.setattr(queries_redo, "materialize", lambda df, label: stored.append((label, df.columns)) or df)
+    sf = "/root/testdata/sf0.001"
+    whole = queries_redo._changes(spark, sf).count()
+    assert not stored
+    monkeypatch.setattr(positions, "GROUP_LIMIT", 0)
+    monkeypatch.setattr(positions, "ROWS_PER_SLICE", 500)
+    assert queries_redo._changes(spark, sf).count() == whole > 0
+    assert [label for label, _ in stored] == ["redo-statements"] and "sql_redo" not in stored[0][1]
