@@ -294,3 +294,63 @@ def test_staged_statements_land_once_and_replay_in_order(spark):
             job._land(spark.createDataFrame(rows, columns), {**writer["parameter"], "batchId": number})
     staged = read_version(spark, path)
     assert [(r.batch_id, r.sql_redo) for r in staged.orderBy("commit_scn", "scn", "seq").collect()] == [(0, "a"), (0, "b"), (0, "c"), (1, "d"), (1, "e")]
+
+
+class _List:
+    def __init__(self):
+        self.rows, self.written = [], 0
+
+    def exists(self):
+        return bool(self.rows)
+
+    def get(self):
+        return iter(list(self.rows))
+
+    def appendList(self, rows):
+        self.rows += rows
+        self.written += len(rows)
+
+    def clear(self):
+        self.rows = []
+
+
+class _Value:
+    def __init__(self):
+        self.value = None
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+
+class _Handle:
+    def getListState(self, name, schema):
+        return _List()
+
+    def getValueState(self, name, schema):
+        return _Value()
+
+
+@pytest.mark.parametrize("held", [3, 10_000])
+def test_changes_that_end_in_their_batch_never_reach_the_state(held, monkeypatch):
+    import pandas as pd
+    from pyspark.sql.types import LongType, StringType, StructType
+
+    from cdcflow.streaming import txn_state
+
+    monkeypatch.setattr(txn_state, "HELD_ROWS", held, raising=False)
+    schema = StructType().add("op", StringType()).add("scn", LongType())
+    buffer = txn_state.TransactionBuffer(schema, ("scn",), None)
+    buffer.init(_Handle())
+    rows = [("insert", i) for i in range(20)] + [("commit", 20)] + [("update", i) for i in range(21, 27)]
+    frames = [pd.DataFrame(rows[i::4], columns=schema.names) for i in range(4)]
+    done = [r for f in buffer.handleInputRows(("s", "x"), iter(frames), None) for r in zip(f["scn"], f["commit_scn"])]
+    assert sorted(done) == [(i, 20) for i in range(20)]
+    assert sum(x.written for x in buffer.lists) == 6
+    done = [r for f in buffer.handleInputRows(("s", "x"), iter([pd.DataFrame([("commit", 30)], columns=schema.names)]), None) for r in zip(f["scn"], f["commit_scn"])]
+    assert sorted(done) == [(i, 30) for i in range(21, 27)] and not any(x.exists() for x in buffer.lists)
