@@ -19,6 +19,7 @@ from cdcflow.operators.dirty import ERROR_TYPE, ERRORS, problem
 from cdcflow.operators.envelope import images
 from cdcflow.operators.filters import filter_category, filter_tables
 from cdcflow.operators.positions import WHOLE, Mark, Slices, carry, carry_all
+from cdcflow.session import materialize
 
 # Message tags, and the epoch of the log clock (2000-01-01 UTC) in milliseconds.
 KINDS = {
@@ -27,6 +28,8 @@ KINDS = {
 }
 LOG_EPOCH_MILLIS = 946_684_800_000
 ROW_KINDS = ("insert", "update", "delete")
+#: Definitions that every task may hold; more are joined by a shuffle.
+HELD_DEFINITIONS = 20_000
 
 
 def big_endian(col: Column, start: int, width: int) -> Column:
@@ -117,6 +120,17 @@ def relation_columns(rels: DataFrame, type_names: DataFrame | None = None) -> Da
     return cols if type_names is None else cols.join(type_names.select("oid", "type"), "oid", "left")
 
 
+def _defined(placed: DataFrame, rels: DataFrame) -> DataFrame:
+    """Rows with the definition at their ``rel_pos``.
+
+    A log has few definitions, so a shuffle by them would end on as many tasks.  They are stored and
+    counted first, and held by every task unless they are very many.
+    """
+    stored = materialize(rels, "definitions")
+    few = stored.count() <= HELD_DEFINITIONS
+    return placed.join(F.broadcast(stored) if few else stored, ["slot", "rel_id", "rel_pos"], "left")
+
+
 def with_relation(tagged: DataFrame, rels: DataFrame | None = None, *, slices: Slices = WHOLE) -> DataFrame:
     """Add to each row change the table definition in force at its position.
 
@@ -128,7 +142,7 @@ def with_relation(tagged: DataFrame, rels: DataFrame | None = None, *, slices: S
     placed = carry(
         keyed, ["slot", "rel_id"], "pos", F.col("pos"), F.col("kind") == "relation", "rel_pos", slices=slices
     ).where(F.col("kind").isin(*ROW_KINDS))
-    return placed.join(rels, ["slot", "rel_id", "rel_pos"], "left")
+    return _defined(placed, rels)
 
 
 _TUPLES = T.StructType(
@@ -215,7 +229,7 @@ def _placed_rows(tagged: DataFrame, cat: str, slices: Slices) -> DataFrame:
         },
         slices=slices,
     ).select(*slim.columns, "_txn.lsn", "_txn.ts", "_txn.xid", "rel_pos")
-    return placed.where(kind.isin(*useful)).join(relations(tagged), ["slot", "rel_id", "rel_pos"], "left")
+    return _defined(placed.where(kind.isin(*useful)), relations(tagged))
 
 
 def pg_changes(

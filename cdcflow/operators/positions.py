@@ -19,6 +19,8 @@ ROWS_PER_SLICE = 64_000
 GROUP_LIMIT = 250_000
 COARSE_CUTS = 64
 SKETCH_ITEMS = 10_000
+#: Slices that one task handles, on average: its memory is theirs, whatever the size of the log.
+SLICES_PER_TASK = 2
 
 SLICE = "_slice"
 
@@ -34,6 +36,11 @@ class Slices:
     def single(self) -> bool:
         return len(self.bounds) <= 2 and self.fine == 1
 
+    @property
+    def tasks(self) -> int:
+        """Partitions that rows dealt by key and slice go to."""
+        return max(1, -(-(len(self.bounds) - 1) * self.fine // SLICES_PER_TASK))
+
     def of(self, pos: Column) -> Column:
         """Slice number of a position; non-decreasing in the position."""
         if self.single:
@@ -160,7 +167,8 @@ def carry_all(
     """``carry`` for several values at once.
 
     Rows are shuffled once, by the common keys and the slice; a value with further keys sorts
-    within that partitioning.
+    within that partitioning.  Sliced rows go to a number of tasks that grows with the log.  The
+    sorts look at the finest key first, since they compare by the head of the first column.
     """
     order = [F.col(c).desc() if backward else F.col(c).asc() for c in (pos, *ties)]
     until = -1 if strict else Window.currentRow
@@ -170,10 +178,10 @@ def carry_all(
     if not slices.single:
         df = df.withColumn(SLICE, slices.of(F.col(pos)))
         parts = [_edges(df, [*keys, *m.keys], pos, f"_mark_{n}", backward, ties) for n, m in marks.items()]
-        df = _with_edges(df, parts)
         group, lead = [*keys, SLICE], [F.col("_own")]
+        df = _with_edges(df, parts).repartition(slices.tasks, *group)
     for n, m in marks.items():
-        w = Window.partitionBy(*group, *m.keys).orderBy(*lead, *order).rowsBetween(Window.unboundedPreceding, until)
+        w = Window.partitionBy(*reversed([*group, *m.keys])).orderBy(*lead, *order).rowsBetween(Window.unboundedPreceding, until)
         df = df.withColumn(n, F.last(f"_mark_{n}", ignorenulls=True).over(w))
     return (df if slices.single else df.where("_own")).select(*kept, *marks)
 
@@ -211,7 +219,7 @@ def running(
         return {n: total(f"_amt_{n}").over(window.rowsBetween(Window.unboundedPreceding, 0)) for n in names}
 
     if slices.single:
-        return df.withColumns(sums(Window.partitionBy(*keys).orderBy(pos, *ties))).select(*kept, *names)
+        return df.withColumns(sums(Window.partitionBy(*reversed(keys)).orderBy(pos, *ties))).select(*kept, *names)
     df = df.withColumn(SLICE, slices.of(F.col(pos)))
     far = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     edges = (
@@ -220,8 +228,8 @@ def running(
         .withColumns({f"_amt_{n}": total(f"_amt_{n}").over(far) for n in names})
         .where(F.col(f"_amt_{names[0]}").isNotNull())
     )
-    both = _with_edges(df, [edges])
-    near = Window.partitionBy(*keys, SLICE).orderBy("_own", pos, *ties)
+    both = _with_edges(df, [edges]).repartition(slices.tasks, *keys, SLICE)
+    near = Window.partitionBy(SLICE, *reversed(keys)).orderBy("_own", pos, *ties)
     return both.withColumns(sums(near)).where("_own").select(*kept, *names)
 
 

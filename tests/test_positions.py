@@ -111,3 +111,11 @@ def test_snowflake_matches_sequential_worker(spark):
             want[event] = at << 22 | 3 << 17 | worker << 12 | seq
         assert got == want
     assert len(set(got.values())) == len(rows)
+
+
+def test_tasks_of_a_sliced_log_grow_with_it(spark):
+    df = spark.range(100).select(F.lit("k").alias("key"), F.col("id").alias("pos"))
+    for fine in (40, 400):
+        cut = Slices((0, 50, 100), fine)
+        for out in (running(df, ["key"], "pos", {"n": F.lit(1)}, slices=cut), carry(df, ["key"], "pos", F.col("pos"), F.col("pos") % 7 == 0, "last", slices=cut)):
+            assert f", {fine}), REPARTITION_BY_NUM" in out._jdf.queryExecution().executedPlan().toString()

@@ -255,3 +255,21 @@ def test_captured_job_resumes_with_its_context_and_counts_dirty_rows(spark):
     with pytest.raises(ErrorLimitExceeded):
         job(scratch_path(spark, "out"))
     job(scratch_path(spark, "out"), errorLimit={"record": 1})
+
+
+def test_rows_are_not_dealt_by_their_definition(spark, monkeypatch):
+    from cdcflow.operators import pgoutput
+    from cdcflow.workload.wirelog import pg_messages
+
+    log = pg_messages(spark, "/root/testdata/sf0.001")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        held = pgoutput.pg_changes(log)
+        plan = held._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        monkeypatch.setattr(pgoutput, "HELD_DEFINITIONS", 0, raising=False)
+        joined = pgoutput.pg_changes(log)
+        shown = [sorted((r.pos, r.table, str(r.after)) for r in x.select("pos", "table", "after").collect()) for x in (held, joined)]
+        assert shown[0] == shown[1] and len(shown[0]) > 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
