@@ -15,9 +15,10 @@ from pyspark.sql.types import StructType
 
 from cdcflow.operators.pg9 import pg9_events
 from cdcflow.operators.pgoutput import context_messages, pg_events
-from cdcflow.operators.positions import carry, plan_slices
+from cdcflow.operators.positions import WHOLE, carry, plan_slices
 from cdcflow.operators.redo import drop_internal, mined_rows, redo_statements
 from cdcflow.operators.txn import BOUNDARY, DML, RANK, TXN_KEYS, committed_changes, txn_ties, with_rank
+from cdcflow.session import materialize
 from cdcflow.sinks.tables import drop_folder, numbered_folders
 
 Step = Callable[[DataFrame, int], DataFrame]
@@ -28,8 +29,8 @@ KEPT_CONTEXTS = 2
 class Context:
     """Rows that one batch leaves for the next, in a folder per batch."""
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    def __init__(self, spark: SparkSession, path: str, kept: int = KEPT_CONTEXTS):
+        self.spark, self.path, self.kept = spark, path, kept
 
     def before(self, batch_id: int, schema: StructType) -> DataFrame | None:
         """What the last batch before this one left."""
@@ -38,9 +39,14 @@ class Context:
 
     def keep(self, rows: DataFrame, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
-        for old in numbered_folders(self.spark, self.path, "batch")[:-KEPT_CONTEXTS]:
+        for old in numbered_folders(self.spark, self.path, "batch")[: -self.kept]:
             drop_folder(self.spark, f"{self.path}/batch={old}")
 
+    def stored(self, rows: DataFrame, batch_id: int) -> DataFrame:
+        """The rows as written once, for a batch that several passes read."""
+        self.keep(rows, batch_id)
+        return self.spark.read.schema(rows.schema).parquet(f"{self.path}/batch={batch_id}")
+
 
 def _joined(batch: DataFrame, context: Context, batch_id: int) -> DataFrame:
     earlier = context.before(batch_id, batch.schema)
@@ -70,14 +76,20 @@ def pg9_step(path: str, cat: str = "insert,update,delete", tables: Sequence[str]
     return message_step(pg9_events, path, cat, tables)
 
 
-def redo_rows(rows: DataFrame, mode: str = "committed") -> DataFrame:
-    """Whole statements of committed transactions (``raw``: of all), from mined rows or their pieces."""
+def redo_rows(rows: DataFrame, mode: str = "committed", store: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Whole statements of committed transactions (``raw``: of all), from mined rows or their pieces.
+
+    Statements are stored once, since their slices are planned before they are read; ``store`` says where.
+    """
+    store = store or (lambda whole: materialize(whole, "redo-statements"))
     if "csf" in rows.columns:
         rows = redo_statements(rows, slices=plan_slices(rows, "pos", ["source", "rs_id"]))
     else:
         rows = drop_internal(rows)
     rows = rows.drop("commit_scn").withColumn("op", F.lower("operation"))
-    rows = committed_changes(rows, mode=mode, slices=plan_slices(rows, "scn", TXN_KEYS))
+    if mode != "raw":
+        rows = store(rows)
+    rows = committed_changes(rows, mode=mode, slices=WHOLE if mode == "raw" else plan_slices(rows, "scn", TXN_KEYS))
     return rows.where(F.col("sql_redo").isNotNull())
 
 
@@ -100,15 +112,19 @@ def open_rows(rows: DataFrame, mode: str = "committed") -> DataFrame:
 
 
 def redo_step(path: str, since: int, white: Sequence[str], black: Sequence[str] = (), mode: str = "committed") -> Step:
-    """Mined rows of a batch as whole statements; open transactions and unfinished statements wait for the next batch."""
+    """Mined rows of a batch as whole statements; open transactions and unfinished statements wait for the next batch.
+
+    The source is read once per batch: its mined rows are stored, and so are the statements made of them.
+    """
 
     def step(batch: DataFrame, batch_id: int) -> DataFrame:
-        context = Context(batch.sparkSession, path)
-        rows = _joined(mined_rows(batch, since, white, black), context, batch_id)
+        spark = batch.sparkSession
+        context, mined, whole = Context(spark, path), Context(spark, f"{path}/mined", 1), Context(spark, f"{path}/statements", 1)
+        rows = mined.stored(_joined(mined_rows(batch, since, white, black), context, batch_id), batch_id)
         waiting = open_rows(rows, mode)
         context.keep(waiting, batch_id)
         if mode == "raw" and "csf" in rows.columns:
             rows = rows.join(context.before(batch_id + 1, rows.schema).select("source", "xid", "rs_id").distinct(), ["source", "xid", "rs_id"], "left_anti")
-        return redo_rows(rows, mode)
+        return redo_rows(rows, mode, lambda statements: whole.stored(statements, batch_id))
 
     return step

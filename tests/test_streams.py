@@ -354,3 +354,24 @@ def test_changes_that_end_in_their_batch_never_reach_the_state(held, monkeypatch
     assert sum(x.written for x in buffer.lists) == 6
     done = [r for f in buffer.handleInputRows(("s", "x"), iter([pd.DataFrame([("commit", 30)], columns=schema.names)]), None) for r in zip(f["scn"], f["commit_scn"])]
     assert sorted(done) == [(i, 30) for i in range(21, 27)] and not any(x.exists() for x in buffer.lists)
+
+
+def test_a_redo_batch_is_read_once(spark):
+    from cdcflow.streaming.steps import redo_step
+    from cdcflow.workload.redolog import redo_pieces
+
+    pieces = redo_pieces(spark, SF)
+    total, path, seen = pieces.count(), scratch_path(spark, "state"), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    found = 0
+    step = redo_step(path, -1, ["SALES.*"])
+    middle = pieces.approxQuantile("pos", [0.5], 0.01)[0]
+    for batch, part in enumerate((pieces.where(F.col("pos") <= middle), pieces.where(F.col("pos") > middle))):
+        found += step(part.mapInArrow(counted, part.schema), batch).count()
+    assert seen.value == total and found > 0
+    assert sorted(os.listdir(f"{path.removeprefix('file:')}/mined")) == ["batch=1"]
