@@ -41,6 +41,8 @@ MASK = "******"
 #: Writers that fold each batch into one table, whose ledger knows the batches it holds.
 VERSIONED = ("applywriter", "tablewriter", "logminerwriter")
 UNLIMITED_BYTES = 2**63 - 1
+#: What a redo record is made of, where the log has it.
+REDO_COLUMNS = ("scn", "seq", "pos", "seg_owner", "table_name", "timestamp", "sql_redo", "operation")
 
 Reader = Callable[[SparkSession, Mapping[str, Any], "SyncJob"], DataFrame]
 Writer = Callable[[DataFrame, Mapping[str, Any], "SyncJob"], None]
@@ -337,7 +339,7 @@ def _redo_reader(spark: SparkSession, p: Mapping[str, Any], job: SyncJob) -> Dat
 
 def _redo_steps(job: SyncJob, path: str) -> Step:
     p = job.reader["parameter"]
-    step = redo_step(path, int(p.get("scn") or 0), p["whiteList"], p.get("blackList") or [], p.get("mode", "committed"))
+    step = redo_step(path, int(p.get("scn") or 0), p["whiteList"], p.get("blackList") or [], p.get("mode", "committed"), REDO_COLUMNS)
     return lambda batch, batch_id: _redo_result(step(batch, batch_id), p)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cdcflow.operators.metrics import row_bytes
+from cdcflow.session import settings
 
 
 def rows_per_file(df: DataFrame, max_file_bytes: int, bytes_per_row: float | None = None) -> int:
@@ -42,7 +43,8 @@ def file_sink(
         out = out.option("maxRecordsPerFile", rows_per_file(df, max_file_bytes, bytes_per_row))
     if partition_by:
         out = out.partitionBy(*partition_by)
-    out.save(path)
+    with settings(df.sparkSession):
+        out.save(path)
 
 
 def print_rows(df: DataFrame, delimiter: str = "|") -> int:

@@ -21,9 +21,13 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStrea
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from cdcflow.session import RELEASED, settings
+
 FORMAT = "positionlog"
 #: Rows that one task reads, about; row groups are never cut.
 PARTITION_ROWS = 1_000_000
+#: Keys whose files a task writes side by side; rows of further ones are sorted first, on disk if they are many.
+OPEN_FILES = 8
 # Fixed value: the folder name of rows whose key is NULL.
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
@@ -197,7 +201,8 @@ class PositionLog(DataSource):
 
 def write_position_log(rows: DataFrame, path: str, key: str = "slot") -> None:
     """Append rows to a log in the layout that the source reads."""
-    rows.write.mode("append").partitionBy(key).parquet(path)
+    with settings(rows.sparkSession, RELEASED | {"spark.sql.maxConcurrentOutputFileWriters": str(OPEN_FILES)}):
+        rows.write.mode("append").partitionBy(key).parquet(path, compression="zstd")
 
 
 def position_log(

@@ -15,15 +15,20 @@ from pyspark.sql.types import StructType
 
 from cdcflow.operators.pg9 import pg9_events
 from cdcflow.operators.pgoutput import context_messages, pg_events
-from cdcflow.operators.positions import WHOLE, carry, plan_slices
+from cdcflow.operators.positions import ROWS_PER_SLICE, SLICES_PER_TASK, WHOLE, plan_slices
 from cdcflow.operators.redo import drop_internal, mined_rows, redo_statements
-from cdcflow.operators.txn import BOUNDARY, DML, RANK, TXN_KEYS, committed_changes, txn_ties, with_rank
-from cdcflow.session import materialize
+from cdcflow.operators.txn import BOUNDARY, DML, TXN_KEYS, committed_changes, txn_ties, with_rank
+from cdcflow.session import materialize, settings
 from cdcflow.sinks.tables import drop_folder, numbered_folders
 
 Step = Callable[[DataFrame, int], DataFrame]
 #: Batches whose context is kept: the last one's, and the one before for a batch that is run again.
 KEPT_CONTEXTS = 2
+#: Open transactions that may be broadcast to the rows of a batch; beyond, the same join shuffles.
+HELD_OPEN = 20_000
+PIECES_PER_TASK = ROWS_PER_SLICE * SLICES_PER_TASK
+#: What pieces are stitched by, statements judged by and transactions assembled by.
+REDO_FACTS = ("source", "xid", "rs_id", "pos", "csf", "scn", "seq", "operation", "info", "sql_redo")
 
 
 class Context:
@@ -38,12 +43,16 @@ class Context:
         return self.spark.read.schema(schema).parquet(f"{self.path}/batch={known[-1]}") if known else None
 
     def keep(self, rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+        with settings(self.spark):
+            rows.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}", compression="zstd")
         for old in numbered_folders(self.spark, self.path, "batch")[: -self.kept]:
             drop_folder(self.spark, f"{self.path}/batch={old}")
 
     def stored(self, rows: DataFrame, batch_id: int) -> DataFrame:
-        """The rows as written once, for a batch that several passes read."""
+        """The rows as written once, for a batch that several passes read; those of the batch before go first."""
+        for old in numbered_folders(self.spark, self.path, "batch"):
+            if old < batch_id:
+                drop_folder(self.spark, f"{self.path}/batch={old}")
         self.keep(rows, batch_id)
         return self.spark.read.schema(rows.schema).parquet(f"{self.path}/batch={batch_id}")
 
@@ -76,14 +85,21 @@ def pg9_step(path: str, cat: str = "insert,update,delete", tables: Sequence[str]
     return message_step(pg9_events, path, cat, tables)
 
 
-def redo_rows(rows: DataFrame, mode: str = "committed", store: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def redo_rows(
+    rows: DataFrame, mode: str = "committed", store: Callable[[DataFrame], DataFrame] | None = None, size: int | None = None
+) -> DataFrame:
     """Whole statements of committed transactions (``raw``: of all), from mined rows or their pieces.
 
     Statements are stored once, since their slices are planned before they are read; ``store`` says where.
+    ``size`` is the number of rows where it is known: pieces then go to as many tasks as they fill, if the
+    session would use fewer, so that a task sorts its share in memory.
     """
     store = store or (lambda whole: materialize(whole, "redo-statements"))
     if "csf" in rows.columns:
-        rows = redo_statements(rows, slices=plan_slices(rows, "pos", ["source", "rs_id"]))
+        slices, tasks = plan_slices(rows, "pos", ["source", "rs_id"]), -(-(size or 0) // PIECES_PER_TASK)
+        if slices.single and tasks > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+            rows = rows.repartition(tasks, "source", "xid", "rs_id")
+        rows = redo_statements(rows, slices=slices)
     else:
         rows = drop_internal(rows)
     rows = rows.drop("commit_scn").withColumn("op", F.lower("operation"))
@@ -93,38 +109,53 @@ def redo_rows(rows: DataFrame, mode: str = "committed", store: Callable[[DataFra
     return rows.where(F.col("sql_redo").isNotNull())
 
 
-def open_rows(rows: DataFrame, mode: str = "committed") -> DataFrame:
+def open_rows(rows: DataFrame, mode: str = "committed", store: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Mined rows, pieces included, that a later batch may still need: those behind the last boundary of their transaction.
 
-    In ``raw`` mode only statements whose last piece has not come yet are needed.
+    In ``raw`` mode only statements whose last piece has not come yet are needed.  Transactions that are
+    still open are found first, from their positions alone, and stored; ``store`` says where.  The rows
+    themselves are read in place while these are few.
     """
-    keyed = rows.withColumn("op", F.lower("operation"))
     if mode == "raw":
         if "csf" not in rows.columns:
             return rows.where(F.lit(False))
         last = rows.groupBy("source", "xid", "rs_id").agg(F.max_by("csf", "pos").alias("_more"))
         return rows.join(last.where("_more = 1").drop("_more"), ["source", "xid", "rs_id"], "left_semi")
-    known = with_rank(keyed.where(F.col("op").isin(*DML, *BOUNDARY)))
-    ended = carry(
-        known, TXN_KEYS, "scn", F.col("op"), F.col("op").isin(*BOUNDARY), "_end", backward=True, ties=txn_ties(keyed), slices=plan_slices(known, "scn", TXN_KEYS)
-    )
-    return ended.where(F.col("op").isin(*DML) & F.col("_end").isNull()).drop("_end", "op", RANK).select(*rows.columns)
-
-
-def redo_step(path: str, since: int, white: Sequence[str], black: Sequence[str] = (), mode: str = "committed") -> Step:
+    store = store or (lambda found: materialize(found, "open-transactions"))
+    known = with_rank(rows.withColumn("op", F.lower("operation")))
+    known = known.withColumn("_at", F.struct("scn", *txn_ties(known)))
+    change, boundary = F.col("op").isin(*DML), F.col("op").isin(*BOUNDARY)
+    ends = known.groupBy(*TXN_KEYS).agg(F.max(F.when(boundary, F.col("_at"))).alias("_end"), F.max(F.when(change, F.col("_at"))).alias("_last"))
+    still = ends.where(F.col("_last").isNotNull() & (F.col("_end").isNull() | (F.col("_last") > F.col("_end"))))
+    still = store(still.select(*[F.col(k).alias(f"_{k}") for k in TXN_KEYS], "_end"))
+    few = still.count() <= HELD_OPEN
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in TXN_KEYS]
+    waiting = known.where(change).join(F.broadcast(still) if few else still, same)
+    return waiting.where(F.col("_end").isNull() | (F.col("_at") > F.col("_end"))).select(*rows.columns)
+
+
+def redo_step(
+    path: str, since: int, white: Sequence[str], black: Sequence[str] = (), mode: str = "committed", columns: Sequence[str] | None = None
+) -> Step:
     """Mined rows of a batch as whole statements; open transactions and unfinished statements wait for the next batch.
 
     The source is read once per batch: its mined rows are stored, and so are the statements made of them.
+    ``columns`` are those that the caller reads; without it all are stored and come out.
     """
 
+    def only(rows: DataFrame, needed: Sequence[str]) -> DataFrame:
+        return rows if columns is None else rows.select(*[c for c in rows.columns if c in (*needed, *columns)])
+
     def step(batch: DataFrame, batch_id: int) -> DataFrame:
         spark = batch.sparkSession
-        context, mined, whole = Context(spark, path), Context(spark, f"{path}/mined", 1), Context(spark, f"{path}/statements", 1)
-        rows = mined.stored(_joined(mined_rows(batch, since, white, black), context, batch_id), batch_id)
-        waiting = open_rows(rows, mode)
+        context = Context(spark, path)
+        mined, still, whole = (Context(spark, f"{path}/{x}", 1) for x in ("mined", "open", "statements"))
+        rows = mined.stored(_joined(only(mined_rows(batch, since, white, black), REDO_FACTS), context, batch_id), batch_id)
+        waiting = open_rows(rows, mode, lambda found: still.stored(found, batch_id))
         context.keep(waiting, batch_id)
+        size = rows.count()
         if mode == "raw" and "csf" in rows.columns:
             rows = rows.join(context.before(batch_id + 1, rows.schema).select("source", "xid", "rs_id").distinct(), ["source", "xid", "rs_id"], "left_anti")
-        return redo_rows(rows, mode, lambda statements: whole.stored(statements, batch_id))
+        return redo_rows(rows, mode, lambda statements: whole.stored(only(statements, (*TXN_KEYS, "scn", "seq", "op", "sql_redo")), batch_id), size)
 
     return step

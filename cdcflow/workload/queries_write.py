@@ -24,7 +24,7 @@ from cdcflow.workload import texts as X
 from cdcflow.workload.changelog import LOG_SQL, base_table, changelog, flat
 from cdcflow.workload.queries_redo import ALL_ROWS, REDO
 from cdcflow.workload.queries_wire import HEAD, show_events
-from cdcflow.workload.redolog import redo_pieces
+from cdcflow.workload.redolog import build_pieces
 from cdcflow.workload.registry import ORACLES, query, table
 from cdcflow.workload.wirelog import pg9_messages, pg_messages
 
@@ -171,7 +171,7 @@ def _position_stream(spark, log: DataFrame, key: str, pos: str, label: str, step
     parts = []
     for low, high in zip(cuts, cuts[1:]):
         part = log if low is None else log.where(F.col(pos) > low)
-        parts.append((part if high is None else part.where(F.col(pos) <= high)).repartition(FILES_PER_STEP))
+        parts.append(part if high is None else part.where(F.col(pos) <= high))
     return scratch_path(spark, label), parts
 
 
@@ -203,7 +203,8 @@ def _stream_pg9(spark, sf_dir):
         select scn, commit_scn, operation, sql_redo from placed where not b and outcome = 'COMMIT' and sql_redo <> 'drop x' and not contains(sql_redo, 'temporary tables z')""",
 )
 def _stream_redo(spark, sf_dir):
-    path, parts = _position_stream(spark, redo_pieces(spark, sf_dir), "source", "pos", "redo-in")
+    # The position log is the stored form of the pieces; they are cut from the stored statements as it grows.
+    path, parts = _position_stream(spark, build_pieces(spark, sf_dir), "source", "pos", "redo-in")
     rows = _run_job(spark, "logminerreader", {"path": path, "scn": -1, "whiteList": ["SALES.*"]}, parts, "source")
     return rows.select(F.col("SCN").alias("scn"), F.col("COMMIT_SCN").alias("commit_scn"), F.col("OPERATION").alias("operation"), F.col("SQL_REDO").alias("sql_redo"))
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cdcflow.session import scratch_path
+from cdcflow.session import scratch_path, settings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,11 +33,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _DERIVED: dict[tuple[str, str, str], str] = {}
 
 
-def derived(spark: SparkSession, sf_dir: str, name: str, build: Query) -> DataFrame:
+def derived(spark: SparkSession, sf_dir: str, name: str, build: Query, compression: str = "snappy") -> DataFrame:
     """A log captured once per session into the shared folder, as a source would have left it."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _DERIVED:
         path = scratch_path(spark, name)
-        build(spark, sf_dir).write.parquet(path)
+        with settings(spark):
+            build(spark, sf_dir).write.parquet(path, compression=compression)
         _DERIVED[key] = path
     return spark.read.parquet(_DERIVED[key])

@@ -375,3 +375,89 @@ def test_a_redo_batch_is_read_once(spark):
         found += step(part.mapInArrow(counted, part.schema), batch).count()
     assert seen.value == total and found > 0
     assert sorted(os.listdir(f"{path.removeprefix('file:')}/mined")) == ["batch=1"]
+
+
+def _mined(spark, rows):
+    """(pos, scn, operation, xid, text, csf) as mined rows or pieces of one source."""
+    columns = "source string, pos long, scn long, commit_scn long, xidusn string, xidslt string, xidsqn string, operation string, seg_owner string, table_name string, username string, info string, sql_redo string, rs_id string, csf int, row_id string, rollback int"
+    return spark.createDataFrame([("db", pos, scn, None, "1", "2", x, op, "S", "T", "APP", None, text, f"r{scn}", csf, "A", 0) for pos, scn, op, x, text, csf in rows], columns)
+
+
+def test_a_redo_job_stores_only_columns_that_it_reads(spark):
+    path, out, setting = scratch_path(spark, "log"), scratch_path(spark, "out"), _stream_setting(spark)
+    job = _job({"name": "logminerreader", "parameter": {"path": path, "scn": 0, "whiteList": ["S.*"]}}, {"name": "filewriter", "parameter": {"path": out}}, restore=setting)
+    parts = [[(1, 1, "START", "a", None, 0), (2, 2, "INSERT", "a", "insert in", 1), (3, 2, "INSERT", "a", "to t", 0), (4, 3, "INSERT", "b", "left", 0)],
+             [(5, 4, "COMMIT", "a", None, 0), (6, 5, "COMMIT", "b", None, 0), (7, 6, "DELETE", "a", "open", 0)]]
+    for part in parts:
+        write_position_log(_mined(spark, part), path, "source")
+        job.run(spark)
+    rows = spark.read.parquet(out)
+    assert sorted((r.SCN, r.COMMIT_SCN, r.SEQ, r.TABLE_NAME, r.SQL_REDO) for r in rows.collect()) == [(2, 4, 2, "T", "insert into t"), (3, 5, 4, "T", "left")]
+    kept = {x: spark.read.parquet(f"{setting['checkpoint']}-context/{x}") for x in ("batch=1", "mined", "statements")}
+    assert [(r.scn, r.sql_redo) for r in kept["batch=1"].collect()] == [(6, "open")]
+    for name, rows in kept.items():
+        assert not {"row_id", "rollback", "username", "xidusn"} & set(rows.columns), name
+    assert "info" not in kept["statements"].columns
+
+
+def test_shuffle_files_of_a_write_go_with_it(spark):
+    from cdcflow.sinks.files import file_sink
+    from cdcflow.streaming.steps import Context
+
+    key, disk = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = disk.getAllFiles()
+        names = (files.apply(i).getName() for i in range(files.size()))
+        return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+    rows, before = spark.range(5_000).select("id", (F.col("id") % 2).cast("string").alias("slot")).repartition(3, "id"), spark.conf.get(key, None)
+    path, context, out = (scratch_path(spark, x) for x in ("log", "state", "out"))
+    for write in (lambda: write_position_log(rows, path), lambda: Context(spark, context).keep(rows, 0), lambda: file_sink(rows, out)):
+        held = shuffled()
+        write()
+        until = time.time() + 10
+        while (left := shuffled() - held) and time.time() < until:
+            time.sleep(0.1)
+        assert not left
+    assert spark.conf.get(key, None) == before
+    assert sorted(x for x in os.listdir(path.removeprefix("file:")) if x.startswith("slot")) == ["slot=0", "slot=1"]
+    assert [spark.read.parquet(p).count() for p in (path, f"{context}/batch=0", out)] == [5_000] * 3
+
+
+@pytest.mark.parametrize("held", [None, 0], ids=["few open", "many open"])
+def test_open_rows_are_those_behind_the_last_boundary(spark, monkeypatch, held):
+    from cdcflow.operators.txn import open_changes
+    from cdcflow.streaming import steps
+
+    if held is not None:
+        monkeypatch.setattr(steps, "HELD_OPEN", held)
+    log = [("s", "a", "INSERT", 1, 0), ("s", "a", "COMMIT", 2, 0), ("s", "a", "UPDATE", 2, 0), ("s", "a", "UPDATE", 2, 1), ("s", "a", "UPDATE", 2, 1), ("s", "a", "UPDATE", 3, None),
+           (None, "a", "INSERT", 1, 0), (None, "b", "INSERT", 4, 1), (None, "b", "START", 4, 1), (None, "b", "DELETE", 4, 1), ("s", "c", "DDL", 5, None), ("s", "c", "ROLLBACK", 5, None),
+           ("s", "d", "COMMIT", 9, 0), ("s", None, "INSERT", 1, None), ("s", "e", "START", 1, 0), ("s", "e", "OTHER", 2, 0), ("s", "f", "INSERT", 7, None), ("s", "f", "COMMIT", 7, 0), ("s", "f", "INSERT", 8, 0)]
+    rows = spark.createDataFrame([(*r, f"q{i}") for i, r in enumerate(log)], "source string, xid string, operation string, scn long, seq long, sql_redo string")
+    got = steps.open_rows(rows)
+    if held is None:
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "Window" not in plan and "strategy=broadcast" in plan  # the rows themselves are not dealt out
+    want = open_changes(rows.withColumn("op", F.lower("operation")))
+    texts = sorted(r.sql_redo for r in got.collect())
+    assert texts == sorted(r.sql_redo for r in want.collect()) == sorted(f"q{i}" for i in (3, 4, 5, 6, 7, 9, 13, 18))
+    assert got.columns == rows.columns
+
+
+def test_pieces_go_to_as_many_tasks_as_they_fill(spark, monkeypatch):
+    from cdcflow.streaming import steps
+
+    monkeypatch.setattr(steps, "PIECES_PER_TASK", 2)
+    log = [(i, i // 2 + 1, "INSERT", "a", f"{'insert' if i % 2 == 0 else ' done'}", 1 - i % 2) for i in range(20)] + [(20, 50, "COMMIT", "a", None, 0)]
+    rows = _mined(spark, log).withColumn("xid", F.concat_ws(".", "xidusn", "xidslt", "xidsqn"))
+    plans = []
+
+    def store(whole):
+        plans.append(whole._jdf.queryExecution().optimizedPlan().toString())
+        return whole
+
+    found = sorted((r.scn, r.sql_redo) for r in steps.redo_rows(rows, store=store, size=21).collect())
+    assert found == sorted((r.scn, r.sql_redo) for r in steps.redo_rows(rows).collect()) == [(i + 1, "insert done") for i in range(10)]
+    assert "RepartitionByExpression" in plans[0] and ", 11" in plans[0]
