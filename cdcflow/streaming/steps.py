@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -17,7 +17,7 @@ from cdcflow.operators.pg9 import pg9_events
 from cdcflow.operators.pgoutput import context_messages, pg_events
 from cdcflow.operators.positions import ROWS_PER_SLICE, SLICES_PER_TASK, WHOLE, plan_slices
 from cdcflow.operators.redo import drop_internal, mined_rows, redo_statements
-from cdcflow.operators.txn import BOUNDARY, DML, TXN_KEYS, committed_changes, txn_ties, with_rank
+from cdcflow.operators.txn import BOUNDARY, DML, TXN_KEYS, committed_changes
 from cdcflow.session import materialize, settings
 from cdcflow.sinks.tables import drop_folder, numbered_folders
 
@@ -122,16 +122,18 @@ def open_rows(rows: DataFrame, mode: str = "committed", store: Callable[[DataFra
         last = rows.groupBy("source", "xid", "rs_id").agg(F.max_by("csf", "pos").alias("_more"))
         return rows.join(last.where("_more = 1").drop("_more"), ["source", "xid", "rs_id"], "left_semi")
     store = store or (lambda found: materialize(found, "open-transactions"))
-    known = with_rank(rows.withColumn("op", F.lower("operation")))
-    known = known.withColumn("_at", F.struct("scn", *txn_ties(known)))
-    change, boundary = F.col("op").isin(*DML), F.col("op").isin(*BOUNDARY)
-    ends = known.groupBy(*TXN_KEYS).agg(F.max(F.when(boundary, F.col("_at"))).alias("_end"), F.max(F.when(change, F.col("_at"))).alias("_last"))
-    still = ends.where(F.col("_last").isNotNull() & (F.col("_end").isNull() | (F.col("_last") > F.col("_end"))))
-    still = store(still.select(*[F.col(k).alias(f"_{k}") for k in TXN_KEYS], "_end"))
+    known = rows.withColumn("op", F.lower("operation")).withColumn("_at", F.struct("scn", "seq") if "seq" in rows.columns else F.col("scn"))
+    change, latest = F.col("op").isin(*DML), lambda kinds: F.max(F.when(F.col("op").isin(*kinds), F.col("_at")))
+
+    def behind(at: Column) -> Column:
+        """Behind every boundary, where START stands first and COMMIT or ROLLBACK last at its position."""
+        return (F.col("_start").isNull() | (at >= F.col("_start"))) & (F.col("_end").isNull() | (at > F.col("_end")))
+
+    found = known.groupBy(*TXN_KEYS).agg(latest(BOUNDARY[:1]).alias("_start"), latest(BOUNDARY[1:]).alias("_end"), latest(DML).alias("_last"))
+    still = store(found.where(F.col("_last").isNotNull() & behind(F.col("_last"))).select(*[F.col(k).alias(f"_{k}") for k in TXN_KEYS], "_start", "_end"))
     few = still.count() <= HELD_OPEN
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in TXN_KEYS]
-    waiting = known.where(change).join(F.broadcast(still) if few else still, same)
-    return waiting.where(F.col("_end").isNull() | (F.col("_at") > F.col("_end"))).select(*rows.columns)
+    return known.where(change).join(F.broadcast(still) if few else still, same).where(behind(F.col("_at"))).select(*rows.columns)
 
 
 def redo_step(

@@ -440,10 +440,12 @@ def test_open_rows_are_those_behind_the_last_boundary(spark, monkeypatch, held):
     if held is None:
         plan = got._jdf.queryExecution().optimizedPlan().toString()
         assert "Window" not in plan and "strategy=broadcast" in plan  # the rows themselves are not dealt out
-    want = open_changes(rows.withColumn("op", F.lower("operation")))
-    texts = sorted(r.sql_redo for r in got.collect())
-    assert texts == sorted(r.sql_redo for r in want.collect()) == sorted(f"q{i}" for i in (3, 4, 5, 6, 7, 9, 13, 18))
+    texts = lambda df: sorted(r.sql_redo for r in df.collect())
+    want = lambda df: texts(open_changes(df.withColumn("op", F.lower("operation"))))
+    assert texts(got) == want(rows) == sorted(f"q{i}" for i in (3, 4, 5, 6, 7, 9, 13, 18))
     assert got.columns == rows.columns
+    plain = rows.drop("seq")
+    assert texts(steps.open_rows(plain)) == want(plain) == sorted(f"q{i}" for i in (5, 6, 7, 9, 13, 18))
 
 
 def test_pieces_go_to_as_many_tasks_as_they_fill(spark, monkeypatch):
