@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,8 +26,8 @@ from cdcflow.workload import texts as X
 from cdcflow.workload.changelog import LOG_SQL, base_table, changelog, flat
 from cdcflow.workload.queries_redo import ALL_ROWS, REDO
 from cdcflow.workload.queries_wire import HEAD, show_events
-from cdcflow.workload.redolog import build_pieces
-from cdcflow.workload.registry import ORACLES, query, table
+from cdcflow.workload.redolog import build_redo_log, pieces
+from cdcflow.workload.registry import ORACLES, query, staged, table
 from cdcflow.workload.wirelog import pg9_messages, pg_messages
 
 FILES_PER_STEP = 8
@@ -175,8 +177,8 @@ def _position_stream(spark, log: DataFrame, key: str, pos: str, label: str, step
     return scratch_path(spark, label), parts
 
 
-def _run_job(spark, reader: str, parameter: dict, parts: list[DataFrame], key: str) -> DataFrame:
-    """A streamed job, started again after each part of its log; what it landed."""
+def _run_job(spark, reader: str, parameter: dict, parts: list[DataFrame], key: str, copied: Callable[[], None] = lambda: None) -> DataFrame:
+    """A streamed job, started again after each part of its log; what it landed.  ``copied`` is called when the log holds all parts."""
     out, state = scratch_path(spark, "landed"), scratch_path(spark, "state")
     job = SyncJob(
         {"name": reader, "parameter": parameter}, {"name": "filewriter", "parameter": {"path": out}},
@@ -184,6 +186,8 @@ def _run_job(spark, reader: str, parameter: dict, parts: list[DataFrame], key: s
     )
     for part in parts:
         write_position_log(part, parameter["path"], key)
+        if part is parts[-1]:
+            copied()
         job.run(spark)
     return spark.read.parquet(out)
 
@@ -204,8 +208,9 @@ def _stream_pg9(spark, sf_dir):
 )
 def _stream_redo(spark, sf_dir):
     # The position log is the stored form of the pieces; they are cut from the stored statements as it grows.
-    path, parts = _position_stream(spark, build_pieces(spark, sf_dir), "source", "pos", "redo-in")
-    rows = _run_job(spark, "logminerreader", {"path": path, "scn": -1, "whiteList": ["SALES.*"]}, parts, "source")
+    whole, copied = staged(spark, sf_dir, "redo_log", build_redo_log, "zstd")
+    path, parts = _position_stream(spark, pieces(whole), "source", "pos", "redo-in")
+    rows = _run_job(spark, "logminerreader", {"path": path, "scn": -1, "whiteList": ["SALES.*"]}, parts, "source", copied)
     return rows.select(F.col("SCN").alias("scn"), F.col("COMMIT_SCN").alias("commit_scn"), F.col("OPERATION").alias("operation"), F.col("SQL_REDO").alias("sql_redo"))
 
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cdcflow.session import scratch_path, settings
+from cdcflow.sinks.tables import drop_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,3 +43,13 @@ def derived(spark: SparkSession, sf_dir: str, name: str, build: Query, compressi
             build(spark, sf_dir).write.parquet(path, compression=compression)
         _DERIVED[key] = path
     return spark.read.parquet(_DERIVED[key])
+
+
+def staged(spark: SparkSession, sf_dir: str, name: str, build: Query, compression: str = "snappy") -> tuple[DataFrame, Callable[[], None]]:
+    """The same log for a caller that copies it, and what to call when that is done: a log that nobody else holds goes."""
+    if (spark.sparkContext.applicationId, sf_dir, name) in _DERIVED:
+        return derived(spark, sf_dir, name, build, compression), lambda: None
+    path = scratch_path(spark, name)
+    with settings(spark):
+        build(spark, sf_dir).write.parquet(path, compression=compression)
+    return spark.read.parquet(path), lambda: drop_folder(spark, path)

@@ -463,3 +463,19 @@ def test_pieces_go_to_as_many_tasks_as_they_fill(spark, monkeypatch):
     found = sorted((r.scn, r.sql_redo) for r in steps.redo_rows(rows, store=store, size=21).collect())
     assert found == sorted((r.scn, r.sql_redo) for r in steps.redo_rows(rows).collect()) == [(i + 1, "insert done") for i in range(10)]
     assert "RepartitionByExpression" in plans[0] and ", 11" in plans[0]
+
+
+def test_a_staged_log_goes_when_it_is_copied_unless_others_hold_it(spark):
+    from cdcflow.workload.registry import derived, staged
+
+    build = lambda s, _: s.range(10)
+    name = f"staged-{time.time_ns()}"
+    own, copied = staged(spark, "nowhere", name, build)
+    at = own.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
+    assert own.count() == 10 and os.path.isdir(at)
+    copied()
+    assert not os.path.exists(at)
+    held = derived(spark, "nowhere", name, build)
+    again, copied = staged(spark, "nowhere", name, build)
+    copied()
+    assert again.inputFiles() == held.inputFiles() and again.count() == 10
